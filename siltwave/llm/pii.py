@@ -32,12 +32,15 @@ LOOK_ALIKES = dict(zip("аеорсухіјѕԁһАВЕКМНОРСТХІЈЅαο
 INVISIBLE = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
 DIGITS = {w: str(i) for i, w in enumerate("zero one two three four five six seven eight nine".split())}
 
+#: Endings that make bare words with "at" and "dot" read as an address.
+ENDINGS = "com org net edu gov info biz io co uk de fr es it nl eu us ca au ch at be pl se no jp cn in br ru"
+
 _STRANGE = re.compile("[\u00ad\u0180-\u200f\u202a-\u20ab\u20ad-\U0010ffff]")
 _DIGIT = "(?:" + "|".join(DIGITS) + ")"
 _SPELLED = re.compile(rf"(?i)\b{_DIGIT}(?:[ \t,-]{{1,3}}{_DIGIT}\b){{2,}}")
 _ONE = re.compile(rf"(?i){_DIGIT}")
 _BRACKETED = re.compile(r"(?i)[ \t]*[\[({<][ \t]*(at|dot)[ \t]*[\])}>][ \t]*")
-_WORDED = re.compile(r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?P<at>[ \t]+at[ \t]+|@)[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?:[ \t]+dot[ \t]+[A-Za-z0-9-]+)+")
+_WORDED = re.compile(r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?P<at>[ \t]+at[ \t]+|@)[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?:[ \t]+dot[ \t]+[A-Za-z0-9-]+)*?[ \t]+dot[ \t]+(?:" + "|".join(ENDINGS.split()) + r")(?![A-Za-z0-9-])")
 _WORDS = re.compile(r"(?i)[ \t]+(at|dot)[ \t]+")
 _HINT = re.compile(r"(?i)\b(?:dot|at)[ \t]*[\])}>]|[ \t]dot[ \t]|" + rf"\b{_DIGIT}[ \t,-]{{1,3}}{_DIGIT}[ \t,-]{{1,3}}{_DIGIT}\b")
 

@@ -276,7 +276,10 @@ def test_mixing(docs, empty, spark):
         own = [r for r in got if r.source == source]
         taken = sum(r.n_tokens * r.copies for r in own)
         assert abs(own[0].weight - weight) < 1e-6
-        assert abs(taken - weight * total) <= max(r.n_tokens for r in own) + 1
+        together = Counter()  # repeated rows tie in the permutation and go together
+        for r in own:
+            together[r.doc_id] += r.n_tokens
+        assert abs(taken - weight * total) <= max(together.values()) + 1
         assert {r.copies for r in own if r.n_tokens} <= {int(weight * total / n[source]), int(weight * total / n[source]) + 1}
     assert len(got) == len(ROWS) and ordered(r.doc_id for r in got) == ordered(r[0] for r in ROWS)
     sources = spark.createDataFrame([("a", 1000), ("b", 10), ("c", 100)], "source string, tokens long")
@@ -352,11 +355,11 @@ def test_pii(docs, empty):
 @pytest.mark.parametrize(
     "text, span",
     [
-        ("write to jo.doe [at] example (dot) org today", "email:9:39"),
+        ("write to jo.doe [at] example (dot) org today", "email:9:38"),
         ("write to jo at example dot org today", "email:9:30"),
         ("write to jо@exаmple.org", "email:9:23"),
         ("call +one five five five one two three four five six seven now", None),
-        ("card four one one one 1111 1111 1111 one one one one.", None),
+        ("card four one one one 1111 1111 one one one one.", None),
         ("ip １０.1.2.3!", "ip:3:11"),
         ("meet me at the dot of noon", ""),
         ("one two three go", ""),
