@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 import pyarrow as pa
@@ -21,19 +22,21 @@ def scratch_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, release: bool = False) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: what follows survives lost executors.
 
-    Afterwards the driver JVM is asked to collect, so that Spark's cleaner can drop shuffle files that no plan needs
-    any more.
+    ``release`` then asks the driver to collect its garbage, upon which Spark's cleaner drops the shuffle files that no
+    plan needs any more; worth a second after a shuffle of the input's own size.
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/siltwave-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
     del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(3 * release):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.4)
     return spark.read.schema(schema).parquet(path)
 
 
