@@ -1,0 +1 @@
+"""No streaming operator is owed: every job reads whole files, and a closed event never opens again."""
