@@ -40,7 +40,7 @@ def resolve_pedestals(data: DataFrame, pedestals: DataFrame, keys: list[str], ma
 
 def pedestal_folder(choice: Column, same: Column, named: Column) -> Column:
     """Where pedestals lie: beside the data, in an absolute folder, or in the run that a file beside the data names."""
-    return F.when(choice == "same", same).when(choice.startswith("/"), choice).otherwise(F.coalesce(F.nullif(F.trim(named), F.lit("")), same))
+    return F.when(choice == "same", same).when(choice.startswith("/"), choice).otherwise(F.coalesce(F.nullif(F.regexp_replace(named, r"^\s+|\s+$", ""), F.lit("")), same))
 
 
 def combined_groups(files: DataFrame) -> DataFrame:
