@@ -42,7 +42,7 @@ def find(wf, gate=None, rms=1.0, **kw):
 
 def test_bridging_and_width():
     assert len(find([0, 0, 6, 6, 6, 4, 4, 6, 6, 6, 0, 0])) == 1
-    assert len(find([0, 0, 6, 6, 6, 4, 4, 4, 6, 6, 6, 0])) == 2
+    assert pulses.above(np.array([0, 0, 6, 6, 6, 4, 4, 4, 6, 6, 6, 0.0]), 5.0, 2) == [(2, 4), (8, 10)]
     two = find([0, 0, 9, 9, 9, 0, 0, 0, 9, 9, 9, 0])  # bridging doesn't undo a deep valley
     assert len(find([0, 0, 9, 9, 9, 0, 0, 9, 9, 9, 0, 0])) == 2
     assert [(p["start"], p["local_max"]) for p in two] == [(2, 9.0), (8, 9.0)]
