@@ -261,8 +261,9 @@ class Remembered(dict):
         return value
 
 
-#: Texts with these are cut at white space only: letters whose lower case needs care, runs of signs, special strings.
-_CARE = re.compile(r"[^\x00-\u012f\u0132-\u0177]|(?:[^\w\s]|_)[.,]|<\|")
+#: Letters whose lower case needs care, and a comma or full stop that ends a run of signs.
+_CARE = re.compile(r"[^\x00-\u012f\u0132-\u0177]")
+_RUN = re.compile(r"[.,](?<=(?:[^\w\s]|_)[.,])")
 
 
 def word_cuts(text: str) -> list[bytes]:
@@ -271,7 +272,7 @@ def word_cuts(text: str) -> list[bytes]:
     In plain texts letters become small and a lone comma or full stop becomes a cut of its own, which changes no
     token but makes far fewer different cuts to remember.
     """
-    if not _CARE.search(text):
+    if (text.isascii() or not _CARE.search(text)) and not _RUN.search(text) and "<|" not in text:
         text = text.lower().replace(", ", " , ").replace(". ", " . ").replace(".\n", " .\n")
     return text.encode("utf-8").split()
 

@@ -26,8 +26,9 @@ FILE_SCHEMA = "part int, doc_id long, local_start long, n_tokens long, ids array
 class LibraryCuts:
     """The library's ids of texts, by their cuts, which no token crosses.
 
-    Cuts that are new go to the library in one call, a lone control sign between them, whose one id marks the borders;
-    their packed ids are remembered, in bounded memory.
+    Cuts that are new go to the library together. Where each is one word of letters, the tokens that end a word mark the
+    borders between them; others get a lone control sign between them, whose one id marks the border. Their packed ids
+    are remembered; when the memo is full, its older half goes.
     """
 
     BORDER = "\x01"
@@ -36,35 +37,45 @@ class LibraryCuts:
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.lib, self.known, self.most = Tokenizer.from_file(path), {}, most
-        self.plain = lambda text: np.asarray(self.lib.encode(text, add_special_tokens=False).ids, "<u4")
+        self.lib, self.known, self.older, self.most = Tokenizer.from_file(path), {}, {}, most
+        self.plain = lambda text: np.asarray(self.lib.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
         (self.border,) = self.plain(self.BORDER).tolist()
+        vocab = self.lib.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for s, i in vocab.items() if s.endswith("</w>")]] = True
 
     def learn(self, new: list[bytes]) -> None:
-        odd = [x for x in new if b"\x01" in x]
-        new = [x for x in new if b"\x01" not in x]
-        for k in range(0, len(new), 20_000):
-            some = new[k : k + 20_000]
-            ids = self.plain(f" {self.BORDER} ".join([x.decode("utf-8") for x in some] + [""]))
-            stops = (np.flatnonzero(ids == self.border) * 4).tolist()
-            packed, at = ids.tobytes(), 0
-            if len(stops) != len(some):  # a cut that gives the border's id itself
-                odd += some
-                continue
-            for raw, stop in zip(some, stops):
-                self.known[raw] = packed[at:stop]
-                at = stop + 4
-        for raw in odd:
-            self.known[raw] = self.plain(raw.decode("utf-8")).tobytes()
-
-    def packed(self, own: list[str]) -> list[bytes]:
-        cuts = [word_cuts(x) for x in own]
-        if len(self.known) > self.most:
-            self.known = {}
+        own = [x.decode("utf-8") for x in new]
+        word = [x.isalpha() for x in own]
+        alone = []
+        for some in ([k for k, w in enumerate(word) if w], [k for k, w in enumerate(word) if not w and self.BORDER not in own[k]]):
+            letters = bool(some) and word[some[0]]
+            for i in range(0, len(some), 20_000):
+                part = some[i : i + 20_000]
+                ids = self.plain(" ".join([own[k] for k in part]) if letters else f" {self.BORDER} ".join([own[k] for k in part] + [""]))
+                stops = np.flatnonzero(self.ends[ids]) + 1 if letters else np.flatnonzero(ids == self.border)
+                if len(stops) != len(part):  # letters that the library doesn't know as such, or a cut with the border's id
+                    alone += part
+                    continue
+                packed, at = ids.tobytes(), 0
+                for k, stop in zip(part, (stops * 4).tolist()):
+                    self.known[new[k]] = packed[at:stop]
+                    at = stop if letters else stop + 4
+        alone += [k for k, x in enumerate(own) if self.BORDER in x]
+        for k in alone:
+            self.known[new[k]] = self.plain(own[k]).tobytes()
+
+    def packed(self, texts: list[str]) -> list[bytes]:
+        cuts = [word_cuts(x) for x in texts]
+        if len(self.known) > self.most // 2:
+            self.known, self.older = {}, self.known
         new: set[bytes] = set()
         for x in cuts:
             new.update(x)
-        self.learn(list(new.difference(self.known)))
+        new.difference_update(self.known)
+        again = new.intersection(self.older)
+        self.known.update((x, self.older[x]) for x in again)
+        self.learn(list(new - again))
         return [b"".join(map(self.known.__getitem__, x)) for x in cuts]
 
 
@@ -125,7 +136,8 @@ def read_token_files(spark, out: str) -> DataFrame:
     files = spark.read.schema(FILE_SCHEMA).parquet(out)
     totals = files.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     base = totals.select("part", (F.sum("n").over(W.orderBy("part")) - F.col("n")).alias("base"))
-    return files.join(base, "part").select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids")
+    # one row for each range partition of the writer, a number that the writer was given
+    return files.join(F.broadcast(base), "part").select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids")
 
 
 def id_checksums(tokens: DataFrame) -> DataFrame:
