@@ -229,7 +229,9 @@ def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 20, id_col: st
     again = held.mapInArrow(renamed, "key long, doc long, pos long, ctx binary")
     by_key = W.partitionBy("key")
     shared = again.withColumn("lo", F.min("doc").over(by_key)).withColumn("hi", F.max("doc").over(by_key)).filter("lo < hi")
-    named = shared.select("doc", "pos", "ctx").mapInArrow(windows, "name long, doc long, pos long")
+    # what came before, the texts' own shuffle included, is done with once this is written
+    shared = materialise(shared.select("doc", "pos", "ctx"), release=True)
+    named = shared.mapInArrow(windows, "name long, doc long, pos long")
     later = named.withColumn("lo", F.min("doc").over(W.partitionBy("name"))).filter("doc > lo").select("doc", "pos")
     later = materialise(later.distinct(), release=True)
 
