@@ -62,11 +62,14 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 
 def rates() -> dict[str, Column]:
-    """The measures that get thresholds, as whole numbers: parts per million, and thousandths of a character."""
+    """The measures that get thresholds, as whole numbers: parts per million, and thousandths of a character.
+
+    Four lines are added to a text's own, so that one repeated line of two or three isn't taken for half of a text.
+    """
     def per(n: str, of: str, unit: int) -> Column:
         return F.expr(f"case when {of} > 0 then ({n} * {unit}) div {of} else 0 end")
 
-    values = (per("n_symbols", "word_chars", 1_000_000), per("n_dup_lines", "n_lines", 1_000_000), per("n_repeat_words", "n_words", 1_000_000), per("word_chars", "n_words", 1000))
+    values = (per("n_symbols", "word_chars", 1_000_000), per("n_dup_lines", "(n_lines + 4)", 1_000_000), per("n_repeat_words", "n_words", 1_000_000), per("word_chars", "n_words", 1000))
     return dict(zip(MEASURES, values))
 
 
@@ -90,12 +93,13 @@ def sketches(measured: DataFrame) -> DataFrame:
     return rows.groupBy("lang", "source", "m.measure", "m.bucket").agg(F.count("*").alias("n"))
 
 
-def thresholds(sketch: DataFrame, keys: list[str], spread: int = 4, floors: dict[str, int] | None = None) -> DataFrame:
+def thresholds(sketch: DataFrame, keys: list[str], spread: int = 8, floors: dict[str, int] | None = None) -> DataFrame:
     """One row for each ``keys``: the number of texts and an upper limit for each measure.
 
-    The limit is the 90 % quantile plus ``spread`` times its distance from the median, and at least the floor.
+    The limit is the 90 % quantile plus ``spread`` times its distance from the median. Where nearly all texts of a group
+    measure alike that says nothing, so a limit is never below its floor.
     """
-    floors = {"symbols": 60_000, "dup_lines": 300_000, "repeats": 200_000, "long_words": 12_000} | (floors or {})
+    floors = {"symbols": 20_000, "dup_lines": 200_000, "repeats": 250_000, "long_words": 0} | (floors or {})
     merged = sketch.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
     by = W.partitionBy(*keys, "measure")
     ranked = merged.select("*", F.sum("n").over(by.orderBy("bucket")).alias("upto"), F.sum("n").over(by).alias("total"))
@@ -107,7 +111,7 @@ def thresholds(sketch: DataFrame, keys: list[str], spread: int = 4, floors: dict
     return wide
 
 
-def quality_rules(docs: DataFrame, least_texts: int = 100, spread: int = 4, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+def quality_rules(docs: DataFrame, least_texts: int = 100, spread: int = 8, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """The counts, ``base_failed`` and ``kept`` of every document, with the limits that were applied.
 
     Groups with fewer than ``least_texts`` texts use the merged sketch of their language, and that of everything

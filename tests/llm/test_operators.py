@@ -128,7 +128,7 @@ def brute_quality(text):
             hit.update(range(i, i + 8))
     out["n_repeat_words"] = len(hit)
     out["base_failed"] = len(w) < 20 or 100 * len(hit) > 30 * len(w)
-    return out, max(1, len(lines))
+    return out, len(lines) + 4
 
 
 def test_quality(docs, empty):
@@ -151,10 +151,10 @@ def test_quality(docs, empty):
 
     def limits(some):
         out = []
-        for k, floor in enumerate((60_000, 300_000, 200_000, 12_000)):
+        for k, floor in enumerate((20_000, 200_000, 250_000, 0)):
             v = sorted(m[3][k] for m in some)
             q = lambda p: top(v[-(-len(v) * p // 100) - 1])
-            out.append(max(floor, q(90) + 4 * (q(90) - q(50))))
+            out.append(max(floor, q(90) + 8 * (q(90) - q(50))))
         return out
 
     good = [m for m in measured if not m[2]]
