@@ -20,6 +20,11 @@ def word_count(text: Column) -> Column:
     return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")).cast("long")
 
 
+def place(seed: int, *of: str) -> Column:
+    """A row's place in a permutation: the first 60 bits of an MD5 digest, which SQL engines agree on."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in of])), 1, 15), 16, 10).cast("long")
+
+
 def solve_exponent(sources: DataFrame, budget: float, entropy: float | None = None, repetition: float | None = None, steps: int = 6) -> float:
     """The exponent for ``sources`` (``source, tokens``); only single numbers come to the driver.
 
@@ -93,11 +98,11 @@ def mix(
     wanted = F.round(F.col("weight") * F.lit(budget)).cast("long")
     plan = plan.withColumn("passes", F.when(F.col("tokens") > 0, F.floor(wanted / F.col("tokens"))).otherwise(1).cast("long"))
     plan = materialise(plan.withColumn("part", wanted - F.col("passes") * F.col("tokens")))
-    placed = own.join(plan, own.source.eqNullSafe(plan.plan_source)).withColumn("at", F.xxhash64(F.lit(seed), "doc_id", "source"))
+    placed = own.join(plan, own.source.eqNullSafe(plan.plan_source)).withColumn("at", place(seed, "doc_id", "source"))
     placed = placed.withColumn("block", F.pmod("at", "blocks"))
     # blocks in permuted order; whole blocks are in or out, the one on the border is cut inside
     blocks = placed.groupBy("plan_source", "block", "part").agg(F.sum("n_tokens").alias("block_sum"))
-    ordered = W.partitionBy("plan_source").orderBy(F.xxhash64(F.lit(seed + 1), "block"), "block").rowsBetween(W.unboundedPreceding, 0)
+    ordered = W.partitionBy("plan_source").orderBy(place(seed + 1, "block"), "block").rowsBetween(W.unboundedPreceding, 0)
     blocks = blocks.withColumn("upto", F.sum("block_sum").over(ordered))
     fate = F.when(F.col("upto") <= F.col("part"), 1).when(F.col("upto") - F.col("block_sum") >= F.col("part"), 0).otherwise(2)
     blocks = materialise(blocks.select(F.col("plan_source").alias("s"), F.col("block").alias("k"), fate.alias("fate"), (F.col("part") - F.col("upto") + F.col("block_sum")).alias("room")).filter("fate > 0"))

@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow.parquet as pq
@@ -438,3 +439,13 @@ def test_pipeline(docs, empty, spark, tmp_path):
 
 def test_queries_are_registered():
     assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in queries.QUERIES if q != "pipeline"}
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_matches_sql(spark, name):
+    con = duckdb.connect()
+    con.execute("create view documents as from '/root/testdata/sf0.001/documents.parquet'")
+    want = con.sql(queries.ORACLES[name])
+    got = queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert sorted(got.columns) == sorted(want.columns)
+    assert ordered(map(tuple, got.select(*want.columns).collect())) == ordered(want.fetchall())
