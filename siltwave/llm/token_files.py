@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import zlib
 
 import numpy as np
@@ -18,7 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ._common import pieces, texts
-from .bpe import word_cuts
+from .bpe import byte_alphabet, word_cuts
 
 FILE_SCHEMA = "part int, doc_id long, local_start long, n_tokens long, ids array<int>"
 
@@ -26,18 +27,23 @@ FILE_SCHEMA = "part int, doc_id long, local_start long, n_tokens long, ids array
 class LibraryCuts:
     """The library's ids of texts, by their cuts, which no token crosses.
 
-    Cuts that are new go to the library together. Where each is one word of letters, the tokens that end a word mark the
-    borders between them; others get a lone control sign between them, whose one id marks the border. Their packed ids
-    are remembered; when the memo is full, its older half goes.
+    A new cut of plain small letters, digits and signs is split into pre-tokens here, and the library's model alone
+    encodes them. Other new cuts go to the library together. Where each is one word of letters, the tokens that end a word mark the borders
+    between them; others get a lone control sign between them, whose one id marks the border. Their packed ids are
+    remembered; when the memo is full, its older half goes.
     """
 
     BORDER = "\x01"
+    #: Pre-tokens that lower case and NFC leave alone, next to any neighbour; an apostrophe can begin a suffix, so it isn't here.
+    SMALL = "[a-zà-öø-ÿ]+|[0-9]|[!-&(-/:-@[-`{-~]+"
+    is_small, split = re.compile(f"(?:{SMALL})+").fullmatch, re.compile(SMALL).findall
 
     def __init__(self, path: str, most: int = 250_000):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.lib, self.known, self.older, self.most = Tokenizer.from_file(path), {}, {}, most
+        self.model, self.chars = self.lib.model, dict(enumerate(byte_alphabet()))
         self.plain = lambda text: np.asarray(self.lib.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
         (self.border,) = self.plain(self.BORDER).tolist()
         vocab = self.lib.get_vocab(with_added_tokens=True)
@@ -45,7 +51,8 @@ class LibraryCuts:
         self.ends[[i for s, i in vocab.items() if s.endswith("</w>")]] = True
 
     def learn(self, new: list[bytes]) -> None:
-        own = [x.decode("utf-8") for x in new]
+        rest = self.learn_small(new)
+        own = [x.decode("utf-8") for x in rest]
         word = [x.isalpha() for x in own]
         alone = []
         for some in ([k for k, w in enumerate(word) if w], [k for k, w in enumerate(word) if not w and self.BORDER not in own[k]]):
@@ -59,11 +66,31 @@ class LibraryCuts:
                     continue
                 packed, at = ids.tobytes(), 0
                 for k, stop in zip(part, (stops * 4).tolist()):
-                    self.known[new[k]] = packed[at:stop]
+                    self.known[rest[k]] = packed[at:stop]
                     at = stop if letters else stop + 4
         alone += [k for k, x in enumerate(own) if self.BORDER in x]
         for k in alone:
-            self.known[new[k]] = self.plain(own[k]).tobytes()
+            self.known[rest[k]] = self.plain(own[k]).tobytes()
+
+    def learn_small(self, new: list[bytes]) -> list[bytes]:
+        """Learn the cuts of plain small letters, digits and signs; give back the others."""
+        tokenize, chars, is_small = self.model.tokenize, self.chars, self.is_small
+        done, rest, ids, stops = [], [], [], []
+        for raw in new:
+            text = raw.decode("utf-8")
+            if not is_small(text) or "<|" in text:
+                rest.append(raw)
+                continue
+            for part in (text,) if text.isalpha() else self.split(text):
+                symbols = part if part.isascii() else part.encode("utf-8").decode("latin-1").translate(chars)
+                ids += [t.id for t in tokenize(symbols)]
+            done.append(raw)
+            stops.append(4 * len(ids))
+        packed, at = np.asarray(ids, "<u4").tobytes(), 0
+        for raw, stop in zip(done, stops):
+            self.known[raw] = packed[at:stop]
+            at = stop
+        return rest
 
     def packed(self, texts: list[str]) -> list[bytes]:
         cuts = [word_cuts(x) for x in texts]

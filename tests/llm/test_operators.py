@@ -253,6 +253,16 @@ def test_token_files(docs, empty, spark, tmp_path):
     assert token_files.read_token_files(spark, str(tmp_path / "e")).count() == 0
 
 
+def test_library_cuts():
+    """Cuts that the model alone encodes give what the library gives for them, and so do all others."""
+    cuts = token_files.LibraryCuts(public_tokenizers.path("word_bpe_49k.json"))
+    alphabet = [chr(i) for i in range(33, 127)] + list("àÿ÷×éßµªʼ\u0301\x01ΣİǅЖ中") + ["<|endoftext|>", "'re", "<|"]
+    rng = np.random.default_rng(7)
+    new = {"".join(rng.choice(alphabet, n)) for n in rng.integers(1, 7, 3000)}
+    cuts.learn([x.encode() for x in new])
+    assert [x for x in new if cuts.known[x.encode()] != cuts.plain(x).tobytes()] == []
+
+
 def test_mixing(docs, empty, spark):
     got = mixing.mix(docs, repetition=2.0, block_tokens=500).collect()
     n = {}
