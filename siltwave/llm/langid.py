@@ -21,6 +21,10 @@ from ._common import pieces, texts
 _LETTERS = bytes(b if b > 127 or 97 <= b <= 122 else 32 for b in range(256))
 
 
+#: Tasks for each language among which the first ranking of the sample is dealt.
+RANKERS = 64
+
+
 @dataclass(frozen=True)
 class Model:
     langs: list[str]  # of each centroid
@@ -73,15 +77,19 @@ def fit(
     """Learn from at most ``per_lang`` texts of each language, those whose id has the smallest hash.
 
     Documents whose crc32 of the id, as text, is a multiple of 5 are held out; so are null labels, and texts without a
-    letter teach nothing. What comes to the driver is one sparse vector of at most ``features`` entries for each
-    sampled text. None without any labelled text. ``slack`` times the smallest cosine of a centroid's own texts is its
-    rejection limit.
+    letter teach nothing; rows with an equal id and label teach once, by their smallest text. What comes to the driver
+    is one sparse vector of at most ``features`` entries for each sampled text. None without any labelled text.
+    ``slack`` times the smallest cosine of a centroid's own texts is its rejection limit.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     base = base.filter("doc_id is not null and text is not null and lang is not null").filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
-    rank = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = base.select("doc_id", "lang").withColumn("rank", rank).filter(F.col("rank") <= per_lang).select("doc_id").distinct()
-    picked = base.join(F.broadcast(ids), "doc_id")  # per_lang ids for each language at most
+    # first among the rows of some read partitions, so that the last ranking of a language has a bounded number of rows
+    ids = base.select("doc_id", "lang", (F.spark_partition_id() % RANKERS).alias("ranker"))
+    for keys in (["lang", "ranker"], ["lang"]):
+        rank = F.row_number().over(W.partitionBy(*keys).orderBy(F.xxhash64("doc_id"), "doc_id"))
+        ids = ids.withColumn("rank", rank).filter(F.col("rank") <= per_lang).drop("rank")
+    picked = base.join(F.broadcast(ids.select("doc_id").distinct()), "doc_id")  # per_lang ids for each language at most
+    picked = picked.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
 
     def run(batches):
         for b in pieces(batches):
