@@ -3,7 +3,8 @@
 Transducers rewrite a text and keep, for each character they give out, the source characters it stands for: look-alike
 letters and full-width forms become ASCII and invisible signs go; spelled digits become digits; "at" and "dot" in
 brackets, or as words inside what reads as an address, become their signs. Identifiers are looked for in the source
-and in the rewritten text; spans of the latter are mapped back and added where they say something new.
+and in the rewritten text; spans of the latter are mapped back and added unless one of the former, of the same kind,
+holds them whole.
 """
 
 from __future__ import annotations
@@ -140,7 +141,7 @@ def all_spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, in
     more = []
     for kind, i, j in plain_spans(tape.text):
         a, b = int(tape.start[i]), int(tape.end[j - 1])
-        if not any(k == kind and x < b and a < y for k, x, y in base):
+        if not any(k == kind and x <= a and b <= y for k, x, y in base):
             more.append((kind, a, b))
     return base, sorted(base + more, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 

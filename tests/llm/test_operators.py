@@ -381,6 +381,24 @@ def test_pii_disguises(text, span):
     assert spans == span if span is not None else spans != ""
 
 
+def test_pii_disguises_next_to_base_matches():
+    """A disguise anywhere in an address, also where the rest of it reads as a shorter address."""
+    address, twins = "john.smith@mail.example.com", {v: k for k, v in pii.LOOK_ALIKES.items()}
+    whole = [("j", "\u200bj"), *[(c, twins[c]) for c in "johnismealxcp" if c in twins]]
+    texts = [f"to {address[:k]}{new}{address[k + 1 :]}, now" for old, new in whole for k, c in enumerate(address) if c == old]
+    for k, c in enumerate(address):
+        if c in ".@":
+            texts += [f"to {address[:k]}{a}{'dot' if c == '.' else 'at'}{b}{address[k + 1 :]}, now" for a, b in ("[]", ("(", ")"), (" [ ", " ] "))]
+    assert len(texts) > 25
+    for text in texts:
+        base, spans = pii.all_spans(text)
+        assert set(base) <= set(spans) and len(spans) == len(set(spans))
+        start = 4 if "\u200b" in text else 3
+        assert ("email", start, len(text) - 5) in spans, text
+        assert pii.masked(text, spans) == text[:start] + "[EMAIL], now"
+    assert pii.all_spans("to john@example.com, jоe")[1] == [("email", 3, 19)]
+
+
 def test_bpe(docs, empty):
     from tokenizers import Tokenizer
 
