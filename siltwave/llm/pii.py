@@ -33,17 +33,40 @@ LOOK_ALIKES = dict(zip("аеорсухіјѕԁһАВЕКМНОРСТХІЈЅαο
 INVISIBLE = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
 DIGITS = {w: str(i) for i, w in enumerate("zero one two three four five six seven eight nine".split())}
 
-#: Endings that make bare words with "at" and "dot" read as an address.
-ENDINGS = "com org net edu gov info biz io co uk de fr es it nl eu us ca au ch at be pl se no jp cn in br ru"
+#: Endings that make bare words with "at" and "dot" read as an address whatever stands before.
+ENDINGS = frozenset("com org net edu gov info biz io co uk de fr es it nl eu us ca au ch at be pl se no jp cn in br ru".split())
+#: Words of plain prose that are no label or, unless listed above, no ending of a worded address.
+PROSE = frozenset(
+    "a an the this that these those each every any some all both one two of on or and as by to if so we he she you they them his her its "
+    "our your their my is are was were been has had from for with than then when where who which what how into onto over under not but "
+    "polka red blue green black white small big tiny single last first next "
+    "product products matrix plot plots chart charts pattern patterns dress dresses notation point points size print prints line lines".split()
+)
+#: What no worded address has as a name or label before a dot.
+ARTICLES = frozenset("a an the this that each every".split())
+#: Hosts that give addresses to anyone, so that a plain word before a worded "at" reads as a name.
+HOSTS = frozenset("gmail googlemail yahoo hotmail outlook icloud aol gmx proton protonmail fastmail yandex zoho".split())
+#: Plain words before "at" that are no name, even before such a host.
+NOT_NAMES = PROSE | frozenset("me us him it mail mails email emails look looks looking available contact reach account accounts address sign log here there down issues support work working works team".split())
 
 _STRANGE = re.compile("[\u00ad\u0180-\u200f\u202a-\u20ab\u20ad-\U0010ffff]")
 _DIGIT = "(?:" + "|".join(DIGITS) + ")"
-_SPELLED = re.compile(rf"(?i)\b{_DIGIT}(?:[ \t,-]{{1,3}}{_DIGIT}\b){{2,}}")
+_SPELLED = re.compile(rf"(?i)\b{_DIGIT}(?:[ \t,-]{{1,3}}{_DIGIT}\b)*+(?![A-Za-z0-9_])")
 _ONE = re.compile(rf"(?i){_DIGIT}")
+_GAP = r"(?:[ \t-]{1,3}|[.]|[ \t]?[()][ \t]?)"
+_DIGIT_BEFORE, _DIGIT_AFTER = re.compile(rf"[0-9]{_GAP}\Z"), re.compile(rf"{_GAP}[0-9]")
 _BRACKETED = re.compile(r"(?i)[ \t]*[\[({<][ \t]*(at|dot)[ \t]*[\])}>][ \t]*")
-_WORDED = re.compile(r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?P<at>[ \t]+at[ \t]+|@)[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?:[ \t]+dot[ \t]+[A-Za-z0-9-]+)*?[ \t]+dot[ \t]+(?:" + "|".join(ENDINGS.split()) + r")(?![A-Za-z0-9-])")
-_WORDS = re.compile(r"(?i)[ \t]+(at|dot)[ \t]+")
-_HINT = re.compile(r"(?i)\b(?:dot|at)[ \t]*[\])}>]|[ \t]dot[ \t]|" + rf"\b{_DIGIT}[ \t,-]{{1,3}}{_DIGIT}[ \t,-]{{1,3}}{_DIGIT}\b")
+_AT = re.compile(r"(?i)(?<=[A-Za-z0-9_%+-])[ \t]{1,9}at[ \t]{1,9}(?=[A-Za-z0-9])|@")
+_LEFT = re.compile(r"(?i)(?<![A-Za-z0-9._%+-])(?:[A-Za-z0-9._%+-]++[ \t]{1,9}dot[ \t]{1,9})*[A-Za-z0-9._%+-]++\Z")
+_RIGHT = re.compile(r"(?i)[A-Za-z0-9-]++(?:(?:\.|[ \t]{1,9}dot[ \t]{1,9})[A-Za-z0-9-]++)+")
+_DOT = re.compile(r"(?i)[ \t]+dot[ \t]+")
+_LABEL = re.compile(r"(?i)(?:(?P<word>[ \t]+dot[ \t]+)|\.)?(?P<label>[A-Za-z0-9-]+)")
+_ENDING = re.compile(r"[A-Za-z]{2,}")
+_SIGNED = re.compile(r"[A-Za-z][A-Za-z0-9]*(?:[._+%][A-Za-z0-9]+){1,2}|[A-Za-z]{3,}[0-9]+")
+_HINT = re.compile(
+    r"(?i)\b(?:dot|at)[ \t]*[\])}>]|[ \t]dot[ \t]|[ \t]at[ \t]+[a-z0-9-]++\.[a-z0-9]"
+    rf"|\b{_DIGIT}[ \t,-]{{1,3}}{_DIGIT}[ \t,-]{{1,3}}{_DIGIT}\b|\b{_DIGIT}{_GAP}[0-9]|[0-9]{_GAP}{_DIGIT}\b"
+)
 
 
 def luhn(digits: str) -> bool:
@@ -114,6 +137,60 @@ def spelled(run: str) -> str:
     return "".join(DIGITS[m.group().lower()] for m in _ONE.finditer(run))
 
 
+def spelled_runs(text: str) -> list[tuple[int, int, str]]:
+    """Changes that give spelled digits as digits: three or more in a row, or fewer next to digits."""
+    out, end = [], -1
+    for m in _SPELLED.finditer(text):
+        i, j = m.span()
+        near = _DIGIT_AFTER.match(text, j) or _DIGIT_BEFORE.search(text, max(0, i - 4), i)
+        follows = end >= 0 and i - end <= 3 and re.fullmatch(_GAP, text[end:i])
+        if near or follows or len(_ONE.findall(m.group())) > 2:
+            out.append((i, j, spelled(m.group())))
+            end = j
+    return out
+
+
+def worded(text: str) -> list[tuple[int, int, str]]:
+    """Changes that give the words "at" and "dot" as signs where they stand inside what reads as an address."""
+    out, free = [], 0
+    for at in _AT.finditer(text):
+        if at.start() < free:
+            continue
+        low = max(free, at.start() - 200)
+        left, right = _LEFT.search(text, low, at.start()), _RIGHT.match(text, at.end())
+        if not left or not right:
+            continue
+        labels = list(_LABEL.finditer(text, at.end(), right.end()))
+        while len(labels) > 1:
+            last = labels[-1]["label"].lower()
+            if last in ENDINGS or (_ENDING.fullmatch(last) and last not in PROSE):
+                break
+            labels.pop()
+        words = [m for m in labels if m["word"]]
+        dots = list(_DOT.finditer(text, left.start(), at.start()))
+        names = _DOT.split(left.group())
+        while len(names) > 1 and any(n.lower() in ARTICLES for n in names[:-1]):
+            names, dots = names[1:], dots[1:]
+        sure = at.group() == "@" or any(m["label"].lower() in ENDINGS for m in labels[1:])
+        if len(labels) < 2 or (words and any(m["label"].lower() in (ARTICLES if sure else PROSE) for m in labels[:-1])):
+            continue
+        if at.group() != "@":
+            name = names[-1].lower()
+            if words or dots:
+                fits = sure or bool(dots) or name not in NOT_NAMES
+            else:
+                host = labels[-2]["label"].lower() in HOSTS and name not in NOT_NAMES
+                fits = (host or bool(_SIGNED.fullmatch(name))) and text[labels[-1].end() : labels[-1].end() + 1] not in ("/", "(", "_", "@")
+            if not fits:
+                continue
+        out += [(d.start(), d.end(), ".") for d in dots]
+        if at.group() != "@":
+            out.append((at.start(), at.end(), "@"))
+        out += [(m.start("word"), m.end("word"), ".") for m in words]
+        free = labels[-1].end()
+    return out
+
+
 def normalised(text: str) -> Tape | None:
     """The text without its disguises; None where there is nothing to rewrite."""
     strange = _STRANGE.search(text)
@@ -122,13 +199,10 @@ def normalised(text: str) -> Tape | None:
     tape = Tape(text)
     if strange:
         tape.rewrite([(m.start(), m.end(), new) for m in _STRANGE.finditer(text) if (new := fold(m.group())) != m.group()])
-    tape.rewrite([(m.start(), m.end(), spelled(m.group())) for m in _SPELLED.finditer(tape.text)])
+    tape.rewrite(spelled_runs(tape.text))
     sign = {"at": "@", "dot": "."}
     tape.rewrite([(m.start(), m.end(), sign[m.group(1).lower()]) for m in _BRACKETED.finditer(tape.text)])
-    words = []
-    for m in _WORDED.finditer(tape.text):
-        words += [(w.start(), w.end(), sign[w.group(1).lower()]) for w in _WORDS.finditer(tape.text, m.start("at"), m.end())]
-    tape.rewrite(words)
+    tape.rewrite(worded(tape.text))
     return tape if tape.text != text else None
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -399,6 +400,42 @@ def test_pii_disguises_next_to_base_matches():
     assert pii.all_spans("to john@example.com, jоe")[1] == [("email", 3, 19)]
 
 
+@pytest.mark.parametrize(
+    "text, found",
+    [
+        ("to jo.doe at example.com, now", "email:jo.doe at example.com"),
+        ("to jo at gmail.com, now", "email:jo at gmail.com"),
+        ("to jo at example dot dev, now", "email:jo at example dot dev"),
+        ("to jo at example dot ai now", "email:jo at example dot ai"),
+        ("to jo at example dot mx.", "email:jo at example dot mx"),
+        ("to jo at mail.example dot com", "email:jo at mail.example dot com"),
+        ("to jo at example dot co dot za, now", "email:jo at example dot co dot za"),
+        ("to jo dot doe at example dot com", "email:jo dot doe at example dot com"),
+        ("to jo dot doe@example dot museum", "email:jo dot doe@example dot museum"),
+        ("call +1 five five 5 1 two three 4 5 6 7 now", "phone:+1 five five 5 1 two three 4 5 6 7"),
+        ("call +one (555) one two 3-4567", "phone:+one (555) one two 3-4567"),
+        ("card 4111 1111 1111 111 one", "card:4111 1111 1111 111 one"),
+        ("at 10.0.0.seven!", "ip:10.0.0.seven"),
+        ("look at example.com and at v1.2 of it", ""),
+        ("look at the dot com boom, at each dot product, at polka dot dresses", ""),
+        ("we met at 5.30 at St.Louis, one of 12 people at Foo.bar(), Bar.err at com.foo.Main(x)", ""),
+        ("issues with mail at gmail.com or sign in at outlook.com/inbox", ""),
+        ("in 2010 one of 5 two-room flats, 3 one-way streets", ""),
+    ],
+)
+def test_pii_worded(text, found):
+    base, spans = pii.all_spans(text)
+    assert [f"{k}:{text[a:b]}" for k, a, b in spans if (k, a, b) not in base] == ([found] if found else []), spans
+    assert set(base) <= set(spans)
+
+
+def test_pii_worded_takes_linear_time():
+    for piece in ("a dot ", "x at ", "x at dot ", "one 1 ", "five ", "a@b dot ", "x at a.b ", "1 (", "a.", "\u0430"):
+        start = time.perf_counter()
+        pii.all_spans(piece * 40_000)
+        assert time.perf_counter() - start < 8, piece
+
+
 def test_bpe(docs, empty):
     from tokenizers import Tokenizer
 
