@@ -81,6 +81,13 @@ def p4_p6_fallback_and_lookup(spark, sf_dir):
     return pedestals.look_up(counts, pedestals.fallback(spark).filter("channel % 3 = 0"), []).select("channel", "mean", "rms", "rms_gate", "n")
 
 
+@query(BASE + "select feu, channel, 256.0 as mean, 1.0 as rms, 1.0 as rms_gate, count(*) as n from samples group by all")
+def p4_p6_all_units(spark, sf_dir):
+    """All samples of all units against the whole fallback."""
+    counts = A.samples(spark, sf_dir).groupBy("feu", "channel").agg(F.count("*").alias("n"))
+    return pedestals.look_up(counts, pedestals.fallback(spark), []).select("feu", "channel", "mean", "rms", "rms_gate", "n")
+
+
 @query("select l_suppkey % 8 as feu, l_partkey % 512 as channel, cast(sum(cast(l_quantity as bigint)) as double) / count(*) as mean, 2.5 as rms, 2.5 as rms_gate from lineitem group by all")
 def p5_flat_sigma(spark, sf_dir):
     return pedestals.pedestals(A.large_samples(spark, sf_dir), ["feu"], ["entry"], flat_sigma=2.5)
@@ -251,6 +258,14 @@ def q3_hits_per_event(spark, sf_dir):
     return qa.histogram(qa.hits_per_event(A.hits(spark, sf_dir).filter("amplitude % 3 = 0"), ["event"]), "n_hits", 40)
 
 
+@query("""with per as (select user_id as event, count(*) as k from events group by 1), ends as (select min(cast(k as double)) as lo, max(cast(k as double)) as hi from per)
+select cast(least(floor((k - lo) * 40 / (hi - lo)), 39) as bigint) as bin, count(*) as n from per, ends group by 1""")
+def q3_hits_per_user(spark, sf_dir):
+    """All rows, with the user as the event."""
+    rows = A.read(spark, sf_dir, "events").select(F.col("user_id").alias("event"))
+    return qa.histogram(qa.hits_per_event(rows, ["event"]), "n_hits", 40)
+
+
 @query(HITS + "select distinct event from hits where amplitude >= 5000")
 def q4_strong_events(spark, sf_dir):
     return qa.strong_events(A.hits(spark, sf_dir), ["event"], 5000)
