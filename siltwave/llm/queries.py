@@ -70,10 +70,9 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path("word_bpe_49k.json")
-    out = bpe.decode_documents(bpe.encode_documents(documents(spark, sf_dir), path), path)
+    out = bpe.round_trip(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
     n = F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens")
-    return out.select("doc_id", n, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return out.select("doc_id", n, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), F.sha2("readable", 256).alias("readable_sha256"))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
