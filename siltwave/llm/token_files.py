@@ -8,8 +8,6 @@ alone, without the rest of the file.
 from __future__ import annotations
 
 import functools
-import os
-import re
 import zlib
 
 import numpy as np
@@ -19,91 +17,46 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ._common import pieces, texts
-from .bpe import byte_alphabet, word_cuts
+from .bpe import Remembered, WordEncoder, byte_alphabet, join_cuts
 
 FILE_SCHEMA = "part int, doc_id long, local_start long, n_tokens long, ids array<int>"
 
 
 class LibraryCuts:
-    """The library's ids of texts, by their cuts, which no token crosses.
+    """The library's ids of texts, by their cuts, which no token crosses; the packed ids of cuts are remembered.
 
     A new cut of plain small letters, digits and signs is split into pre-tokens here, and the library's model alone
-    encodes them. Other new cuts go to the library together. Where each is one word of letters, the tokens that end a word mark the borders
-    between them; others get a lone control sign between them, whose one id marks the border. Their packed ids are
-    remembered; when the memo is full, its older half goes.
+    encodes them. Other new cuts go to the whole library, one by one.
     """
 
-    BORDER = "\x01"
-    #: Pre-tokens that lower case and NFC leave alone, next to any neighbour; an apostrophe can begin a suffix, so it isn't here.
-    SMALL = "[a-zà-öø-ÿ]+|[0-9]|[!-&(-/:-@[-`{-~]+"
-    is_small, split = re.compile(f"(?:{SMALL})+").fullmatch, re.compile(SMALL).findall
-
-    def __init__(self, path: str, most: int = 250_000):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.lib, self.known, self.older, self.most = Tokenizer.from_file(path), {}, {}, most
+        self.lib = Tokenizer.from_file(path)
         self.model, self.chars = self.lib.model, dict(enumerate(byte_alphabet()))
-        self.plain = lambda text: np.asarray(self.lib.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-        (self.border,) = self.plain(self.BORDER).tolist()
-        vocab = self.lib.get_vocab(with_added_tokens=True)
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)
-        self.ends[[i for s, i in vocab.items() if s.endswith("</w>")]] = True
-
-    def learn(self, new: list[bytes]) -> None:
-        rest = self.learn_small(new)
-        own = [x.decode("utf-8") for x in rest]
-        word = [x.isalpha() for x in own]
-        alone = []
-        for some in ([k for k, w in enumerate(word) if w], [k for k, w in enumerate(word) if not w and self.BORDER not in own[k]]):
-            letters = bool(some) and word[some[0]]
-            for i in range(0, len(some), 20_000):
-                part = some[i : i + 20_000]
-                ids = self.plain(" ".join([own[k] for k in part]) if letters else f" {self.BORDER} ".join([own[k] for k in part] + [""]))
-                stops = np.flatnonzero(self.ends[ids]) + 1 if letters else np.flatnonzero(ids == self.border)
-                if len(stops) != len(part):  # letters that the library doesn't know as such, or a cut with the border's id
-                    alone += part
-                    continue
-                packed, at = ids.tobytes(), 0
-                for k, stop in zip(part, (stops * 4).tolist()):
-                    self.known[rest[k]] = packed[at:stop]
-                    at = stop if letters else stop + 4
-        alone += [k for k, x in enumerate(own) if self.BORDER in x]
-        for k in alone:
-            self.known[rest[k]] = self.plain(own[k]).tobytes()
-
-    def learn_small(self, new: list[bytes]) -> list[bytes]:
-        """Learn the cuts of plain small letters, digits and signs; give back the others."""
-        tokenize, chars, is_small = self.model.tokenize, self.chars, self.is_small
-        done, rest, ids, stops = [], [], [], []
-        for raw in new:
+        self.memo = Remembered(self.learn)
+
+    def learn(self, cuts: list[bytes]) -> list[bytes]:
+        tokenize, chars, is_small, split = self.model.tokenize, self.chars, WordEncoder.is_small, WordEncoder.split
+        ids, stops = [], []
+        for raw in cuts:
             text = raw.decode("utf-8")
             if not is_small(text) or "<|" in text:
-                rest.append(raw)
-                continue
-            for part in (text,) if text.isalpha() else self.split(text):
-                symbols = part if part.isascii() else part.encode("utf-8").decode("latin-1").translate(chars)
-                ids += [t.id for t in tokenize(symbols)]
-            done.append(raw)
+                ids += self.lib.encode(text, add_special_tokens=False).ids
+            else:
+                for part in (text,) if text.isalpha() else split(text):
+                    symbols = part if part.isascii() else part.encode("utf-8").decode("latin-1").translate(chars)
+                    ids += [t.id for t in tokenize(symbols)]
             stops.append(4 * len(ids))
-        packed, at = np.asarray(ids, "<u4").tobytes(), 0
-        for raw, stop in zip(done, stops):
-            self.known[raw] = packed[at:stop]
+        packed, at, out = np.asarray(ids, "<u4").tobytes(), 0, []
+        for stop in stops:
+            out.append(packed[at:stop])
             at = stop
-        return rest
-
-    def packed(self, texts: list[str]) -> list[bytes]:
-        cuts = [word_cuts(x) for x in texts]
-        if len(self.known) > self.most // 2:
-            self.known, self.older = {}, self.known
-        new: set[bytes] = set()
-        for x in cuts:
-            new.update(x)
-        new.difference_update(self.known)
-        again = new.intersection(self.older)
-        self.known.update((x, self.older[x]) for x in again)
-        self.learn(list(new - again))
-        return [b"".join(map(self.known.__getitem__, x)) for x in cuts]
+        return out
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and where each text's ids end."""
+        return join_cuts(texts, self.memo)
 
 
 @functools.lru_cache(maxsize=2)
@@ -129,11 +82,11 @@ def write_token_files(
         from pyspark import TaskContext
 
         part, at = TaskContext.get().partitionId(), 0
-        cuts, end = library_cuts(tokenizer), np.asarray([end_id], "<u4").tobytes()
-        for b in pieces(batches):
-            packed = [x + end for x in cuts.packed(texts(b))]
-            n = np.fromiter((len(x) // 4 for x in packed), np.int64, len(packed))
-            flat = np.frombuffer(b"".join(packed), "<i4")
+        cuts = library_cuts(tokenizer)
+        for b in pieces(batches, 4 << 20):
+            ids, ends = cuts.encode(texts(b))
+            n = np.diff(ends, prepend=0) + 1
+            flat = np.insert(ids, ends, end_id).view("<i4")
             stops = np.concatenate([[0], np.cumsum(n)])
             lists = pa.ListArray.from_arrays(pa.array(stops.astype(np.int32)), pa.array(flat))
             yield pa.RecordBatch.from_arrays(
