@@ -17,7 +17,9 @@ case when n_words > 0 then n_repeat_words * 1000000 // n_words else 0 end as v_r
 case when n_words > 0 then word_chars * 1000 // n_words else 0 end as v_long_words"""
 
 _MEASURES = ("symbols", "dup_lines", "repeats", "long_words")
-_WIDE = ", ".join(f"max(lim) filter (measure = '{m}') as {m}" for m in _MEASURES)
+_EVENTS = {"symbols": "floor(16000000.0 / s_chars)", "dup_lines": "floor(2000000.0 / (s_words::double * 1000 / s_line_words + 4))", "repeats": "floor(64000000.0 / s_words)", "long_words": "0"}
+_READ = ", ".join([f"max({c}) filter (measure = '{m}') as {c}_{m}" for m in _MEASURES for c in ("hi", "mid")] + [f"max(mid) filter (measure = '{m}') as s_{m}" for m in ("chars", "words", "line_words")])
+_WIDE = ", ".join(f"(hi_{m} + greatest((hi_{m} - mid_{m}) * 8, {_EVENTS[m]}))::bigint as {m}" for m in _MEASURES)
 _LIMITS = ",\n".join(
     f"case when o.texts >= 100 then o.{m} when o.texts is not null and l.texts >= 100 then l.{m} when o.texts is not null then e.{m} end as limit_{m}"
     for m in _MEASURES
@@ -36,15 +38,15 @@ length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g'))::bigint as n_
 (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines, coalesce(n_repeat_words, 0)::bigint as n_repeat_words
 from split s left join repeated r on r.doc_id = s.doc_id),
 rated as (select *, n_words < 20 or n_repeat_words * 100 > n_words * 30 as base_failed, {_RATES} from counted),
-measured as (select lang, source, unnest(['symbols', 'dup_lines', 'repeats', 'long_words']) as measure, unnest([v_symbols, v_dup_lines, v_repeats, v_long_words]) as v from rated where not base_failed),
+measured as (select lang, source, unnest(['symbols', 'dup_lines', 'repeats', 'long_words', 'chars', 'words', 'line_words']) as measure, unnest([v_symbols, v_dup_lines, v_repeats, v_long_words, word_chars, n_words, n_words * 1000 // greatest(n_lines, 1)]) as v from rated where not base_failed),
 sketch as (select lang, source, measure, {_BUCKET} as bucket, count(*) as n from measured group by all),
 levels as (select 'own' as level, lang, source, measure, bucket, n from sketch union all select 'lang', lang, null, measure, bucket, n from sketch union all select 'all', null, null, measure, bucket, n from sketch),
 merged as (select level, lang, source, measure, bucket, sum(n) as n from levels group by all),
 ranked as (select *, sum(n) over (partition by level, lang, source, measure order by bucket) as upto, sum(n) over (partition by level, lang, source, measure) as total from merged),
 quantiles as (select level, lang, source, measure, max(total) as texts, min(bucket) filter (upto * 100 >= total * 50) as q50, min(bucket) filter (upto * 100 >= total * 90) as q90 from ranked group by all),
 tops as (select *, {_top("q90")} as hi, {_top("q50")} as mid from quantiles),
-limited as (select *, greatest(hi + (hi - mid) * 8, case measure when 'symbols' then 20000 when 'dup_lines' then 200000 when 'repeats' then 250000 else 0 end)::bigint as lim from tops),
-wide as (select level, lang, source, max(texts) as texts, {_WIDE} from limited group by all),
+read as (select level, lang, source, max(texts) as texts, {_READ} from tops group by all),
+wide as (select level, lang, source, texts, {_WIDE} from read),
 joined as (select r.*, {_LIMITS} from rated r
 left join wide o on o.level = 'own' and o.lang is not distinct from r.lang and o.source is not distinct from r.source
 left join wide l on l.level = 'lang' and l.lang is not distinct from r.lang left join wide e on e.level = 'all')

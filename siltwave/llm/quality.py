@@ -3,6 +3,10 @@
 Each measure of a text goes into a quantile sketch for its language and source: counts of log-linear buckets, 32 to an
 octave, so a quantile is exact to about 3 %. Sketches merge by adding counts, in any order with the same result. The
 thresholds read from them replace fixed cutoffs and are joined back to the documents.
+
+A limit lies above the 90 % quantile by a multiple of its distance from the median. Where nearly all texts of a group
+measure 0 the spread is 0 as well; there it is what a few events make in a text of the group's median size, which is
+read from a sketch too. So no limit is a constant.
 """
 
 from __future__ import annotations
@@ -15,6 +19,10 @@ from ._common import materialise
 
 SPACE = "[\\x20\\x09-\\x0D]+"
 MEASURES = ("symbols", "dup_lines", "repeats", "long_words")
+#: The size that each measure is a share of, and how many events in a text of median size are allowed above the quantile:
+#: signs, repeated lines, words in repeated stretches (four pairs of eight). Lines are the median words over the median
+#: words of a line, since a median of small whole numbers would hardly differ between groups.
+SLACK = {"symbols": ("chars", 16), "dup_lines": ("lines", 2), "repeats": ("words", 64)}
 
 
 def let(value: Column, use) -> Column:
@@ -87,28 +95,37 @@ def bucket_top(b: Column) -> Column:
 
 
 def sketches(measured: DataFrame) -> DataFrame:
-    """``lang, source, measure, bucket, n``: the mergeable sketches, from texts that pass the base rules."""
-    pairs = [F.struct(F.lit(k).alias("measure"), bucket_of(v).alias("bucket")) for k, v in rates().items()]
+    """``lang, source, measure, bucket, n``: the mergeable sketches of measures and sizes, from texts that pass the base rules."""
+    sizes = {"chars": F.col("word_chars"), "words": F.col("n_words"), "line_words": F.expr("(n_words * 1000) div greatest(n_lines, 1)")}
+    pairs = [F.struct(F.lit(k).alias("measure"), bucket_of(v).alias("bucket")) for k, v in (rates() | sizes).items()]
     rows = measured.filter("not base_failed").select("lang", "source", F.explode(F.array(*pairs)).alias("m"))
     return rows.groupBy("lang", "source", "m.measure", "m.bucket").agg(F.count("*").alias("n"))
 
 
-def thresholds(sketch: DataFrame, keys: list[str], spread: int = 8, floors: dict[str, int] | None = None) -> DataFrame:
+def thresholds(sketch: DataFrame, keys: list[str], spread: int = 8, slack: dict[str, tuple[str, int]] | None = None) -> DataFrame:
     """One row for each ``keys``: the number of texts and an upper limit for each measure.
 
-    The limit is the 90 % quantile plus ``spread`` times its distance from the median. Where nearly all texts of a group
-    measure alike that says nothing, so a limit is never below its floor.
+    The limit is the 90 % quantile and, above it, the larger of ``spread`` times its distance from the median and what
+    the measure's ``slack`` of events makes in a text of median size.
     """
-    floors = {"symbols": 20_000, "dup_lines": 200_000, "repeats": 250_000, "long_words": 0} | (floors or {})
     merged = sketch.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
     by = W.partitionBy(*keys, "measure")
     ranked = merged.select("*", F.sum("n").over(by.orderBy("bucket")).alias("upto"), F.sum("n").over(by).alias("total"))
     least = {q: F.min(F.when(F.col("upto") * 100 >= F.col("total") * q, F.col("bucket"))).alias(f"q{q}") for q in (50, 90)}
     read = ranked.groupBy(*keys, "measure").agg(F.max("total").alias("texts"), *least.values())
-    hi, mid = bucket_top(F.col("q90")), bucket_top(F.col("q50"))
-    limit = F.greatest(hi + (hi - mid) * spread, F.element_at(F.create_map(*[F.lit(x) for kv in floors.items() for x in kv]), F.col("measure")).cast("long"))
-    wide = read.withColumn("limit", limit).groupBy(*keys).agg(F.max("texts").alias("texts"), *[F.max(F.when(F.col("measure") == m, F.col("limit"))).alias(f"max_{m}") for m in MEASURES])
-    return wide
+    read = read.select(*keys, "measure", "texts", bucket_top(F.col("q90")).alias("hi"), bucket_top(F.col("q50")).alias("mid"))
+    slack = SLACK | (slack or {})
+
+    def of(measure: str, what: str) -> Column:
+        return F.max(F.when(F.col("measure") == measure, F.col(what)))
+
+    def limit(m: str) -> Column:
+        size = lambda k: F.greatest(of(k, "mid"), F.lit(1)).cast("double")
+        sizes = {"chars": size("chars"), "words": size("words"), "lines": size("words") * 1000 / size("line_words") + 4}
+        events = F.floor(F.lit(slack[m][1] * 1_000_000).cast("double") / sizes[slack[m][0]]) if m in slack else F.lit(0)
+        return (of(m, "hi") + F.greatest((of(m, "hi") - of(m, "mid")) * spread, events)).cast("long")
+
+    return read.groupBy(*keys).agg(F.max("texts").alias("texts"), *[limit(m).alias(f"max_{m}") for m in MEASURES])
 
 
 def quality_rules(docs: DataFrame, least_texts: int = 100, spread: int = 8, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
