@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ._common import pieces, texts
 
 #: Fixed values of the container format: boxes that hold boxes, and the bytes before the first of those.
-NESTED = {b"moov": 0, b"trak": 0, b"mdia": 0, b"minf": 0, b"stbl": 0, b"edts": 0, b"dinf": 8, b"udta": 0}
+NESTED = {b"moov": 0, b"trak": 0, b"mdia": 0, b"minf": 0, b"stbl": 0, b"edts": 0, b"dinf": 8, b"udta": 0, b"mvex": 0, b"moof": 0, b"traf": 0}
 UNIT, KEY_EVERY, CHUNK, RATE = 64, 16, 32, 8000
 
 
@@ -73,10 +73,13 @@ def wrap(payload: bytes) -> bytes:
     return kind + movie(start) + box(b"mdat", payload)
 
 
-def walk(data: memoryview, start: int, end: int, path: tuple[bytes, ...] = ()):
-    """Every box between two offsets, outer ones first: its path, and where its body begins and ends."""
-    at = start
-    while at + 8 <= end:
+def walk(data: memoryview):
+    """Every box, outer ones first: its path, and where its body begins and ends. No depth is too deep."""
+    todo: list[tuple[int, int, tuple[bytes, ...]]] = [(0, len(data), ())]
+    while todo:
+        at, end, path = todo.pop()
+        if at + 8 > end:
+            continue
         size, kind = struct.unpack_from(">I4s", data, at)
         head = 8
         if size == 1 and at + 16 <= end:
@@ -85,60 +88,156 @@ def walk(data: memoryview, start: int, end: int, path: tuple[bytes, ...] = ()):
             size = end - at
         if size < head or at + size > end:
             raise ValueError("a box ends outside its parent")
-        here = (*path, kind)
-        yield here, at + head, at + size
+        yield (*path[-3:], kind), at + head, at + size  # the last names of the path are enough to tell boxes apart
+        todo.append((at + size, end, path))
         if kind in NESTED:
-            yield from walk(data, at + head + NESTED[kind], at + size, here)
-        at += size
+            todo.append((at + head + NESTED[kind], at + size, (*path[-3:], kind)))
 
 
-def numbers(data: memoryview, at: int, n: int, kind: str = ">u4") -> np.ndarray:
+def numbers(data: memoryview, at: int, n: int, end: int, kind: str = ">u4") -> np.ndarray:
+    if at + n * np.dtype(kind).itemsize > end:
+        raise ValueError("a table is longer than its box")
     return np.frombuffer(data, kind, n, at).astype(np.int64)
 
 
+def sample_sizes(data: memoryview, kind: bytes, at: int, end: int) -> np.ndarray:
+    """The sizes of ``stsz`` (one for all, or a table) or ``stz2`` (4, 8 or 16 bits each)."""
+    one, count = struct.unpack_from(">II", data, at + 4)
+    if kind == b"stz2":
+        bits = one & 255
+        if bits not in (4, 8, 16):
+            raise ValueError("a compact size of other than 4, 8 or 16 bits")
+        if bits == 4:
+            packed = numbers(data, at + 12, -(-count // 2), end, ">u1")
+            return np.stack([packed >> 4, packed & 15], 1).ravel()[:count]
+        return numbers(data, at + 12, count, end, f">u{bits // 8}")
+    if not one:
+        return numbers(data, at + 12, count, end)
+    if one * count > len(data):
+        raise ValueError("more sample bytes than the file has")
+    return np.full(count, one, np.int64)
+
+
+def run_of_samples(data: memoryview, at: int, end: int, base: int, defaults: dict) -> dict:
+    """The samples of one ``trun`` box, and where the next run begins."""
+    flags, n = struct.unpack_from(">II", data, at)
+    flags, at = flags & 0xFFFFFF, at + 8
+    if flags & 1:
+        base += struct.unpack_from(">i", data, at)[0] - defaults["moved"]
+        at += 4
+    first = None
+    if flags & 4:
+        first, at = struct.unpack_from(">I", data, at)[0], at + 4
+    fields = [f for f in (0x100, 0x200, 0x400, 0x800) if flags & f]
+    if not fields and defaults["size"] * n > len(data) or not fields and not defaults["size"] and n > len(data):
+        raise ValueError("more sample bytes than the file has")
+    rows = numbers(data, at, n * len(fields), end).reshape(n, len(fields))
+
+    def field(f: int, other: int) -> np.ndarray:
+        return rows[:, fields.index(f)] if f in fields else np.full(n, other, np.int64)
+
+    times, sizes, marks = field(0x100, defaults["time"]), field(0x200, defaults["size"]), field(0x400, defaults["flags"])
+    if first is not None and n:
+        marks = np.concatenate([[first], marks[1:]])
+    stops = base + np.cumsum(sizes)
+    return {"sizes": sizes, "offsets": stops - sizes, "keys": (marks & 0x10000) == 0, "time": int(times.sum()), "next": int(stops[-1]) if n else base}
+
+
+def fragment_defaults(data: memoryview, at: int, moof: int, general: dict[int, tuple]) -> tuple[int, int, dict]:
+    """Track number, base offset and defaults of one ``tfhd`` box."""
+    flags, track = struct.unpack_from(">II", data, at)
+    at += 8
+    base = moof
+    if flags & 1:
+        base, at = struct.unpack_from(">Q", data, at)[0], at + 8
+    at += 4 if flags & 2 else 0
+    values = list(general.get(track, (0, 0, 0)))
+    for k, f in enumerate((8, 16, 32)):
+        if flags & f:
+            values[k], at = struct.unpack_from(">I", data, at)[0], at + 4
+    return track, base, dict(zip(("time", "size", "flags"), values), moved=0)
+
+
 def tracks(data: memoryview) -> list[dict]:
-    """Codec, time scale, duration and the offset, size and key flag of each sample, for each track."""
+    """Codec, time scale, duration and the offset, size and key flag of each sample, for each track.
+
+    Sample tables come first; samples of movie fragments follow in the order of the file.
+    """
     found: list[dict] = []
-    for path, at, _ in walk(data, 0, len(data)):
+    general: dict[int, tuple] = {}
+    runs: dict[int, list[dict]] = {}
+    moof, now, base, defaults = 0, None, 0, {}
+    for path, at, end in walk(data):
         kind = path[-1]
-        if kind == b"trak":
+        if kind == b"moof":
+            moof, now = at - 8, None
+        elif kind == b"trex":
+            track, _, *values = struct.unpack_from(">5I", data, at + 4)
+            general[track] = tuple(values)
+        elif kind == b"tfhd":
+            now, base, defaults = fragment_defaults(data, at, moof, general)
+        elif kind == b"trun" and now is not None:
+            got = run_of_samples(data, at, end, base, defaults)
+            runs.setdefault(now, []).append(got)
+            defaults["moved"] += got["next"] - base  # without an offset of its own a run follows the one before
+            base = got["next"]
+        elif kind == b"trak":
             found.append({})
-        elif not found or b"trak" not in path:
+        if not found or path[-2:-1] not in ((b"trak",), (b"mdia",), (b"minf",), (b"stbl",)):
             continue
         t = found[-1]
         n = struct.unpack_from(">I", data, at + 4)[0] if kind in (b"stts", b"stss", b"stsc", b"stco", b"co64") else 0
-        if kind == b"mdhd":
+        if kind == b"tkhd":
+            t["number"] = struct.unpack_from(">I", data, at + (20 if data[at] == 1 else 12))[0]
+        elif kind == b"mdhd":
             long = data[at] == 1
             t["scale"], t["length"] = struct.unpack_from(">IQ" if long else ">II", data, at + (20 if long else 12))
         elif kind == b"hdlr":
             t["kind"] = bytes(data[at + 8 : at + 12]).decode("latin-1")
         elif kind == b"stsd":
-            t["codec"] = bytes(data[at + 12 : at + 16]).decode("latin-1")
+            t["codec"] = bytes(data[at + 12 : min(at + 16, end)]).decode("latin-1") or None
         elif kind == b"stts":
-            pairs = numbers(data, at + 8, 2 * n).reshape(-1, 2)
-            t["time"] = int((pairs[:, 0] * pairs[:, 1]).sum())
+            pairs = numbers(data, at + 8, 2 * n, end).reshape(-1, 2)
+            t["time"] = sum(a * b for a, b in pairs.tolist())
         elif kind == b"stss":
-            t["keys"] = numbers(data, at + 8, n) - 1
+            t["keys"] = numbers(data, at + 8, n, end) - 1
         elif kind == b"stsc":
-            t["runs"] = numbers(data, at + 8, 3 * n).reshape(-1, 3)
-        elif kind == b"stsz":
-            one, count = struct.unpack_from(">II", data, at + 4)
-            t["sizes"] = np.full(count, one, np.int64) if one else numbers(data, at + 12, count)
+            t["runs"] = numbers(data, at + 8, 3 * n, end).reshape(-1, 3)
+        elif kind in (b"stsz", b"stz2"):
+            t["sizes"] = sample_sizes(data, kind, at, end)
         elif kind in (b"stco", b"co64"):
-            t["chunks"] = numbers(data, at + 8, n, ">u4" if kind == b"stco" else ">u8")
+            t["chunks"] = numbers(data, at + 8, n, end, ">u4" if kind == b"stco" else ">u8")
     for t in found:
-        sizes, chunks, runs = t.get("sizes", np.zeros(0, np.int64)), t.get("chunks", np.zeros(0, np.int64)), t.get("runs")
-        if runs is None or not len(runs) or not len(chunks):
-            t["sizes"] = t["offsets"] = np.zeros(0, np.int64)
-            continue
-        spans = np.diff(np.append(runs[:, 0], len(chunks) + 1))
-        in_chunk = np.repeat(np.arange(len(chunks)), np.repeat(runs[:, 1], spans))[: len(sizes)]
-        before = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        first = np.searchsorted(in_chunk, np.arange(len(chunks)))
-        t["offsets"] = chunks[in_chunk] + before - before[np.minimum(first, len(before) - 1)][in_chunk]
+        place(t, runs.get(t.get("number"), []), len(data))
     return found
 
 
+def place(t: dict, fragments: list[dict], length: int) -> None:
+    """The offsets of a track's samples from its tables, then those of its fragments; none may lie outside the file."""
+    none = np.zeros(0, np.int64)
+    sizes, chunks, runs = t.get("sizes", none), t.get("chunks", none), t.get("runs", none.reshape(0, 3))
+    spans = np.diff(np.append(runs[:, 0], len(chunks) + 1))
+    if len(runs) and (runs[0, 0] != 1 or (spans < 1).any()):
+        raise ValueError("chunk runs out of order")
+    upto = np.cumsum(np.minimum(np.repeat(runs[:, 1], spans), len(sizes)))
+    if len(sizes) > (upto[-1] if len(upto) else 0):
+        raise ValueError("samples without a place")
+    in_chunk = np.searchsorted(upto, np.arange(len(sizes)), side="right")
+    before = np.cumsum(sizes) - sizes
+    first = np.concatenate([[0], upto])[in_chunk]
+    offsets = chunks[in_chunk] + before - before[first] if len(sizes) else none
+    keys = t.get("keys", np.arange(len(sizes)))
+    if len(keys) and (keys.min() < 0 or keys.max() >= len(sizes)):
+        raise ValueError("a key frame that is no sample")
+    for f in fragments:
+        keys = np.concatenate([keys, len(sizes) + np.flatnonzero(f["keys"])])
+        sizes, offsets = np.concatenate([sizes, f["sizes"]]), np.concatenate([offsets, f["offsets"]])
+        t["time"] = t.get("time", 0) + f["time"]
+    if len(sizes) and (offsets.min() < 0 or (offsets > length - sizes).any()):
+        raise ValueError("a sample outside the file")
+    t.update(sizes=sizes, offsets=offsets, keys=keys)
+
+
 def described(data: bytes) -> dict:
     """One container's features; ``error`` says what is wrong with bytes that are none."""
     try:
@@ -146,11 +245,13 @@ def described(data: bytes) -> dict:
         if not got:
             raise ValueError("no track")
         t = got[0]
-        keys = t.get("keys", np.arange(len(t["sizes"])))
-        starts = t["offsets"][keys]
-        ranges = ",".join(f"{a}-{b}" for a, b in zip(starts.tolist(), (starts + t["sizes"][keys]).tolist()))
-        return {"codec": t.get("codec"), "duration_ms": 1000 * t.get("time", 0) // max(1, t.get("scale", 1)), "n_samples": len(t["sizes"]), "key_ranges": ranges, "track": t, "error": None}
-    except (ValueError, IndexError, struct.error) as e:
+        duration = 1000 * t.get("time", 0) // max(1, t.get("scale", 1))
+        if duration >= 1 << 63:
+            raise ValueError("a duration beyond 63 bits")
+        starts = t["offsets"][t["keys"]]
+        ranges = ",".join(f"{a}-{b}" for a, b in zip(starts.tolist(), (starts + t["sizes"][t["keys"]]).tolist()))
+        return {"codec": t.get("codec"), "duration_ms": duration, "n_samples": len(t["sizes"]), "key_ranges": ranges, "track": t, "error": None}
+    except (ValueError, IndexError, OverflowError, struct.error) as e:
         return {"codec": None, "duration_ms": None, "n_samples": 0, "key_ranges": "", "track": None, "error": str(e)}
 
 
@@ -165,7 +266,11 @@ def payload(data: bytes, track: dict | None) -> bytes:
 
 
 def store(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_bytes, media``: each whole text, zero-filled to a multiple of 64 bytes, in a container."""
+    """``doc_id, n_bytes, media``: each whole text, zero-filled to a multiple of 64 bytes, in a container.
+
+    A null or empty text has 0 bytes and 64 zeros in its container; a null id stays null; repeated rows give repeated
+    rows and equal texts equal containers; other columns, whatever their names, aren't read. A long text is one piece.
+    """
 
     def run(batches):
         for b in pieces(batches, 4 << 20):
@@ -182,21 +287,25 @@ def inspect(media: DataFrame, media_col: str = "media", with_payload: bool = Fal
 
     ``with_payload`` adds payload_bytes, payload_sha256 and tail_crc32 (last 64 bytes) of the samples as stored, and
     media_bytes and media_sha256 of the container. A null or broken container has null codec and an error, and no
-    samples. New columns take the place of columns of the same name.
+    samples; so has one whose tables don't fit their boxes or place a sample outside the file. New columns take the
+    place of columns of the same name; other columns may have any name. Repeated rows give repeated rows.
     """
     new = "codec string, duration_ms long, n_samples long, key_ranges string, error string"
     if with_payload:
         new += ", payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string"
     names = [x.split(" ")[0] for x in new.split(", ")]
     kept = [c for c in media.columns if c not in names and c != media_col]
-    chosen = media.select(*kept, F.col(media_col).alias("media_value"))
+    held = "media"
+    while held in kept:
+        held += "_"
+    chosen = media.select(*[F.col(f"`{c}`") for c in kept], F.col(media_col).alias(held))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1]] + [new])
 
     def run(batches):
-        for b in pieces(batches, 8 << 20, "media_value"):
+        for b in pieces(batches, 8 << 20, held):
             rows: dict[str, list] = {n: [] for n in names}
             for i in range(b.num_rows):
-                data = b.column("media_value")[i].as_py() or b""
+                data = b.column(held)[i].as_py() or b""
                 got = described(data)
                 if with_payload:
                     own = payload(data, got["track"])
