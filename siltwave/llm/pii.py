@@ -14,6 +14,7 @@ import unicodedata
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +33,19 @@ LOOK_ALIKES = dict(zip("аеорсухіјѕԁһАВЕКМНОРСТХІЈЅαο
 #: Characters that take no room on the page.
 INVISIBLE = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
 DIGITS = {w: str(i) for i, w in enumerate("zero one two three four five six seven eight nine".split())}
+#: The digits in German, French and Spanish, zero first; read only three or more in a row, all in one language.
+OTHER_DIGITS = (
+    "null eins zwei drei vier fünf sechs sieben acht neun",
+    "zéro un deux trois quatre cinq six sept huit neuf",
+    "cero uno dos tres cuatro cinco seis siete ocho nueve",
+)
+#: Number words above nine, as the parts of an IP address may be spelled.
+TEENS = {w: 10 + i for i, w in enumerate("ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split())}
+TENS = {w: 10 * i for i, w in enumerate("twenty thirty forty fifty sixty seventy eighty ninety".split(), 2)}
+#: Fixed values: "at" and "dot" as other languages say them.
+OTHER_AT, OTHER_DOT = "arobase|arroba|klammeraffe|ät", "punkt|point|punto"
+#: Words before a plain name that make "name at host.example" read as an address.
+CUES = frozenset("email e-mail mail contact write reach to address from".split())
 
 #: Endings that make bare words with "at" and "dot" read as an address whatever stands before.
 ENDINGS = frozenset("com org net edu gov info biz io co uk de fr es it nl eu us ca au ch at be pl se no jp cn in br ru".split())
@@ -50,12 +64,24 @@ HOSTS = frozenset("gmail googlemail yahoo hotmail outlook icloud aol gmx proton
 NOT_NAMES = PROSE | frozenset("me us him it mail mails email emails look looks looking available contact reach account accounts address sign log here there down issues support work working works team".split())
 
 _STRANGE = re.compile("[\u00ad\u0180-\u200f\u202a-\u20ab\u20ad-\U0010ffff]")
+_EVERY_DIGIT = "|".join([*DIGITS, *OTHER_DIGITS]).replace(" ", "|")
+_NUMBER = "|".join([*DIGITS, *TEENS, *TENS, "hundred", "and"])
 _DIGIT = "(?:" + "|".join(DIGITS) + ")"
 _SPELLED = re.compile(rf"(?i)\b{_DIGIT}(?:[ \t,-]{{1,3}}{_DIGIT}\b)*+(?![A-Za-z0-9_])")
 _ONE = re.compile(rf"(?i){_DIGIT}")
 _GAP = r"(?:[ \t-]{1,3}|[.]|[ \t]?[()][ \t]?)"
 _DIGIT_BEFORE, _DIGIT_AFTER = re.compile(rf"[0-9]{_GAP}\Z"), re.compile(rf"{_GAP}[0-9]")
-_BRACKETED = re.compile(r"(?i)[ \t]*[\[({<][ \t]*(at|dot)[ \t]*[\])}>][ \t]*")
+_BRACKETED = re.compile(rf"(?i)[ \t]*[\[({{<][ \t]*(?:(?P<at>at|@|{OTHER_AT})|dot|[.]|{OTHER_DOT})[ \t]*[\])}}>][ \t]*")
+_OTHERS = [(re.compile(rf"(?i)\b(?:{w})(?:[ \t,-]{{1,3}}(?:{w})\b){{2,}}(?![\w])"), re.compile(rf"(?i){w}"), {x: str(i) for i, x in enumerate(w.split("|"))}) for w in (x.replace(" ", "|") for x in OTHER_DIGITS)]
+_PLUS = re.compile(rf"(?i)\bplus[ \t]+(?=[0-9]|(?:{_EVERY_DIGIT})\b)")
+_PART = rf"(?:[0-9]{{1,3}}|(?:{_NUMBER})(?:[ \t-](?:{_NUMBER}))*)"
+_WORDED_IP = re.compile(rf"(?i)(?<![\w.]){_PART}(?:[ \t]+(?:dot|{OTHER_DOT})[ \t]+{_PART}){{3}}(?![\w])")
+_ANY_DOT = re.compile(rf"(?i)[ \t]+(?:dot|{OTHER_DOT})[ \t]+")
+_NAME = r"[A-Za-z0-9._%+-]++"
+_FOREIGN = re.compile(
+    rf"(?i)(?<![A-Za-z0-9._%+-]){_NAME}(?:[ \t]+(?:dot|{OTHER_DOT})[ \t]+{_NAME})*(?P<at>[ \t]+(?:at|{OTHER_AT})[ \t]+)[A-Za-z0-9-]++(?:(?:\.|[ \t]+(?:dot|{OTHER_DOT})[ \t]+)[A-Za-z0-9-]++)*"
+    rf"(?:\.|[ \t]+(?:dot|{OTHER_DOT})[ \t]+)(?P<last>[A-Za-z]{{2,}})\b"
+)
 _AT = re.compile(r"(?i)(?<=[A-Za-z0-9_%+-])[ \t]{1,9}at[ \t]{1,9}(?=[A-Za-z0-9])|@")
 _LEFT = re.compile(r"(?i)(?<![A-Za-z0-9._%+-])(?:[A-Za-z0-9._%+-]++[ \t]{1,9}dot[ \t]{1,9})*[A-Za-z0-9._%+-]++\Z")
 _RIGHT = re.compile(r"(?i)[A-Za-z0-9-]++(?:(?:\.|[ \t]{1,9}dot[ \t]{1,9})[A-Za-z0-9-]++)+")
@@ -63,9 +89,10 @@ _DOT = re.compile(r"(?i)[ \t]+dot[ \t]+")
 _LABEL = re.compile(r"(?i)(?:(?P<word>[ \t]+dot[ \t]+)|\.)?(?P<label>[A-Za-z0-9-]+)")
 _ENDING = re.compile(r"[A-Za-z]{2,}")
 _SIGNED = re.compile(r"[A-Za-z][A-Za-z0-9]*(?:[._+%][A-Za-z0-9]+){1,2}|[A-Za-z]{3,}[0-9]+")
-_HINT = re.compile(
-    r"(?i)\b(?:dot|at)[ \t]*[\])}>]|[ \t]dot[ \t]|[ \t]at[ \t]+[a-z0-9-]++\.[a-z0-9]"
-    rf"|\b{_DIGIT}[ \t,-]{{1,3}}{_DIGIT}[ \t,-]{{1,3}}{_DIGIT}\b|\b{_DIGIT}{_GAP}[0-9]|[0-9]{_GAP}{_DIGIT}\b"
+#: What a text with a disguise holds; plain enough to be looked for in a whole batch of texts at once.
+_HINT = (
+    rf"\b(?:dot|at|{OTHER_DOT})[ \t]*[\])}}>]|[\[({{<][ \t]*[.@][ \t]*[\])}}>]|\b(?:{OTHER_AT})\b|[ \t](?:dot|{OTHER_DOT})[ \t]|\bplus[ \t]|[ \t]at[ \t]+[a-z0-9-]+[.][a-z0-9]"
+    rf"|\b(?:{_EVERY_DIGIT})[ \t,-]{{1,3}}(?:{_EVERY_DIGIT})[ \t,-]|\b{_DIGIT}{_GAP}[0-9]|[0-9]{_GAP}{_DIGIT}\b"
 )
 
 
@@ -150,6 +177,41 @@ def spelled_runs(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def other_runs(text: str) -> list[tuple[int, int, str]]:
+    """Changes that give digits spelled in another language as digits."""
+    out = [(m.start(), m.end(), "".join(values[x.lower()] for x in one.findall(m.group()))) for run, one, values in _OTHERS for m in run.finditer(text)]
+    out.sort()
+    return [c for k, c in enumerate(out) if not k or c[0] >= out[k - 1][1]]
+
+
+def part_of_ip(words: str) -> str:
+    """One part of a spelled IP address: digits one by one, or a number up to 999 in words."""
+    own = [w for w in re.split("[ \t-]+", words.lower()) if w != "and"]
+    if words.isdigit():
+        return words
+    if len(own) > 1 and all(w in DIGITS for w in own):
+        return "".join(DIGITS[w] for w in own)
+    total = 0
+    for w in own:
+        total = max(1, total) * 100 if w == "hundred" else total + (int(DIGITS[w]) if w in DIGITS else TEENS.get(w) or TENS[w])
+    return str(total)
+
+
+def worded_ips(text: str) -> list[tuple[int, int, str]]:
+    return [(m.start(), m.end(), ".".join(map(part_of_ip, _ANY_DOT.split(m.group())))) for m in _WORDED_IP.finditer(text)]
+
+
+def foreign(text: str) -> list[tuple[int, int, str]]:
+    """Changes in addresses whose "at" or "dot" is said in another language; a plain "at" needs a known ending."""
+    out = []
+    for m in _FOREIGN.finditer(text):
+        strange = m["at"].strip().lower() != "at"
+        dots = [d for d in _ANY_DOT.finditer(text, m.start(), m.end())]
+        if strange or (m["last"].lower() in ENDINGS and any(d.group().strip().lower() != "dot" for d in dots)):
+            out += sorted([(d.start(), d.end(), ".") for d in dots] + [(m.start("at"), m.end("at"), "@")])
+    return out
+
+
 def worded(text: str) -> list[tuple[int, int, str]]:
     """Changes that give the words "at" and "dot" as signs where they stand inside what reads as an address."""
     out, free = [], 0
@@ -180,7 +242,9 @@ def worded(text: str) -> list[tuple[int, int, str]]:
                 fits = sure or bool(dots) or name not in NOT_NAMES
             else:
                 host = labels[-2]["label"].lower() in HOSTS and name not in NOT_NAMES
-                fits = (host or bool(_SIGNED.fullmatch(name))) and text[labels[-1].end() : labels[-1].end() + 1] not in ("/", "(", "_", "@")
+                before = text[max(0, left.start() - 40) : left.start()].rsplit("\n", 1)[-1].split()
+                cued = name not in NOT_NAMES and name.isalpha() and last_known(labels) and (bool(before) and before[-1].lower().rstrip(":") in CUES or text.strip() == text[left.start() : labels[-1].end()])
+                fits = (host or cued or bool(_SIGNED.fullmatch(name))) and text[labels[-1].end() : labels[-1].end() + 1] not in ("/", "(", "_", "@")
             if not fits:
                 continue
         out += [(d.start(), d.end(), ".") for d in dots]
@@ -191,25 +255,37 @@ def worded(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
-def normalised(text: str) -> Tape | None:
+def last_known(labels: list) -> bool:
+    return labels[-1]["label"].lower() in ENDINGS
+
+
+def hinted(texts: list[str]) -> list[bool]:
+    """Which texts may hold words or signs to rewrite, once look-alike letters are folded."""
+    return pc.match_substring_regex(pa.array(texts, pa.string()), _HINT, ignore_case=True).to_pylist()
+
+
+def normalised(text: str, hint: bool) -> Tape | None:
     """The text without its disguises; None where there is nothing to rewrite."""
     strange = _STRANGE.search(text)
-    if not strange and not _HINT.search(text):
+    if not strange and not hint:
         return None
     tape = Tape(text)
     if strange:
         tape.rewrite([(m.start(), m.end(), new) for m in _STRANGE.finditer(text) if (new := fold(m.group())) != m.group()])
+    tape.rewrite([(m.start(), m.end(), "@" if m["at"] else ".") for m in _BRACKETED.finditer(tape.text)])
+    tape.rewrite(worded_ips(tape.text))
+    tape.rewrite([(m.start(), m.end(), "+") for m in _PLUS.finditer(tape.text)])
+    tape.rewrite(other_runs(tape.text))
     tape.rewrite(spelled_runs(tape.text))
-    sign = {"at": "@", "dot": "."}
-    tape.rewrite([(m.start(), m.end(), sign[m.group(1).lower()]) for m in _BRACKETED.finditer(tape.text)])
+    tape.rewrite(foreign(tape.text))
     tape.rewrite(worded(tape.text))
     return tape if tape.text != text else None
 
 
-def all_spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
+def all_spans(text: str, hint: bool | None = None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """The spans of the text as it stands, and all spans: those and the new ones behind disguises."""
     base = plain_spans(text)
-    tape = normalised(text)
+    tape = normalised(text, hinted([text])[0] if hint is None else hint)
     if tape is None:
         return base, base
     more = []
@@ -241,7 +317,8 @@ def find_pii(docs: DataFrame, mask: bool = False, id_col: str = "doc_id", text_c
 
     def run(batches):
         for b in pieces(batches):
-            found = [all_spans(x) for x in texts(b)]
+            own = texts(b)
+            found = list(map(all_spans, own, hinted(own)))
             lists = [pa.array([[dict(zip(("kind", "start", "end"), s)) for s in f[k]] for f in found], kind) for k in (0, 1)]
             columns, names = [b.column("doc_id"), *lists], ["doc_id", "base", "spans"]
             if mask:
@@ -254,12 +331,16 @@ def find_pii(docs: DataFrame, mask: bool = False, id_col: str = "doc_id", text_c
 
 
 def mask_column(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows, all other columns as they are, with the spans of their text masked; null stays null."""
+    """The rows, all other columns as they are, whatever their names, with the spans of their text masked.
+
+    Null stays null and an empty text empty; repeated rows repeat; of an empty table nothing comes.
+    """
 
     def run(batches):
         for b in pieces(batches, name=text_col):
             k = b.schema.get_field_index(text_col)
-            new = [x if not x else masked(x, all_spans(x)[1]) for x in b.column(k).to_pylist()]
+            own = b.column(k).to_pylist()
+            new = [x if not x else masked(x, all_spans(x, h)[1]) for x, h in zip(own, hinted([x or "" for x in own]))]
             yield b.set_column(k, b.schema.field(k), pa.array(new, b.schema.field(k).type))
 
     return docs.mapInArrow(run, docs.schema)
