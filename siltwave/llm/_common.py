@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
-import time
 import uuid
 
 import pyarrow as pa
@@ -12,32 +10,40 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in ``spark.checkpoint.dir``; a fresh one where it is unset, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.conf.get("spark.siltwave.scratch", None)
+    """A folder of this session in the one that the cluster names in ``spark.checkpoint.dir``.
+
+    Where that is unset, as in tests, a fresh local one; on a cluster executors would write where nobody reads.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.siltwave.scratch", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="spark-siltwave-")
         spark.conf.set("spark.siltwave.scratch", base)
-    return base.rstrip("/")
+    return f"{base.rstrip('/')}/siltwave-{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what the session's jobs have written; tables and DataFrames that read it are of no use afterwards."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialise(df: DataFrame, release: bool = False) -> DataFrame:
+def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: what follows survives lost executors.
 
-    ``release`` then asks the driver to collect its garbage, upon which Spark's cleaner drops the shuffle files that no
-    plan needs any more; worth a second after a shuffle of the input's own size.
+    The shuffle files of the write are dropped as soon as it ends.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/siltwave-{uuid.uuid4().hex}"
-    schema = df.schema
-    df.write.parquet(path)
-    del df
-    for _ in range(3 * release):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.4)
-    return spark.read.schema(schema).parquet(path)
+    path = f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:

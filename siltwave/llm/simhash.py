@@ -15,7 +15,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._common import materialise, pieces, texts
@@ -41,16 +41,20 @@ def fingerprint(text: str, size: int = 3, seed: int = 42) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp`` (a signed long) for every whole text; null or wordless texts have fp 0."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_key: Column | None = None) -> DataFrame:
+    """``doc_id, fp`` (a signed long) for every whole text; null or wordless texts have fp 0.
+
+    ``row_key``, a long, is carried along under that name. Repeated rows repeat; other columns aren't read.
+    """
 
     def run(batches):
         for b in pieces(batches):
             fp = np.array([fingerprint(x) for x in texts(b)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(fp)], [*b.schema.names[1:], "fp"])
 
-    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return picked.mapInArrow(run, "doc_id long, fp long")
+    key = [] if row_key is None else [row_key.cast("long").alias("row_key")]
+    picked = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("long").alias("doc_id"), *key)
+    return picked.mapInArrow(run, "doc_id long, " + "row_key long, " * len(key) + "fp long")
 
 
 def ring_keys(nodes: DataFrame, fp: str = "fp") -> DataFrame:
@@ -107,7 +111,8 @@ def forest(place: int, fps: np.ndarray, most: int = 3) -> list[tuple[int, int]]:
 def links(nodes: DataFrame, most: int = 3, block: int = 4096) -> DataFrame:
     """``a, b``: enough links between distinct fingerprints to join every pair within ``most`` bits into one component.
 
-    ``nodes`` has ``node`` (long) and ``fp``, one row for each distinct fingerprint.
+    ``nodes`` has ``node`` (long) and ``fp``, one row for each distinct fingerprint; neither is null. Fingerprints of one
+    bucket are dealt into blocks, so a bucket of any size fits. No nodes give no links.
     """
     if most >= SEGMENTS:
         raise ValueError("the keys hold for up to 3 differing bits")
@@ -140,11 +145,12 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """``node, component``: the smallest node reachable from each node that has an edge.
 
     Alternating large-star and small-star steps; each step is a grouped minimum, so a node with a great many
-    neighbours is reduced map-side. Every second step is written to the shared folder, which cuts the lineage.
+    neighbours is reduced map-side. Every second step is written to the shared folder, which cuts the lineage. Repeated
+    edges and edges from a node to itself change nothing; no edges give no rows.
     """
     lo, hi = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     now = materialise(edges.select(lo, hi).filter("a <> b").distinct())
-    seen = None
+    before = None
     for _ in range(rounds):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
@@ -153,25 +159,25 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         small = large.groupBy("b").agg(F.min("a").alias("m"))
         star = large.join(small, "b").select(F.col("m").alias("a"), F.when(F.col("a") == F.col("m"), F.col("b")).otherwise(F.col("a")).alias("b"))
         now = materialise(star.filter("a <> b").distinct())
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003)).first()
-        if state == seen:
+        if before is not None and before.count() == now.count() and not before.exceptAll(now).take(1):
             break
-        seen = state
+        before = now
     else:
         raise RuntimeError("components did not settle")
     return now.groupBy("b").agg(F.min("a").alias("component")).withColumnRenamed("b", "node")
 
 
-def near_duplicates(docs: DataFrame, most: int = 3, block: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fingerprint, component_id`` for every document.
+def near_duplicates(docs: DataFrame, most: int = 3, block: int = 4096, id_col: str = "doc_id", text_col: str = "text", row_key: Column | None = None) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` for every document, and ``row_key`` where one is given.
 
     Links join fingerprints at ``most`` or fewer differing bits; ``component_id`` is the smallest doc_id reachable.
     Null, empty and wordless texts have fingerprint 0 and link like any other. A null doc_id takes part under no name:
-    its row is returned with the component of its fingerprint, null where only null ids share it. Repeated rows repeat.
+    its row is returned with the component of its fingerprint, null where only null ids share it. Repeated rows repeat;
+    texts with one id share a component where that id is the smallest of both. Other columns may have any name.
     """
-    own = materialise(fingerprints(docs, id_col, text_col))
+    own = materialise(fingerprints(docs, id_col, text_col, row_key))
     nodes = materialise(own.groupBy("fp").agg(F.min("doc_id").alias("node")).filter("node is not null"))
     found = components(links(nodes, most, block))
     known = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
-    return own.join(known, "fp", "left").select("doc_id", hexed, "component_id")
+    return own.join(known, "fp", "left").select("doc_id", hexed, "component_id", *(["row_key"] if row_key is not None else []))

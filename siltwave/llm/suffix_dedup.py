@@ -194,7 +194,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 20, id_col: st
     """
     half, side = (length - gram) // 2, length - gram
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    first = materialise(scan(own, length, gram).repartition("h").sortWithinPartitions("h", "c", "doc").mapInArrow(decide, "doc long, pos long, covered boolean"), release=True)
+    first = materialise(scan(own, length, gram).repartition("h").sortWithinPartitions("h", "c", "doc").mapInArrow(decide, "doc long, pos long, covered boolean"))
 
     def renamed(batches):
         for b in pieces(batches):
@@ -230,10 +230,10 @@ def remove_repeats(docs: DataFrame, length: int = 50, gram: int = 20, id_col: st
     by_key = W.partitionBy("key")
     shared = again.withColumn("lo", F.min("doc").over(by_key)).withColumn("hi", F.max("doc").over(by_key)).filter("lo < hi")
     # what came before, the texts' own shuffle included, is done with once this is written
-    shared = materialise(shared.select("doc", "pos", "ctx"), release=True)
+    shared = materialise(shared.select("doc", "pos", "ctx"))
     named = shared.mapInArrow(windows, "name long, doc long, pos long")
     later = named.withColumn("lo", F.min("doc").over(W.partitionBy("name"))).filter("doc > lo").select("doc", "pos")
-    later = materialise(later.distinct(), release=True)
+    later = materialise(later.distinct())
 
     spans = by_document(first.filter("covered").select("doc", "pos").unionByName(later.select("doc", (-1 - F.col("pos")).alias("pos"))))
 
