@@ -21,22 +21,28 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the nearest centroid accepts."""
+    """Documents whose language the nearest centroid accepts; null texts and texts without a letter have none and go."""
     model = langid.fit(docs)
     return langid.keep_accepted(docs, model).select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates, once; rows without an id stay."""
-    groups = simhash.near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.filter("doc_id is not null").join(groups, "doc_id", "left_semi")
-    one = F.row_number().over(W.partitionBy("doc_id").orderBy("text", "lang", "source", "n_chars"))
+    """The document with the smallest id of each group of near-duplicates, once; rows without an id stay.
+
+    Rows of one id with different texts are documents of their own: each stays unless its fingerprint is that of another
+    row of the id, or its group has a smaller id.
+    """
+    key = F.xxhash64("text", "lang", "source", "n_chars")
+    near = simhash.near_duplicates(docs, row_key=key).filter("doc_id = component_id")
+    groups = near.groupBy("doc_id", "fingerprint").agg(F.min("row_key").alias("row_key")).select("doc_id", "row_key")
+    named = docs.filter("doc_id is not null").withColumn("row_key", key).join(groups, ["doc_id", "row_key"], "left_semi")
+    one = F.row_number().over(W.partitionBy("doc_id", "row_key").orderBy("text", "lang", "source", "n_chars"))
     named = named.select(*COLUMNS, one.alias("copy")).filter("copy = 1")
     return named.select(*COLUMNS).unionByName(docs.filter("doc_id is null").select(*COLUMNS))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with the kind of each identifier in its place."""
+    """Texts with the kind of each identifier in its place; null and empty texts stay as they are, repeated rows repeat."""
     return pii.mask_column(docs).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
@@ -49,7 +55,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, n_tokens, ids`` with the ids as packed little-endian 32-bit numbers."""
+    """``doc_id, n_tokens, ids`` with the ids as packed little-endian 32-bit numbers; null and empty texts have none."""
     out = bpe.encode_documents(docs, WORD_BPE)
     return out.select("doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids")
 
