@@ -62,21 +62,33 @@ def peaking_times(lines: DataFrame) -> DataFrame:
 
 
 def gate_widths(units: DataFrame, peaking: DataFrame, tps: Column) -> DataFrame:
-    """``units`` with ``width``: from the unit's own peaking time or that of ``*``."""
+    """``units`` with ``width``: from the unit's own peaking time or that of ``*``; null without either."""
     own = peaking.filter("feu_key <> '*'").select(F.col("feu_key").cast("int").alias("feu"), F.col("ns").alias("own_ns"))
     every = peaking.filter("feu_key = '*'").select(F.col("ns").alias("any_ns"))
     out = units.join(own, "feu", "left").join(every, F.lit(True), "left")
-    return out.withColumn("width", F.greatest(F.lit(3), F.bround(1.7 * F.coalesce("own_ns", "any_ns") / tps).cast("int"))).drop("own_ns", "any_ns")
+    ns = F.coalesce("own_ns", "any_ns")
+    return out.withColumn("width", F.when(ns.isNotNull(), F.greatest(F.lit(3), F.bround(1.7 * ns / tps).cast("int")))).drop("own_ns", "any_ns")
 
 
 def zs_baseline(zero_suppress: Column, pedestal_subtraction: Column) -> Column:
     return F.coalesce(zero_suppress & pedestal_subtraction, F.lit(False))
 
 
-def choose_config(files: DataFrame, keys: list[str]) -> DataFrame:
-    """One configuration copy for each run: a data run's first, then by name."""
+def choose_config(files: DataFrame, keys: list[str], runs: DataFrame | None = None, templates: DataFrame | None = None) -> DataFrame:
+    """One configuration for each run: a copy beside the data, a data run's first, then by name; else the template.
+
+    ``runs`` has ``keys`` and the template's path as the run names it; it is looked for in ``templates`` (``path, rank``:
+    the place of its folder in the search), as it is first, then by base name.
+    """
     rank = F.row_number().over(W.partitionBy(*keys).orderBy(F.col("path").contains("datrun").cast("int").desc(), "path"))
-    return files.filter(F.col("path").endswith(".cfg_cpy")).withColumn("rank", rank).filter("rank = 1").drop("rank")
+    copies = files.filter(F.col("path").endswith(".cfg_cpy")).withColumn("rank", rank).filter("rank = 1").select(*keys, "path")
+    if runs is None:
+        return copies
+    wanted = runs.filter("daq_config_template_path <> ''").select(*keys, F.col("daq_config_template_path").alias("wanted"))
+    base = lambda c: F.substring_index(c, "/", -1)
+    found = wanted.join(templates.select(F.col("path").alias("template"), F.col("rank").alias("place")), base(F.col("wanted")) == base(F.col("template")))
+    best = found.groupBy(*keys).agg(F.min_by("template", F.struct((F.col("wanted") != F.col("template")).cast("int"), "place", "template")).alias("template"))
+    return copies.join(best, keys, "full").select(*keys, F.coalesce("path", "template").alias("path"))
 
 
 def only_runs(files: DataFrame, part: str) -> DataFrame:
@@ -88,18 +100,27 @@ def pending(tasks: DataFrame, ledger: DataFrame, key: str = "key") -> DataFrame:
     return tasks.join(ledger.filter("status = 'ok'").select(key), key, "left_anti")
 
 
+def undecoded_pedestals(files: DataFrame, made: str = ".root") -> DataFrame:
+    """Pedestal frame files that have no product of their name beside them yet."""
+    own = files.filter(F.col("path").contains("_pedthr_") & F.col("path").endswith(".fdf"))
+    there = files.filter(F.col("path").endswith(made)).select(F.col("path").alias("product")).distinct()
+    return own.join(there, F.regexp_replace("path", r"\.fdf$", made) == F.col("product"), "left_anti")
+
+
 def ledger_summary(ledger: DataFrame) -> DataFrame:
     """Count and seconds by stage (the key up to its colon) and status."""
     return ledger.groupBy(F.split_part("key", F.lit(":"), F.lit(1)).alias("stage"), "status").agg(F.count("*").alias("n"), F.sum(F.coalesce("secs", F.lit(0.0))).alias("secs"))
 
 
-def first_failures(ledger: DataFrame, k: int = 40) -> DataFrame:
-    return ledger.filter("status = 'failed'").orderBy("key").limit(k)
+def first_failures(ledger: DataFrame, k: int = 40, order: str | None = None) -> DataFrame:
+    """The first failed tasks in the order of the ledger (``order``, a line number), or by key."""
+    return ledger.filter("status = 'failed'").orderBy(order or "key").limit(k)
 
 
 def validated(products: DataFrame, least: int = 10_240) -> DataFrame:
-    """``status`` and ``reason`` from return code and size."""
-    reason = F.when(F.col("rc") != 0, F.concat(F.lit("rc="), F.col("rc").cast("string"))).when(F.col("bytes").isNull() | (F.col("bytes") < least), "output missing or too small")
+    """``status`` and ``reason`` from return code and size; a missing product has size 0."""
+    size = F.coalesce("bytes", F.lit(0).cast("long"))
+    reason = F.when(F.col("rc") != 0, "nonzero exit").when(size < least, F.concat(F.lit("output "), size.cast("string"), F.lit(" bytes")))
     return products.withColumn("reason", reason).withColumn("status", F.when(F.col("reason").isNull(), "ok").otherwise("failed"))
 
 

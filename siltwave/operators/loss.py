@@ -6,55 +6,87 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+SAMPLE_IDS = 1024  # greater ids are counted nowhere
+
 
 def assemble(frames: DataFrame, file: list[str]) -> DataFrame:
     """``frames`` with ``entry`` and ``reason``: how the entry that a frame belongs to was closed.
 
     An entry ends with a frame that has the end marker (0), before a frame of another event id (1), or with the file
-    (2). Frames without data before a change of id give no event and are dropped. ``frames`` has ``frame_idx,
-    event_id, eoe, n_data``.
+    (2); the latter two only where it has data. So frames without data run on into the next entry, and those at the end
+    of a file belong to none: their entry and reason are null. ``frames`` has ``frame_idx, event_id, eoe, n_data``. The
+    decode job does the same as it reads a file; this form is for frames that come as a table.
     """
     order = W.partitionBy(*file).orderBy("frame_idx")
     new = F.lag("eoe", 1, True).over(order) | (F.lag("event_id").over(order) != F.col("event_id"))
     marked = frames.withColumn("group", F.sum(F.coalesce(new, F.lit(True)).cast("int")).over(order))
-    own = W.partitionBy(*file, "group")
-    marked = marked.withColumns({"ended": F.max(F.col("eoe").cast("int")).over(own), "data": F.sum("n_data").over(own), "last": F.max("group").over(W.partitionBy(*file))})
-    kept = marked.filter((F.col("ended") == 1) | (F.col("data") > 0))
-    reason = F.when(F.col("ended") == 1, 0).when(F.col("group") < F.col("last"), 1).otherwise(2)
-    kept = kept.withColumn("reason", reason.cast("long"))
-    return kept.withColumn("entry", F.dense_rank().over(W.partitionBy(*file).orderBy("group")).cast("long") - 1).drop("group", "ended", "data", "last")
+    groups = marked.groupBy(*file, "group").agg(F.bool_or("eoe").alias("ended"), (F.sum("n_data") > 0).alias("data"))
+    by_group = W.partitionBy(*file).orderBy("group")
+    closes = F.when(F.col("ended"), 0).when(F.col("data") & F.lead("group").over(by_group).isNotNull(), 1).when(F.col("data"), 2)
+    before = by_group.rowsBetween(W.unboundedPreceding, -1)
+    own = groups.withColumn("closes", closes.cast("long"))
+    own = own.withColumns({
+        "reason": F.first("closes", ignorenulls=True).over(by_group.rowsBetween(W.currentRow, W.unboundedFollowing)),
+        "entry": F.coalesce(F.count("closes").over(before), F.lit(0)),
+    })
+    own = own.select(*file, "group", F.when(F.col("reason").isNotNull(), F.col("entry")).alias("entry"), "reason")
+    return marked.join(own, [*file, "group"]).drop("group")
+
+
+def entries(assembled: DataFrame, file: list[str]) -> DataFrame:
+    """One row for each entry, and one with a null entry for the frames that belong to none.
+
+    ``reason, event_id`` (of the last frame), ``n_frames``, the distinct sample ids ``seen``, ``any_zs`` and ``any_raw``.
+    """
+    return assembled.groupBy(*file, "entry").agg(
+        F.max("reason").alias("reason"), F.max_by("event_id", "frame_idx").alias("event_id"), F.count("*").alias("n_frames"),
+        F.collect_set(F.when(F.col("sample_id") < SAMPLE_IDS, F.col("sample_id"))).alias("seen"), F.bool_or("zs").alias("any_zs"), F.bool_or(~F.col("zs")).alias("any_raw"),
+    )
 
 
 def event_headers(assembled: DataFrame, file: list[str], fields: list[str]) -> DataFrame:
     """The header of each entry's last frame."""
-    return assembled.groupBy(*file, "entry").agg(*[F.max_by(f, "frame_idx").alias(f) for f in fields], F.max("reason").alias("reason"))
+    own = assembled.filter("entry is not null")
+    return own.groupBy(*file, "entry").agg(*[F.max_by(f, "frame_idx").alias(f) for f in fields], F.max("reason").alias("reason"))
 
 
-def accounting(assembled: DataFrame, file: list[str]) -> DataFrame:
-    """One row for each file: events by reason, missing events, sample coverage and whether that counts as lossy."""
-    per = assembled.groupBy(*file, "entry").agg(
-        F.max("reason").alias("reason"), F.count_distinct(F.when(F.col("sample_id") < 1024, F.col("sample_id"))).alias("seen"),
-        F.max_by("event_id", "frame_idx").alias("event_id"), F.count("*").alias("frames"), F.max(F.when(F.col("sample_id") < 1024, F.col("sample_id"))).alias("top"),
-        F.bool_or("zs").alias("any_zs"), F.bool_or(~F.col("zs")).alias("any_raw"),
-    )
-    out = per.groupBy(*file).agg(
-        F.count("*").alias("events"), *[F.count_if(F.col("reason") == k).alias(n) for k, n in enumerate(("closed_eoe", "closed_eventid", "closed_eof"))],
-        F.sum("frames").alias("feu_frames"), F.min_by("event_id", "entry").alias("first_eventid"), F.max_by("event_id", "entry").alias("last_eventid"),
-        F.sum("seen").alias("sum_distinct"), (F.max("top") + 1).alias("samples_expected"), F.bool_or("any_zs").alias("zs"), F.bool_or("any_raw").alias("raw"),
+def accounting(found: DataFrame, file: list[str]) -> DataFrame:
+    """One row for each file from its ``entries``: the loss figures, and whether the file counts as mixed or lossy.
+
+    Frames that belong to no entry count as frames, and for the mode and the expected samples, but not as coverage.
+    """
+    there = F.col("entry").isNotNull()
+    one = lambda c: F.coalesce(c, F.lit(0).cast("long"))
+    out = found.groupBy(*file).agg(
+        F.count_if(there).alias("events"), *[F.count_if(F.col("reason") == k).alias(n) for k, n in enumerate(("closed_eoe", "closed_eventid", "closed_eof"))],
+        F.sum("n_frames").alias("feu_frames"), one(F.min_by("event_id", F.when(there, F.col("entry")))).alias("first_eventid"), one(F.max_by("event_id", F.when(there, F.col("entry")))).alias("last_eventid"),
+        one(F.sum(F.when(there, F.size("seen")).cast("long"))).alias("sum_distinct"), (F.coalesce(F.max(F.array_max("seen")), F.lit(0)) + 1).cast("int").alias("samples_expected"),
+        F.bool_or("any_zs").alias("zs"), F.bool_or("any_raw").alias("raw"),
     )
-    span = F.when(F.col("last_eventid") >= F.col("first_eventid"), F.col("last_eventid") - F.col("first_eventid") + 1).otherwise(F.col("events"))
+    span = F.when((F.col("events") > 0) & (F.col("last_eventid") >= F.col("first_eventid")), F.col("last_eventid") - F.col("first_eventid") + 1).otherwise(F.col("events"))
     out = out.withColumn("events_missing", F.greatest(F.lit(0), span - F.col("events")))
     whole = F.col("events") * F.col("samples_expected")
-    out = out.withColumns({"raw_mode": F.col("raw") & ~F.col("zs"), "mixed": F.col("raw") & F.col("zs"), "acceptance": F.when(whole > 0, F.col("sum_distinct") / whole).otherwise(1.0)})
-    return out.withColumn("lossy", (F.col("events_missing") > 0) | (F.col("raw_mode") & (1 - F.col("acceptance") > 0.001))).drop("zs", "raw")
+    dense = F.col("raw") & ~F.col("zs")
+    out = out.withColumns({"raw_mode": dense.cast("int"), "mixed": F.col("raw") & F.col("zs"), "sample_acceptance_mean": F.when(whole > 0, F.col("sum_distinct") / whole).otherwise(1.0)})
+    return out.withColumn("lossy", (F.col("events_missing") > 0) | (dense & (1 - F.col("sample_acceptance_mean") > 0.001))).drop("zs", "raw")
+
+
+#: The columns of the loss table that is written beside a file's events.
+STATS = ["events", "events_missing", "closed_eoe", "closed_eventid", "closed_eof", "feu_frames", "first_eventid", "last_eventid", "samples_expected", "raw_mode", "sample_acceptance_mean"]
+
+
+def decode_stats(found: DataFrame, file: list[str]) -> DataFrame:
+    return accounting(found, file).select(*file, *STATS)
 
 
-def sample_acceptance(assembled: DataFrame, file: list[str]) -> DataFrame:
-    """``file, sample, acceptance``: the share of events with each sample, all indices up to the greatest."""
-    events = assembled.groupBy(*file).agg(F.count_distinct("entry").alias("events"), F.max("sample_id").alias("top"))
-    every = events.select(*file, "events", F.explode(F.sequence(F.lit(0).cast("long"), F.col("top").cast("long"))).alias("sample"))
-    seen = assembled.select(*file, "entry", F.col("sample_id").cast("long").alias("sample")).distinct().groupBy(*file, "sample").agg(F.count("*").alias("k"))
-    return every.join(seen, [*file, "sample"], "left").select(*file, "sample", (F.coalesce("k", F.lit(0)) / F.col("events")).alias("acceptance"))
+def sample_acceptance(found: DataFrame, file: list[str]) -> DataFrame:
+    """``file, sample, acceptance``: the share of events with each sample, all indices up to the greatest of the file."""
+    there = F.col("entry").isNotNull()
+    files = found.groupBy(*file).agg(F.count_if(there).alias("events"), F.coalesce(F.max(F.array_max("seen")), F.lit(0)).alias("top"))
+    every = files.select(*file, "events", F.explode(F.sequence(F.lit(0).cast("long"), F.col("top").cast("long"))).alias("sample"))
+    seen = found.filter(there).select(*file, F.explode(F.col("seen").cast("array<bigint>")).alias("sample")).groupBy(*file, "sample").agg(F.count("*").alias("k"))
+    share = F.when(F.col("events") > 0, F.coalesce("k", F.lit(0)) / F.col("events")).otherwise(0.0)
+    return every.join(seen, [*file, "sample"], "left").select(*file, "sample", share.alias("acceptance"))
 
 
 def corrected_means(samples: DataFrame, acceptance: DataFrame, file: list[str]) -> DataFrame:

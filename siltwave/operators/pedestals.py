@@ -1,11 +1,18 @@
-"""Pedestals: mean and noise of each channel, by grouped statistics whose partial sums shrink before the shuffle."""
+"""Pedestals: mean and noise of each channel.
+
+``from_events`` works on event rows: a task adds up its events and gives one row for each unit and channel, so the
+shuffle moves a few hundred rows a task. The forms on exploded samples are for selections and for holding it to.
+"""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import waveform
+from ..params import Params
+from . import pulses, waveform
 
 
 def rms() -> Column:
@@ -41,6 +48,60 @@ def pedestals(samples: DataFrame, keys: list[str], event: list[str], width: int
     return out.withColumns({"rms": F.lit(flat_sigma), "rms_gate": F.lit(flat_sigma)}) if flat_sigma > 0 else out
 
 
+def from_events(events: DataFrame, keys: list[str], p: Params, settings: DataFrame | None = None, flat_sigma: float = 0.0, file_keys: list[str] | None = None) -> DataFrame:
+    """``pedestals`` from event rows, both noises in one pass over an event's matrix; ``settings`` as in ``find_hits``.
+
+    Common noise is always taken off, whatever the job does with its data. Sums are of doubles, exact for whole numbers.
+    """
+    arrays = ("channel", "sample", "amplitude")
+    rows = pulses.with_settings(events, settings, file_keys or keys).select(*keys, *[F.col(c).cast("array<int>").alias(c) for c in arrays], *pulses.SETTINGS)
+    sums = ("n", "total", "n_wf", "v", "vv", "g", "gg")
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(keys)]] + ["channel int"] + [f"{c} double" for c in sums])
+
+    def run(batches):
+        held: dict[tuple, np.ndarray] = {}
+        names: list = []
+        for b in batches:
+            names = [b.schema.field(c).type for c in keys]
+            lists = pulses.Lists(b, list(arrays))
+            units, plain = list(zip(*[b.column(c).to_pylist() for c in keys])), {c: b.column(c).to_pylist() for c in pulses.SETTINGS}
+            zero = np.zeros(p.channels)
+            for i in range(b.num_rows):
+                channel, sample, amplitude = (lists(c, i) for c in arrays)
+                most = max(p.channels, int(channel.max(initial=-1)) + 1)
+                own = held.get(units[i])
+                if own is None or own.shape[1] < most:
+                    grown = np.zeros((len(sums), most))
+                    if own is not None:
+                        grown[:, : own.shape[1]] = own
+                    own = held[units[i]] = grown
+                there = channel >= 0
+                own[0] += np.bincount(channel[there], minlength=own.shape[1])
+                own[1] += np.bincount(channel[there], amplitude[there], own.shape[1])
+                wf, length = pulses.dense(channel, sample, amplitude, zero, p)
+                if not wf.size:
+                    continue
+                pulses.common_noise(wf, length)
+                width = plain["gate_width"][i]
+                gate = pulses.smoothed(wf, length, p.gate_width(sample_ns=plain["sample_ns"][i]) if width is None else width)
+                if not (length == wf.shape[1]).all():
+                    inside = np.arange(wf.shape[1]) < length[:, None]
+                    wf, gate = np.where(inside, wf, 0.0), np.where(inside, gate, 0.0)
+                own[2:, : p.channels] += [length, wf.sum(1), (wf * wf).sum(1), gate.sum(1), (gate * gate).sum(1)]
+        for unit, own in held.items():
+            at = np.flatnonzero(own[0])
+            columns = [pa.array([x] * len(at), t) for x, t in zip(unit, names)] + [pa.array(at, pa.int32())] + [pa.array(own[k, at]) for k in range(len(sums))]
+            yield pa.RecordBatch.from_arrays(columns, [*keys, "channel", *sums])
+
+    n = F.sum("n_wf")
+
+    def spread(one: str, two: str) -> Column:
+        return F.coalesce(F.when(n > 0, F.sqrt(F.greatest(F.lit(0.0), F.sum(two) / n - (F.sum(one) / n) * (F.sum(one) / n)))), F.lit(0.0))
+
+    out = rows.mapInArrow(run, schema).groupBy(*keys, "channel").agg((F.sum("total") / F.sum("n")).alias("mean"), spread("v", "vv").alias("rms"), spread("g", "gg").alias("rms_gate"))
+    return out.withColumns({"rms": F.lit(flat_sigma), "rms_gate": F.lit(flat_sigma)}) if flat_sigma > 0 else out
+
+
 def fallback(spark: SparkSession, channels: int = 512, mean: float = 256.0) -> DataFrame:
     """What is used without a pedestal file."""
     return spark.range(channels).select(F.col("id").cast("int").alias("channel"), F.lit(mean).alias("mean"), F.lit(1.0).alias("rms"), F.lit(1.0).alias("rms_gate"))

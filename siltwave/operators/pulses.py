@@ -19,24 +19,37 @@ FLAGS = ["saturated", "trunc_left", "trunc_right"]
 
 def dense(channel, sample, amplitude, mean, p: Params):
     """Matrix of channels by samples, and each channel's length; holes are 0 after subtraction, the last value wins."""
-    ok = (channel >= 0) & (channel < p.channels) & (sample >= 0) & (sample < p.samples)
-    channel, sample, amplitude = channel[ok], sample[ok], amplitude[ok]
-    length = np.zeros(p.channels, np.int64)
-    np.maximum.at(length, channel, sample + 1)
-    wf = np.zeros((p.channels, int(length.max(initial=0))))
-    wf[channel, sample] = amplitude - mean[channel]
+    if len(channel) and not (channel.min() >= 0 and channel.max() < p.channels and sample.min() >= 0 and sample.max() < p.samples):
+        ok = (channel >= 0) & (channel < p.channels) & (sample >= 0) & (sample < p.samples)
+        channel, sample, amplitude = channel[ok], sample[ok], amplitude[ok]
+    n = int(sample.max(initial=-1)) + 1
+    wf, there = np.zeros((p.channels, n)), np.zeros((p.channels, n), bool)
+    place = channel.astype(np.int64) * n + sample
+    wf.ravel()[place] = amplitude - mean[channel]
+    there.ravel()[place] = True
+    length = np.where(there.any(1), n - there[:, ::-1].argmax(1), 0) if n else np.zeros(p.channels, np.int64)
     return wf, length
 
 
 def common_noise(wf: np.ndarray, length: np.ndarray, block: int = 64) -> None:
     """Subtract in place the upper-middle value of each block at each sample, over the channels that reach it."""
-    for at in range(0, len(wf), block):
-        own, n = wf[at : at + block], length[at : at + block]
-        there = np.arange(wf.shape[1]) < n[:, None]
-        count = there.sum(0)
-        ranked = np.sort(np.where(there, own, np.inf), axis=0)
-        middle = np.take_along_axis(ranked, np.minimum(count // 2, len(own) - 1)[None], 0)[0]
-        own -= np.where(there & (count > 0), np.where(np.isfinite(middle), middle, 0.0), 0.0)
+    n = wf.shape[1]
+    for size, first in {(block, 0), (len(wf) % block, len(wf) - len(wf) % block)}:
+        own = wf[first : first + len(wf) // block * block if size == block else len(wf)]
+        if not size or not own.size:
+            continue
+        own = own.reshape(-1, size, n)
+        reach = length[first : first + own.shape[0] * size].reshape(-1, size)
+        if (reach == n).all():
+            columns = np.ascontiguousarray(own.transpose(0, 2, 1))
+            columns.partition(size // 2, axis=2)
+            own -= columns[:, None, :, size // 2]
+            continue
+        there = np.arange(n) < reach[:, :, None]
+        count = there.sum(1)
+        ranked = np.sort(np.where(there, own, np.inf), axis=1)
+        middle = np.take_along_axis(ranked, np.minimum(count // 2, size - 1)[:, None], 1)
+        own -= np.where(there, middle, 0.0)
 
 
 def smoothed(wf: np.ndarray, length: np.ndarray, width: int) -> np.ndarray:
@@ -46,18 +59,22 @@ def smoothed(wf: np.ndarray, length: np.ndarray, width: int) -> np.ndarray:
     h, n = width // 2, wf.shape[1]
     sums = np.concatenate([np.zeros((len(wf), 1)), np.cumsum(wf, axis=1)], axis=1)
     i = np.arange(n)
+    if (length == n).all():
+        hi, lo = np.minimum(i + h + 1, n), np.maximum(i - h, 0)
+        return (sums[:, hi] - sums[:, lo]) / (hi - lo)
     hi = np.minimum(i[None] + h + 1, length[:, None])
     lo = np.minimum(np.maximum(i - h, 0)[None], hi)
     return (np.take_along_axis(sums, hi, 1) - np.take_along_axis(sums, lo, 1)) / np.maximum(1, hi - lo)
 
 
-def above(gate: np.ndarray, limit: float, gap: int) -> list[tuple[int, int]]:
-    """Runs above the limit as (first, last), those at most ``gap`` apart merged."""
-    at = np.flatnonzero(gate > limit)
+def above(mask: np.ndarray, gap: int) -> tuple[list, list, list]:
+    """Runs of true places as (row, first, last), those of one row at most ``gap`` apart merged."""
+    row, at = np.nonzero(mask)
     if not len(at):
-        return []
-    cut = np.flatnonzero(np.diff(at) - 1 > gap)
-    return list(zip(at[np.append(0, cut + 1)].tolist(), at[np.append(cut, len(at) - 1)].tolist()))
+        return [], [], []
+    cut = np.flatnonzero((row[1:] != row[:-1]) | (at[1:] - at[:-1] - 1 > gap))
+    first, last = np.append(0, cut + 1), np.append(cut, len(at) - 1)
+    return row[first].tolist(), at[first].tolist(), at[last].tolist()
 
 
 def split(gate: np.ndarray, first: int, last: int, depth: float, least: int) -> list[tuple[int, int]]:
@@ -65,9 +82,11 @@ def split(gate: np.ndarray, first: int, last: int, depth: float, least: int) ->
     todo, out = [(first, last)], []
     while todo:
         a, b = todo.pop()
-        v = gate[a : b + 1]
-        deep = np.minimum(np.maximum.accumulate(v), np.maximum.accumulate(v[::-1])[::-1]) - v
-        inner = deep[least : min(len(v) - least, len(v) - 2) + 1]
+        inner = ()
+        if b - a + 1 >= 2 * least:
+            v = gate[a : b + 1]
+            deep = np.minimum(np.maximum.accumulate(v), np.maximum.accumulate(v[::-1])[::-1]) - v
+            inner = deep[least : min(len(v) - least, len(v) - 2) + 1]
         if len(inner) and inner.max() >= depth and inner.max() > 0:
             cut = a + least + int(inner.argmax())
             todo += [(cut, b), (a, cut - 1)]
@@ -76,142 +95,210 @@ def split(gate: np.ndarray, first: int, last: int, depth: float, least: int) ->
     return out
 
 
-def line(wf: np.ndarray, a: int, b: int):
+def line(wf: list[float], a: int, b: int):
     """Slope and intercept of the least-squares line over samples a to b; None for fewer than two."""
-    return np.polyfit(np.arange(a, b + 1), wf[a : b + 1], 1) if b > a else None
+    n = b - a + 1
+    if n < 2:
+        return None
+    middle, mean = (a + b) / 2, sum(wf[a : b + 1]) / n
+    slope = sum((i - middle) * (wf[i] - mean) for i in range(a, b + 1)) / sum((i - middle) ** 2 for i in range(a, b + 1))
+    return slope, mean - slope * middle
 
 
-def pedestal_level(wf: np.ndarray, start: int, lo: int, p: Params) -> float:
+def pedestal_level(wf: list[float], start: int, lo: int, p: Params) -> float:
     stop = max(lo, start - p.baseline_guard)
     first = max(lo, stop - p.baseline_window)
     if stop == first:
         stop, first = start, max(lo, start - p.baseline_window)
     if stop > first:
-        return float(np.median(wf[first:stop]))
-    return float(wf[start]) if start > 0 else 0.0
+        own = sorted(wf[first:stop])
+        return (own[(len(own) - 1) // 2] + own[len(own) // 2]) / 2
+    return wf[start] if start > 0 else 0.0
 
 
-def pulses(wf: np.ndarray, gate: np.ndarray, rms: float, rms_gate: float, adc_max: float, filtered: bool, p: Params) -> list[dict]:
-    """The pulses of one waveform."""
-    n = len(wf)
-    if n < 3:
-        return []
-    limit = p.threshold * rms_gate
-    regions = [r for run in above(gate, limit, p.gap) for r in split(gate, *run, p.prominence * rms_gate, p.min_width)]
-    out = []
-    for k, (a, b) in enumerate(regions):
-        if b - a + 1 < p.min_width:
-            continue
-        lo = regions[k - 1][1] + 1 if k else 0
-        hi = regions[k + 1][0] - 1 if k + 1 < len(regions) else n - 1
-        own = wf[a : b + 1]
-        first = int(own.argmax())
-        flat = first
-        while flat + 1 < len(own) and own[flat + 1] == own[first]:
-            flat += 1
-        top = a + (first + flat) // 2 if first else a
-        base = pedestal_level(wf, a, lo, p)
-        height, place = wf[top] - base, float(top)
-        full = above(own, np.nextafter(p.saturation * adc_max, -np.inf), 0)
-        full = [r for r in full if r[1] - r[0] + 1 >= p.saturated_samples]
-        if full:
-            s, e = max(full, key=lambda r: r[1] - r[0])
-            s, e = a + s, a + e
-            left, right = line(wf, max(0, s - p.slope_samples), s), line(wf, e, min(n - 1, e + p.slope_samples))
-            if left is None or right is None or left[0] <= 0 or right[0] >= 0:
-                place, height = float(s), wf[s] - base
-            else:
-                place = (right[1] - left[1]) / (left[0] - right[0])
-                height = left[0] * place + left[1] - base
-        elif 0 < top < n - 1:
-            y1, y2, y3 = wf[top - 1 : top + 2] - base
-            bend = y1 - 2 * y2 + y3
-            if abs(bend) > 1e-9:
-                shift = 0.5 * (y1 - y3) / bend
-                place, height = top + shift, y2 - 0.25 * (y1 - y3) * shift
-        target = p.timing_fraction * min(height, adc_max) + base
-        low = np.flatnonzero(wf[a : top + 1] <= target)
-        lead = a + int(low[-1]) if len(low) else a
-        if lead + 1 < n:
-            rise = wf[lead + 1] - wf[lead]
-            timing = lead + ((target - wf[lead]) / rise if abs(rise) > 1e-9 else 0.5)
+def saturated_run(wf: list[float], a: int, b: int, level: float, least: int) -> tuple[int, int] | None:
+    """The longest run at or above the level, the first of equals, if it has ``least`` samples."""
+    best, since = None, None
+    for i in range(a, b + 2):
+        if i <= b and wf[i] >= level:
+            since = i if since is None else since
+        elif since is not None:
+            if i - since >= least and (best is None or i - since > best[1] - best[0] + 1):
+                best = (since, i - 1)
+            since = None
+    return best
+
+
+def measured(wf: list[float], gate: list[float], a: int, b: int, lo: int, hi: int, rms: float, rms_gate: float, adc_max: float, filtered: bool, p: Params):
+    """The values of NUMBERS (times in samples) and FLAGS for one region, or None where it isn't high enough."""
+    n, limit = len(wf), p.threshold * rms_gate
+    best = max(wf[a : b + 1])
+    first = flat = wf.index(best, a, b + 1)
+    while flat < b and wf[flat + 1] == best:
+        flat += 1
+    top = (first + flat) // 2 if first > a else a
+    base = pedestal_level(wf, a, lo, p)
+    height, place = best - base, float(top)
+    full = saturated_run(wf, a, b, p.saturation * adc_max, p.saturated_samples) if best >= p.saturation * adc_max else None
+    if full:
+        s, e = full
+        left, right = line(wf, max(0, s - p.slope_samples), s), line(wf, e, min(n - 1, e + p.slope_samples))
+        if left is None or right is None or left[0] <= 0 or right[0] >= 0:
+            place, height = float(s), wf[s] - base
         else:
-            timing = float(top)
-        left_at, right_at = float(a), float(b)
-        if a > lo and gate[a - 1] <= limit and gate[a] - gate[a - 1] > 1e-9:
-            left_at = a - 1 + (limit - gate[a - 1]) / (gate[a] - gate[a - 1])
-        if b < hi and gate[b + 1] <= limit and gate[b] - gate[b + 1] > 1e-9:
-            right_at = b + (gate[b] - limit) / (gate[b] - gate[b + 1])
-        under = np.flatnonzero(wf[lo:a] - base <= 0)
-        i = lo + int(under[-1]) + 1 if len(under) else lo
-        under = np.flatnonzero(wf[b + 1 : hi + 1] - base <= 0)
-        j = b + int(under[0]) if len(under) else hi
-        if filtered or height >= p.threshold * rms:
-            out.append({
-                "start": a, "amplitude": height, "sample": timing, "max_sample": place, "local_baseline": base, "local_max": wf[top] - base, "left_sample": left_at,
-                "right_sample": right_at, "time_over_threshold": right_at - left_at, "integral": float((wf[i : j + 1] - base).sum()),
-                "significance": gate[a : b + 1].max() / rms_gate if rms_gate > 0 else 0.0, "saturated": bool(full), "trunc_left": a == 0, "trunc_right": b == n - 1,
-            })
-    if not p.many_peaks and len(out) > 1:
-        out = [max(out, key=lambda x: x["amplitude"])]
+            place = (right[1] - left[1]) / (left[0] - right[0])
+            height = left[0] * place + left[1] - base
+    elif 0 < top < n - 1:
+        y1, y2, y3 = wf[top - 1] - base, wf[top] - base, wf[top + 1] - base
+        bend = y1 - 2 * y2 + y3
+        if abs(bend) > 1e-9:
+            shift = 0.5 * (y1 - y3) / bend
+            place, height = top + shift, y2 - 0.25 * (y1 - y3) * shift
+    if not filtered and height < p.threshold * rms:
+        return None
+    target = p.timing_fraction * min(height, adc_max) + base
+    lead = top
+    while lead > a and wf[lead] > target:
+        lead -= 1
+    if lead + 1 < n:
+        rise = wf[lead + 1] - wf[lead]
+        timing = lead + ((target - wf[lead]) / rise if abs(rise) > 1e-9 else 0.5)
+    else:
+        timing = float(top)
+    left_at, right_at = float(a), float(b)
+    if a > lo and gate[a - 1] <= limit and gate[a] - gate[a - 1] > 1e-9:
+        left_at = a - 1 + (limit - gate[a - 1]) / (gate[a] - gate[a - 1])
+    if b < hi and gate[b + 1] <= limit and gate[b] - gate[b + 1] > 1e-9:
+        right_at = b + (gate[b] - limit) / (gate[b] - gate[b + 1])
+    i, j = a, b
+    while i > lo and wf[i - 1] - base > 0:
+        i -= 1
+    while j < hi and wf[j + 1] - base > 0:
+        j += 1
+    integral = sum(x - base for x in wf[i : j + 1])
+    strength = max(gate[a : b + 1]) / rms_gate if rms_gate > 0 else 0.0
+    return height, timing, place, timing, place, base, best - base, left_at, right_at, right_at - left_at, integral, strength, bool(full), a == 0, b == n - 1
+
+
+def event_pulses(wf: np.ndarray, gate: np.ndarray, length: np.ndarray, rms: np.ndarray, noise: np.ndarray, adc_max: np.ndarray, filtered: bool, p: Params) -> list[tuple]:
+    """``(channel, pulse_idx, *measured)`` of all channels of one event."""
+    over = (gate > (p.threshold * noise)[:, None]) & (length >= 3)[:, None]
+    if not (length == wf.shape[1]).all():
+        over &= np.arange(wf.shape[1]) < length[:, None]
+    out: list[tuple] = []
+    regions: dict[int, list] = {}
+    for c, a, b in zip(*above(over, p.gap)):
+        regions.setdefault(c, []).extend([(a, b)] if b - a + 1 < 2 * p.min_width else split(gate[c], a, b, p.prominence * noise[c], p.min_width))
+    for c, own in regions.items():
+        n = int(length[c])
+        w = wf[c, :n].tolist()
+        g = w if gate is wf else gate[c, :n].tolist()
+        found = []
+        for k, (a, b) in enumerate(own):
+            if b - a + 1 >= p.min_width:
+                lo = own[k - 1][1] + 1 if k else 0
+                hi = own[k + 1][0] - 1 if k + 1 < len(own) else n - 1
+                got = measured(w, g, a, b, lo, hi, float(rms[c]), float(noise[c]), float(adc_max[c]), filtered, p)
+                if got:
+                    found.append(got)
+        if not p.many_peaks and len(found) > 1:
+            found = [max(found, key=lambda x: x[0])]
+        out += [(c, k, *got) for k, got in enumerate(found)]
     return out
 
 
-def find_hits(events: DataFrame, peds: DataFrame, p: Params, keys: list[str], ped_keys: list[str], zs: DataFrame | None = None) -> DataFrame:
-    """One row for each pulse. ``peds`` has ``ped_keys, channel, mean, rms, rms_gate``; ``zs`` has ``ped_keys, is_zs``.
+class Lists:
+    """The list columns of an Arrow batch as views of its buffers; null as empty."""
 
-    A unit's pedestals become three arrays, at most ``channels`` long, which join on a few keys; the events themselves
-    are not moved where that side is small enough to broadcast. Sparse files go without common noise and smoothing.
+    def __init__(self, batch: pa.RecordBatch, names: list[str]):
+        self.columns = {}
+        for n in names:
+            c = batch.column(n)
+            c = c.fill_null([]) if c.null_count else c
+            self.columns[n] = (c.values.to_numpy(zero_copy_only=False), c.offsets.to_numpy())
+
+    def __call__(self, name: str, i: int) -> np.ndarray:
+        values, at = self.columns[name]
+        return values[at[i] : at[i + 1]]
+
+
+#: What may differ from file to file, each null or absent where the job's parameters hold.
+SETTINGS = {"sample_ns": "double", "gate_width": "int", "zs_baseline": "boolean"}
+
+
+def with_settings(events: DataFrame, settings: DataFrame | None, keys: list[str]) -> DataFrame:
+    """``events`` with the columns of SETTINGS for their files; ``settings`` has ``keys`` and any of them."""
+    own = [c for c in SETTINGS if settings is not None and c in settings.columns]
+    rows = events.join(settings.select(*keys, *own), keys, "left") if own else events
+    return rows.withColumns({c: (F.col(c) if c in own else F.lit(None)).cast(t) for c, t in SETTINGS.items()})
+
+
+def find_hits(events: DataFrame, peds: DataFrame, p: Params, keys: list[str], ped_keys: list[str], zs: DataFrame | None = None, settings: DataFrame | None = None, file_keys: list[str] | None = None) -> DataFrame:
+    """One row for each pulse. ``peds`` has ``ped_keys, channel, mean, rms, rms_gate``.
+
+    ``zs`` has ``file_keys`` (``ped_keys`` unless given) and ``is_zs``; ``settings`` has ``file_keys`` and what differs
+    from file to file: sample_ns, gate_width, zs_baseline. A unit's pedestals become three arrays, at most ``channels``
+    long, which join on a few keys; the events themselves are not moved where that side is small enough to broadcast.
+    Sparse files go without common noise and smoothing; a unit without pedestals takes the fallback table, unsmoothed.
     """
+    file_keys = file_keys or ped_keys
     filled = F.map_from_entries(F.collect_list(F.struct("channel", F.struct("mean", "rms", "rms_gate"))))
     arrays = peds.filter((F.col("channel") >= 0) & (F.col("channel") < p.channels)).groupBy(*ped_keys).agg(filled.alias("ped"))
-    rows = events.join(arrays, ped_keys, "left")
-    rows = rows.join(zs, ped_keys, "left") if zs is not None and p.cns else rows.withColumn("is_zs", F.lit(False))
+    rows = with_settings(events.join(arrays, ped_keys, "left"), settings, file_keys)
+    rows = rows.join(zs, file_keys, "left") if zs is not None and p.cns else rows.withColumn("is_zs", F.lit(False))
     kept = [c for c in [*keys, "eventId", "timestamp", "ftst"] if c in events.columns]
-    rows = rows.select(*kept, *[F.col(c).cast("array<int>").alias(c) for c in ("channel", "sample", "amplitude")], F.map_keys("ped").cast("array<int>").alias("pc"), F.map_values("ped").alias("pv"), F.coalesce("is_zs", F.lit(False)).alias("is_zs"))
+    arrays_ = ("channel", "sample", "amplitude")
+    rows = rows.select(*kept, *[F.col(c).cast("array<int>").alias(c) for c in arrays_], F.map_keys("ped").cast("array<int>").alias("pc"), F.map_values("ped").alias("pv"), F.coalesce("is_zs", F.lit(False)).alias("is_zs"), *SETTINGS)
     rows = rows.withColumns({f"p_{c}": F.col("pv").getField(c) for c in ("mean", "rms", "rms_gate")}).drop("pv")
-    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[: len(kept)]] + ["channel int", "pulse_idx int"] + [f"{n} double" for n in NUMBERS] + [f"{n} boolean" for n in FLAGS])
-    width = p.gate_width()
-
-    def array(b, name, i, kind):
-        v = b.column(name)[i]
-        return np.asarray(v.values.to_numpy(zero_copy_only=False), kind) if v.is_valid else np.zeros(0, kind)
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(kept)]] + ["channel int", "pulse_idx int"] + [f"{n} double" for n in NUMBERS] + [f"{n} boolean" for n in FLAGS])
 
     def run(batches):
         for b in batches:
-            source, chan, idx, found = [], [], [], []
+            source, found, shift, period = [], [], [], []
+            lists = Lists(b, [*arrays_, "pc", "p_mean", "p_rms", "p_rms_gate"])
+            plain = {c: b.column(c).to_pylist() for c in ("is_zs", *SETTINGS)}
+            ftst = [x or 0 for x in b.column("ftst").to_pylist()] if "ftst" in kept else [0] * b.num_rows
             for i in range(b.num_rows):
-                pc = array(b, "pc", i, np.int64)
+                pc = lists("pc", i)
                 mean, rms, gate_rms = np.zeros(p.channels), np.full(p.channels, 3.0), np.full(p.channels, 3.0)
                 for name, into in (("p_mean", mean), ("p_rms", rms), ("p_rms_gate", gate_rms)):
-                    into[pc] = array(b, name, i, float)
-                if p.force_zs_baseline:
+                    into[pc] = lists(name, i)
+                if not len(pc):  # a unit without pedestals: the fallback table
+                    mean[:], rms[:], gate_rms[:] = p.zs_baseline, 1.0, 1.0
+                sample_ns, sparse = plain["sample_ns"][i] or p.sample_ns, plain["is_zs"][i]
+                if plain["zs_baseline"][i] or (plain["zs_baseline"][i] is None and p.force_zs_baseline):
                     mean[:] = p.zs_baseline
-                sparse = b.column("is_zs")[i].as_py()
-                wf, length = dense(array(b, "channel", i, np.int64), array(b, "sample", i, np.int64), array(b, "amplitude", i, float), mean, p)
+                width = plain["gate_width"][i]
+                width = 0 if sparse else p.gate_width(len(pc) > 0, sample_ns) if width is None else width
+                wf, length = dense(lists("channel", i), lists("sample", i), lists("amplitude", i), mean, p)
+                if not wf.size:
+                    continue
                 if p.cns and not sparse:
                     common_noise(wf, length)
-                w = 0 if sparse else width
-                gate = smoothed(wf, length, w)
-                noise = gate_rms if w else rms
-                ftst = (b.column("ftst")[i].as_py() or 0) if "ftst" in kept else 0
-                late = ftst * p.ftst_ns / p.sample_ns
-                for c in np.flatnonzero((gate > (p.threshold * noise)[:, None]).any(1) & (length >= 3)).tolist() if wf.size else []:
-                    n = int(length[c])
-                    for k, hit in enumerate(pulses(wf[c, :n], gate[c, :n], rms[c], noise[c], p.adc_max - mean[c], w > 0, p)):
-                        for name in ("sample", "max_sample", "left_sample", "right_sample"):
-                            hit[name] += late
-                        hit["time"], hit["time_of_max"] = hit["sample"] * p.sample_ns, hit["max_sample"] * p.sample_ns
-                        source.append(i), chan.append(c), idx.append(k), found.append(hit)
-            at = pa.array(source, pa.int64())
-            columns = [b.column(c).take(at) for c in kept] + [pa.array(chan, pa.int32()), pa.array(idx, pa.int32())]
-            columns += [pa.array([float(h[n]) for h in found], pa.float64()) for n in NUMBERS] + [pa.array([h[n] for h in found], pa.bool_()) for n in FLAGS]
+                got = event_pulses(wf, smoothed(wf, length, width), length, rms, gate_rms if width else rms, p.adc_max - mean, width > 0, p)
+                found += got
+                source += [i] * len(got)
+                shift += [ftst[i] * p.ftst_ns / sample_ns] * len(got)
+                period += [sample_ns] * len(got)
+            at, table = pa.array(source, pa.int64()), list(zip(*found)) or [()] * (2 + len(NUMBERS) + len(FLAGS))
+            late, ns = np.asarray(shift), np.asarray(period)
+            values = {n: np.asarray(v, float) for n, v in zip(NUMBERS, table[2:])}
+            for n in ("sample", "max_sample", "left_sample", "right_sample"):
+                values[n] = values[n] + late
+            values |= {"time": values["sample"] * ns, "time_of_max": values["max_sample"] * ns, "time_over_threshold": values["time_over_threshold"] * ns}
+            columns = [b.column(c).take(at) for c in kept] + [pa.array(table[0], pa.int32()), pa.array(table[1], pa.int32())]
+            columns += [pa.array(values[n], pa.float64()) for n in NUMBERS] + [pa.array(v, pa.bool_()) for v in table[2 + len(NUMBERS) :]]
             yield pa.RecordBatch.from_arrays(columns, kept + ["channel", "pulse_idx"] + NUMBERS + FLAGS)
 
     out = rows.mapInArrow(run, schema)
     return out.withColumn("trigger_timestamp_ns", F.col("timestamp") * p.tick_ns).drop("timestamp") if "timestamp" in kept else out
 
 
+def tightened(hits: DataFrame, significance: float) -> DataFrame:
+    """Hits found with a low threshold, cut to a higher one afterwards."""
+    return hits.filter(F.col("significance") >= significance)
+
+
 def derivative_seeds(wf: np.ndarray, half: int = 3, slope_sigma: float = 3.0, merge: int = 4, amp_sigma: float = 5.0, width: int = 2) -> list[tuple[int, int]]:
     """Diagnostic regions in units of the noise: steepest rises of the smoothed waveform, walked out to the threshold."""
     n = len(wf)

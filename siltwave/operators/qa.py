@@ -51,6 +51,14 @@ def display_sample(sample: Column, ftst: Column, most: Column) -> Column:
     return sample + F.when(most > 0, ftst / (most + 1)).otherwise(0.0)
 
 
+def overlay_levels(hits: DataFrame) -> DataFrame:
+    """The lines drawn over a waveform for each of its hits: its level, its peak, and the ends of both."""
+    return hits.withColumns({
+        "baseline_level": F.col("local_baseline"), "baseline_from": F.col("left_sample") - 5, "baseline_to": F.col("right_sample"),
+        "peak_level": F.col("local_baseline") + F.col("amplitude"), "peak_from": F.col("max_sample") - 0.5, "peak_to": F.col("max_sample") + 0.5,
+    })
+
+
 def sample_period(events: DataFrame) -> DataFrame:
     return events.agg((10 * (F.max("ftst") + 1)).cast("long").alias("sample_ns"))
 
@@ -63,6 +71,12 @@ def chosen_channels(spec: str):
     return F.transform(F.split(F.lit(spec), ","), lambda x: F.trim(x).cast("int"))
 
 
+def default_selection(events: DataFrame, file: list[str]) -> DataFrame:
+    """What is shown unless asked otherwise: each file's first entry and all channels that it has."""
+    first = events.groupBy(*file).agg(F.min_by(F.struct("entry", F.array_distinct("channel").alias("channels")), "entry").alias("e"))
+    return first.select(*file, "e.entry", F.explode(F.sort_array("e.channels")).alias("channel"))
+
+
 def file_pairs(decoded: DataFrame, hits: DataFrame, feus: list[int] | None = None, files: list[int] | None = None) -> DataFrame:
     """Decoded and hit files of the same number and unit."""
     out = decoded.withColumnRenamed("path", "decoded_path").join(hits.withColumnRenamed("path", "hits_path"), ["file_num", "feu"])

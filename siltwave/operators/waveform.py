@@ -135,9 +135,13 @@ def measures(pulses: DataFrame) -> DataFrame:
     return out.withColumn("integral", F.aggregate(span, F.lit(0.0), lambda total, x: total + (x - F.col("baseline"))))
 
 
-def zs_files(samples: DataFrame, file: list[str], first: int = 200, channels: int = 512, dense: int = 256) -> DataFrame:
-    """``file, is_zs``: sparse where the upper-middle number of channels in the first entries is below ``dense``."""
-    per = samples.filter(F.col("entry") < first).groupBy(*file, "entry").agg(F.count_distinct(F.when(F.col("channel") < channels, F.col("channel"))).alias("k"))
+def zs_files(events: DataFrame, file: list[str], first: int = 200, channels: int = 512, dense: int = 256) -> DataFrame:
+    """``file, is_zs``: sparse where the upper-middle number of channels in the first entries is below ``dense``.
+
+    Works on event rows (``entry``, ``channel`` as an array), so that entries without samples count as 0.
+    """
+    own = F.array_distinct(F.filter(F.coalesce("channel", F.array().cast("array<int>")), lambda c: (c >= 0) & (c < channels)))
+    per = events.filter(F.col("entry") < first).select(*file, F.size(own).alias("k"))
     return per.groupBy(*file).agg((upper_middle(F.collect_list("k")) < dense).alias("is_zs"))  # ``first`` values at most
 
 

@@ -30,9 +30,9 @@ class Params:
     channels: int = 512
     samples: int = 2048
 
-    def gate_width(self, with_pedestal: bool = True) -> int:
+    def gate_width(self, with_pedestal: bool = True, sample_ns: float | None = None) -> int:
         if not with_pedestal:
             return 0
         if self.boxcar_width >= 0:
             return self.boxcar_width
-        return max(3, int(self.boxcar_ns / self.sample_ns + 0.5))
+        return max(3, int(self.boxcar_ns / (sample_ns or self.sample_ns) + 0.5))

@@ -112,10 +112,13 @@ def w2_w4_subtract_pedestal_and_common_noise(spark, sf_dir):
     return subtracted(spark, sf_dir)[0].withColumn("v", F.round("v", 6))
 
 
-@query("""with k as (select l_suppkey % 8 as feu, l_orderkey as entry, count(distinct l_partkey % 512) as k from lineitem where l_orderkey < 200 group by all)
+@query("""with k as (select o_custkey % 8 as feu, o_orderkey as entry, count(distinct l_partkey % 1024) filter (l_partkey % 1024 < 512) as k from orders left join lineitem on l_orderkey = o_orderkey where o_orderkey < 200 group by all)
 select feu, list_sort(list(k))[count(*) // 2 + 1] < 2 as is_zs from k group by feu""")
 def w5_zs_files(spark, sf_dir):
-    return waveform.zs_files(A.large_samples(spark, sf_dir), ["feu"], dense=2)
+    """Orders as entries, parts of their lines as channels, some out of range; orders without lines count as 0."""
+    lines = A.read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("entry")).agg(F.collect_list((F.col("l_partkey") % 1024).cast("int")).alias("channel"))
+    events = A.read(spark, sf_dir, "orders").select((F.col("o_custkey") % 8).alias("feu"), F.col("o_orderkey").alias("entry")).join(lines, "entry", "left")
+    return waveform.zs_files(events, ["feu"], dense=2)
 
 
 @query(BASE + "select feu, entry, channel, start, stop from runs")
@@ -375,7 +378,7 @@ def c13_first_failures(spark, sf_dir):
     return catalog.first_failures(A.ledger(spark, sf_dir)).select("key", "secs")
 
 
-@query(LEDGER + "select key, case when rc <> 0 or bytes < 10240 then 'failed' else 'ok' end as status, case when rc <> 0 then 'rc=' || rc when bytes < 10240 then 'output missing or too small' end as reason from ledger")
+@query(LEDGER + "select key, case when rc <> 0 or bytes < 10240 then 'failed' else 'ok' end as status, case when rc <> 0 then 'nonzero exit' when bytes < 10240 then 'output ' || bytes || ' bytes' end as reason from ledger")
 def c14_validation(spark, sf_dir):
     return catalog.validated(A.ledger(spark, sf_dir)).select("key", "status", "reason")
 
@@ -407,9 +410,11 @@ def d4_headers(spark, sf_dir):
 FRAMES = """with frames as (select event_type as file, event_id as frame_idx, event_id // 40 as event_id, user_id % 32 as sample_id, event_id % 7 = 0 as eoe, user_id % 5 as n_data, event_id % 3 = 0 as zs from events),
 f1 as (select *, case when lag(eoe) over o is null or lag(eoe) over o or lag(event_id) over o <> event_id then 1 else 0 end as fresh from frames window o as (partition by file order by frame_idx)),
 f2 as (select *, sum(fresh) over (partition by file order by frame_idx) as grp from f1),
-g as (select file, grp, bool_or(eoe) as ended, sum(n_data) as data, count(*) as frames, arg_max(event_id, frame_idx) as event_id, count(distinct sample_id) as seen, max(sample_id) as top, bool_or(zs) as zs, bool_or(not zs) as raw from f2 group by 1, 2),
+g as (select file, grp, bool_or(eoe) as ended, sum(n_data) > 0 as data from f2 group by 1, 2),
 g2 as (select *, max(grp) over (partition by file) as last from g),
-entries as (select *, case when ended then 0 when grp < last then 1 else 2 end as reason, row_number() over (partition by file order by grp) - 1 as entry from g2 where ended or data > 0)
+closing as (select file, grp, case when ended then 0 when grp < last then 1 else 2 end as reason, row_number() over (partition by file order by grp) - 1 as entry from g2 where ended or data),
+owned as (select f.*, c.entry, c.reason from f2 f asof left join closing c on c.file = f.file and c.grp >= f.grp),
+entries as (select file, entry, max(reason) as reason, arg_max(event_id, frame_idx) as event_id, count(*) as frames, count(distinct sample_id) as seen from owned where entry is not null group by 1, 2)
 """
 
 
@@ -419,19 +424,20 @@ def d8_d9_event_assembly(spark, sf_dir):
     return loss.event_headers(own, ["file"], ["event_id"])
 
 
-@query(FRAMES + """, t as (select file, count(*) as events, count_if(reason = 0) as closed_eoe, count_if(reason = 1) as closed_eventid, count_if(reason = 2) as closed_eof, cast(sum(frames) as bigint) as feu_frames, arg_min(event_id, entry) as first_eventid,
-arg_max(event_id, entry) as last_eventid, cast(sum(seen) as bigint) as sum_distinct, max(top) + 1 as samples_expected, bool_or(raw) and not bool_or(zs) as raw_mode, bool_or(raw) and bool_or(zs) as mixed from entries group by 1),
-u as (select *, greatest(0, case when last_eventid >= first_eventid then last_eventid - first_eventid + 1 else events end - events) as events_missing, cast(sum_distinct as double) / (events * samples_expected) as a from t)
-select file, events, closed_eoe, closed_eventid, closed_eof, feu_frames, first_eventid, last_eventid, sum_distinct, samples_expected, events_missing, raw_mode, mixed, round(a, 9) as acceptance, events_missing > 0 or (raw_mode and 1 - a > 0.001) as lossy from u""")
+@query(FRAMES + """, t as (select file, count(*) as events, count_if(reason = 0) as closed_eoe, count_if(reason = 1) as closed_eventid, count_if(reason = 2) as closed_eof, arg_min(event_id, entry) as first_eventid,
+arg_max(event_id, entry) as last_eventid, cast(sum(seen) as bigint) as sum_distinct from entries group by 1),
+w as (select file, count(*) as feu_frames, cast(max(sample_id) + 1 as int) as samples_expected, bool_or(zs) as zs, bool_or(not zs) as raw from frames group by 1),
+u as (select *, greatest(0, case when last_eventid >= first_eventid then last_eventid - first_eventid + 1 else events end - events) as events_missing, cast(sum_distinct as double) / (events * samples_expected) as a, raw and not zs as dense from t join w using (file))
+select file, events, closed_eoe, closed_eventid, closed_eof, feu_frames, first_eventid, last_eventid, sum_distinct, samples_expected, events_missing, cast(dense as int) as raw_mode, raw and zs as mixed, round(a, 9) as sample_acceptance_mean, events_missing > 0 or (dense and 1 - a > 0.001) as lossy from u""")
 def l1_l7_loss_accounting(spark, sf_dir):
-    out = loss.accounting(loss.assemble(A.frames(spark, sf_dir), ["file"]), ["file"])
-    return out.withColumn("acceptance", F.round("acceptance", 9))
+    out = loss.accounting(loss.entries(loss.assemble(A.frames(spark, sf_dir), ["file"]), ["file"]), ["file"])
+    return out.withColumn("sample_acceptance_mean", F.round("sample_acceptance_mean", 9))
 
 
-@query(FRAMES + """, e as (select file, count(*) as events, max(top) as top from entries group by 1), k as (select f.file, f.sample_id as sample, count(distinct n.entry) as k from f2 f join entries n on n.file = f.file and n.grp = f.grp group by 1, 2),
-every as (select file, events, unnest(range(0, top + 1)) as sample from e) select v.file, v.sample, round(coalesce(k, 0) / events, 9) as acceptance from every v left join k on k.file = v.file and k.sample = v.sample""")
+@query(FRAMES + """, k as (select file, sample_id as sample, count(distinct entry) as k from owned where entry is not null group by 1, 2), n as (select file, count(*) as events from entries group by 1),
+every as (select file, unnest(range(0, max(sample_id) + 1)) as sample from frames group by file) select v.file, v.sample, round(coalesce(k, 0) / events, 9) as acceptance from every v join n on n.file = v.file left join k on k.file = v.file and k.sample = v.sample""")
 def l8_sample_acceptance(spark, sf_dir):
-    out = loss.sample_acceptance(loss.assemble(A.frames(spark, sf_dir), ["file"]), ["file"])
+    out = loss.sample_acceptance(loss.entries(loss.assemble(A.frames(spark, sf_dir), ["file"]), ["file"]), ["file"])
     return out.withColumn("acceptance", F.round("acceptance", 9))
 
 
@@ -439,6 +445,6 @@ def l8_sample_acceptance(spark, sf_dir):
 a as (select s.feu, sample, count(distinct entry) as k from s group by 1, 2) select s.feu, channel, s.sample, round(sum(amplitude) / max(events) / (max(k) / max(events)), 6) as mean from s join e on e.feu = s.feu join a on a.feu = s.feu and a.sample = s.sample group by 1, 2, 3""")
 def l9_corrected_means(spark, sf_dir):
     rows = A.large_samples(spark, sf_dir)
-    frames = rows.select("feu", "entry", F.col("sample").alias("sample_id"))
-    acceptance = loss.sample_acceptance(frames, ["feu"])
+    seen = rows.groupBy("feu", "entry").agg(F.collect_set("sample").alias("seen"))
+    acceptance = loss.sample_acceptance(seen, ["feu"])
     return loss.corrected_means(rows, acceptance, ["feu"]).withColumn("mean", F.round("mean", 6))

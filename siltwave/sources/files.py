@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.bits import CLASSES, FIELDS
+from ..operators import loss
 from ..operators.catalog import catalogue
 
 
@@ -49,14 +50,18 @@ def read_strip_map(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_run_config(spark: SparkSession, path: str) -> DataFrame:
-    """``path`` and four settings of the run; missing keys give 60 ns, false, false and null."""
-    inner = "sample_period double, zero_suppress boolean, pedestal_subtraction boolean, daq_config_template_path string"
-    raw = spark.read.format("binaryFile").load(path).select("path", F.from_json(F.col("content").cast("string"), f"dream_daq_info struct<{inner.replace(' double', ':double').replace(' boolean', ':boolean').replace(' string', ':string')}>").alias("j"))
-    d = F.col("j.dream_daq_info")
-    return raw.select(
-        "path", F.coalesce(d.getField("sample_period"), F.lit(60.0)).alias("sample_period"), F.coalesce(d.getField("zero_suppress"), F.lit(False)).alias("zero_suppress"),
-        F.coalesce(d.getField("pedestal_subtraction"), F.lit(False)).alias("pedestal_subtraction"), d.getField("daq_config_template_path").alias("daq_config_template_path"),
+def read_run_config(spark: SparkSession, runs: DataFrame, path: str) -> DataFrame:
+    """``runs`` (with ``run``) and four settings from ``path``/<run>/run_config.json.
+
+    A missing file or key gives 60 ns, false, false and null.
+    """
+    inner = "sample_period:double,zero_suppress:boolean,pedestal_subtraction:boolean,daq_config_template_path:string"
+    raw = spark.read.format("binaryFile").option("pathGlobFilter", "run_config.json").option("recursiveFileLookup", "true").load(path)
+    read = raw.select(F.element_at(F.split("path", "/"), -2).alias("run"), F.from_json(F.col("content").cast("string"), f"dream_daq_info struct<{inner}>").getField("dream_daq_info").alias("d"))
+    d = runs.join(read, "run", "left")
+    return d.select(
+        "run", F.coalesce("d.sample_period", F.lit(60.0)).alias("sample_period"), F.coalesce("d.zero_suppress", F.lit(False)).alias("zero_suppress"),
+        F.coalesce("d.pedestal_subtraction", F.lit(False)).alias("pedestal_subtraction"), F.col("d.daq_config_template_path").alias("daq_config_template_path"),
     )
 
 
@@ -69,101 +74,190 @@ def read_combine_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 FRAMES = "path string, file_num int, feu int, frame_idx bigint, event_id bigint, timestamp bigint, sample_id bigint, ftst int, zs boolean, eoe boolean, bad_blocks int, n_data bigint, channel array<int>, amplitude array<int>"
+ENTRIES = "path string, file_num int, feu int, entry bigint, reason bigint, eventId bigint, timestamp bigint, ftst int, n_frames bigint, seen array<int>, any_zs boolean, any_raw boolean, bad_blocks bigint, sample array<int>, channel array<int>, amplitude array<int>"
+
+
+class Words:
+    """The 16-bit words of a file with the ends of their runs by class; two bytes a word and one for its class."""
+
+    HEAD, TRAILER, OPENS, DATA, OTHER = range(5)
+
+    def __init__(self, content: bytes):
+        self.w = np.frombuffer(content[: len(content) // 2 * 2], ">u2").astype(np.uint16)
+        self.kind = np.full(len(self.w), self.OTHER, np.uint8)
+        for code, name in ((self.DATA, "data"), (self.OPENS, "data_header"), (self.TRAILER, "final_trailer"), (self.HEAD, "header")):
+            mask, shift, value = CLASSES[name]
+            self.kind[(self.w & np.uint16(mask)) == value << shift] = code
+        self.ends = np.append(np.flatnonzero(self.kind[1:] != self.kind[:-1]) + 1, len(self.w))
+        self.heads = np.append(np.flatnonzero(self.kind == self.HEAD), len(self.w))
+        self.stops = np.append(np.flatnonzero((self.kind == self.HEAD) | (self.kind == self.TRAILER)), len(self.w))
+
+    def run_end(self, at: int) -> int:
+        return int(self.ends[np.searchsorted(self.ends, at, side="right")])
+
+    def next_head(self, at: int) -> int:
+        return int(self.heads[np.searchsorted(self.heads, at)])
 
 
-def decode_words(w: np.ndarray):
-    """Frames of one file's words: header fields, the end marker, and channels with amplitudes.
+def field_of(x, name: str):
+    mask, shift = FIELDS[name]
+    return (x & mask) >> shift
+
+
+def decode_words(content: bytes):
+    """Frames of one file: header fields, the end marker, and channels with amplitudes.
 
     A frame begins with a run of header words and ends with its final trailer, after which one word is skipped. Blocks
-    are found by word class: in sparse frames pairs of words, in dense ones the words between data headers and trailers.
+    are found by the ends of runs of one word class: in sparse frames pairs of words, in dense ones the words between
+    data headers and trailers.
     """
-
-    def kind(name):
-        mask, shift, value = CLASSES[name]
-        return (w & mask) >> shift == value
-
-    def field(x, name):
-        mask, shift = FIELDS[name]
-        return (x & mask) >> shift
-
-    head, trailer, data, opens = kind("header"), kind("final_trailer"), kind("data"), kind("data_header")
-    at, n = 0, len(w)
-    next_head = np.append(np.flatnonzero(head), n)
-    while True:
-        at = int(next_head[np.searchsorted(next_head, at)])
-        if at >= n:
-            return
-        stop = at
-        while stop < n and head[stop]:
-            stop += 1
+    words = Words(content)
+    w, kind, n = words.w, words.kind, len(words.w)
+    at = words.next_head(0)
+    while at < n:
+        i = words.run_end(at)
         h = np.zeros(8, np.int64)
-        own = w[at : min(stop, at + 8)]
-        h[: len(own)] = own
-        part = field(h, "event_part")
+        h[: min(8, i - at)] = w[at : min(i, at + 8)]
+        part = field_of(h, "event_part")
         frame = {
             "event_id": int(part[1] + (part[4] << 12)), "timestamp": int(part[2] + (part[5] << 12) + (part[6] << 24) + ((h[7] & 0xFF) << 36)),
-            "sample_id": int(((h[0] & 0x800) >> 3) + field(h[3], "sample_id")), "ftst": int(h[3] & 7), "zs": bool(field(h[0], "zs")),
+            "sample_id": int(((h[0] & 0x800) >> 3) + field_of(h[3], "sample_id")), "ftst": int(h[3] & 7), "zs": bool(field_of(h[0], "zs")),
         }
-        channels, values, bad, i, ended = [], [], 0, stop, False
-        while i < n and not head[i]:
-            if trailer[i]:
-                ended = bool(field(w[i], "end_of_event"))
+        channels, values, bad, ended = [], [], 0, False
+        while i < n and kind[i] != words.HEAD:
+            if kind[i] == words.TRAILER:
+                ended = bool(field_of(int(w[i]), "end_of_event"))
                 i += 2
                 break
-            if frame["zs"] and data[i] and i + 1 < n:
-                channels.append(np.array([field(w[i], "chip_zs") * 64 + field(w[i], "channel")]))
-                values.append(np.array([field(w[i + 1], "adc")]))
-                i += 2
-            elif not frame["zs"] and opens[i]:
+            if frame["zs"] and kind[i] == words.DATA and i + 1 < n:
+                stop = words.run_end(i)
+                pairs = max(1, (stop - i) // 2)  # the second word of a pair is taken whatever its class
+                own = w[i : i + 2 * pairs].astype(np.int32)
+                channels.append(field_of(own[0::2], "chip_zs") * 64 + field_of(own[0::2], "channel"))
+                values.append(field_of(own[1::2], "adc"))
+                i += 2 * pairs
+            elif not frame["zs"] and kind[i] == words.OPENS:
+                first, i = i, words.run_end(i)
+                chip = int(field_of(int(w[first + 3]), "chip_raw")) if i - first >= 4 else 0
                 first = i
-                while i < n and opens[i]:
-                    i += 1
-                chip = int(field(w[first + 3], "chip_raw")) if i - first >= 4 else 0
-                first = i
-                while i < n and data[i]:
-                    i += 1
+                if i < n and kind[i] == words.DATA:
+                    i = words.run_end(i)
                 bad += i - first != 64
-                channels.append(chip * 64 + np.arange(i - first))
-                values.append(field(w[first:i], "adc"))
+                channels.append(chip * 64 + np.arange(i - first, dtype=np.int32))
+                values.append(field_of(w[first:i].astype(np.int32), "adc"))
             else:
                 i += 1
-        empty = np.zeros(0, np.int64)
+        empty = np.zeros(0, np.int32)
         yield frame | {"eoe": ended, "bad_blocks": bad, "channel": np.concatenate([empty, *channels]), "amplitude": np.concatenate([empty, *values])}
-        at = max(i, stop)
+        at = words.next_head(i)
+
+
+def closed_entries(frames):
+    """The entries of one file's frames in order, each as (reason, its frames); frames left over come with None.
 
+    An entry closes with the end marker (0), before another event id (1) or with the file (2), the latter two only
+    where it has data.
+    """
+    held: list[dict] = []
+    n_data = 0
+    for f in frames:
+        if n_data and f["event_id"] != held[-1]["event_id"]:
+            yield 1, held
+            held, n_data = [], 0
+        held.append(f)
+        n_data += len(f["channel"])
+        if f["eoe"]:
+            yield 0, held
+            held, n_data = [], 0
+    if held:
+        yield (2 if n_data else None), held
+
+
+def _batches(rows, schema: str, most: int, size):
+    """Row dictionaries as Arrow batches of at most ``most`` values of the arrays."""
+    names = [x.split(" ")[0] for x in schema.split(", ")]
+    types = dict(x.split(" ") for x in schema.split(", "))
+    kinds = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "boolean": pa.bool_(), "array<int>": pa.list_(pa.int32())}
+    held, n = [], 0
+
+    def batch():
+        columns = []
+        for c in names:
+            values = [r[c] for r in held]
+            if types[c] == "array<int>":
+                stops = np.cumsum([0, *map(len, values)], dtype=np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(stops), pa.array(np.concatenate([np.zeros(0, np.int32), *values]).astype(np.int32))))
+            else:
+                columns.append(pa.array(values, kinds[types[c]]))
+        return pa.RecordBatch.from_arrays(columns, names)
+
+    for r in rows:
+        held.append(r)
+        n += size(r)
+        if n >= most:
+            yield batch()
+            held, n = [], 0
+    if held:
+        yield batch()
+
+
+def _per_file(files: DataFrame, rows_of, schema: str) -> DataFrame:
+    def run(batches):
+        def rows():
+            for b in batches:
+                for i in range(b.num_rows):
+                    key = {c: b.column(c)[i].as_py() for c in ("path", "file_num", "feu")}
+                    for r in rows_of(b.column("content")[i].as_py() or b""):
+                        yield key | r
+
+        yield from _batches(rows(), schema, 1 << 20, lambda r: 64 + len(r["channel"]))
+
+    return files.select("path", "file_num", "feu", "content").mapInArrow(run, schema)
 
-def decode(files: DataFrame, frames_per_batch: int = 512) -> DataFrame:
+
+def decode(files: DataFrame) -> DataFrame:
     """One row for each frame of each file; a file can't be cut, since payload words can look like headers.
 
     Frames leave in small batches; nothing is shuffled.
     """
-    names = [x.split(" ")[0] for x in FRAMES.split(", ")]
 
-    def run(batches):
-        for b in batches:
-            for i in range(b.num_rows):
-                content = b.column("content")[i].as_py() or b""
-                key = {c: b.column(c)[i].as_py() for c in ("path", "file_num", "feu")}
-                held: list[dict] = []
-                for k, f in enumerate(decode_words(np.frombuffer(content[: len(content) // 2 * 2], ">u2").astype(np.int64))):
-                    held.append(key | f | {"frame_idx": k, "n_data": len(f["channel"]), "channel": f["channel"].tolist(), "amplitude": f["amplitude"].tolist()})
-                    if len(held) == frames_per_batch:
-                        yield from as_batch(held)
-                        held = []
-                yield from as_batch(held)
+    def rows_of(content):
+        for k, f in enumerate(decode_words(content)):
+            yield f | {"frame_idx": k, "n_data": len(f["channel"])}
 
-    def as_batch(rows):
-        if rows:
-            kinds = {"path": pa.string(), "file_num": pa.int32(), "feu": pa.int32(), "ftst": pa.int32(), "bad_blocks": pa.int32(), "zs": pa.bool_(), "eoe": pa.bool_(), "channel": pa.list_(pa.int32()), "amplitude": pa.list_(pa.int32())}
-            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], kinds.get(c, pa.int64())) for c in names], names)
+    return _per_file(files, rows_of, FRAMES)
 
-    return files.select("path", "file_num", "feu", "content").mapInArrow(run, FRAMES)
 
+def decode_events(files: DataFrame) -> DataFrame:
+    """One row for each event of each file, with what the loss accounting needs, in one pass and without a shuffle.
+
+    A file is read in order, so its events are numbered on the way and no window over frames is needed. Frames at the
+    end of a file that belong to no event come as one row with a null entry and without samples.
+    """
 
-def to_events(assembled: DataFrame, file: list[str]) -> DataFrame:
-    """Event rows with three parallel arrays from assembled frames, samples in frame order."""
-    part = F.struct("frame_idx", "channel", "amplitude", F.transform("channel", lambda _: F.col("sample_id").cast("int")).alias("sample"))
-    rows = assembled.groupBy(*file, "entry").agg(F.sort_array(F.collect_list(part)).alias("f"), *[F.max_by(c, "frame_idx").alias(c) for c in ("event_id", "timestamp", "ftst")])
-    return rows.select(*file, "entry", F.col("event_id").alias("eventId"), "timestamp", "ftst", *[F.flatten(F.col("f").getField(c)).alias(c) for c in ("sample", "channel", "amplitude")])
+    def rows_of(content):
+        for k, (reason, own) in enumerate(closed_entries(decode_words(content))):
+            last = own[-1]
+            n = [len(f["channel"]) for f in own]
+            yield {
+                "entry": None if reason is None else k, "reason": reason, "eventId": last["event_id"], "timestamp": last["timestamp"], "ftst": last["ftst"], "n_frames": len(own),
+                "seen": sorted({f["sample_id"] for f in own}), "any_zs": any(f["zs"] for f in own), "any_raw": not all(f["zs"] for f in own), "bad_blocks": sum(f["bad_blocks"] for f in own),
+                "sample": np.repeat([f["sample_id"] for f in own], n), "channel": np.concatenate([f["channel"] for f in own]), "amplitude": np.concatenate([f["amplitude"] for f in own]),
+            }
 
+    return _per_file(files, rows_of, ENTRIES)
 
+
+def write_decoded(entries: DataFrame, path: str, file: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Write events, loss figures and sample acceptance of decoded files below ``path``, and read all three back.
+
+    The files are decoded once; the accounting reads the written table without its samples.
+    """
+    spark, schema = entries.sparkSession, entries.schema
+    entries.write.mode("overwrite").parquet(f"{path}/entries")
+    written = spark.read.schema(schema).parquet(f"{path}/entries")
+    found = written.withColumnRenamed("eventId", "event_id")
+    loss.decode_stats(found, file).write.mode("overwrite").parquet(f"{path}/decode_stats")
+    loss.sample_acceptance(found, file).write.mode("overwrite").parquet(f"{path}/sample_acceptance")
+    events = written.filter("entry is not null").select(*file, "entry", "eventId", "timestamp", "ftst", "sample", "channel", "amplitude")
+    return events, spark.read.parquet(f"{path}/decode_stats"), spark.read.parquet(f"{path}/sample_acceptance")

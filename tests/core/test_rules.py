@@ -36,16 +36,22 @@ def test_fused_job_agrees_with_composed_operators(spark):
 
 
 def find(wf, gate=None, rms=1.0, **kw):
-    wf = np.array(wf, float)
-    return pulses.pulses(wf, wf if gate is None else np.array(gate, float), rms, rms, 4095.0, gate is not None, Params(**kw))
+    wf = np.array([wf], float)
+    gate_, one = wf if gate is None else np.array([gate], float), np.array([rms])
+    got = pulses.event_pulses(wf, gate_, np.array([wf.shape[1]]), one, one, np.array([4095.0]), gate is not None, Params(**kw))
+    return [dict(zip(["channel", "pulse_idx", *pulses.NUMBERS, *pulses.FLAGS], x)) for x in got]
+
+
+def runs(v, limit, gap):
+    return list(zip(*pulses.above(np.array([v], float) > limit, gap)[1:]))
 
 
 def test_bridging_and_width():
     assert len(find([0, 0, 6, 6, 6, 4, 4, 6, 6, 6, 0, 0])) == 1
-    assert pulses.above(np.array([0, 0, 6, 6, 6, 4, 4, 4, 6, 6, 6, 0.0]), 5.0, 2) == [(2, 4), (8, 10)]
+    assert runs([0, 0, 6, 6, 6, 4, 4, 4, 6, 6, 6, 0.0], 5.0, 2) == [(2, 4), (8, 10)]
     two = find([0, 0, 9, 9, 9, 0, 0, 0, 9, 9, 9, 0])  # bridging doesn't undo a deep valley
     assert len(find([0, 0, 9, 9, 9, 0, 0, 9, 9, 9, 0, 0])) == 2
-    assert [(p["start"], p["local_max"]) for p in two] == [(2, 9.0), (8, 9.0)]
+    assert [(p["left_sample"], p["local_max"]) for p in two] == [(1 + 5 / 9, 9.0), (7 + 5 / 9, 9.0)]
     assert find([0, 0, 9, 9, 0, 0]) == [] and find([9, 9]) == []
 
 
@@ -122,12 +128,18 @@ def test_decode_round_trip(spark, tmp_path):
     assert (got[0].event_id, got[0].timestamp, got[0].sample_id, got[0].ftst, got[0].eoe) == (70_000, 1 << 40, 3, 5, True)
     assert (got[0].channel, got[0].amplitude) == ([5, 130], [100, 4095]) and got[1].n_data == 0 and got[1].eoe
     assert got[3].channel == list(range(64, 128)) and got[3].amplitude == b[1] and got[4].bad_blocks == 1
-    events, stats = jobs.frames_to_events(files.read_frames(spark, [str(tmp_path)]))
+    events, stats, acceptance = jobs.frames_to_events(files.read_frames(spark, [str(tmp_path)]), str(tmp_path / "out"))
     assert [(r.file_num, r.entry, r.eventId, len(r.amplitude)) for r in events.orderBy("file_num", "entry").collect()] == [(1, 0, 70_000, 2), (1, 1, 70_001, 0), (2, 0, 1, 128), (2, 1, 2, 63), (2, 2, 3, 64)]
     s = {r.file_num: r for r in stats.collect()}
-    assert (s[1].closed_eoe, s[1].events, s[1].lossy) == (2, 2, False)
-    assert (s[2].closed_eventid, s[2].closed_eof, s[2].raw_mode, s[2].samples_expected, s[2].lossy) == (2, 1, True, 2, True)
-    assert s[2].acceptance == pytest.approx(4 / 6)
+    assert stats.columns == ["file_num", "feu", *loss.STATS]
+    assert (s[1].closed_eoe, s[1].events, s[1].raw_mode, s[1].events_missing) == (2, 2, 0, 0)
+    assert (s[2].closed_eventid, s[2].closed_eof, s[2].raw_mode, s[2].samples_expected, s[2].feu_frames) == (2, 1, 1, 2, 4)
+    assert s[2].sample_acceptance_mean == pytest.approx(4 / 6)
+    assert {(r.file_num, r.sample): r.acceptance for r in acceptance.collect()} == {(1, 0): 0.5, (1, 1): 0, (1, 2): 0, (1, 3): 0.5, (2, 0): 1, (2, 1): pytest.approx(1 / 3)}
+    # the same from frames as a table
+    own = loss.entries(loss.assemble(files.decode(files.read_frames(spark, [str(tmp_path)])), ["file_num", "feu"]), ["file_num", "feu"])
+    assert rows(loss.decode_stats(own, ["file_num", "feu"])) == rows(stats)
+    assert [r.lossy for r in loss.accounting(own, ["file_num", "feu"]).orderBy("file_num").collect()] == [False, True]
 
 
 def test_greedy_clusters(spark):
@@ -153,9 +165,12 @@ def test_sources(spark, tmp_path):
     (tmp_path / "map.csv").write_text("\n c,cc,s,a,p,i,n,x,y\n\n0,5,1,x,1,1,2::3,0.5,1\nshort,line\n1,6,2,y,1,1,,1,2,extra\n0,5,9,y,1,1,4,7,8\n")
     strips = combine.last_by_channel(files.read_strip_map(spark, str(tmp_path / "map.csv")))
     assert {r.channel: (r.axis, r.x, r.neighbours) for r in strips.collect()} == {5: ("y", 7.0, [4]), 70: ("y", 1.0, [])}
-    (tmp_path / "run.json").write_text(json.dumps({"dream_daq_info": {"sample_period": 40, "zero_suppress": True}}))
-    r = files.read_run_config(spark, str(tmp_path / "run.json")).first()
-    assert (r.sample_period, r.zero_suppress, r.pedestal_subtraction, r.daq_config_template_path) == (40.0, True, False, None)
+    for run, text in (("r1", json.dumps({"dream_daq_info": {"sample_period": 40, "zero_suppress": True}})), ("r2", "{"), ("r4", "{}")):
+        (tmp_path / "runs" / run).mkdir(parents=True)
+        (tmp_path / "runs" / run / "run_config.json").write_text(text)
+    named = spark.createDataFrame([("r1",), ("r2",), ("r3",), ("r4",)], "run string")
+    got = rows(files.read_run_config(spark, named, str(tmp_path / "runs")))  # r3 has no file
+    assert got == [("r1", 40.0, True, False, None)] + [(r, 60.0, False, False, None) for r in ("r2", "r3", "r4")]
     (tmp_path / "list.txt").write_text("a.root 3\nb.root 4\n")
     assert rows(files.read_combine_list(spark, str(tmp_path / "list.txt"))) == [("a.root", 3), ("b.root", 4)]
     lines = ["Feu * Dream * 1 0x0 0x0030", "Feu 4 Dream * 1 0x0 0x0080 # slow", "Feu 4 Dream * 1 0 0x00F0", "Feu 4 Dream * 1 0 zz", "# Feu 4 Dream * 1 0 0x0000", "Feu 5 Dream 1 2 0 0x0010", "Feu 6 Dream 1 1 0 10 more"]
@@ -164,7 +179,7 @@ def test_sources(spark, tmp_path):
     assert {r.feu_key: r.ns for r in peaking.collect()} == {"*": 228, "4": 578, "6": 123}
     units = spark.createDataFrame([(4,), (9,)], "feu int")
     assert rows(catalog.gate_widths(units, peaking, F.lit(60.0))) == [(4, 16), (9, 6)]
-    assert files.list_files(spark, str(tmp_path)).count() == 4
+    assert files.list_files(spark, str(tmp_path)).count() == 6
     hits = registry.w24_fused_hits(spark, SF).withColumn("run", F.lit("r"))
     files.write_table(hits, str(tmp_path / "hits"))
     assert files.read_table(spark, str(tmp_path / "hits"), "channel int, amplitude double, run string").count() == hits.count()
@@ -177,8 +192,91 @@ def test_small_rules(spark):
     flags = spark.createDataFrame([(True, True), (True, None), (False, True)], "z boolean, p boolean")
     assert [r[0] for r in flags.select(catalog.zs_baseline(F.col("z"), F.col("p"))).collect()] == [True, False, False]
     frames = spark.createDataFrame([(0, 1, 0, False, 0, True), (1, 2, 0, False, 3, True), (2, 3, 0, True, 0, True)], "frame_idx long, event_id long, sample_id long, eoe boolean, n_data long, zs boolean").withColumn("file", F.lit("f"))
-    own = loss.event_headers(loss.assemble(frames, ["file"]), ["file"], ["event_id"])
-    assert rows(own) == [("f", 0, 2, 1), ("f", 1, 3, 0)]  # a frame without data before a new id is dropped
+    assembled = loss.assemble(frames, ["file"])
+    assert rows(loss.event_headers(assembled, ["file"], ["event_id"])) == [("f", 0, 2, 1), ("f", 1, 3, 0)]
+    # a frame without data before a new id runs on into the next entry
+    assert rows(loss.entries(assembled, ["file"]).select("entry", "n_frames")) == [(0, 2), (1, 1)]
+
+
+def test_frames_that_belong_to_no_entry(spark):
+    """Ids 5 5 | 6 | 7 7: data only with the first id; the rest close nothing, but count as frames and for the mode."""
+    data = [(0, 5, 0, False, 2, True), (1, 5, 1, False, 0, True), (2, 6, 9, False, 0, False), (3, 7, 2, False, 0, True)]
+    frames = spark.createDataFrame(data, "frame_idx long, event_id long, sample_id long, eoe boolean, n_data long, zs boolean").withColumn("file", F.lit("f"))
+    found = loss.entries(loss.assemble(frames, ["file"]), ["file"])
+    assert rows(found.select("entry", "reason", "n_frames")) == [(0, 1, 2), (None, None, 2)]
+    r = loss.accounting(found, ["file"]).first()
+    assert (r.events, r.feu_frames, r.samples_expected, r.sum_distinct, r.mixed, r.raw_mode, r.sample_acceptance_mean) == (1, 4, 10, 2, True, 0, 0.2)
+    assert [x.acceptance for x in loss.sample_acceptance(found, ["file"]).orderBy("sample").collect()] == [1, 1] + [0] * 8
+    none = loss.accounting(loss.entries(loss.assemble(frames.filter("frame_idx > 0"), ["file"]), ["file"]), ["file"]).first()
+    assert (none.events, none.feu_frames, none.first_eventid, none.last_eventid, none.events_missing, none.sample_acceptance_mean) == (0, 3, 0, 0, 0, 1.0)
+
+
+def test_every_column_of_a_hit(spark):
+    """One hand-worked pulse: pedestal 100, 60 ns a sample, ftst 3."""
+    wf = [100] * 4 + [100, 110, 140, 130, 120, 110, 100, 100]
+    events = spark.createDataFrame([(1, 0, 77, 5, 3, list(range(12)), [2] * 12, wf)], "feu int, entry long, eventId long, timestamp long, ftst int, sample array<int>, channel array<int>, amplitude array<int>")
+    peds = spark.createDataFrame([(1, 2, 100.0, 1.0, 1.0)], "feu int, channel int, mean double, rms double, rms_gate double")
+    h = pulses.find_hits(events, peds, Params(boxcar_width=0, cns=False), ["feu", "entry"], ["feu"]).first().asDict()
+    late = 3 * 10 / 60
+    # samples 5..9 are above 5; y = 10, 40, 30 around the top at 6
+    amplitude, vertex = 40 - 0.25 * (10 - 30) * 0.5 * (10 - 30) / (10 - 80 + 30), 6 + 0.5 * (10 - 30) / (10 - 80 + 30)
+    timing = 5 + (0.3 * amplitude - 10) / 30
+    want = {
+        "feu": 1, "entry": 0, "eventId": 77, "ftst": 3, "channel": 2, "pulse_idx": 0, "amplitude": amplitude, "time": (timing + late) * 60, "time_of_max": (vertex + late) * 60,
+        "sample": timing + late, "max_sample": vertex + late, "local_baseline": 0.0, "local_max": 40.0, "left_sample": 4.5 + late, "right_sample": 9.5 + late,
+        "time_over_threshold": 300.0, "integral": 110.0, "significance": 40.0, "saturated": False, "trunc_left": False, "trunc_right": False, "trigger_timestamp_ns": 50,
+    }
+    assert h == pytest.approx(want)
+    assert pulses.tightened(spark.createDataFrame([(3.0,), (5.0,), (8.0,)], "significance double"), 5.0).count() == 2
+
+
+def test_event_rows_give_the_pedestals_of_exploded_rows(spark):
+    events = adapters.events(spark, SF, inject=False)
+    for width in (0, 5):
+        p = Params(boxcar_width=width)
+        got = {(r.feu, r.channel): (r.mean, r.rms, r.rms_gate) for r in pedestals.from_events(events, ["feu"], p).collect()}
+        want = {(r.feu, r.channel): (r.mean, r.rms, r.rms_gate) for r in pedestals.pedestals(adapters.samples(spark, SF), ["feu"], ["entry"], width).collect()}
+        assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in got)
+    uneven = spark.createDataFrame([(1, [0, 0, 1, 600, 0], [0, 2, 0, 0, 2], [5, 7, 9, 4, 8])], "feu int, channel array<int>, sample array<int>, amplitude array<int>")
+    long = waveform.explode_events(uneven.withColumn("entry", F.lit(0)), ["feu", "entry"])
+    got = {r.channel: (r.mean, r.rms, r.rms_gate) for r in pedestals.from_events(uneven, ["feu"], Params(boxcar_width=3)).collect()}
+    want = {r.channel: (r.mean, r.rms, r.rms_gate) for r in pedestals.pedestals(long, ["feu"], ["entry"], 3).collect()}
+    assert got.keys() == want.keys() == {0, 1, 600} and all(got[k] == pytest.approx(want[k]) for k in got)
+
+
+def test_settings_by_unit(spark):
+    """Units with different periods, widths and baselines in one job give what each gives alone."""
+    events = adapters.events(spark, SF)
+    peds = pedestals.from_events(events, ["feu"], Params(boxcar_width=0))
+    settings = spark.createDataFrame([(0, 60.0, 0, False), (1, 40.0, 5, True)], "feu long, sample_ns double, gate_width int, zs_baseline boolean")
+    both = pulses.find_hits(events, peds, Params(threshold=3.0), ["feu", "entry"], ["feu"], settings=settings)
+    for feu, p in ((0, Params(threshold=3.0, boxcar_width=0)), (1, Params(threshold=3.0, boxcar_width=5, sample_ns=40.0, force_zs_baseline=True))):
+        alone = pulses.find_hits(events.filter(f"feu = {feu}"), peds, p, ["feu", "entry"], ["feu"])
+        assert rows(both.filter(f"feu = {feu}")) == rows(alone) != []
+    runs_ = spark.createDataFrame([("r", 40.0, True, True)], "run string, sample_period double, zero_suppress boolean, pedestal_subtraction boolean")
+    peaking = spark.createDataFrame([("1", 228)], "feu_key string, ns int")
+    units = spark.createDataFrame([("r", 1), ("r", 2)], "run string, feu int")
+    assert rows(jobs.unit_settings(units, peaking, runs_)) == [("r", 1, 40.0, 10, True), ("r", 2, 40.0, None, True)]
+
+
+def test_common_noise_with_uneven_lengths_is_that_of_each_block():
+    rng = np.random.default_rng(3)
+    for c in (64, 100, 130):
+        wf, length = rng.integers(0, 50, (c, 9)).astype(float), rng.integers(0, 10, c)
+        want = wf.copy()
+        for b in range(0, c, 64):
+            for s in range(9):
+                own = [k for k in range(b, min(c, b + 64)) if length[k] > s]
+                if own:
+                    want[own, s] -= np.sort(wf[own, s])[len(own) // 2]
+        pulses.common_noise(wf, length)
+        assert (wf == want).all()
+
+
+def test_sparse_files_by_their_first_entries(spark):
+    events = spark.createDataFrame([("a", k, list(range(300)) if k >= 3 else []) for k in range(6)] + [("b", k, [1, 1, 600, -1]) for k in range(3)] + [("c", 0, None)], "file string, entry long, channel array<int>")
+    assert rows(waveform.zs_files(events, ["file"])) == [("a", False), ("b", True), ("c", True)]
+    assert rows(waveform.zs_files(events, ["file"], first=5)) == [("a", True), ("b", True), ("c", True)]
 
 
 def test_derivative_seeds():
