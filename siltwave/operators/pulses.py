@@ -23,8 +23,10 @@ def dense(channel, sample, amplitude, mean, p: Params):
         ok = (channel >= 0) & (channel < p.channels) & (sample >= 0) & (sample < p.samples)
         channel, sample, amplitude = channel[ok], sample[ok], amplitude[ok]
     n = int(sample.max(initial=-1)) + 1
+    place = channel * np.int64(n) + sample
+    if len(place) == p.channels * n and place[0] == 0 and (np.diff(place) == 1).all():  # a whole frame in order
+        return amplitude.reshape(p.channels, n) - mean[:, None], np.full(p.channels, n)
     wf, there = np.zeros((p.channels, n)), np.zeros((p.channels, n), bool)
-    place = channel.astype(np.int64) * n + sample
     wf.ravel()[place] = amplitude - mean[channel]
     there.ravel()[place] = True
     length = np.where(there.any(1), n - there[:, ::-1].argmax(1), 0) if n else np.zeros(p.channels, np.int64)
@@ -57,11 +59,20 @@ def smoothed(wf: np.ndarray, length: np.ndarray, width: int) -> np.ndarray:
     if width <= 0 or not wf.size:
         return wf
     h, n = width // 2, wf.shape[1]
+    if 0 < 2 * h < min(n, 16) and (length == n).all():
+        wf = np.ascontiguousarray(wf)
+        out, flat = np.empty_like(wf), wf.ravel()
+        inner = out.ravel()[h : flat.size - h]  # across the rows' ends, which are set below
+        np.add(flat[: flat.size - 2 * h], flat[2 * h :], out=inner)
+        for k in range(1, 2 * h):
+            inner += flat[k : flat.size - 2 * h + k]
+        inner /= 2 * h + 1
+        for k in range(h):  # the ends, where fewer samples are in reach
+            out[:, k] = sum(wf[:, i] for i in range(k + h + 1)) / (k + h + 1)
+            out[:, n - 1 - k] = sum(wf[:, n - 1 - i] for i in range(k + h + 1)) / (k + h + 1)
+        return out
     sums = np.concatenate([np.zeros((len(wf), 1)), np.cumsum(wf, axis=1)], axis=1)
     i = np.arange(n)
-    if (length == n).all():
-        hi, lo = np.minimum(i + h + 1, n), np.maximum(i - h, 0)
-        return (sums[:, hi] - sums[:, lo]) / (hi - lo)
     hi = np.minimum(i[None] + h + 1, length[:, None])
     lo = np.minimum(np.maximum(i - h, 0)[None], hi)
     return (np.take_along_axis(sums, hi, 1) - np.take_along_axis(sums, lo, 1)) / np.maximum(1, hi - lo)
@@ -69,7 +80,7 @@ def smoothed(wf: np.ndarray, length: np.ndarray, width: int) -> np.ndarray:
 
 def above(mask: np.ndarray, gap: int) -> tuple[list, list, list]:
     """Runs of true places as (row, first, last), those of one row at most ``gap`` apart merged."""
-    row, at = np.nonzero(mask)
+    row, at = np.divmod(np.flatnonzero(mask), mask.shape[1])
     if not len(at):
         return [], [], []
     cut = np.flatnonzero((row[1:] != row[:-1]) | (at[1:] - at[:-1] - 1 > gap))
@@ -77,19 +88,31 @@ def above(mask: np.ndarray, gap: int) -> tuple[list, list, list]:
     return row[first].tolist(), at[first].tolist(), at[last].tolist()
 
 
+def deepest_valley(v: list[float], least: int) -> tuple[float, int]:
+    """Depth and place of the first deepest valley of a run that leaves ``least`` samples to each side; (0, 0) without."""
+    n = len(v)
+    right, best, place = v[:], 0.0, 0
+    for i in range(n - 2, -1, -1):
+        if right[i + 1] > right[i]:
+            right[i] = right[i + 1]
+    left = v[0]
+    for i in range(1, min(n - least, n - 2) + 1):
+        if v[i] > left:
+            left = v[i]
+        deep = (left if left < right[i] else right[i]) - v[i]
+        if i >= least and deep > best:
+            best, place = deep, i
+    return best, place
+
+
 def split(gate: np.ndarray, first: int, last: int, depth: float, least: int) -> list[tuple[int, int]]:
     """Cut a run at its deepest valley, again and again; the valley opens the right part, each part has ``least``."""
     todo, out = [(first, last)], []
     while todo:
         a, b = todo.pop()
-        inner = ()
-        if b - a + 1 >= 2 * least:
-            v = gate[a : b + 1]
-            deep = np.minimum(np.maximum.accumulate(v), np.maximum.accumulate(v[::-1])[::-1]) - v
-            inner = deep[least : min(len(v) - least, len(v) - 2) + 1]
-        if len(inner) and inner.max() >= depth and inner.max() > 0:
-            cut = a + least + int(inner.argmax())
-            todo += [(cut, b), (a, cut - 1)]
+        best, place = deepest_valley(gate[a : b + 1].tolist(), least) if b - a + 1 >= 2 * least else (0.0, 0)
+        if best > 0 and best >= depth:
+            todo += [(a + place, b), (a, a + place - 1)]
         else:
             out.append((a, b))
     return out
@@ -182,9 +205,9 @@ def measured(wf: list[float], gate: list[float], a: int, b: int, lo: int, hi: in
 
 def event_pulses(wf: np.ndarray, gate: np.ndarray, length: np.ndarray, rms: np.ndarray, noise: np.ndarray, adc_max: np.ndarray, filtered: bool, p: Params) -> list[tuple]:
     """``(channel, pulse_idx, *measured)`` of all channels of one event."""
-    over = (gate > (p.threshold * noise)[:, None]) & (length >= 3)[:, None]
-    if not (length == wf.shape[1]).all():
-        over &= np.arange(wf.shape[1]) < length[:, None]
+    over = gate > (p.threshold * noise)[:, None]
+    if wf.shape[1] < 3 or not (length == wf.shape[1]).all():
+        over &= (np.arange(wf.shape[1]) < length[:, None]) & (length >= 3)[:, None]
     out: list[tuple] = []
     regions: dict[int, list] = {}
     for c, a, b in zip(*above(over, p.gap)):

@@ -77,9 +77,9 @@ def default_selection(events: DataFrame, file: list[str]) -> DataFrame:
     return first.select(*file, "e.entry", F.explode(F.sort_array("e.channels")).alias("channel"))
 
 
-def file_pairs(decoded: DataFrame, hits: DataFrame, feus: list[int] | None = None, files: list[int] | None = None) -> DataFrame:
-    """Decoded and hit files of the same number and unit."""
-    out = decoded.withColumnRenamed("path", "decoded_path").join(hits.withColumnRenamed("path", "hits_path"), ["file_num", "feu"])
+def file_pairs(decoded: DataFrame, hits: DataFrame, feus: list[int] | None = None, files: list[int] | None = None, keys: list[str] | None = None) -> DataFrame:
+    """Decoded and hit files of the same number and unit (and ``keys``: a run's, where there are several)."""
+    out = decoded.withColumnRenamed("path", "decoded_path").join(hits.withColumnRenamed("path", "hits_path"), [*(keys or []), "file_num", "feu"])
     if feus is not None:
         out = out.filter(F.col("feu").isin(feus))
     return out.filter(F.col("file_num").isin(files)) if files is not None else out

@@ -145,7 +145,12 @@ def zs_files(events: DataFrame, file: list[str], first: int = 200, channels: int
     return per.groupBy(*file).agg((upper_middle(F.collect_list("k")) < dense).alias("is_zs"))  # ``first`` values at most
 
 
-def largest_only(hits: DataFrame, keys: list[str]) -> DataFrame:
+def largest_only(hits: DataFrame, keys: list[str], order: str = "pulse_idx") -> DataFrame:
     """The largest pulse of each waveform, the first where tied."""
-    best = W.partitionBy(*keys, "channel").orderBy(F.desc("amplitude"), "start")
+    best = W.partitionBy(*keys, "channel").orderBy(F.desc("amplitude"), order)
     return hits.withColumn("rank", F.row_number().over(best)).filter("rank = 1").drop("rank")
+
+
+def gate_width(sample_ns: Column, boxcar_ns: float = 300.0) -> Column:
+    """The automatic width of the gate: halves are rounded away from zero, 3 at least."""
+    return F.greatest(F.lit(3), F.round(boxcar_ns / sample_ns).cast("int"))

@@ -25,9 +25,40 @@ def samples(spark: SparkSession, sf_dir: str, inject: bool = False) -> DataFrame
 
 def events(spark: SparkSession, sf_dir: str, inject: bool = True) -> DataFrame:
     """Event rows with three parallel arrays."""
-    rows = samples(spark, sf_dir, inject)
-    packed = rows.groupBy("feu", "entry").agg(F.sort_array(F.collect_list(F.struct("channel", "sample", "amplitude"))).alias("s"))
-    return packed.select("feu", "entry", F.col("entry").alias("eventId"), (F.col("entry") * 1000).alias("timestamp"), (F.col("entry") % 6).cast("int").alias("ftst"), *[F.col("s").getField(c).alias(c) for c in ("channel", "sample", "amplitude")])
+    return packed(samples(spark, sf_dir, inject))
+
+
+def packed(rows: DataFrame) -> DataFrame:
+    events_ = rows.groupBy("feu", "entry").agg(F.sort_array(F.collect_list(F.struct("channel", "sample", "amplitude"))).alias("s"))
+    return events_.select("feu", "entry", F.col("entry").alias("eventId"), (F.col("entry") * 1000).alias("timestamp"), (F.col("entry") % 6).cast("int").alias("ftst"), *[F.col("s").getField(c).alias(c) for c in ("channel", "sample", "amplitude")])
+
+
+def shaped_samples(spark: SparkSession, sf_dir: str, quiet: bool = False) -> DataFrame:
+    """``feu, entry, channel, sample, amplitude``: small noise and, by channel and entry, every kind of pulse.
+
+    One peak, two and three on top of each other, a saturated one, plateaus inside and at the start, and pulses cut by
+    either end of the window, one of them saturated; ``quiet`` leaves them out.
+    """
+    rows = read(spark, sf_dir, "embeddings").select(F.floor(F.col("vec_id") / WAVES).alias("entry"), (F.col("vec_id") % WAVES).alias("channel"), F.posexplode("embedding").alias("sample", "e"))
+    a, t = F.floor(256 + 100 * F.col("e").cast("double")), F.col("sample")
+
+    def peak(at, height: int, slope: int):
+        return F.greatest(F.lit(0), height - slope * F.abs(t - at))
+
+    shapes = {
+        0: a + peak(20 + F.col("channel") % 8, 1600, 300), 1: a + peak(20, 1200, 200) + peak(30, 1000, 200), 2: a + peak(30, 6000, 900),
+        3: F.when(F.abs(t - 25) < 8, 256 + F.least(F.lit(1000), 1600 - 200 * F.abs(t - 25))).otherwise(a), 4: a + peak(0, 900, 150), 5: a + peak(63, 900, 150),
+        6: a + peak(15, 800, 200) + peak(24, 1200, 200) + peak(33, 900, 200), 7: a + 500 * F.greatest(F.lit(0), t - 52),
+        8: F.when(t.between(40, 43), 956).when(t.between(44, 46), 556).otherwise(a),
+    }
+    v = a
+    for k, shape in {} if quiet else shapes.items():
+        v = F.when((F.col("channel") + F.col("entry")) % 16 == k, shape).otherwise(v)
+    return rows.select((F.col("entry") % 2).alias("feu"), "entry", "channel", t.cast("long").alias("sample"), F.least(F.lit(4095), v).cast("long").alias("amplitude"))
+
+
+def shaped_events(spark: SparkSession, sf_dir: str, quiet: bool = False) -> DataFrame:
+    return packed(shaped_samples(spark, sf_dir, quiet))
 
 
 def large_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,3 +118,35 @@ def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read(spark, sf_dir, "lineitem")
     return li.select((F.col("l_partkey") * 31 % 65536).cast("int").alias("w"), (F.col("l_orderkey") * 7 + F.col("l_linenumber")).alias("k"))
+
+
+def encoded_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frame files built from events, a file for 500 of them: ``path, file_num, feu, content``.
+
+    Sparse frames carry a few channels; every 11th frame is dense, with one block of 64 words, or of 63 now and then.
+    """
+    e, event = read(spark, sf_dir, "events"), F.col("event_id")
+    dense = event % 11 == 0
+
+    def words(*w):
+        return F.array(*[(x if hasattr(x, "cast") else F.lit(x)).cast("int") for x in w])
+
+    number = F.floor(event / 40)
+    head = words(24576 + F.when(dense, 7).otherwise(0x407), 24576 + number % 4096, 24576 + event % 4096, 24576 + F.col("user_id") % 32 * 8 + event % 8, 24576 + F.floor(number / 4096), 24576, 24576, 24576)
+    pairs = F.flatten(F.transform(F.sequence(F.lit(1), F.col("user_id") % 5), lambda j: words(4096 + F.floor((event * 7 + j) % 512 / 64) * 64 + (event * 7 + j) % 64, (event * 13 + j * 101) % 4096)))
+    sparse = F.when(F.col("user_id") % 5 > 0, pairs).otherwise(F.array().cast("array<int>"))
+    block = F.transform(F.sequence(F.lit(1), F.when(event % 33 == 0, 63).otherwise(64)), lambda j: ((event * 3 + j * 17) % 4096).cast("int"))
+    body = F.when(dense, F.concat(words(8192, 8192, 8192, 8192 + event % 8 * 512), block, words(16384))).otherwise(sparse)
+    tail = words(28672 + F.when(event % 7 == 0, 2048).otherwise(0), 4660)
+    hexed = F.array_join(F.transform(F.concat(head, body, tail), lambda w: F.lpad(F.hex(w), 4, "0")), "")
+    files = e.select(F.floor(event / 500).cast("int").alias("file_num"), event.alias("k"), hexed.alias("hexed")).groupBy("file_num")
+    whole = files.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("k", "hexed"))), lambda x: x.hexed), "").alias("hexed"))
+    return whole.select(F.concat(F.lit("/f_"), F.col("file_num").cast("string")).alias("path"), "file_num", (F.col("file_num") % 4).cast("int").alias("feu"), F.unhex("hexed").alias("content"))
+
+
+def chip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a chip configuration from suppliers: units and ``*``, known and unknown codes, comments, short lines."""
+    s, k = read(spark, sf_dir, "supplier"), F.col("s_suppkey")
+    unit = F.when(k % 5 == 0, "*").otherwise((k % 7).cast("string"))
+    line = F.concat(F.lit("Feu "), unit, F.lit(" Dream * "), (k % 3).cast("string"), F.lit(" 0x0 0x"), F.hex(k * 29 % 256), F.when(k % 4 == 0, " # slow").otherwise(""))
+    return s.select(k.alias("line_no"), F.when(k % 13 == 0, F.concat(F.lit("# "), line)).when(k % 17 == 0, "Feu 1 Dream").otherwise(line).alias("value"))

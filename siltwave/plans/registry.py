@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions import bits
 from ..operators import catalog, cluster, combine, loss, pedestals, pulses, qa, waveform
 from ..params import Params
+from ..sources import files
 from . import adapters as A
+from . import jobs
+from .pulse_sql import hits_sql
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -165,11 +171,103 @@ def flagship_pulses_by_channel(spark, sf_dir):
     return tops.groupBy("channel").agg(F.count("*").alias("pulses"), F.round(F.max("top"), 6).alias("highest"), F.sum(F.col("stop") - F.col("start") + 1).alias("width"))
 
 
+HIT_COLUMNS = ["feu", "entry", "eventId", "trigger_timestamp_ns", "channel", "pulse_idx", *pulses.NUMBERS, *pulses.FLAGS]
+ROUNDED = ", ".join(["feu", "entry", "eventId", "trigger_timestamp_ns", "channel", "pulse_idx", *[f"round({c}, 4) as {c}" for c in pulses.NUMBERS], *pulses.FLAGS])
+
+
+def rounded(hits):
+    shown = [F.round(c, 4).alias(c) if c in pulses.NUMBERS else F.col(c).cast("long").alias(c) if c in ("channel", "pulse_idx") else F.col(c) for c in HIT_COLUMNS]
+    return hits.select(*shown)
+
+
+def shaped_hits(spark, sf_dir, p: Params, settings=None):
+    peds = pedestals.from_events(A.shaped_events(spark, sf_dir, quiet=True), ["feu"], p, settings)
+    return pulses.find_hits(A.shaped_events(spark, sf_dir), peds, p, ["feu", "entry"], ["feu"], settings=settings)
+
+
+RAW_GATE, SMOOTHED = Params(boxcar_width=0, cns=False), Params(boxcar_width=5)
+
+
+@query(hits_sql(False, 0) + f" select {ROUNDED} from hits")
+def w9_w24_hits_raw_gate(spark, sf_dir):
+    """Every kind of pulse and every column of a hit, without common noise and smoothing."""
+    return rounded(shaped_hits(spark, sf_dir, RAW_GATE))
+
+
+@query(hits_sql(True, 5) + f" select {ROUNDED} from hits")
+def w9_w24_hits_smoothed(spark, sf_dir):
+    """The same after common noise, with a smoothed gate."""
+    return rounded(shaped_hits(spark, sf_dir, SMOOTHED))
+
+
+@query(hits_sql(True, 5, "case feu when 0 then 60 else 40 end", "feu = 1") + f" select {ROUNDED} from hits")
+def w24_p7_hits_by_unit(spark, sf_dir):
+    """Two units with different sample periods, one of them with the baseline of zero suppression."""
+    settings = spark.createDataFrame([(0, 60.0, 5, False), (1, 40.0, 5, True)], "feu long, sample_ns double, gate_width int, zs_baseline boolean")
+    return rounded(shaped_hits(spark, sf_dir, Params(), settings))
+
+
+@query(hits_sql(False, 0) + f" select {ROUNDED} from (select *, row_number() over (partition by feu, entry, channel order by amplitude desc, pulse_idx) as rank from hits) where rank = 1")
+def w22_largest_only(spark, sf_dir):
+    return rounded(waveform.largest_only(shaped_hits(spark, sf_dir, RAW_GATE), EVENT))
+
+
+@query(hits_sql(False, 0) + " select channel, count(*) as hits, round(min(significance), 4) as least from hits where significance >= 60 group by 1")
+def w25_tightened(spark, sf_dir):
+    kept = pulses.tightened(shaped_hits(spark, sf_dir, RAW_GATE), 60.0)
+    return kept.groupBy(F.col("channel").cast("long").alias("channel")).agg(F.count("*").alias("hits"), F.round(F.min("significance"), 4).alias("least"))
+
+
+@query(hits_sql(False, 0) + " select feu, entry, channel, pulse_idx, round(local_baseline, 4) as baseline_level, round(left_sample - 5, 4) as baseline_from, round(right_sample, 4) as baseline_to, round(local_baseline + amplitude, 4) as peak_level, round(max_sample - 0.5, 4) as peak_from, round(max_sample + 0.5, 4) as peak_to from hits")
+def q10_overlay_levels(spark, sf_dir):
+    out = qa.overlay_levels(shaped_hits(spark, sf_dir, RAW_GATE))
+    names = ("baseline_level", "baseline_from", "baseline_to", "peak_level", "peak_from", "peak_to")
+    return out.select("feu", "entry", F.col("channel").cast("long").alias("channel"), F.col("pulse_idx").cast("long").alias("pulse_idx"), *[F.round(c, 4).alias(c) for c in names])
+
+
+@query(hits_sql(False, 0) + " select feu, channel, count(*) as hits, round(sum(integral), 3) as integral, count_if(saturated) as saturated from hits group by 1, 2")
+def s3_hits_table(spark, sf_dir):
+    """Hits written as a table and read back by its schema."""
+    path = f"{files.scratch_dir(spark)}/hits-{uuid.uuid4().hex}"
+    hits = shaped_hits(spark, sf_dir, RAW_GATE).withColumns({"run": F.lit("r"), "sub_run": F.lit("s"), "file_num": F.lit(1), "feu": F.col("feu").cast("int")})
+    files.write_table(hits, path)
+    back = files.read_table(spark, path, schemas.HITS)
+    return back.groupBy(F.col("feu").cast("long").alias("feu"), F.col("channel").cast("long").alias("channel")).agg(F.count("*").alias("hits"), F.round(F.sum("integral"), 3).alias("integral"), F.count_if("saturated").alias("saturated"))
+
+
+@query(BASE + "select feu, channel, round(mean, 6) as mean, round(rms, 6) as rms from means join noise using (feu, channel)")
+def s2_s4_events_and_pedestals(spark, sf_dir):
+    """Event rows written and read back, pedestals taken from them, written and read back."""
+    base = f"{files.scratch_dir(spark)}/tables-{uuid.uuid4().hex}"
+    run = {"run": F.lit("r"), "sub_run": F.lit("s"), "file_num": F.lit(1), "feu": F.col("feu").cast("int")}
+    lists = {c: F.col(c).cast("array<int>") for c in ("sample", "channel", "amplitude")}
+    files.write_table(A.events(spark, sf_dir, inject=False).withColumns(run | lists), f"{base}/nt")
+    events = files.read_table(spark, f"{base}/nt", schemas.EVENTS)
+    files.write_table(pedestals.from_events(events, ["run", "sub_run", "feu"], Params()), f"{base}/pedestals", ("run", "sub_run"))
+    back = files.read_table(spark, f"{base}/pedestals", schemas.PEDESTALS)
+    return back.select(F.col("feu").cast("long").alias("feu"), F.col("channel").cast("long").alias("channel"), F.round("mean", 6).alias("mean"), F.round("rms", 6).alias("rms"))
+
+
+@query("select c_custkey as k, cast(greatest(3, round(300.0 / (10 + c_custkey % 200))) as int) as width from customer")
+def w6_gate_width(spark, sf_dir):
+    c = A.read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"))
+    return c.select("k", waveform.gate_width(10 + F.col("k") % 200).alias("width"))
+
+
+@query(BASE + "select feu, channel, 256.0 as mean, round(rms, 6) as rms, round(rms, 6) as rms_gate, n from noise join (select feu, channel, count(*) as n from samples group by all) using (feu, channel)")
+def p7_zs_baseline(spark, sf_dir):
+    """All means forced to the baseline of zero suppression, the noise kept."""
+    counts = A.samples(spark, sf_dir).groupBy("feu", "channel").agg(F.count("*").alias("n"))
+    peds = pedestals.from_events(A.events(spark, sf_dir, inject=False), ["feu"], Params(boxcar_width=0))
+    out = pedestals.look_up(counts, peds, ["feu"], zs_baseline=256.0)
+    return out.select("feu", "channel", "mean", F.round("rms", 6).alias("rms"), F.round("rms_gate", 6).alias("rms_gate"), "n")
+
+
 @query()
 def w24_fused_hits(spark, sf_dir):
-    """W1 to W23 in one pass over event rows."""
+    """W1 to W23 in one pass over event rows; held to SQL as ``w9_w24_hits_raw_gate`` on other waveforms."""
     p = Params(boxcar_width=0)
-    peds = pedestals.pedestals(A.samples(spark, sf_dir), ["feu"], ["entry"])
+    peds = pedestals.from_events(A.events(spark, sf_dir, inject=False), ["feu"], p)
     return pulses.find_hits(A.events(spark, sf_dir), peds, p, ["feu", "entry"], ["feu"])
 
 
@@ -179,7 +277,10 @@ def w26_derivative_seeds(spark, sf_dir):
     import numpy as np
     import pyarrow as pa
 
-    wf, peds = subtracted(spark, sf_dir)
+    quiet, keys = A.shaped_samples(spark, sf_dir, quiet=True), ["feu"]
+    peds = pedestals.pedestals(quiet, keys, ["entry"])
+    rows = A.shaped_samples(spark, sf_dir).join(peds, [*keys, "channel"])
+    wf = waveform.subtract_common_noise(rows.select(*EVENT, "channel", "sample", (F.col("amplitude") - F.col("mean")).alias("v")), EVENT)
     scaled = wf.join(peds.select("feu", "channel", "rms"), ["feu", "channel"]).withColumn("v", F.when(F.col("rms") > 0, F.col("v") / F.col("rms")).otherwise(0.0))
 
     def run(batches):
@@ -237,10 +338,14 @@ def j6_compatible_pairs(spark, sf_dir):
     return pairs.select("event", "axis", F.col("ord").cast("long").alias("ord"), F.col("ord2").cast("long").alias("ord2"))
 
 
-@query()
+@query("with recursive" + HITS.removeprefix("with") + """, evs as (select event, list({'c': channel, 'a': axis, 'x': x, 'y': y, 't': time} order by ord) as h from mapped group by event),
+steps as (select event, h, 0 as k, cast([] as bigint[]) as lab, cast(0 as bigint) as made from evs
+union all select event, h, k + 1, list_append(lab, coalesce(joins, made)), made + case when joins is null then 1 else 0 end from (select *, list_min([lab[j] for j in range(1, k + 1)
+if h[j].a = h[k + 1].a and (h[j].x - h[k + 1].x) * (h[j].x - h[k + 1].x) + (h[j].y - h[k + 1].y) * (h[j].y - h[k + 1].y) <= 4 and abs(h[j].t - h[k + 1].t) <= 10]) as joins from steps where k < len(h)))
+select event, cluster_id, any_value(s.a) as axis, count(*) as n_hits, array_to_string(list(s.c order by i), ',') as channels from (select event, unnest(lab) as cluster_id, unnest(h) as s, unnest(range(0, k)) as i from steps where k = len(h)) group by 1, 2""")
 def j7_j9_clusters(spark, sf_dir):
-    """Greedy first-fit in hit order; SQL can't express it, tests hold it to a plain loop."""
-    return cluster.cluster_hits(mapped(spark, sf_dir), ["event"])
+    """Greedy first-fit in hit order."""
+    return cluster.cluster_hits(mapped(spark, sf_dir), ["event"]).withColumn("channels", F.array_join("channels", ","))
 
 
 @query(HITS + """, ends as (select min(cast(amplitude as double)) as lo, max(cast(amplitude as double)) as hi from hits)
@@ -319,6 +424,57 @@ def q11_q13_q14_selection(spark, sf_dir):
     return tops.groupBy("entry").agg(F.count("*").alias("channels"), F.coalesce(F.max("top"), F.lit(0)).alias("top"))
 
 
+@query(HITS + """select channel, neighbours from (select p_partkey // 64 % 2 * 64 + p_partkey % 64 as channel, arg_max(p_size || ',' || p_partkey % 9, p_partkey) as neighbours from part group by 1)""")
+def s6_j4_strip_map(spark, sf_dir):
+    """A strip map written as text with blank and short lines, read back; the later line of a channel wins."""
+    p, k = A.read(spark, sf_dir, "part"), F.col("p_partkey")
+    line = F.concat_ws(",", F.floor(k / 64) % 2, k % 64, k, F.lit("x"), F.lit(1), F.lit(1), F.concat(F.lit(":"), "p_size", F.lit("::"), k % 9), F.lit(0.5), F.lit(1))
+    head = spark.createDataFrame([(-2, " "), (-1, "connector,channel,strip,axis,p,i,n,x,y"), (0, "0,5,short")], "k long, value string")
+    path = f"{files.scratch_dir(spark)}/strips-{uuid.uuid4().hex}"
+    head.unionByName(p.select(k.alias("k"), line.alias("value"))).coalesce(1).sortWithinPartitions("k").select("value").write.text(path)  # one detector's map
+    strips = combine.last_by_channel(files.read_strip_map(spark, path))
+    return strips.select(F.col("channel").cast("long").alias("channel"), F.array_join("neighbours", ",").alias("neighbours"))
+
+
+@query("select '/hits/' || n_name || '.parquet' as path, cast(n_nationkey as int) as feu from nation")
+def s10_combine_list(spark, sf_dir):
+    n = A.read(spark, sf_dir, "nation")
+    path = f"{files.scratch_dir(spark)}/inputs-{uuid.uuid4().hex}"
+    n.select(F.concat(F.lit('"/hits/'), "n_name", F.lit('.parquet" '), F.col("n_nationkey").cast("string"))).write.text(path)
+    return files.read_combine_list(spark, path)
+
+
+CHIP = """with lines as (select s_suppkey as k, case when s_suppkey % 5 = 0 then '*' else cast(s_suppkey % 7 as varchar) end as unit, s_suppkey * 29 % 256 // 16 as code from supplier where s_suppkey % 3 = 1 and s_suppkey % 13 <> 0 and s_suppkey % 17 <> 0),
+peaking as (select unit as feu_key, arg_max([76, 123, 180, 228, 283, 328, 388, 433, 578][code + 1], k) as ns from lines where code <= 8 group by 1)
+"""
+
+
+@query(CHIP + "select feu_key, cast(ns as int) as ns from peaking")
+def s8_c7_peaking_times(spark, sf_dir):
+    path = f"{files.scratch_dir(spark)}/chip-{uuid.uuid4().hex}"
+    A.chip_lines(spark, sf_dir).coalesce(1).sortWithinPartitions("line_no").select("value").write.text(path)  # one run's file
+    return catalog.peaking_times(files.read_config_lines(spark, path))
+
+
+@query(CHIP + """select u.run, u.feu, u.tps as sample_ns, case when coalesce(p.ns, (select ns from peaking where feu_key = '*')) is not null then cast(greatest(3, round_even(1.7 * coalesce(p.ns, (select ns from peaking where feu_key = '*')) / u.tps, 0)) as int) end as gate_width, zs and ped as zs_baseline
+from (select distinct 'run_' || o_orderkey % 50 as run, cast(o_custkey % 12 as int) as feu, 20.0 + o_orderkey % 50 as tps, o_orderkey % 50 % 2 = 0 as zs, o_orderkey % 50 % 3 = 0 as ped from orders) u left join peaking p on p.feu_key = cast(u.feu as varchar)""")
+def c8_c9_unit_settings(spark, sf_dir):
+    """Sample period, gate width and baseline flag of each unit of each run, from run and chip configurations."""
+    o, run = A.read(spark, sf_dir, "orders"), F.col("o_orderkey") % 50
+    runs = o.select(F.concat(F.lit("run_"), run.cast("string")).alias("run"), (20 + run).cast("double").alias("sample_period"), (run % 2 == 0).alias("zero_suppress"), (run % 3 == 0).alias("pedestal_subtraction")).distinct()
+    units = o.select(F.concat(F.lit("run_"), run.cast("string")).alias("run"), (F.col("o_custkey") % 12).cast("int").alias("feu")).distinct()
+    return jobs.unit_settings(units, catalog.peaking_times(A.chip_lines(spark, sf_dir)), runs)
+
+
+@query("select o_orderkey as k, case o_orderkey % 4 when 0 then '/d/' || o_custkey when 1 then '/peds/' || o_custkey when 2 then '/d/' || o_custkey else '/p/' || o_orderpriority end as folder from orders")
+def c5_pedestal_folders(spark, sf_dir):
+    o, k = A.read(spark, sf_dir, "orders"), F.col("o_orderkey")
+    same = F.concat(F.lit("/d/"), F.col("o_custkey").cast("string"))
+    choice = F.when(k % 4 == 0, "same").when(k % 4 == 1, F.concat(F.lit("/peds/"), F.col("o_custkey").cast("string"))).otherwise("named")
+    named = F.when(k % 4 == 3, F.concat(F.lit(" /p/"), "o_orderpriority", F.lit("\n")))
+    return o.select(k.alias("k"), catalog.pedestal_folder(choice, same, named).alias("folder"))
+
+
 NAMES = """with names as (select 'run_' || (o_orderkey % 50) as run, o_orderkey as length, '/data/run_' || (o_orderkey % 50) || '/det_123_45_' || case when o_orderkey % 10 = 0 then 'pedthr' else 'datrun' end || '_x_' || lpad(cast(o_orderkey // 50 % 1000 as varchar), 3, '0') || '_' || lpad(cast(o_custkey % 12 as varchar), 2, '0') || '.fdf' as path from orders),
 cat as (select *, cast(regexp_extract(path, '_(\\d{3})_(\\d{2})\\.', 1) as int) as file_num, cast(regexp_extract(path, '_(\\d{3})_(\\d{2})\\.', 2) as int) as feu, case when contains(path, '_datrun_') then 'data' when contains(path, '_pedthr_') then 'pedestal' else 'other' end as kind from names)
 """
@@ -362,6 +518,40 @@ def c11_run_filter(spark, sf_dir):
 LEDGER = "with ledger as (select o_orderpriority || ':' || o_orderkey as key, case o_orderstatus when 'F' then 'failed' when 'O' then 'ok' else 'running' end as status, floor(o_totalprice) as secs, cast(floor(o_totalprice / 10) as bigint) as bytes, o_custkey % 3 as rc from orders)\n"
 
 
+@query(NAMES + """, runs as (select distinct run, '/x/t' || (length % 50 % 7) || '.cfg' as wanted from names), copies as (select run, min(path) as path from cat where kind = 'data' and length % 50 % 2 = 0 group by 1)
+select run, coalesce(c.path || '.cfg_cpy', case when length % 7 = 0 then '/x/t0.cfg' when length % 7 < 5 then '/a/t' || (length % 7) || '.cfg' end) as path from (select run, any_value(length % 50) as length from names group by 1) r left join copies c using (run)
+where c.path is not null or length % 7 < 5""")
+def c10_config_or_template(spark, sf_dir):
+    """Runs with a copy of their configuration; the others take the template that they name, if some folder has it."""
+    o = A.file_names(spark, sf_dir).withColumn("k", F.col("length") % 50)
+    copies = o.filter("k % 2 = 0 and path like '%datrun%'").select("run", F.concat("path", F.lit(".cfg_cpy")).alias("path"))
+    runs = o.select("run", F.concat(F.lit("/x/t"), (F.col("k") % 7).cast("string"), F.lit(".cfg")).alias("daq_config_template_path")).distinct()
+    templates = spark.range(5).select(F.concat(F.lit("/a/t"), F.col("id").cast("string"), F.lit(".cfg")).alias("path"), F.lit(0).alias("rank"))
+    templates = templates.unionByName(templates.select(F.regexp_replace("path", "^/a", "/b").alias("path"), F.lit(1).alias("rank"))).unionByName(spark.range(1).select(F.lit("/x/t0.cfg").alias("path"), F.lit(2).alias("rank")))
+    return catalog.choose_config(copies, ["run"], runs, templates)
+
+
+@query(NAMES + "select path from cat where kind = 'pedestal' and length % 3 <> 0")
+def c12_undecoded_pedestals(spark, sf_dir):
+    o = A.file_names(spark, sf_dir)
+    made = o.filter("length % 3 = 0").withColumn("path", F.regexp_replace("path", r"\.fdf$", ".root"))
+    return catalog.undecoded_pedestals(o.unionByName(made)).select("path")
+
+
+@query(NAMES + """, d as (select run, file_num, feu, path from cat where kind = 'data' and length % 3 > 0), h as (select run, file_num, feu, path from cat where kind = 'data' and length % 4 > 0)
+select d.run, d.file_num, d.feu, d.path as decoded_path, h.path || '_hits' as hits_path from d join h on d.run = h.run and d.file_num = h.file_num and d.feu = h.feu where d.feu in (2, 3, 5)""")
+def q15_file_pairs(spark, sf_dir):
+    own = catalog.catalogue(A.file_names(spark, sf_dir)).filter("kind = 'data'")
+    decoded = own.filter("length % 3 > 0").select("run", "file_num", "feu", "path")
+    hits = own.filter("length % 4 > 0").select("run", "file_num", "feu", F.concat("path", F.lit("_hits")).alias("path"))
+    return qa.file_pairs(decoded, hits, feus=[2, 3, 5], keys=["run"]).select("run", "file_num", "feu", "decoded_path", "hits_path")
+
+
+@query(BASE + "select feu, min(entry) as entry, channel from samples where entry in (select min(entry) from samples group by feu) group by feu, channel")
+def q13_default_selection(spark, sf_dir):
+    return qa.default_selection(A.events(spark, sf_dir), ["feu"]).select("feu", "entry", F.col("channel").cast("long").alias("channel"))
+
+
 @query(LEDGER + "select key from ledger where status <> 'ok'")
 def c12_pending(spark, sf_dir):
     led = A.ledger(spark, sf_dir)
@@ -407,7 +597,29 @@ def d4_headers(spark, sf_dir):
     return heads.select("k", *[v.alias(c) for c, v in bits.header_fields(lambda i: F.col("h")[i]).items()])
 
 
-FRAMES = """with frames as (select event_type as file, event_id as frame_idx, event_id // 40 as event_id, user_id % 32 as sample_id, event_id % 7 = 0 as eoe, user_id % 5 as n_data, event_id % 3 = 0 as zs from events),
+DECODED = """with frames as (select cast(event_id // 500 as int) as file, cast(event_id // 500 % 4 as int) as feu, row_number() over (partition by event_id // 500 order by event_id) - 1 as frame_idx, event_id as k, user_id % 5 as few, event_id // 40 as event_id, event_id % 4096 as timestamp,
+user_id % 32 as sample_id, cast(event_id % 8 as int) as ftst, event_id % 7 = 0 as eoe, case when event_id % 33 = 0 then 63 when event_id % 11 = 0 then 64 else user_id % 5 end as n_data, event_id % 11 <> 0 as zs from events)
+"""
+
+
+@query(DECODED + """select file as file_num, feu, frame_idx, event_id, timestamp, sample_id, ftst, zs, eoe, cast(case when n_data = 63 then 1 else 0 end as int) as bad_blocks, n_data,
+cast(coalesce(case when zs then list_sum([(k * 7 + j) % 512 for j in range(1, few + 1)]) else n_data * (k % 8 * 64) + n_data * (n_data - 1) // 2 end, 0) as bigint) as channels,
+cast(coalesce(case when zs then list_sum([(k * 13 + j * 101) % 4096 for j in range(1, few + 1)]) else list_sum([(k * 3 + j * 17) % 4096 for j in range(1, n_data + 1)]) end, 0) as bigint) as amplitudes from frames""")
+def d1_d6_d7_decoded_frames(spark, sf_dir):
+    """Frames out of the binary words that are built from the events."""
+    out = files.decode(A.encoded_frames(spark, sf_dir))
+    total = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda t, x: t + x)
+    return out.select("file_num", "feu", "frame_idx", "event_id", "timestamp", "sample_id", "ftst", "zs", "eoe", "bad_blocks", "n_data", total("channel").alias("channels"), total("amplitude").alias("amplitudes"))
+
+
+@query("select cast(event_id // 500 as int) as file_num, sum(10 + case when event_id % 33 = 0 then 68 when event_id % 11 = 0 then 69 else 2 * (user_id % 5) end) as words from events group by 1")
+def d1_words(spark, sf_dir):
+    out = A.encoded_frames(spark, sf_dir).select("file_num", bits.words(F.col("content")).alias("w"))
+    return out.select("file_num", F.size("w").cast("long").alias("words"))
+
+
+FRAMES_TAIL = """,
+
 f1 as (select *, case when lag(eoe) over o is null or lag(eoe) over o or lag(event_id) over o <> event_id then 1 else 0 end as fresh from frames window o as (partition by file order by frame_idx)),
 f2 as (select *, sum(fresh) over (partition by file order by frame_idx) as grp from f1),
 g as (select file, grp, bool_or(eoe) as ended, sum(n_data) > 0 as data from f2 group by 1, 2),
@@ -416,6 +628,12 @@ closing as (select file, grp, case when ended then 0 when grp < last then 1 else
 owned as (select f.*, c.entry, c.reason from f2 f asof left join closing c on c.file = f.file and c.grp >= f.grp),
 entries as (select file, entry, max(reason) as reason, arg_max(event_id, frame_idx) as event_id, count(*) as frames, count(distinct sample_id) as seen from owned where entry is not null group by 1, 2)
 """
+FRAMES = """with frames as (select event_type as file, event_id as frame_idx, event_id // 40 as event_id, user_id % 32 as sample_id, event_id % 7 = 0 as eoe, user_id % 5 as n_data, event_id % 3 = 0 as zs from events)""" + FRAMES_TAIL
+LOSSES = """, t as (select file, count(*) as events, count_if(reason = 0) as closed_eoe, count_if(reason = 1) as closed_eventid, count_if(reason = 2) as closed_eof, arg_min(event_id, entry) as first_eventid,
+arg_max(event_id, entry) as last_eventid, cast(sum(seen) as bigint) as sum_distinct from entries group by 1),
+w as (select file, count(*) as feu_frames, cast(max(sample_id) + 1 as int) as samples_expected, bool_or(zs) as zs, bool_or(not zs) as raw from frames group by 1),
+u as (select *, greatest(0, case when last_eventid >= first_eventid then last_eventid - first_eventid + 1 else events end - events) as events_missing, cast(sum_distinct as double) / (events * samples_expected) as a, raw and not zs as dense from t join w using (file))
+"""
 
 
 @query(FRAMES + "select file, entry, event_id, reason from entries")
@@ -424,16 +642,20 @@ def d8_d9_event_assembly(spark, sf_dir):
     return loss.event_headers(own, ["file"], ["event_id"])
 
 
-@query(FRAMES + """, t as (select file, count(*) as events, count_if(reason = 0) as closed_eoe, count_if(reason = 1) as closed_eventid, count_if(reason = 2) as closed_eof, arg_min(event_id, entry) as first_eventid,
-arg_max(event_id, entry) as last_eventid, cast(sum(seen) as bigint) as sum_distinct from entries group by 1),
-w as (select file, count(*) as feu_frames, cast(max(sample_id) + 1 as int) as samples_expected, bool_or(zs) as zs, bool_or(not zs) as raw from frames group by 1),
-u as (select *, greatest(0, case when last_eventid >= first_eventid then last_eventid - first_eventid + 1 else events end - events) as events_missing, cast(sum_distinct as double) / (events * samples_expected) as a, raw and not zs as dense from t join w using (file))
-select file, events, closed_eoe, closed_eventid, closed_eof, feu_frames, first_eventid, last_eventid, sum_distinct, samples_expected, events_missing, cast(dense as int) as raw_mode, raw and zs as mixed, round(a, 9) as sample_acceptance_mean, events_missing > 0 or (dense and 1 - a > 0.001) as lossy from u""")
+@query(FRAMES + LOSSES + """select file, events, closed_eoe, closed_eventid, closed_eof, feu_frames, first_eventid, last_eventid, sum_distinct, samples_expected, events_missing, cast(dense as int) as raw_mode, raw and zs as mixed, round(a, 9) as sample_acceptance_mean, events_missing > 0 or (dense and 1 - a > 0.001) as lossy from u""")
 def l1_l7_loss_accounting(spark, sf_dir):
     out = loss.accounting(loss.entries(loss.assemble(A.frames(spark, sf_dir), ["file"]), ["file"]), ["file"])
     return out.withColumn("sample_acceptance_mean", F.round("sample_acceptance_mean", 9))
 
 
+@query(DECODED.rstrip() + FRAMES_TAIL + LOSSES + "select file as file_num, " + ", ".join(f"round(a, 9) as {c}" if c == "sample_acceptance_mean" else f"cast(dense as int) as {c}" if c == "raw_mode" else c for c in loss.STATS) + " from u")
+def s5_l1_l7_decode_stats(spark, sf_dir):
+    """Files decoded once; the loss table written beside the events and read back."""
+    path = f"{files.scratch_dir(spark)}/decoded-{uuid.uuid4().hex}"
+    stats = jobs.frames_to_events(A.encoded_frames(spark, sf_dir), path)[1]
+    return stats.drop("feu").withColumn("sample_acceptance_mean", F.round("sample_acceptance_mean", 9))
+
+
 @query(FRAMES + """, k as (select file, sample_id as sample, count(distinct entry) as k from owned where entry is not null group by 1, 2), n as (select file, count(*) as events from entries group by 1),
 every as (select file, unnest(range(0, max(sample_id) + 1)) as sample from frames group by file) select v.file, v.sample, round(coalesce(k, 0) / events, 9) as acceptance from every v join n on n.file = v.file left join k on k.file = v.file and k.sample = v.sample""")
 def l8_sample_acceptance(spark, sf_dir):

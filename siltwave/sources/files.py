@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
+
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -13,6 +16,20 @@ from ..operators import loss
 from ..operators.catalog import catalogue
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """A folder of this session in the one that the cluster names in ``spark.checkpoint.dir``.
+
+    Where that is unset, as in tests, a fresh local one; on a cluster executors would write where nobody reads.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.siltwave.scratch", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="spark-siltwave-")
+        spark.conf.set("spark.siltwave.scratch", base)
+    return f"{base.rstrip('/')}/siltwave-{spark.sparkContext.applicationId}"
+
+
 def list_files(spark: SparkSession, base: str, glob: str = "*") -> DataFrame:
     """``path, length, modificationTime`` of all files below a folder; contents are not read."""
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(base).select("path", "length", "modificationTime")
@@ -25,7 +42,21 @@ def read_frames(spark: SparkSession, paths: list[str], glob: str = "*.fdf") -> D
 
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(path)
+    """A table by its fixed schema; files of another schema fail rather than vanish."""
+    return spark.read.schema(schema).parquet(path)
+
+
+def read_hits(spark: SparkSession, inputs: list[tuple[str, int]], needed: tuple[str, ...] = ("channel", "amplitude")) -> list[tuple[DataFrame, int]]:
+    """Hit tables with their units; inputs that can't be read, or that aren't hits, are left out."""
+    found = []
+    for path, feu in inputs:
+        try:
+            hits = spark.read.option("ignoreCorruptFiles", "true").parquet(path)
+        except AnalysisException:
+            continue
+        if set(needed) <= set(hits.columns):
+            found.append((hits, feu))
+    return found
 
 
 def write_table(df: DataFrame, path: str, by: tuple[str, ...] = ("run", "sub_run", "file_num")) -> None:

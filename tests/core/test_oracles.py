@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("events", "embeddings", "part", "orders", "lineitem"):
+    for t in ("events", "embeddings", "part", "orders", "lineitem", "customer", "supplier", "nation"):
         con.execute(f"create view {t} as from '{SF}/{t}.parquet'")
     return con
 

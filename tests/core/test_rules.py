@@ -157,7 +157,7 @@ def test_greedy_clusters(spark):
                 break
         else:
             made.append([h])
-    want = sorted((e, k, c[0].axis, len(c), [o.channel for o in c]) for e, cs in events.items() for k, c in enumerate(cs))
+    want = sorted((e, k, c[0].axis, len(c), ",".join(str(o.channel) for o in c)) for e, cs in events.items() for k, c in enumerate(cs))
     assert rows(registry.j7_j9_clusters(spark, SF)) == sorted(want, key=repr)
 
 
