@@ -2,25 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-
-def scratch_dir(spark: SparkSession) -> str:
-    """A folder of this session in the one that the cluster names in ``spark.checkpoint.dir``.
-
-    Where that is unset, as in tests, a fresh local one; on a cluster executors would write where nobody reads.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.siltwave.scratch", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="spark-siltwave-")
-        spark.conf.set("spark.siltwave.scratch", base)
-    return f"{base.rstrip('/')}/siltwave-{spark.sparkContext.applicationId}"
+from ..sources.files import scratch_dir
 
 
 def clear_scratch(spark: SparkSession) -> None:

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -96,7 +97,8 @@ def fit(
             rows = [(x, *grams(t, features)) for x, t in zip(b.column("lang").to_pylist(), texts(b)) if has_letter(t)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1].tolist() for r in rows], pa.list_(pa.int32())), pa.array([r[2].tolist() for r in rows], pa.list_(pa.int64()))], ["lang", "at", "n"])
 
-    rows = picked.mapInArrow(run, "lang string, at array<int>, n array<bigint>").orderBy("lang", F.xxhash64("at", "n")).collect()
+    rows = picked.mapInArrow(run, "lang string, at array<int>, n array<bigint>").collect()  # per_lang rows a language at most
+    rows.sort(key=lambda r: (r.lang, xxhash.xxh64_intdigest(np.array([r.at, r.n], "<i8").tobytes()), r.at, r.n))
     if not rows:
         return None
     found = np.zeros(features)

@@ -218,10 +218,12 @@ def test_suffix_dedup(docs, empty, spark, monkeypatch):
             out.append((r[0], len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
         return out
 
-    def run(d):
-        return ordered((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in suffix_dedup.remove_repeats(d).collect())
+    def run(d, cover="content"):
+        return ordered((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in suffix_dedup.remove_repeats(d, cover=cover).collect())
 
-    assert run(docs) == ordered(brute(ROWS))
+    assert run(docs) == run(docs, "difference") == ordered(brute(ROWS))
+    p = suffix_dedup.PERIOD
+    assert {(a - b) % p for a in suffix_dedup.COVER for b in suffix_dedup.COVER} == set(range(p))
     rng = random.Random(9)
     small = []
     for i in range(120):  # few letters: partial matches of every length, at edges and inside
@@ -232,7 +234,8 @@ def test_suffix_dedup(docs, empty, spark, monkeypatch):
             t = t[: rng.randrange(60)] + other[a : a + rng.randrange(40, 80)] + t[: rng.randrange(30)]
         small.append((i, t))
     rng.shuffle(small)
-    assert run(spark.createDataFrame(small, "doc_id long, text string").repartition(4)) == ordered(brute(small))
+    few = spark.createDataFrame(small, "doc_id long, text string").repartition(4)
+    assert run(few) == run(few, "difference") == ordered(brute(small))
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
@@ -344,6 +347,35 @@ def test_language(docs, empty, spark):
     assert langid.predict(noise, langid.fit(real, per_lang=60)).first().rejected
 
 
+def test_language_is_that_of_the_nearest_centroid(docs, spark):
+    """A plain loop over words and dictionaries, with the fitted centroids."""
+    model = langid.fit(docs)
+    size = len(model.idf)
+
+    def plain(text):
+        letters = "".join(c if ord(c) > 127 or "a" <= c <= "z" else " " for c in text.lower())
+        raw = (" " + " ".join(x for x in letters.split(" ") if x) + " ").encode()
+        c = Counter()
+        for i in range(len(raw) - 1):
+            c[(int.from_bytes(raw[i : i + 2]) * 2654435761 % 2**32) * size >> 32] += 1
+            if i < len(raw) - 2:
+                c[((int.from_bytes(raw[i : i + 3]) ^ 0x5BD1E995) * 2654435761 % 2**32) * size >> 32] += 1
+        v = {k: (1 + math.log(n)) * model.idf[k] for k, n in c.items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        cosines = [sum(x * float(model.centroids[k, j]) for k, x in v.items()) / norm for j in range(len(model.langs))]
+        best = max(range(len(cosines)), key=cosines.__getitem__)
+        return model.langs[best], cosines[best], cosines[best] < model.reject[best]
+
+    got = {r.doc_id: r for r in langid.predict(docs, model).collect()}
+    checked = 0
+    for doc, text, *_ in ROWS[::3]:
+        if doc is not None and any(c.isalpha() for c in text or "") and len(text) < 3000:
+            lang, score, rejected = plain(text)
+            assert (got[doc].lang_pred, got[doc].rejected) == (lang, rejected) and got[doc].score == pytest.approx(score, abs=1e-5)
+            checked += 1
+    assert checked > 40
+
+
 def test_media(docs, empty):
     seen = {r.doc_id: r for r in media.inspect(media.store(docs), with_payload=True).collect()}
     for r in ROWS:
@@ -664,6 +696,76 @@ def test_pipeline(docs, empty, spark, tmp_path):
     assert ordered((r.doc_id, r.n_tokens) for r in ids) == ordered((r.doc_id, len(bpe.word_encoder(cp.WORD_BPE).encode([r.text or ""])[0])) for r in mixed)
 
 
+def test_every_query_gives_its_contract(spark):
+    """The queries' own columns over a whole small table, from the texts by plain means."""
+    from tokenizers import Tokenizer
+
+    sf = "/root/testdata/sf0.001"
+    docs = {r["doc_id"]: r["text"] or "" for r in pq.read_table(f"{sf}/documents.parquet").to_pylist()}
+    out = {n: {r.doc_id: r for r in f(spark, sf).collect()} for n, f in queries.QUERIES.items() if n[:5] in ("op3_t", "op4_s", "op5_t", "op7_l", "op8_m", "op9_p", "op10_")}
+    assert all(rows.keys() == docs.keys() for rows in out.values())
+    sha = lambda x: hashlib.sha256(x).hexdigest()
+    word, byte = (Tokenizer.from_file(public_tokenizers.path(n)) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
+    starts, start = {}, 0
+    first: dict[bytes, int] = {}
+    for d in sorted(docs):
+        raw = docs[d].encode()
+        for i in range(len(raw) - 49):
+            first.setdefault(raw[i : i + 50], d)
+    for d in sorted(docs):
+        text, raw = docs[d], docs[d].encode()
+        ids = word.encode(text, add_special_tokens=False).ids
+        r = out["op3_token_counts"][d]
+        n = len(byte.encode(text, add_special_tokens=False).ids)
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(raw), n, n > 512)
+        gone = np.zeros(len(raw), bool)
+        for i in range(len(raw) - 49):
+            if first[raw[i : i + 50]] < d:
+                gone[i : i + 50] = True
+        r = out["op4_suffix_dedup"][d]
+        spans = int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum())
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (len(raw), int(gone.sum()), spans, sha(np.frombuffer(raw, np.uint8)[~gone].tobytes()))
+        with_end = np.array(ids + [2], "<u4")
+        r = out["op5_token_files"][d]
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(with_end), zlib.crc32(with_end.tobytes()))
+        start += len(with_end)
+        r = out["op7_language_id"][d]
+        assert r.held_out == (zlib.crc32(str(d).encode()) % 5 == 0) and 0 <= r.score <= 1
+        padded = raw + bytes(max(64, -(-len(raw) // 64) * 64) - len(raw))
+        r = out["op8_media_columns"][d]
+        assert (r.payload_bytes, r.payload_sha256, r.tail_crc32, r.media_sha256) == (len(padded), sha(padded), zlib.crc32(padded[-64:]), sha(media.wrap(padded))) and r.feature.startswith("raw |")
+        r = out["op9_pii"][d]
+        base = naive_spans(text)
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[0] == k for s in base) for k in pii.KINDS]
+        assert r.base_sha256 == sha(",".join(f"{k}:{a}:{b}" for k, a, b in base).encode()) and r.spans == ",".join(f"{k}:{a}:{b}" for k, a, b in pii.all_spans(text)[1])
+        r = out["op10_bpe_round_trip"][d]
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), sha(np.array(ids, "<u4").tobytes()), sha(word.decode(ids, skip_special_tokens=False).encode()))
+
+
+def test_rows_of_one_id_with_other_texts_stay(spark):
+    import corpus_pipeline as cp
+
+    talk = lambda what: " ".join(f"{what}{i} runs along the {what} number {i * 7}" for i in range(40))
+    data = [(1, talk("river"), "en", "a", 1), (1, talk("mountain"), "en", "a", 1), (2, talk("river"), "en", "b", 1), (1, talk("river"), "en", "a", 1), (None, None, None, None, None)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long")
+    assert ordered(map(tuple, cp.drop_near_duplicates(spark, docs, "").collect())) == ordered([data[0], data[1], data[4]])
+
+
+def test_very_long_texts_and_clashing_names(spark):
+    """20 MB in one text, and columns with the names that the operators use inside."""
+    long = ("the quick brown fox jumps over 13 lazy dogs, again and again; " * 330_000)[: 20 << 20]
+    names = "rank ranker media_value doc pos node ids part row_key cut".split()
+    docs = spark.createDataFrame([(1, long, *names), (2, "short text here", *names)], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = {r.doc_id: r for r in bpe.round_trip(docs, path).collect()}
+    unit, _ = bpe.word_encoder(path).encode(["the quick brown fox jumps over 13 lazy dogs, again and again; "])
+    assert bytes(rows[1].ids).startswith(unit.tobytes() * 1000) and rows[1].readable.startswith("the quick brown fox")
+    assert {r.doc_id: r.n_bytes for r in token_count.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json")).collect()} == {1: 20 << 20, 2: 15}
+    assert {r.doc_id: r.payload_bytes for r in media.inspect(media.store(docs), with_payload=True).collect()} == {1: 20 << 20, 2: 64}
+    assert simhash.near_duplicates(docs).count() == pii.find_pii(docs).count() == 2
+    assert {r.doc_id: r.n_removed for r in suffix_dedup.remove_repeats(docs).select("doc_id", "n_removed").collect()} == {1: 0, 2: 0}
+
+
 def test_queries_are_registered():
     assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in queries.QUERIES if q != "pipeline"}
 
