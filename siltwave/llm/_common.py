@@ -33,6 +33,12 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` with columns c0, c1, ... and its schema as text, since Arrow functions fail on names with dots."""
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return plain, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema.fields)
+
+
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The column as Python strings, null as empty."""
     return [x or "" for x in batch.column(name).to_pylist()]

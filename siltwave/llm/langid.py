@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._common import pieces, texts
+from ._common import numbered, pieces, texts
 
 #: Bytes of ASCII that aren't letters count as one space.
 _LETTERS = bytes(b if b > 127 or 97 <= b <= 122 else 32 for b in range(256))
@@ -155,14 +155,19 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
 
 
 def keep_accepted(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """The rows, all columns as they are, whose text ``predict`` doesn't reject."""
+    """The rows, all columns as they are, whatever their names, whose text ``predict`` doesn't reject.
+
+    Null texts and texts without a letter go; repeated rows stay or go together.
+    """
+    plain, schema = numbered(docs)
+    name = f"c{docs.columns.index(text_col)}"
 
     def run(batches):
-        for b in pieces(batches, name=text_col):
-            out = verdicts(texts(b, text_col), model)[2]
+        for b in pieces(batches, name=name):
+            out = verdicts(texts(b, name), model)[2]
             yield b.filter(pa.array([not x for x in out], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return plain.mapInArrow(run, schema).toDF(*docs.columns)
 
 
 def held_out(id_col: str = "doc_id"):

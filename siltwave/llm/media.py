@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import pieces, texts
+from ._common import numbered, pieces, texts
 
 #: Fixed values of the container format: boxes that hold boxes, and the bytes before the first of those.
 NESTED = {b"moov": 0, b"trak": 0, b"mdia": 0, b"minf": 0, b"stbl": 0, b"edts": 0, b"dinf": 8, b"udta": 0, b"mvex": 0, b"moof": 0, b"traf": 0}
@@ -295,11 +295,11 @@ def inspect(media: DataFrame, media_col: str = "media", with_payload: bool = Fal
         new += ", payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string"
     names = [x.split(" ")[0] for x in new.split(", ")]
     kept = [c for c in media.columns if c not in names and c != media_col]
-    held = "media"
-    while held in kept:
-        held += "_"
-    chosen = media.select(*[F.col(f"`{c}`") for c in kept], F.col(media_col).alias(held))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1]] + [new])
+    schema = numbered(media.select(*[F.col(f"`{c}`") for c in kept]))[1]
+    held = "media_value"
+    chosen = media.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)], F.col(f"`{media_col}`").alias(held))
+    schema = ", ".join([x for x in (schema, new) if x])
+    carried = [f"c{i}" for i in range(len(kept))]
 
     def run(batches):
         for b in pieces(batches, 8 << 20, held):
@@ -313,6 +313,6 @@ def inspect(media: DataFrame, media_col: str = "media", with_payload: bool = Fal
                 for n in names:
                     rows[n].append(got[n])
             kinds = {n: pa.string() if n in ("codec", "key_ranges", "error", "payload_sha256", "media_sha256") else pa.int64() for n in names}
-            yield pa.RecordBatch.from_arrays([b.column(c) for c in kept] + [pa.array(rows[n], kinds[n]) for n in names], kept + names)
+            yield pa.RecordBatch.from_arrays([b.column(c) for c in carried] + [pa.array(rows[n], kinds[n]) for n in names], carried + names)
 
-    return chosen.mapInArrow(run, schema)
+    return chosen.mapInArrow(run, schema).toDF(*kept, *names)

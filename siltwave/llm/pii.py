@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import pieces, texts
+from ._common import numbered, pieces, texts
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -71,17 +71,15 @@ _SPELLED = re.compile(rf"(?i)\b{_DIGIT}(?:[ \t,-]{{1,3}}{_DIGIT}\b)*+(?![A-Za-z0
 _ONE = re.compile(rf"(?i){_DIGIT}")
 _GAP = r"(?:[ \t-]{1,3}|[.]|[ \t]?[()][ \t]?)"
 _DIGIT_BEFORE, _DIGIT_AFTER = re.compile(rf"[0-9]{_GAP}\Z"), re.compile(rf"{_GAP}[0-9]")
-_BRACKETED = re.compile(rf"(?i)[ \t]*[\[({{<][ \t]*(?:(?P<at>at|@|{OTHER_AT})|dot|[.]|{OTHER_DOT})[ \t]*[\])}}>][ \t]*")
+_BRACKETED = re.compile(rf"(?i)[ \t]{{0,9}}[\[({{<][ \t]{{0,9}}(?:(?P<at>at|@|{OTHER_AT})|dot|[.]|{OTHER_DOT})[ \t]{{0,9}}[\])}}>][ \t]{{0,9}}")
 _OTHERS = [(re.compile(rf"(?i)\b(?:{w})(?:[ \t,-]{{1,3}}(?:{w})\b){{2,}}(?![\w])"), re.compile(rf"(?i){w}"), {x: str(i) for i, x in enumerate(w.split("|"))}) for w in (x.replace(" ", "|") for x in OTHER_DIGITS)]
 _PLUS = re.compile(rf"(?i)\bplus[ \t]+(?=[0-9]|(?:{_EVERY_DIGIT})\b)")
-_PART = rf"(?:[0-9]{{1,3}}|(?:{_NUMBER})(?:[ \t-](?:{_NUMBER}))*)"
-_WORDED_IP = re.compile(rf"(?i)(?<![\w.]){_PART}(?:[ \t]+(?:dot|{OTHER_DOT})[ \t]+{_PART}){{3}}(?![\w])")
-_ANY_DOT = re.compile(rf"(?i)[ \t]+(?:dot|{OTHER_DOT})[ \t]+")
-_NAME = r"[A-Za-z0-9._%+-]++"
-_FOREIGN = re.compile(
-    rf"(?i)(?<![A-Za-z0-9._%+-]){_NAME}(?:[ \t]+(?:dot|{OTHER_DOT})[ \t]+{_NAME})*(?P<at>[ \t]+(?:at|{OTHER_AT})[ \t]+)[A-Za-z0-9-]++(?:(?:\.|[ \t]+(?:dot|{OTHER_DOT})[ \t]+)[A-Za-z0-9-]++)*"
-    rf"(?:\.|[ \t]+(?:dot|{OTHER_DOT})[ \t]+)(?P<last>[A-Za-z]{{2,}})\b"
-)
+_PART = rf"(?:[0-9]{{1,3}}|(?:{_NUMBER})\b(?:[ \t-](?:{_NUMBER})\b){{0,5}}+)"
+_WORDED_IP = re.compile(rf"(?i)(?<![\w.]){_PART}(?:[ \t]{{1,9}}(?:dot|{OTHER_DOT})[ \t]{{1,9}}{_PART}){{3}}(?![\w])")
+_ANY_DOT = re.compile(rf"(?i)[ \t]{{1,9}}(?:dot|{OTHER_DOT})[ \t]{{1,9}}")
+_OTHER_AT = re.compile(rf"(?i)(?<=[A-Za-z0-9_%+-])[ \t]{{1,9}}(?:at|{OTHER_AT})[ \t]{{1,9}}(?=[A-Za-z0-9])")
+_OTHER_LEFT = re.compile(rf"(?i)(?<![A-Za-z0-9._%+-])(?:[A-Za-z0-9._%+-]++[ \t]{{1,9}}(?:dot|{OTHER_DOT})[ \t]{{1,9}})*[A-Za-z0-9._%+-]++\Z")
+_OTHER_RIGHT = re.compile(rf"(?i)[A-Za-z0-9-]++(?:(?:\.|[ \t]{{1,9}}(?:dot|{OTHER_DOT})[ \t]{{1,9}})[A-Za-z0-9-]++)+")
 _AT = re.compile(r"(?i)(?<=[A-Za-z0-9_%+-])[ \t]{1,9}at[ \t]{1,9}(?=[A-Za-z0-9])|@")
 _LEFT = re.compile(r"(?i)(?<![A-Za-z0-9._%+-])(?:[A-Za-z0-9._%+-]++[ \t]{1,9}dot[ \t]{1,9})*[A-Za-z0-9._%+-]++\Z")
 _RIGHT = re.compile(r"(?i)[A-Za-z0-9-]++(?:(?:\.|[ \t]{1,9}dot[ \t]{1,9})[A-Za-z0-9-]++)+")
@@ -203,12 +201,17 @@ def worded_ips(text: str) -> list[tuple[int, int, str]]:
 
 def foreign(text: str) -> list[tuple[int, int, str]]:
     """Changes in addresses whose "at" or "dot" is said in another language; a plain "at" needs a known ending."""
-    out = []
-    for m in _FOREIGN.finditer(text):
-        strange = m["at"].strip().lower() != "at"
-        dots = [d for d in _ANY_DOT.finditer(text, m.start(), m.end())]
-        if strange or (m["last"].lower() in ENDINGS and any(d.group().strip().lower() != "dot" for d in dots)):
-            out += sorted([(d.start(), d.end(), ".") for d in dots] + [(m.start("at"), m.end("at"), "@")])
+    out, free = [], 0
+    for at in _OTHER_AT.finditer(text):
+        left, right = _OTHER_LEFT.search(text, max(free, at.start() - 200), at.start()), _OTHER_RIGHT.match(text, at.end(), at.end() + 200)
+        if not left or not right:
+            continue
+        last = re.split("[. \t]", right.group())[-1].lower()
+        dots = [d for d in (*_ANY_DOT.finditer(text, left.start(), at.start()), *_ANY_DOT.finditer(text, at.end(), right.end()))]
+        known = last in ENDINGS and any(d.group().strip().lower() != "dot" for d in dots)
+        if known or at.group().strip().lower() != "at" and _ENDING.fullmatch(last):
+            out += sorted([(d.start(), d.end(), ".") for d in dots] + [(at.start(), at.end(), "@")])
+            free = right.end()
     return out
 
 
@@ -336,11 +339,13 @@ def mask_column(docs: DataFrame, text_col: str = "text") -> DataFrame:
     Null stays null and an empty text empty; repeated rows repeat; of an empty table nothing comes.
     """
 
+    plain, schema = numbered(docs)
+    k = docs.columns.index(text_col)
+
     def run(batches):
-        for b in pieces(batches, name=text_col):
-            k = b.schema.get_field_index(text_col)
+        for b in pieces(batches, name=f"c{k}"):
             own = b.column(k).to_pylist()
             new = [x if not x else masked(x, all_spans(x, h)[1]) for x, h in zip(own, hinted([x or "" for x in own]))]
             yield b.set_column(k, b.schema.field(k), pa.array(new, b.schema.field(k).type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return plain.mapInArrow(run, schema).toDF(*docs.columns)
