@@ -85,20 +85,61 @@ def test_simhash(docs, empty):
         got = simhash.near_duplicates(docs, block=block)
         assert ordered(map(tuple, got.collect())) == ordered(want)
     assert simhash.near_duplicates(empty).count() == 0
+    wide = {(r.doc_id, r.fingerprint): r.component_id for r in simhash.near_duplicates(docs, most=7, size=5).filter("doc_id is not null").collect()}
+    own = [(d, f) for d, f in wide]
+    parent = {x: x for x in own}
+    for i, a in enumerate(own):
+        for b in own[i + 1 :]:
+            if (int(a[1], 16) ^ int(b[1], 16)).bit_count() <= 7 or a[0] == b[0]:
+                parent[find(a)] = find(b)
+    least = {}
+    for x in own:
+        least[find(x)] = min(x[0], least.get(find(x), x[0]))
+    assert wide == {x: least[find(x)] for x in own}
 
 
-def test_simhash_keys_meet_for_all_close_pairs(spark):
+@pytest.mark.parametrize("most", [3, 7])
+def test_simhash_keys_meet_for_all_close_pairs(spark, most, monkeypatch):
     rng = random.Random(1)
     pairs = []
     for _ in range(300):
         a = rng.getrandbits(64)
         b = a
-        for k in rng.sample(range(64), rng.randrange(1, 4)):
+        for k in rng.sample(range(64), rng.randrange(1, most + 1)):
             b ^= 1 << k
         pairs += [a, b]
     nodes = spark.createDataFrame([(i, f - (1 << 64) if f >> 63 else f) for i, f in enumerate(pairs)], "node long, fp long")
-    got = {frozenset(r) for r in simhash.links(nodes).collect()}
-    assert {frozenset((2 * i, 2 * i + 1)) for i in range(300)} <= got
+    for block in (4096, 2):
+        got = {frozenset(r) for r in simhash.links(nodes, most, block).collect()}
+        assert got == {frozenset((2 * i, 2 * i + 1)) for i in range(300)}
+    _, plan = simhash.ring_plan(most)
+    assert all(any((a ^ b) & m == 0 for _, m in plan) for a, b in zip(pairs[::2], pairs[1::2]))
+
+
+def test_simhash_buckets_of_every_size():
+    """Dense and large buckets give a forest that joins what all pairs would."""
+    rng = np.random.default_rng(2)
+    for most in (3, 7):
+        for n in (2, 40, 700):
+            seeds = rng.integers(0, 1 << 63, 3, dtype=np.uint64)
+            fps = np.unique(np.concatenate([s ^ (np.uint64(1) << rng.integers(0, 64, n, dtype=np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, n, dtype=np.uint64)) for s in seeds]))
+            rng.shuffle(fps)
+            for place in range(simhash.ring_plan(most)[0]):
+                chained = lambda x: len(simhash._chained(place, np.array([x]), most)) > 0
+                groups = list(range(len(fps)))
+
+                def find(x):
+                    while groups[x] != x:
+                        x = groups[x]
+                    return x
+
+                a, b = simhash.bucket_links(np.array([place]), np.array([len(fps)]), fps, most)
+                assert all(chained(fps[i] ^ fps[j]) for i, j in zip(a[:50], b[:50])) and len(a) <= 4 * len(fps)
+                for i, j in zip(a.tolist(), b.tolist()):
+                    groups[find(i)] = find(j)
+                for i in range(0, len(fps), max(1, len(fps) // 40)):
+                    near = simhash._chained(place, fps[i] ^ fps, most)
+                    assert {find(int(j)) for j in near} == ({find(i)} if len(near) else set())
 
 
 def test_components(spark):
@@ -692,7 +733,7 @@ def test_pipeline(docs, empty, spark, tmp_path):
         steps.append(now)
     first, unique, clean, mixed, ids = [s.collect() for s in steps]
     assert 0.9 * source.filter("text is not null").count() < len(first)
-    groups = {r.doc_id: r.component_id for r in simhash.near_duplicates(steps[0]).collect()}
+    groups = {r.doc_id: r.component_id for r in simhash.near_duplicates(steps[0], most=cp.NEAR_BITS, size=cp.NEAR_WORDS).collect()}
     assert sorted(r.doc_id for r in unique if r.doc_id is not None) == sorted({d for d, c in groups.items() if d is not None and d == c})
     texts = {r.doc_id: r.text for r in unique}
     assert all(r.text == pii.masked(texts[r.doc_id], pii.all_spans(texts[r.doc_id])[1]) for r in clean if r.doc_id is not None)
