@@ -17,6 +17,7 @@ from siltwave.llm import bpe, langid, mixing, pii, simhash
 from siltwave.llm._common import scratch_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+NEAR_WORDS, NEAR_BITS = 5, 7
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -29,11 +30,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near-duplicates, once; rows without an id stay.
 
+    Groups are of five-word shingles whose fingerprints differ in at most ``NEAR_BITS`` bits.
     Rows of one id with different texts are documents of their own: each stays unless its fingerprint is that of another
     row of the id, or its group has a smaller id.
     """
     key = F.xxhash64("text", "lang", "source", "n_chars")
-    near = simhash.near_duplicates(docs, row_key=key).filter("doc_id = component_id")
+    near = simhash.near_duplicates(docs, most=NEAR_BITS, size=NEAR_WORDS, row_key=key).filter("doc_id = component_id")
     groups = near.groupBy("doc_id", "fingerprint").agg(F.min("row_key").alias("row_key")).select("doc_id", "row_key")
     named = docs.filter("doc_id is not null").withColumn("row_key", key).join(groups, ["doc_id", "row_key"], "left_semi")
     one = F.row_number().over(W.partitionBy("doc_id", "row_key").orderBy("text", "lang", "source", "n_chars"))
