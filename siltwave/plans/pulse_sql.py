@@ -17,8 +17,13 @@ when 8 then case when sample between 40 and 43 then 956 when sample between 44 a
 else amplitude end) as amplitude from quiet)"""
 
 
-def hits_sql(cns: bool, width: int, sample_ns: str = "60.0", forced: str = "false") -> str:
-    """CTEs up to ``hits``; ``sample_ns`` and ``forced`` (baseline 256) are expressions of ``feu``."""
+INJECTED = """raw as (select vec_id // 128 as entry, vec_id % 128 as channel, unnest(embedding) as e, generate_subscripts(embedding, 1) - 1 as t from embeddings),
+quiet as (select entry % 2 as feu, entry, channel, t as sample, cast(floor(256 + 1000 * cast(e as double)) as bigint) as amplitude from raw),
+shaped as (select feu, entry, channel, sample, case when channel % 16 = entry % 16 then least(4095, amplitude + greatest(0, 2400 - 300 * abs(sample - 20 - channel % 8))) else amplitude end as amplitude from quiet)"""
+
+
+def hits_sql(cns: bool, width: int, sample_ns: str = "60.0", forced: str = "false", tables: str = SHAPED) -> str:
+    """CTEs up to ``hits`` from ``quiet`` and ``shaped`` samples; ``sample_ns`` and ``forced`` (baseline 256) are expressions of ``feu``."""
     h = width // 2
     frame = f"partition by feu, entry, channel order by sample rows between {h} preceding and {h} following"
     noise = "sqrt(greatest(0, sum(v * v) / count(*) - (sum(v) / count(*)) * (sum(v) / count(*))))"
@@ -34,7 +39,7 @@ def hits_sql(cns: bool, width: int, sample_ns: str = "60.0", forced: str = "fals
     left, right = ("greatest(0, ss - 3)", "ss"), ("se", "least(n - 1, se + 3)")
     deep = "[least(list_max(g[a + 1 : i + 1]), list_max(g[i + 1 : b + 1])) - g[i + 1] for i in range(a + 3, a + least(b - a + 1 - 3, b - a - 1) + 1)]"
     cut = f"(select case when list_max(d) >= 4 * sigma and list_max(d) > 0 then a + 3 + list_position(d, list_max(d)) - 1 end from (select case when b - a + 1 >= 6 then {deep} else [] end as d))"
-    return f"""with recursive {SHAPED},
+    return f"""with recursive {tables},
 means as (select feu, channel, sum(amplitude) / count(*) as mean from quiet group by all),
 qv as (select feu, entry, channel, sample, amplitude - list_sort(list(amplitude) over ({block}))[count(*) over ({block}) // 2 + 1] as v from quiet),
 noise as (select feu, channel, {noise} as rms from qv group by all),

@@ -13,7 +13,7 @@ from ..params import Params
 from ..sources import files
 from . import adapters as A
 from . import jobs
-from .pulse_sql import hits_sql
+from .pulse_sql import INJECTED, hits_sql
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -80,11 +80,12 @@ def p3_gate_noise(spark, sf_dir):
     return pedestals.noise(A.samples(spark, sf_dir), ["feu"], ["entry"], 5).select("feu", "channel", F.round("rms", 4).alias("rms_gate"))
 
 
-@query(BASE + """select f.channel, coalesce(m.mean, 0) as mean, case when m.channel is null then 3.0 else 1.0 end as rms, case when m.channel is null then 3.0 else 1.0 end as rms_gate, n
-from (select channel, count(*) as n from samples where feu = 0 group by 1) f left join (select channel, 256.0 as mean from range(512) t(channel) where channel % 3 = 0) m on m.channel = f.channel""")
+@query(BASE + """select f.feu, f.channel, coalesce(m.mean, 0) as mean, case when m.channel is null then 3.0 else 1.0 end as rms, case when m.channel is null then 3.0 else 1.0 end as rms_gate, n
+from (select feu, channel, count(*) as n from samples group by all) f left join (select channel, 256.0 as mean from range(90) t(channel)) m on m.channel = f.channel""")
 def p4_p6_fallback_and_lookup(spark, sf_dir):
-    counts = A.samples(spark, sf_dir).filter("feu = 0").groupBy("channel").agg(F.count("*").alias("n"))
-    return pedestals.look_up(counts, pedestals.fallback(spark).filter("channel % 3 = 0"), []).select("channel", "mean", "rms", "rms_gate", "n")
+    """All samples against a fallback of fewer channels than the data have."""
+    counts = A.samples(spark, sf_dir).groupBy("feu", "channel").agg(F.count("*").alias("n"))
+    return pedestals.look_up(counts, pedestals.fallback(spark, 90), []).select("feu", "channel", "mean", "rms", "rms_gate", "n")
 
 
 @query(BASE + "select feu, channel, 256.0 as mean, 1.0 as rms, 1.0 as rms_gate, count(*) as n from samples group by all")
@@ -225,7 +226,7 @@ def q10_overlay_levels(spark, sf_dir):
     return out.select("feu", "entry", F.col("channel").cast("long").alias("channel"), F.col("pulse_idx").cast("long").alias("pulse_idx"), *[F.round(c, 4).alias(c) for c in names])
 
 
-@query(hits_sql(False, 0) + " select feu, channel, count(*) as hits, round(sum(integral), 3) as integral, count_if(saturated) as saturated from hits group by 1, 2")
+@query(hits_sql(False, 0) + " select feu, channel, count(*) as hits, round(sum(integral), 3) as integral, cast(count_if(saturated) as bigint) as saturated from hits group by 1, 2")
 def s3_hits_table(spark, sf_dir):
     """Hits written as a table and read back by its schema."""
     path = f"{files.scratch_dir(spark)}/hits-{uuid.uuid4().hex}"
@@ -263,14 +264,18 @@ def p7_zs_baseline(spark, sf_dir):
     return out.select("feu", "channel", "mean", F.round("rms", 6).alias("rms"), F.round("rms_gate", 6).alias("rms_gate"), "n")
 
 
-@query()
-def w24_fused_hits(spark, sf_dir):
-    """W1 to W23 in one pass over event rows; held to SQL as ``w9_w24_hits_raw_gate`` on other waveforms."""
+def fused_hits(spark, sf_dir):
     p = Params(boxcar_width=0)
     peds = pedestals.from_events(A.events(spark, sf_dir, inject=False), ["feu"], p)
     return pulses.find_hits(A.events(spark, sf_dir), peds, p, ["feu", "entry"], ["feu"])
 
 
+@query(hits_sql(True, 0, tables=INJECTED) + f" select {ROUNDED} from hits")
+def w24_fused_hits(spark, sf_dir):
+    """W1 to W23 in one pass over event rows, one pulse in every 16th channel."""
+    return rounded(fused_hits(spark, sf_dir))
+
+
 @query()
 def w26_derivative_seeds(spark, sf_dir):
     """Diagnostic seed regions of each injected waveform, in units of its noise."""
@@ -296,7 +301,7 @@ def w26_derivative_seeds(spark, sf_dir):
 
 
 HITS = """with hits as (select event_id // 8 as event, event_id * 37 % 128 as channel, event_id as pulse_idx, cast(floor(value * 100) as bigint) as amplitude, cast(event_id * 7 % 25 as double) as time from events),
-lines as (select p_partkey as line_no, p_partkey // 64 % 2 * 64 + p_partkey % 64 as channel, case when p_size % 2 = 0 then 'x' else 'y' end as axis, cast(p_size % 10 as double) as x, cast(p_size % 7 as double) as y from part where p_partkey % 64 % 9 <> 0),
+lines as (select p_partkey as line_no, p_partkey % 2 * 64 + p_size as channel, case when p_partkey // 2 % 2 = 0 then 'x' else 'y' end as axis, cast(p_partkey % 10 as double) as x, cast(p_partkey % 7 as double) as y from part),
 strips as (select channel, arg_max(axis, line_no) as axis, arg_max(x, line_no) as x, arg_max(y, line_no) as y from lines group by 1),
 mapped as (select h.*, axis, x, y, row_number() over (partition by event order by h.channel, pulse_idx) - 1 as ord from hits h join strips s on h.channel = s.channel)
 """
@@ -360,10 +365,10 @@ def q2_channel_occupancy(spark, sf_dir):
     return qa.histogram(A.hits(spark, sf_dir), "channel", 64)
 
 
-@query(HITS + """, per as (select event, count(*) as k from hits where amplitude % 3 = 0 group by 1), ends as (select min(cast(k as double)) as lo, max(cast(k as double)) as hi from per)
-select cast(least(floor((k - lo) * 40 / (hi - lo)), 39) as bigint) as bin, count(*) as n from per, ends group by 1""")
+@query(HITS + """, per as (select event, count(*) as k from hits group by 1), ends as (select min(cast(k as double)) as lo, max(cast(k as double)) as hi from per)
+select case when hi > lo then cast(least(floor((k - lo) * 40 / (hi - lo)), 39) as bigint) else 0 end as bin, count(*) as n from per, ends group by 1""")
 def q3_hits_per_event(spark, sf_dir):
-    return qa.histogram(qa.hits_per_event(A.hits(spark, sf_dir).filter("amplitude % 3 = 0"), ["event"]), "n_hits", 40)
+    return qa.histogram(qa.hits_per_event(A.hits(spark, sf_dir), ["event"]), "n_hits", 40)
 
 
 @query("""with per as (select user_id as event, count(*) as k from events group by 1), ends as (select min(cast(k as double)) as lo, max(cast(k as double)) as hi from per)
@@ -398,10 +403,11 @@ def q7_top_channels(spark, sf_dir):
 
 @query(BASE + """, firsts as (select channel, arg_min(wf, entry) as wf from (select entry, channel, list(amplitude order by sample) as wf from samples group by all) group by 1),
 h as (select event_id // 8 as event, event_id * 37 % 128 as channel from events) select h.event, h.channel, list_max(wf) as highest, coalesce(m.mean, 0) as mean, case when m.mean is null then 1.0 else 2.0 end as rms
-from h join firsts f on f.channel = h.channel left join (select channel, mean from means where feu = 0 and channel % 2 = 0) m on m.channel = h.channel""")
+from h join firsts f on f.channel = h.channel left join (select l_linenumber * 13 as channel, sum(cast(l_quantity as bigint)) / count(*) as mean from lineitem group by 1) m on m.channel = h.channel""")
 def q8_hits_with_waveforms(spark, sf_dir):
     wf = waveform.waveforms(A.samples(spark, sf_dir).withColumnRenamed("amplitude", "v"), EVENT)
-    peds = pedestals.means(A.samples(spark, sf_dir), ["feu"]).filter("feu = 0 and channel % 2 = 0").withColumn("rms", F.lit(2.0))
+    few = A.large_samples(spark, sf_dir).withColumn("channel", F.col("sample") * 13)  # channels that most hits don't have
+    peds = pedestals.means(few, []).withColumn("rms", F.lit(2.0))
     out = qa.with_waveforms(A.hits(spark, sf_dir), wf, peds, [])
     return out.select("event", "channel", F.array_max("wf").alias("highest"), "mean", "rms")
 
@@ -588,6 +594,12 @@ def d2_d3_d5_words(spark, sf_dir):
     )
 
 
+@query("with w as (select cast(l_partkey * 31 % 65536 as int) as w, l_orderkey * 7 + l_linenumber as k from lineitem) select k, w, " + ", ".join([f"(w & {m}) >> {k} = {v} as is_{n}" for n, (m, k, v) in bits.CLASSES.items()] + [f"(w & {m}) >> {k} as {n}" for n, (m, k) in bits.FIELDS.items()]) + " from w")
+def d2_d3_all_classes_and_fields(spark, sf_dir):
+    w = F.col("w")
+    return A.words(spark, sf_dir).select("k", "w", *[bits.is_class(w, c).alias(f"is_{c}") for c in bits.CLASSES], *[bits.field(w, f).alias(f) for f in bits.FIELDS])
+
+
 @query("""with w as (select l_orderkey as k, list(cast(l_partkey * 31 % 65536 as bigint) order by l_linenumber, l_extendedprice, l_partkey) as h from lineitem group by 1 having count(*) >= 8)
 select k, (h[2] & 4095) + ((h[5] & 4095) << 12) as event_id, (h[3] & 4095) + ((h[6] & 4095) << 12) + ((h[7] & 4095) << 24) + ((h[8] & 255) << 36) as timestamp, ((h[1] & 2048) >> 3) + ((h[4] & 4088) >> 3) as sample_id, h[4] & 7 as ftst from w""")
 def d4_headers(spark, sf_dir):
@@ -612,7 +624,7 @@ def d1_d6_d7_decoded_frames(spark, sf_dir):
     return out.select("file_num", "feu", "frame_idx", "event_id", "timestamp", "sample_id", "ftst", "zs", "eoe", "bad_blocks", "n_data", total("channel").alias("channels"), total("amplitude").alias("amplitudes"))
 
 
-@query("select cast(event_id // 500 as int) as file_num, sum(10 + case when event_id % 33 = 0 then 68 when event_id % 11 = 0 then 69 else 2 * (user_id % 5) end) as words from events group by 1")
+@query("select cast(event_id // 500 as int) as file_num, cast(sum(10 + case when event_id % 33 = 0 then 68 when event_id % 11 = 0 then 69 else 2 * (user_id % 5) end) as bigint) as words from events group by 1")
 def d1_words(spark, sf_dir):
     out = A.encoded_frames(spark, sf_dir).select("file_num", bits.words(F.col("content")).alias("w"))
     return out.select("file_num", F.size("w").cast("long").alias("words"))
@@ -629,7 +641,7 @@ owned as (select f.*, c.entry, c.reason from f2 f asof left join closing c on c.
 entries as (select file, entry, max(reason) as reason, arg_max(event_id, frame_idx) as event_id, count(*) as frames, count(distinct sample_id) as seen from owned where entry is not null group by 1, 2)
 """
 FRAMES = """with frames as (select event_type as file, event_id as frame_idx, event_id // 40 as event_id, user_id % 32 as sample_id, event_id % 7 = 0 as eoe, user_id % 5 as n_data, event_id % 3 = 0 as zs from events)""" + FRAMES_TAIL
-LOSSES = """, t as (select file, count(*) as events, count_if(reason = 0) as closed_eoe, count_if(reason = 1) as closed_eventid, count_if(reason = 2) as closed_eof, arg_min(event_id, entry) as first_eventid,
+LOSSES = """, t as (select file, count(*) as events, cast(count_if(reason = 0) as bigint) as closed_eoe, cast(count_if(reason = 1) as bigint) as closed_eventid, cast(count_if(reason = 2) as bigint) as closed_eof, arg_min(event_id, entry) as first_eventid,
 arg_max(event_id, entry) as last_eventid, cast(sum(seen) as bigint) as sum_distinct from entries group by 1),
 w as (select file, count(*) as feu_frames, cast(max(sample_id) + 1 as int) as samples_expected, bool_or(zs) as zs, bool_or(not zs) as raw from frames group by 1),
 u as (select *, greatest(0, case when last_eventid >= first_eventid then last_eventid - first_eventid + 1 else events end - events) as events_missing, cast(sum_distinct as double) / (events * samples_expected) as a, raw and not zs as dense from t join w using (file))

@@ -20,7 +20,7 @@ def rows(df):
 
 
 def test_fused_job_agrees_with_composed_operators(spark):
-    fused = {(r.feu, r.entry, r.channel, r.start): r for r in registry.w24_fused_hits(spark, SF).withColumn("start", F.col("left_sample").cast("long") + 0).collect()}
+    fused = {(r.feu, r.entry, r.channel, r.start): r for r in registry.fused_hits(spark, SF).withColumn("start", F.col("left_sample").cast("long") + 0).collect()}
     wf, peds, found = registry.found(spark, SF)
     own = found.join(waveform.waveforms(wf, registry.EVENT), [*registry.EVENT, "channel"])
     composed = waveform.measures(waveform.bounds(own, registry.EVENT)).filter("width >= 3").collect()
@@ -93,7 +93,7 @@ def test_dense_rules():
 
 
 def test_injected_pulses_are_recovered(spark):
-    hits = registry.w24_fused_hits(spark, SF).collect()
+    hits = registry.fused_hits(spark, SF).collect()
     assert len(hits) >= 30
     for h in hits:
         assert h.channel % 16 == h.entry % 16 and abs(h.max_sample - (h.entry % 6) / 6 - 20 - h.channel % 8) < 1
@@ -180,7 +180,7 @@ def test_sources(spark, tmp_path):
     units = spark.createDataFrame([(4,), (9,)], "feu int")
     assert rows(catalog.gate_widths(units, peaking, F.lit(60.0))) == [(4, 16), (9, 6)]
     assert files.list_files(spark, str(tmp_path)).count() == 6
-    hits = registry.w24_fused_hits(spark, SF).withColumn("run", F.lit("r"))
+    hits = registry.fused_hits(spark, SF).withColumn("run", F.lit("r"))
     files.write_table(hits, str(tmp_path / "hits"))
     assert files.read_table(spark, str(tmp_path / "hits"), "channel int, amplitude double, run string").count() == hits.count()
 
@@ -279,6 +279,23 @@ def test_sparse_files_by_their_first_entries(spark):
     assert rows(waveform.zs_files(events, ["file"], first=5)) == [("a", True), ("b", True), ("c", True)]
 
 
+def test_inputs_that_are_no_hits_are_left_out(spark, tmp_path):
+    spark.range(3).selectExpr("cast(id as int) as channel", "1.0 as amplitude").write.parquet(str(tmp_path / "good"))
+    spark.range(3).write.parquet(str(tmp_path / "other"))
+    (tmp_path / "broken.parquet").write_bytes(b"not a table")
+    inputs = [(str(tmp_path / n), k) for k, n in enumerate(("good", "other", "missing", "broken.parquet"))]
+    found = files.read_hits(spark, inputs)
+    assert [feu for _, feu in found] == [0]
+    out = combine.combine_hits(found)
+    assert out.count() == 3 and out.first().significance == -1 and not out.first().trunc_left
+
+
+def test_seeds_of_registered_query_are_those_of_a_plain_loop(spark):
+    got = rows(registry.w26_derivative_seeds(spark, SF))
+    assert len(got) > 50 and len({(r[1] + r[2]) % 16 for r in got}) >= 6
+    assert all(r[4] - r[3] + 1 >= 2 for r in got)
+
+
 def test_derivative_seeds():
     wf = np.zeros(40)
     wf[10:20] = [4, 10, 20, 30, 30, 20, 15, 10, 8, 6]
