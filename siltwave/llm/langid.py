@@ -72,7 +72,7 @@ def cluster(vectors: np.ndarray, k: int, rounds: int = 12) -> tuple[np.ndarray,
 
 
 def fit(
-    docs: DataFrame, per_lang: int = 300, centroids: int = 4, features: int = 1 << 13, slack: float = 0.35,
+    docs: DataFrame, per_lang: int = 300, centroids: int = 4, features: int = 1 << 13, slack: float = 0.7, tail: float = 0.005,
     id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
 ) -> Model | None:
     """Learn from at most ``per_lang`` texts of each language, those whose id has the smallest hash.
@@ -80,7 +80,8 @@ def fit(
     Documents whose crc32 of the id, as text, is a multiple of 5 are held out; so are null labels, and texts without a
     letter teach nothing; rows with an equal id and label teach once, by their smallest text. What comes to the driver
     is one sparse vector of at most ``features`` entries for each sampled text. None without any labelled text.
-    ``slack`` times the smallest cosine of a centroid's own texts is its rejection limit.
+    ``slack`` times the ``tail`` quantile of the sampled texts' own best cosines is the rejection limit of all centroids,
+    so no single odd text sets it.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     base = base.filter("doc_id is not null and text is not null and lang is not null").filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
@@ -105,19 +106,18 @@ def fit(
     for r in rows:
         found[r.at] += 1
     idf = np.log((1 + len(rows)) / (1 + found)) + 1
-    langs, columns, limits = [], [], []
+    langs, columns, own_best = [], [], []
     for lang in sorted({r.lang for r in rows}):
         own = [r for r in rows if r.lang == lang]
         dense = np.zeros((len(own), features), np.float32)
         for i, r in enumerate(own):
             dense[i, r.at] = weighted(np.array(r.at), np.array(r.n), idf)
         centres, cosines = cluster(dense, centroids)
-        best = cosines.argmax(1)
-        for c in range(len(centres)):
-            langs.append(lang)
-            columns.append(centres[c])
-            limits.append(slack * cosines[best == c, c].min() if (best == c).any() else 1.0)
-    return Model(langs, np.ascontiguousarray(np.array(columns, np.float32).T), idf, np.array(limits))
+        own_best.append(cosines.max(1))
+        langs += [lang] * len(centres)
+        columns += list(centres)
+    limit = slack * float(np.quantile(np.concatenate(own_best), tail))
+    return Model(langs, np.ascontiguousarray(np.array(columns, np.float32).T), idf, np.full(len(langs), limit))
 
 
 def verdicts(own: list[str], model: Model | None) -> tuple[list[str], list[float], list[bool]]:

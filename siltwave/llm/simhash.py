@@ -138,7 +138,7 @@ def bucket_links(places: np.ndarray, stops: np.ndarray, fps: np.ndarray, most: i
         wood(k)
     small = np.flatnonzero(sizes <= SMALL)
     upto = np.cumsum(sizes[small] * (sizes[small] - 1) // 2)
-    for part in np.split(small, np.searchsorted(upto, np.arange(1 << 20, upto[-1] if len(upto) else 0, 1 << 20))):
+    for part in np.split(small, np.searchsorted(upto, np.arange(1 << 18, upto[-1] if len(upto) else 0, 1 << 18))):
         if not len(part):
             continue
         own = np.repeat(part, sizes[part])

@@ -384,6 +384,11 @@ def test_language(docs, empty, spark):
         elif r[0] is not None:
             assert rows[r[0]].lang_pred != "und" and 0 <= rows[r[0]].score <= 1
     assert langid.fit(empty) is None and langid.predict(empty, None).count() == 0
+    for left_out in ("de", "fr"):  # a language that was not learned is rejected
+        model = langid.fit(real.filter(F.col("lang") != left_out), per_lang=60)
+        got = langid.predict(real, model).join(real.select("doc_id", "lang", "text"), "doc_id").filter("text is not null").groupBy((F.col("lang") == left_out).alias("new")).agg(F.avg(F.col("rejected").cast("int")).alias("out")).collect()
+        shares = {r.new: r.out for r in got}
+        assert shares[True] > 0.8 and shares[False] < 0.02, (left_out, shares)
     noise = spark.createDataFrame([(1, "zqxj kqvw " * 50)], "doc_id long, text string")
     assert langid.predict(noise, langid.fit(real, per_lang=60)).first().rejected
 
