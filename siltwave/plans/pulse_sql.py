@@ -86,3 +86,26 @@ hits as (select feu, entry, entry as eventId, entry * 10000 as trigger_timestamp
 (place + late) * ns as time_of_max, timing + late as sample, place + late as max_sample, base as local_baseline, best - base as local_max, l + late as left_sample, r + late as right_sample, (r - l) * ns as time_over_threshold,
 list_sum([x - base for x in w[i0 + 1 : j0 + 1]]) as integral, case when sigma > 0 then list_max(g[a + 1 : b + 1]) / sigma else 0 end as significance, saturated, a = 0 as trunc_left, b = n - 1 as trunc_right from r11)
 """
+
+
+def seeds_sql() -> str:
+    """Derivative seeds of the shaped waveforms after common noise, in units of each channel's noise."""
+    block = "partition by feu, entry, channel // 64, sample"
+    before, after = "coalesce(list_max([i for i in range(0, {0}) if w[i + 1] <= 5]) + 1, 0)", "coalesce(list_min([i for i in range({0} + 1, n) if w[i + 1] <= 5]) - 1, n - 1)"
+    return f"""with recursive {SHAPED},
+means as (select feu, channel, sum(amplitude) / count(*) as mean from quiet group by all),
+qv as (select feu, channel, amplitude - list_sort(list(amplitude) over ({block}))[count(*) over ({block}) // 2 + 1] as v from quiet),
+noise as (select feu, channel, sqrt(greatest(0, sum(v * v) / count(*) - (sum(v) / count(*)) * (sum(v) / count(*)))) as rms from qv group by all),
+sub as (select feu, entry, channel, sample, amplitude - mean as v from shaped join means using (feu, channel)),
+wf as (select feu, entry, channel, sample, v - list_sort(list(v) over ({block}))[count(*) over ({block}) // 2 + 1] as v from sub),
+waves as (select feu, entry, channel, list(case when rms > 0 then v / rms else 0 end order by sample) as w, count(*) as n from wf join noise using (feu, channel) group by all),
+smooth as (select *, [list_sum(w[greatest(i - 3, 0) + 1 : least(i + 3, n - 1) + 1]) / (least(i + 3, n - 1) - greatest(i - 3, 0) + 1) for i in range(0, n)] as sm from waves),
+slopes as (select *, [case when i = 0 then sm[2] - sm[1] when i = n - 1 then sm[n] - sm[n - 1] else (sm[i + 2] - sm[i]) / 2 end for i in range(0, n)] as sl from smooth),
+tops as (select feu, entry, channel, w, n, sl, [i for i in range(1, n - 1) if sl[i + 1] > 3 and sl[i + 1] >= sl[i] and sl[i + 1] >= sl[i + 2]] as tops from slopes),
+merged as (select *, 0 as k, cast([] as bigint[]) as seeds from tops
+union all select feu, entry, channel, w, n, sl, tops, k + 1, case when len(seeds) > 0 and tops[k + 1] - seeds[len(seeds)] <= 4
+then list_append(seeds[1 : len(seeds) - 1], case when sl[tops[k + 1] + 1] > sl[seeds[len(seeds)] + 1] then tops[k + 1] else seeds[len(seeds)] end) else list_append(seeds, tops[k + 1]) end from merged where k < len(tops)),
+each as (select feu, entry, channel, w, n, unnest(seeds) as s, unnest(list_append(seeds[2:], null)) as nxt from merged where k = len(tops) and len(seeds) > 0),
+ends as (select *, {before.format("s")} as a, {after.format("s")} as b0, case when nxt is not null then {before.format("nxt")} end as na from each),
+cut as (select feu, entry, channel, a, case when na <= b0 then s + list_position(w[s + 1 : nxt], list_min(w[s + 1 : nxt])) - 1 else b0 end as b from ends)
+select feu, entry, channel, a as start, b as stop from cut where b - a + 1 >= 2"""

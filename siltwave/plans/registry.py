@@ -13,7 +13,7 @@ from ..params import Params
 from ..sources import files
 from . import adapters as A
 from . import jobs
-from .pulse_sql import INJECTED, hits_sql
+from .pulse_sql import INJECTED, hits_sql, seeds_sql
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -276,7 +276,7 @@ def w24_fused_hits(spark, sf_dir):
     return rounded(fused_hits(spark, sf_dir))
 
 
-@query()
+@query(seeds_sql())
 def w26_derivative_seeds(spark, sf_dir):
     """Diagnostic seed regions of each injected waveform, in units of its noise."""
     import numpy as np
@@ -442,6 +442,29 @@ def s6_j4_strip_map(spark, sf_dir):
     return strips.select(F.col("channel").cast("long").alias("channel"), F.array_join("neighbours", ",").alias("neighbours"))
 
 
+@query("select cast(n_nationkey as bigint) as n_nationkey, n_name || chr(10) as content, cast(length(n_name) + 1 as bigint) as bytes from nation")
+def s1_s9_files(spark, sf_dir):
+    """A folder with a file for each nation, listed without and read with its contents."""
+    path = f"{files.scratch_dir(spark)}/files-{uuid.uuid4().hex}"
+    A.read(spark, sf_dir, "nation").select("n_nationkey", "n_name").repartition(1).write.partitionBy("n_nationkey").text(path)
+    key = F.regexp_extract("path", "n_nationkey=([0-9]+)", 1).cast("long").alias("n_nationkey")
+    listed = files.list_files(spark, path, "*.txt").select(key, F.col("length").alias("bytes"))
+    read = files.read_frames(spark, [path], "*.txt").select(key, F.col("content").cast("string").alias("content"))
+    return listed.join(read, "n_nationkey").select("n_nationkey", "content", "bytes")
+
+
+@query("""select 'run=' || s_suppkey as run, case when s_nationkey < 5 or s_suppkey % 4 = 3 or s_suppkey % 3 = 0 then 60.0 else cast(20 + s_suppkey % 9 as double) end as sample_period, s_nationkey >= 5 and s_suppkey % 4 <> 3 and s_suppkey % 2 = 0 as zero_suppress,
+s_nationkey >= 5 and s_suppkey % 4 <> 3 and s_suppkey % 5 = 0 as pedestal_subtraction, case when s_nationkey >= 5 and s_suppkey % 4 <> 3 then '/x/' || s_name end as daq_config_template_path from supplier""")
+def s7_run_config(spark, sf_dir):
+    """A configuration for each supplier; some have none, some no JSON, some lack a key."""
+    s, k = A.read(spark, sf_dir, "supplier"), F.col("s_suppkey")
+    period = F.when(k % 3 == 0, "").otherwise(F.format_string('"sample_period": %d, ', 20 + k % 9))
+    text = F.concat(F.lit('{"dream_daq_info": {'), period, F.format_string('"zero_suppress": %s, "pedestal_subtraction": %s, "daq_config_template_path": "/x/%s"}}', k % 2 == 0, k % 5 == 0, "s_name"))
+    path = f"{files.scratch_dir(spark)}/configs-{uuid.uuid4().hex}"
+    s.filter("s_nationkey >= 5").select(k.alias("run"), F.when(k % 4 == 3, "{").otherwise(text).alias("value")).repartition(1).write.partitionBy("run").text(path)
+    return files.read_run_config(spark, s.select(F.concat(F.lit("run="), k.cast("string")).alias("run")), path, "*.txt")
+
+
 @query("select '/hits/' || n_name || '.parquet' as path, cast(n_nationkey as int) as feu from nation")
 def s10_combine_list(spark, sf_dir):
     n = A.read(spark, sf_dir, "nation")
@@ -524,33 +547,33 @@ def c11_run_filter(spark, sf_dir):
 LEDGER = "with ledger as (select o_orderpriority || ':' || o_orderkey as key, case o_orderstatus when 'F' then 'failed' when 'O' then 'ok' else 'running' end as status, floor(o_totalprice) as secs, cast(floor(o_totalprice / 10) as bigint) as bytes, o_custkey % 3 as rc from orders)\n"
 
 
-@query(NAMES + """, runs as (select distinct run, '/x/t' || (length % 50 % 7) || '.cfg' as wanted from names), copies as (select run, min(path) as path from cat where kind = 'data' and length % 50 % 2 = 0 group by 1)
+@query(NAMES + """, runs as (select distinct run, '/x/t' || (length % 50 % 7) || '.cfg' as wanted from names), copies as (select run, min(path) as path from cat where kind = 'data' and run < 'run_3' group by 1)
 select run, coalesce(c.path || '.cfg_cpy', case when length % 7 = 0 then '/x/t0.cfg' when length % 7 < 5 then '/a/t' || (length % 7) || '.cfg' end) as path from (select run, any_value(length % 50) as length from names group by 1) r left join copies c using (run)
 where c.path is not null or length % 7 < 5""")
 def c10_config_or_template(spark, sf_dir):
     """Runs with a copy of their configuration; the others take the template that they name, if some folder has it."""
     o = A.file_names(spark, sf_dir).withColumn("k", F.col("length") % 50)
-    copies = o.filter("k % 2 = 0 and path like '%datrun%'").select("run", F.concat("path", F.lit(".cfg_cpy")).alias("path"))
+    copies = o.filter("run < 'run_3' and path like '%datrun%'").select("run", F.concat("path", F.lit(".cfg_cpy")).alias("path"))
     runs = o.select("run", F.concat(F.lit("/x/t"), (F.col("k") % 7).cast("string"), F.lit(".cfg")).alias("daq_config_template_path")).distinct()
     templates = spark.range(5).select(F.concat(F.lit("/a/t"), F.col("id").cast("string"), F.lit(".cfg")).alias("path"), F.lit(0).alias("rank"))
     templates = templates.unionByName(templates.select(F.regexp_replace("path", "^/a", "/b").alias("path"), F.lit(1).alias("rank"))).unionByName(spark.range(1).select(F.lit("/x/t0.cfg").alias("path"), F.lit(2).alias("rank")))
     return catalog.choose_config(copies, ["run"], runs, templates)
 
 
-@query(NAMES + "select path from cat where kind = 'pedestal' and length % 3 <> 0")
+@query(NAMES + "select path from cat where kind = 'pedestal' and feu >= 6")
 def c12_undecoded_pedestals(spark, sf_dir):
     o = A.file_names(spark, sf_dir)
-    made = o.filter("length % 3 = 0").withColumn("path", F.regexp_replace("path", r"\.fdf$", ".root"))
+    made = catalog.catalogue(o).filter("feu < 6").select(*o.columns).withColumn("path", F.regexp_replace("path", r"\.fdf$", ".root"))
     return catalog.undecoded_pedestals(o.unionByName(made)).select("path")
 
 
-@query(NAMES + """, d as (select run, file_num, feu, path from cat where kind = 'data' and length % 3 > 0), h as (select run, file_num, feu, path from cat where kind = 'data' and length % 4 > 0)
-select d.run, d.file_num, d.feu, d.path as decoded_path, h.path || '_hits' as hits_path from d join h on d.run = h.run and d.file_num = h.file_num and d.feu = h.feu where d.feu in (2, 3, 5)""")
+@query(NAMES + """, d as (select run, file_num, feu, path from cat where kind = 'data' and feu <> 4), h as (select run, file_num, feu, path from cat where kind = 'data' and feu <> 5)
+select d.run, d.file_num, d.feu, d.path as decoded_path, h.path || '_hits' as hits_path from d join h on d.run = h.run and d.file_num = h.file_num and d.feu = h.feu where d.feu in (2, 3, 4, 5)""")
 def q15_file_pairs(spark, sf_dir):
     own = catalog.catalogue(A.file_names(spark, sf_dir)).filter("kind = 'data'")
-    decoded = own.filter("length % 3 > 0").select("run", "file_num", "feu", "path")
-    hits = own.filter("length % 4 > 0").select("run", "file_num", "feu", F.concat("path", F.lit("_hits")).alias("path"))
-    return qa.file_pairs(decoded, hits, feus=[2, 3, 5], keys=["run"]).select("run", "file_num", "feu", "decoded_path", "hits_path")
+    decoded = own.filter("feu <> 4").select("run", "file_num", "feu", "path")  # unit 4 isn't decoded, unit 5 has no hits
+    hits = own.filter("feu <> 5").select("run", "file_num", "feu", F.concat("path", F.lit("_hits")).alias("path"))
+    return qa.file_pairs(decoded, hits, feus=[2, 3, 4, 5], keys=["run"]).select("run", "file_num", "feu", "decoded_path", "hits_path")
 
 
 @query(BASE + "select feu, min(entry) as entry, channel from samples where entry in (select min(entry) from samples group by feu) group by feu, channel")

@@ -81,13 +81,13 @@ def read_strip_map(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_run_config(spark: SparkSession, runs: DataFrame, path: str) -> DataFrame:
-    """``runs`` (with ``run``) and four settings from ``path``/<run>/run_config.json.
+def read_run_config(spark: SparkSession, runs: DataFrame, path: str, glob: str = "run_config.json") -> DataFrame:
+    """``runs`` (with ``run``) and four settings from the file in ``path``/<run>.
 
     A missing file or key gives 60 ns, false, false and null.
     """
     inner = "sample_period:double,zero_suppress:boolean,pedestal_subtraction:boolean,daq_config_template_path:string"
-    raw = spark.read.format("binaryFile").option("pathGlobFilter", "run_config.json").option("recursiveFileLookup", "true").load(path)
+    raw = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
     read = raw.select(F.element_at(F.split("path", "/"), -2).alias("run"), F.from_json(F.col("content").cast("string"), f"dream_daq_info struct<{inner}>").getField("dream_daq_info").alias("d"))
     d = runs.join(read, "run", "left")
     return d.select(

@@ -259,6 +259,18 @@ def test_settings_by_unit(spark):
     assert rows(jobs.unit_settings(units, peaking, runs_)) == [("r", 1, 40.0, 10, True), ("r", 2, 40.0, None, True)]
 
 
+def test_main_chain_with_settings_and_sparse_files(spark):
+    """128 channels of 512 count as sparse: no common noise and no smoothing, but the unit's period and baseline hold."""
+    keys = {"run": F.lit("r"), "file_num": (F.col("entry") % 2).cast("int")}
+    events, quiet = (adapters.shaped_events(spark, SF, quiet=q).withColumns(keys) for q in (False, True))
+    settings = spark.createDataFrame([("r", 0, 40.0, 7, True)], "run string, feu long, sample_ns double, gate_width int, zs_baseline boolean")
+    got = jobs.events_to_hits(events, quiet, Params(), ["run", "file_num", "feu", "entry"], ["run", "file_num", "feu"], ["run", "feu"], settings)
+    for feu, p in ((0, Params(cns=False, boxcar_width=0, sample_ns=40.0, force_zs_baseline=True)), (1, Params(cns=False, boxcar_width=0))):
+        peds = pedestals.from_events(quiet, ["run", "feu"], p)
+        want = pulses.find_hits(events.filter(f"feu = {feu}"), peds, p, ["run", "file_num", "feu", "entry"], ["run", "feu"])
+        assert rows(got.filter(f"feu = {feu}")) == rows(want) != []
+
+
 def test_common_noise_with_uneven_lengths_is_that_of_each_block():
     rng = np.random.default_rng(3)
     for c in (64, 100, 130):
