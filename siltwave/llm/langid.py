@@ -72,7 +72,7 @@ def cluster(vectors: np.ndarray, k: int, rounds: int = 12) -> tuple[np.ndarray,
 
 
 def fit(
-    docs: DataFrame, per_lang: int = 300, centroids: int = 4, features: int = 1 << 13, slack: float = 0.7, tail: float = 0.005,
+    docs: DataFrame, per_lang: int = 300, centroids: int = 4, features: int = 1 << 13, slack: float = 0.45, tail: float = 0.005,
     id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
 ) -> Model | None:
     """Learn from at most ``per_lang`` texts of each language, those whose id has the smallest hash.
