@@ -39,6 +39,11 @@ def numbered(df: DataFrame) -> tuple[DataFrame, str]:
     return plain, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema.fields)
 
 
+def lean_memory() -> None:
+    """Arrow memory of this process comes from the system, to which it goes back at once; workers live long."""
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The column as Python strings, null as empty."""
     return [x or "" for x in batch.column(name).to_pylist()]

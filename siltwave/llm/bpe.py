@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import pieces, texts
+from ._common import lean_memory, pieces
 
 
 @functools.cache
@@ -405,7 +405,7 @@ class Remembered:
     ``learn`` takes a list of new cuts and gives a list of values; cuts longer than ``longest`` bytes aren't kept.
     """
 
-    def __init__(self, learn, most: int = 200_000, longest: int = 64):
+    def __init__(self, learn, most: int = 250_000, longest: int = 64):
         self.learn, self.most, self.longest, self.known, self.older = learn, most, longest, {}, {}
 
     def values(self, cuts: list[bytes]) -> list:
@@ -426,27 +426,29 @@ class Remembered:
         return out
 
 
-#: Letters whose lower case needs care, and a comma or full stop that ends a run of signs.
-_CARE = re.compile(r"[^\x00-\u012f\u0132-\u0177]")
-_RUN = re.compile(r"[.,](?<=(?:[^\w\s]|_)[.,])")
+#: Texts that stay as they are: with letters whose lower case needs care, with what may begin a special string, or with a
+#: sign before a comma or full stop, which then belongs to a run of signs.
+_CARE = r"[^\x{00}-\x{012f}\x{0132}-\x{0177}]|<\||[\x{00}-\x{08}\x{0e}-\x{1f}!-/:-@\[-`{-\x{a9}\x{ab}-\x{b4}\x{b6}-\x{bf}\x{d7}\x{f7}][.,]"
 
 
-def plainer(text: str) -> str:
-    """The text with fewer different cuts but the same tokens of a lower-case vocabulary without white space.
+def plainer(texts: pa.Array) -> pa.Array:
+    """Texts with fewer different cuts but the same tokens of a lower-case vocabulary without white space.
 
     In plain texts letters become small and a lone comma or full stop becomes a cut of its own.
     """
-    if (text.isascii() or not _CARE.search(text)) and not _RUN.search(text) and "<|" not in text:
-        text = text.lower().replace(", ", " , ").replace(". ", " . ").replace(".\n", " .\n")
-    return text
+    small = pc.utf8_lower(texts)
+    for lone, apart in ((", ", " , "), (". ", " . "), (".\n", " .\n")):
+        small = pc.replace_substring(small, lone, apart)
+    return pc.if_else(pc.match_substring_regex(texts, _CARE), texts, small)
 
 
-def word_cuts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+def word_cuts(texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """All texts cut at ASCII white space, which no token of the lower-case word vocabulary crosses.
 
     Gives the number of each cut among the distinct ones, the end of each text in that list, and the distinct cuts.
     """
-    split = pc.ascii_split_whitespace(pa.array(list(map(plainer, texts)), pa.large_string()))
+    column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+    split = pc.ascii_split_whitespace(plainer(pc.fill_null(column.cast(pa.large_string()), "")))
     coded = pc.dictionary_encode(split.values.cast(pa.large_binary()))
     return coded.indices.to_numpy(), split.offsets.to_numpy()[1:], coded.dictionary.to_pylist()
 
@@ -518,22 +520,23 @@ class WordEncoder:
             at = stop
         return out
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and where each text's ids end."""
         return join_cuts(texts, self.memo)
 
 
-def join_cuts(texts: list[str], memo: Remembered) -> tuple[np.ndarray, np.ndarray]:
+def join_cuts(texts: list[str] | pa.Array, memo: Remembered) -> tuple[np.ndarray, np.ndarray]:
     """Ids of texts from the packed ids of their cuts."""
     which, stops, cuts = word_cuts(texts)
     rows = pa.array(memo.values(cuts), pa.large_binary()).take(pa.array(which))
     ends = np.frombuffer(rows.buffers()[1], np.int64)[: len(rows) + 1] // 4
     ids = np.frombuffer(rows.buffers()[2] or b"", "<u4")[: ends[-1]] if len(rows) else np.zeros(0, "<u4")
-    return ids, ends[stops] if len(rows) else np.zeros(len(texts), np.int64)
+    return ids, ends[stops] if len(rows) else np.zeros(len(stops), np.int64)
 
 
 @functools.lru_cache(maxsize=2)
 def word_encoder(path: str) -> WordEncoder:
+    lean_memory()
     return WordEncoder(path)
 
 
@@ -604,8 +607,8 @@ def decoded(machine: JoinDecoder | TextDecoder, ids: np.ndarray, block: int = 65
 
 def _encoded_batches(batches, path: str):
     encoder = word_encoder(path)
-    for b in pieces(batches):
-        ids, ends = encoder.encode(texts(b))
+    for b in pieces(batches, 4 << 20):
+        ids, ends = encoder.encode(b.column("text"))
         stops = np.concatenate([[0], ends]).astype(np.int64) * 4
         packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b.num_rows, [None, pa.py_buffer(stops), pa.py_buffer(np.ascontiguousarray(ids, "<u4"))])
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), packed.cast(pa.binary())], ["doc_id", "ids"])
