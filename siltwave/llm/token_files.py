@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._common import pieces, texts
+from ._common import lean_memory, pieces
 from .bpe import Remembered, WordEncoder, byte_alphabet, join_cuts
 
 FILE_SCHEMA = "part int, doc_id long, local_start long, n_tokens long, ids array<int>"
@@ -54,13 +54,14 @@ class LibraryCuts:
             at = stop
         return out
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and where each text's ids end."""
         return join_cuts(texts, self.memo)
 
 
 @functools.lru_cache(maxsize=2)
 def library_cuts(path: str) -> LibraryCuts:
+    lean_memory()
     return LibraryCuts(path)
 
 
@@ -84,7 +85,7 @@ def write_token_files(
         part, at = TaskContext.get().partitionId(), 0
         cuts = library_cuts(tokenizer)
         for b in pieces(batches, 4 << 20):
-            ids, ends = cuts.encode(texts(b))
+            ids, ends = cuts.encode(b.column("text"))
             n = np.diff(ends, prepend=0) + 1
             flat = np.insert(ids, ends, end_id).view("<i4")
             stops = np.concatenate([[0], np.cumsum(n)])

@@ -712,6 +712,19 @@ def test_every_code_point_encodes_as_in_the_library(name):
             assert ids.tolist() == [i for x in want for i in x] and ends.tolist() == np.cumsum(list(map(len, want))).tolist()
 
 
+def test_random_texts_encode_as_in_the_library():
+    """Signs, control characters, white space of all kinds and letters around lone and clustered full stops."""
+    from tokenizers import Tokenizer
+
+    path, rng = public_tokenizers.path("word_bpe_49k.json"), random.Random(5)
+    pool = [*range(0x180)] + [32, 44, 46, 10] * 40 + [*range(0x300, 0x340), *range(0x3A0, 0x3D0)] + [0x1C, 0x85, 0xA0, 0x2028, 0x3000, 0xD55C]
+    made = ["".join(chr(rng.choice(pool)) for _ in range(rng.randrange(60))) for _ in range(20_000)] + ["<|endoftext|>x<|startoftext|> <|end", " 's 'T 'RE it's", ". , .,", "a.\nb", ""]
+    want = [x.ids for x in Tokenizer.from_file(path).encode_batch_fast(made, add_special_tokens=False)]
+    for encoder in (bpe.word_encoder(path), token_files.library_cuts(path)):
+        ids, ends = encoder.encode(made)
+        assert ids.tolist() == [i for x in want for i in x] and ends.tolist() == np.cumsum(list(map(len, want))).tolist()
+
+
 def test_lock_step_gives_what_one_at_a_time_gives():
     for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
         path, rng = public_tokenizers.path(name), random.Random(4)
