@@ -1,9 +1,9 @@
-"""Exact removal of repeated substrings: sampled suffixes are named, sorted and compared with their neighbours.
+"""Exact removal of repeated substrings by the names of sampled places; not a suffix sort.
 
 A suffix array by difference cover sorts the suffixes at sampled offsets, names them, recurses on the names and merges
-the rest. Here only the first ``length`` bytes of a suffix count, and the cover is chosen by content: in every stretch of
-``length`` bytes the ``gram``-byte string with the least hash is sampled, so two equal stretches hold an equally placed
-sample. That is the property for which a difference cover is used, with a third of a cover's samples.
+the rest. Only its cover is taken up here, since sorting two thirds of all offsets goes beyond the disk that a job may
+take: two equal stretches of ``length`` bytes must hold an equally placed sample. By default the cover is chosen by content (in
+every stretch the ``gram``-byte string with the least hash), with a third of the samples of a cover by offsets.
 
 1. Each sample is named by its gram and by its context, that is all bytes that a repeated stretch around it can have.
    Samples are sorted by (gram, context, document); those whose context stands in an earlier document are covered whole.
