@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import lean_memory, pieces
+from ._common import pieces
 
 
 @functools.cache
@@ -425,6 +425,9 @@ class Remembered:
         known.update((cuts[k], out[k]) for k in absent if len(cuts[k]) <= longest)
         return out
 
+    def forget(self) -> None:
+        self.known, self.older = {}, {}
+
 
 #: Texts that stay as they are: with letters whose lower case needs care, with what may begin a special string, or with a
 #: sign before a comma or full stop, which then belongs to a run of signs.
@@ -473,12 +476,15 @@ class WordEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        lib = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        spec["model"] |= {"vocab": {}, "merges": []}  # only what comes before the model is used here
+        lib = Tokenizer.from_str(json.dumps(spec))
         self.normal, self.pre_tokens = lib.normalizer.normalize_str, lib.pre_tokenizer.pre_tokenize_str
         self.machine = lock_step(path)
         self.specials, self.cut = self.machine.table.specials, special_split(self.machine.table.specials)
         self.bytes_of = {c: b for b, c in enumerate(byte_alphabet())}
-        self.memo = Remembered(self.learn)
+        self.memo = Remembered(self.learn, most=100_000)
 
     def hard(self, text: str) -> list:
         """Pre-tokens (bytes) and special ids (numbers) of a cut that needs the library's tables."""
@@ -536,7 +542,6 @@ def join_cuts(texts: list[str] | pa.Array, memo: Remembered) -> tuple[np.ndarray
 
 @functools.lru_cache(maxsize=2)
 def word_encoder(path: str) -> WordEncoder:
-    lean_memory()
     return WordEncoder(path)
 
 
@@ -607,11 +612,12 @@ def decoded(machine: JoinDecoder | TextDecoder, ids: np.ndarray, block: int = 65
 
 def _encoded_batches(batches, path: str):
     encoder = word_encoder(path)
-    for b in pieces(batches, 4 << 20):
+    for b in pieces(batches, 2 << 20):
         ids, ends = encoder.encode(b.column("text"))
         stops = np.concatenate([[0], ends]).astype(np.int64) * 4
         packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b.num_rows, [None, pa.py_buffer(stops), pa.py_buffer(np.ascontiguousarray(ids, "<u4"))])
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), packed.cast(pa.binary())], ["doc_id", "ids"])
+    encoder.memo.forget()  # the worker lives on, and other jobs need its memory
 
 
 def _decoded_batches(batches, path: str, forms: dict[str, type]):
