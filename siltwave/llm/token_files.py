@@ -34,14 +34,16 @@ class LibraryCuts:
 
         self.lib = Tokenizer.from_file(path)
         self.model, self.chars = self.lib.model, dict(enumerate(byte_alphabet()))
-        self.memo = Remembered(self.learn)
+        self.memo = Remembered(self.learn, most=350_000)
 
     def learn(self, cuts: list[bytes]) -> list[bytes]:
         tokenize, chars, is_small, split = self.model.tokenize, self.chars, WordEncoder.is_small, WordEncoder.split
         ids, stops = [], []
         for raw in cuts:
             text = raw.decode("utf-8")
-            if not is_small(text) or "<|" in text:
+            if text.isalpha() and text.isascii() and text.islower():
+                ids += [t.id for t in tokenize(text)]
+            elif not is_small(text) or "<|" in text:
                 ids += self.lib.encode(text, add_special_tokens=False).ids
             else:
                 for part in (text,) if text.isalpha() else split(text):
