@@ -78,3 +78,23 @@ select doc_id, source, n_tokens, round(weight, 9) as weight,
 (case when n_tokens > 0 then passes + case when fate = 1 or fate = 2 and used <= room then 1 else 0 end else greatest(passes, 1) end)::bigint as copies from chosen"""
 
 ORACLES = {"op2_quality_rules": OP2, "op6_source_mixing": OP6}
+
+_FLAGS = r"""with raw as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as x from documents),
+worded as (select *, regexp_extract_all(x, '[^\x20\x09-\x0D]+') as w from raw),
+masked as (select doc_id, part, (len(w) < 200)::int + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::int + 4 * (100 * length(regexp_replace(x, '[^A-Z]', '', 'g')) > 2 * length(x))::int
++ 8 * regexp_matches(x, '[#$%&*|]')::int + 16 * coalesce(doc_id > min(doc_id) over (partition by x), false)::int as mask from worded),
+good as (select doc_id, bool_or(coalesce(quality, 0) = 1) as good, bool_or(coalesce(toxic, 0) = 1) as toxic from labels group by 1),
+counts as (select part, mask, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic from masked left join good using (doc_id) group by 1, 2),
+f as (select unnest(['A', 'B', 'C', 'D', 'E']) as l, unnest([1, 2, 4, 8, 16]) as b),
+o as (select a.l || b.l || c.l || d.l || e.l as filter_order, [a.b, b.b, c.b, d.b, e.b] as bits from f a, f b, f c, f d, f e
+where b.l <> a.l and c.l not in (a.l, b.l) and d.l not in (a.l, b.l, c.l) and e.l not in (a.l, b.l, c.l, d.l)),
+steps as (select filter_order, s.step::int as step, bits[s.step] as own, coalesce(list_sum(bits[1:s.step - 1]), 0)::int as before from o, range(1, 6) s(step)),
+"""
+
+OP13 = _FLAGS + """rows as (select part, filter_order, step, own, (sum(n) filter (mask & (before | own) = 0))::bigint as kept, (sum(n) filter (mask & own > 0 and mask & before = 0))::bigint as removed,
+(sum(n) filter (mask & own > 0 and mask & before > 0))::bigint as redundant, (sum(n) filter (mask = own))::bigint as unique_fails,
+(sum(good) filter (mask & own > 0 and mask & before = 0))::bigint as good_lost, (sum(toxic) filter (mask & own > 0 and mask & before = 0))::bigint as toxic_lost from counts, steps group by 1, 2, 3, 4)
+select part, filter_order, step, coalesce(kept, 0) as kept, coalesce(removed, 0) as removed, coalesce(redundant, 0) as redundant, coalesce(unique_fails, 0) as unique_fails, coalesce(good_lost, 0) as good_lost, coalesce(toxic_lost, 0) as toxic_lost,
+coalesce(sum(removed) over (partition by part, own), 0)::bigint as shapley from rows"""
+
+ORACLES["op13_filter_interactions"] = OP13
