@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, filter_audit, langid, media, mixing, pii, quality, simhash, suffix_dedup, token_count, token_files
-from ._common import scratch_dir
+from . import bpe, filter_audit, langid, media, mixing, pii, prefix_trie, quality, simhash, suffix_dedup, token_count, token_files
+from ._common import materialise, scratch_dir
 from .oracles import ORACLES  # noqa: F401 (part of this module's interface)
 
 
@@ -75,6 +75,11 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", n, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), F.sha2("readable", 256).alias("readable_sha256"))
 
 
+def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = materialise(prefix_trie.turn_ids(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+    return prefix_trie.trie_nodes(prefix_trie.as_keys(prefix_trie.rebuilt(own)))
+
+
 def op13_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -87,5 +92,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_simhash_near_duplicates, op2_quality_rules, op3_token_counts, op4_suffix_dedup, op5_token_files,
-    op6_source_mixing, op7_language_id, op8_media_columns, op9_pii, op10_bpe_round_trip, op13_filter_interactions, pipeline,
+    op6_source_mixing, op7_language_id, op8_media_columns, op9_pii, op10_bpe_round_trip, op11_conversation_prefix_trie, op13_filter_interactions, pipeline,
 )}
