@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, filter_audit, langid, media, mixing, pii, prefix_trie, quality, simhash, suffix_dedup, token_count, token_files
+from . import bpe, filter_audit, jaccard_join, langid, media, mixing, pii, prefix_trie, quality, simhash, suffix_dedup, token_count, token_files
 from ._common import materialise, scratch_dir
 from .oracles import ORACLES  # noqa: F401 (part of this module's interface)
 
@@ -80,6 +80,10 @@ def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame
     return prefix_trie.trie_nodes(prefix_trie.as_keys(prefix_trie.rebuilt(own)))
 
 
+def op12_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(documents(spark, sf_dir))
+
+
 def op13_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -92,5 +96,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_simhash_near_duplicates, op2_quality_rules, op3_token_counts, op4_suffix_dedup, op5_token_files,
-    op6_source_mixing, op7_language_id, op8_media_columns, op9_pii, op10_bpe_round_trip, op11_conversation_prefix_trie, op13_filter_interactions, pipeline,
+    op6_source_mixing, op7_language_id, op8_media_columns, op9_pii, op10_bpe_round_trip, op11_conversation_prefix_trie, op12_ngram_jaccard_join, op13_filter_interactions, pipeline,
 )}
