@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..operators import catalog, cluster, combine, pedestals, pulses, waveform
 from ..params import Params
-from ..sources import files
+from ..sources import files, inputs
 
 
 def frames_to_events(frame_files: DataFrame, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -39,3 +40,10 @@ def hits_to_clusters(parts: list[tuple[DataFrame, int]], strips: DataFrame, keys
     hits = combine.combine_hits(parts)
     mapped = combine.with_strips(hits, combine.last_by_channel(strips))
     return cluster.cluster_hits(combine.event_groups(mapped, keys, ["channel", "pulse_idx"]), keys, mm, ns)
+
+
+def files_to_clusters(listed: DataFrame, strips: DataFrame, keys: list[str], mm: float = 2.0, ns: float = 10.0) -> tuple[DataFrame, DataFrame]:
+    """Clusters of all usable files of ``listed`` (``path, feu``), read as one scan, and the health table of all of them."""
+    found = files.written(inputs.health(listed, schemas.HITS))
+    mapped = combine.with_strips(inputs.read_inputs(listed.sparkSession, found, schemas.HITS), combine.last_by_channel(strips))
+    return cluster.cluster_hits(combine.event_groups(mapped, keys, ["channel", "pulse_idx"]), keys, mm, ns), found

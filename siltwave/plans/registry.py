@@ -10,7 +10,7 @@ from .. import schemas
 from ..functions import bits
 from ..operators import catalog, cluster, combine, loss, pedestals, pulses, qa, waveform
 from ..params import Params
-from ..sources import files
+from ..sources import files, inputs
 from . import adapters as A
 from . import jobs
 from .pulse_sql import INJECTED, hits_sql, seeds_sql
@@ -173,11 +173,12 @@ def flagship_pulses_by_channel(spark, sf_dir):
 
 
 HIT_COLUMNS = ["feu", "entry", "eventId", "trigger_timestamp_ns", "channel", "pulse_idx", *pulses.NUMBERS, *pulses.FLAGS]
-ROUNDED = ", ".join(["feu", "entry", "eventId", "trigger_timestamp_ns", "channel", "pulse_idx", *[f"round({c}, 4) as {c}" for c in pulses.NUMBERS], *pulses.FLAGS])
+ROUNDED = ", ".join(["feu", "entry", "eventId", "trigger_timestamp_ns", "channel", "pulse_idx", *[f"floor({c} * 10000 + 0.5) / 10000 as {c}" for c in pulses.NUMBERS], *pulses.FLAGS])
 
 
 def rounded(hits):
-    shown = [F.round(c, 4).alias(c) if c in pulses.NUMBERS else F.col(c).cast("long").alias(c) if c in ("channel", "pulse_idx") else F.col(c) for c in HIT_COLUMNS]
+    """Four digits by a rule that both engines share: their ``round`` differs on ties."""
+    shown = [(F.floor(F.col(c) * 10000 + 0.5) / 10000).alias(c) if c in pulses.NUMBERS else F.col(c).cast("long").alias(c) if c in ("channel", "pulse_idx") else F.col(c) for c in HIT_COLUMNS]
     return hits.select(*shown)
 
 
@@ -321,6 +322,46 @@ def u1_u2_combine_with_old_schema(spark, sf_dir):
     return combine.combine_hits([(new, 1), (old, 2)]).select("event_id", "value", "feu", "trunc_left", "trunc_right", "significance")
 
 
+#: A file for 500 events; by its number it is a current table, an old one, one of something else, or broken.
+INPUTS = """with e as (select *, event_id // 500 as k from events), kinds as (select k, case when k % 7 = 3 then 'broken' when k % 7 = 5 then 'foreign' when k % 7 in (1, 4) then 'old' else 'current' end as kind, count(*) as n from e group by 1)
+"""
+
+
+def input_files(spark, sf_dir):
+    """``path, feu`` of the files above, which are written here from the events table."""
+    base = f"{files.scratch_dir(spark)}/inputs-{uuid.uuid4().hex}"
+    k = F.floor(F.col("event_id") / 500)
+    e = A.read(spark, sf_dir, "events").withColumn("k", k)
+    hit = [F.col("event_id").alias("eventId"), (F.col("event_id") * 37 % 128).cast("int").alias("channel"), F.col("value").alias("amplitude")]
+    later = [(F.col("event_id") % 2 == 0).alias("trunc_left"), (F.col("event_id") % 3 == 0).alias("trunc_right"), F.when(F.col("event_id") % 5 > 0, F.col("value") / 2).alias("significance")]
+    kinds = {"broken": (k % 7 == 3, [F.col("event_type").alias("value")]), "foreign": (k % 7 == 5, ["event_id", "value"]), "old": ((k % 7).isin(1, 4), hit), "current": ((k % 7).isin(0, 2, 6), hit + later)}
+    for kind, (of, columns) in kinds.items():
+        out = e.filter(of).select("k", *columns).repartition("k").write.partitionBy("k")
+        out.text(f"{base}/{kind}") if kind == "broken" else out.parquet(f"{base}/{kind}")
+    listed = files.list_files(spark, base, "part-*").withColumn("k", F.regexp_extract("path", "k=([0-9]+)", 1).cast("long"))
+    return listed.select("path", (F.col("k") % 8).cast("int").alias("feu"), "k")
+
+
+INPUT_HITS = "eventId bigint, channel int, amplitude double, trunc_left boolean, trunc_right boolean, significance double"
+
+
+@query(INPUTS + "select k, cast(k % 8 as int) as feu, kind <> 'broken' as readable, kind in ('old', 'current') as usable, case when kind <> 'broken' then n end as rows, case when kind in ('old', 'current') then kind = 'old' end as old from kinds")
+def u3_input_health(spark, sf_dir):
+    """What each of many input files is good for, by footers that are read in tasks."""
+    listed = input_files(spark, sf_dir)
+    out = inputs.health(listed, INPUT_HITS)
+    return out.select(F.regexp_extract("path", "k=([0-9]+)", 1).cast("long").alias("k"), "feu", "readable", "usable", "rows", "old")
+
+
+@query(INPUTS + """select cast(k % 8 as int) as feu, event_id as eventId, event_id * 37 % 128 as channel, value as amplitude, kind = 'current' and event_id % 2 = 0 as trunc_left, kind = 'current' and event_id % 3 = 0 as trunc_right,
+case when kind = 'old' then -1.0 when event_id % 5 > 0 then value / 2 end as significance from e join kinds using (k) where kind in ('old', 'current')""")
+def u1_u2_u3_combined_inputs(spark, sf_dir):
+    """The usable files as one scan, old ones filled, each row with the unit of its file."""
+    found = files.written(inputs.health(input_files(spark, sf_dir), INPUT_HITS))
+    rows = inputs.read_inputs(spark, found, INPUT_HITS)
+    return rows.select("feu", "eventId", F.col("channel").cast("long").alias("channel"), "amplitude", "trunc_left", "trunc_right", "significance")
+
+
 @query(HITS + "select event, channel, pulse_idx, amplitude, axis, x, y, ord from mapped")
 def j1_j2_hits_with_strips(spark, sf_dir):
     return mapped(spark, sf_dir).select("event", "channel", "pulse_idx", "amplitude", "axis", "x", "y", F.col("ord").cast("long").alias("ord"))

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -30,6 +30,13 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/siltwave-{spark.sparkContext.applicationId}"
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the scratch folder, read back: made once, and safe from lost executors."""
+    path = f"{scratch_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def list_files(spark: SparkSession, base: str, glob: str = "*") -> DataFrame:
     """``path, length, modificationTime`` of all files below a folder; contents are not read."""
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(base).select("path", "length", "modificationTime")
@@ -46,19 +53,6 @@ def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def read_hits(spark: SparkSession, inputs: list[tuple[str, int]], needed: tuple[str, ...] = ("channel", "amplitude")) -> list[tuple[DataFrame, int]]:
-    """Hit tables with their units; inputs that can't be read, or that aren't hits, are left out."""
-    found = []
-    for path, feu in inputs:
-        try:
-            hits = spark.read.option("ignoreCorruptFiles", "true").parquet(path)
-        except AnalysisException:
-            continue
-        if set(needed) <= set(hits.columns):
-            found.append((hits, feu))
-    return found
-
-
 def write_table(df: DataFrame, path: str, by: tuple[str, ...] = ("run", "sub_run", "file_num")) -> None:
     """Parquet, in folders by file and never by event; rows of one file go together so that files stay few."""
     own = [c for c in by if c in df.columns]

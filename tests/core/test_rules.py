@@ -291,17 +291,6 @@ def test_sparse_files_by_their_first_entries(spark):
     assert rows(waveform.zs_files(events, ["file"], first=5)) == [("a", True), ("b", True), ("c", True)]
 
 
-def test_inputs_that_are_no_hits_are_left_out(spark, tmp_path):
-    spark.range(3).selectExpr("cast(id as int) as channel", "1.0 as amplitude").write.parquet(str(tmp_path / "good"))
-    spark.range(3).write.parquet(str(tmp_path / "other"))
-    (tmp_path / "broken.parquet").write_bytes(b"not a table")
-    inputs = [(str(tmp_path / n), k) for k, n in enumerate(("good", "other", "missing", "broken.parquet"))]
-    found = files.read_hits(spark, inputs)
-    assert [feu for _, feu in found] == [0]
-    out = combine.combine_hits(found)
-    assert out.count() == 3 and out.first().significance == -1 and not out.first().trunc_left
-
-
 def test_seeds_of_registered_query_are_those_of_a_plain_loop(spark):
     got = rows(registry.w26_derivative_seeds(spark, SF))
     assert len(got) > 50 and len({(r[1] + r[2]) % 16 for r in got}) >= 6
