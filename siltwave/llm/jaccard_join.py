@@ -9,7 +9,7 @@ sets that link share a token there. What sets have to do with each other saves w
 - Lists: entries of one length and position form a block. A bound on the overlap, from length and position, holds for whole
   blocks; those that can't reach it are skipped unread.
 
-Pairs that are left are compared in full. Tokens and sets are known by 64-bit hashes.
+Pairs that are left are held to a bound from parity bits of both sets, and those that pass are compared in full. Tokens and sets are known by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -20,11 +20,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import materialise, pieces, texts
+from ._common import lean_memory, materialise, pieces
 from .simhash import components
 
 FREQUENT, MOST_FREQUENT = 16, 1 << 19  # tokens in so many sets go last; so many of them are told to the tasks
-NEED_BITS = 1 << 24  # of the bitmap that says which sets the pairs need
+NEED_BITS = 1 << 24  # of the bitmap that says whose sets the pairs need
+WINDOW, LONG_WORD = 1 << 20, 1 << 10  # bytes that are hashed together; longer words are hashed one by one
+SPACES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+LETTERS = np.random.default_rng(42).integers(0, 1 << 64, 256, np.uint64) | np.uint64(1)
+LETTERS[ord("A") : ord("Z") + 1] = LETTERS[ord("a") : ord("z") + 1]  # A-Z count as a-z
+STEP = 0x9E3779B97F4A7C15
+POWERS, INVERSE = (np.cumprod(np.array([1] + [x] * (WINDOW + LONG_WORD), np.uint64)) for x in (STEP, pow(STEP, -1, 1 << 64)))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -33,30 +39,84 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(31)
 
 
-class Hashes(dict):
-    """Word to hash, remembered up to a bound."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """A hash of each word, given by its bytes: sums of letters times powers of their place, a window of bytes at a time."""
+    out = np.empty(len(starts), np.uint64)
+    short = stops - starts < LONG_WORD
+    i = 0
+    while i < len(starts):
+        base = int(starts[i])
+        j = int(np.searchsorted(starts, base + WINDOW))
+        sums = np.zeros(min(int(stops[j - 1]) - base, WINDOW + LONG_WORD) + 1, np.uint64)
+        np.cumsum(LETTERS[data[base : base + len(sums) - 1]] * POWERS[: len(sums) - 1], out=sums[1:])
+        lo, hi = starts[i:j] - base, np.minimum(stops[i:j] - base, len(sums) - 1)
+        out[i:j] = (sums[hi] - sums[lo]) * INVERSE[lo]
+        i = j
+    for k in np.flatnonzero(~short).tolist():
+        out[k] = xxhash.xxh64_intdigest(data[starts[k] : stops[k]].tobytes().lower(), 42)
+    return mixed(out + (stops - starts).astype(np.uint64))
+
+
+def token_sets(column: pa.Array, size: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ``size``-word shingles of each text as sorted hashes, one after the other, and where each text's begin.
+
+    With fewer words a text has its whole sequence as one, without words (or as null) none.
+    """
+    column = column.cast(pa.large_string())
+    edges = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
+    if column.null_count:  # a null may keep bytes
+        column = column.fill_null("")
+        edges = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    raw = column.buffers()[2] if len(column) else None
+    data = np.frombuffer(raw, np.uint8)[edges[0] : edges[-1]] if raw is not None and raw.size else np.zeros(0, np.uint8)
+    edges = edges - edges[0]
+    inside = np.zeros(len(data) + 2, bool)
+    inside[1:-1] = ~SPACES[data]
+    cut = np.zeros(len(data) + 1, bool)
+    cut[edges] = True
+    starts = np.flatnonzero(inside[1:] & (~inside[:-1] | cut))
+    stops = np.flatnonzero(inside[:-1] & (~inside[1:] | cut))
+    h = word_hashes(data, starts, stops)
+    first = np.searchsorted(starts, edges)  # each text's first word
+    words = np.diff(first)
+    n = np.where(words >= size, words - size + 1, np.minimum(words, 1))
+    begin = np.concatenate([[0], np.cumsum(n)])
+    flat = np.full(begin[-1], size, np.uint64)
+    at = np.repeat(first[:-1] - begin[:-1], n) + np.arange(begin[-1])
+    whole = np.repeat(words >= size, n)
+    for k in range(size):
+        flat[whole] = mixed(flat[whole] + h[at[whole] + k])
+    for k in np.flatnonzero((words > 0) & (words < size)).tolist():
+        x = np.array([words[k]], np.uint64)
+        for w in h[first[k] : first[k + 1]]:
+            x = mixed(x + w)
+        flat[begin[k]] = x[0]
+    for i, j in zip(begin[:-1].tolist(), begin[1:].tolist()):
+        flat[i:j].sort()
+    fresh = np.ones(len(flat), bool)
+    fresh[1:] = flat[1:] != flat[:-1]
+    fresh[begin[:-1][n > 0]] = True
+    return flat[fresh], np.concatenate([[0], np.cumsum(fresh)])[begin]
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
-            self.clear()
-        self[word] = out = xxhash.xxh64_intdigest(word, 42)
-        return out
 
+def set_name(tokens: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(tokens.tobytes(), 42)
 
-def token_set(text: str, known: Hashes, size: int = 3) -> np.ndarray:
-    """The distinct ``size``-word shingles of a text, as sorted hashes; with fewer words the whole sequence, without words none."""
-    words = text.encode("utf-8").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    h, k = np.array([known[w] for w in words], np.uint64), min(size, len(words))
-    out = np.full(len(words) - k + 1, k, np.uint64)
-    for i in range(k):
-        out = mixed(out + h[i : i + len(out)])
-    return np.unique(out)
 
+def parity(tokens: np.ndarray) -> bytes:
+    """For each bit place whether an odd number of tokens falls there; as many bits as tokens, from 64 to 4096.
 
-def set_name(tokens: np.ndarray) -> int:
-    return xxhash.xxh64_intdigest(tokens.tobytes(), 42)
+    Two of them differ in no more bits than their sets differ in tokens; halves laid over each other give the shorter form.
+    """
+    bits = min(4096, max(64, 1 << max(0, len(tokens) - 1).bit_length()))
+    odd = np.bincount((tokens >> np.uint64(20) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def parity_distance(x: bytes, y: bytes) -> int:
+    """A lower bound on how many tokens are in one of two sets only."""
+    x, y = (np.frombuffer(z, np.uint64) for z in ((x, y) if len(x) <= len(y) else (y, x)))
+    return int(np.bitwise_count(x ^ np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)).sum())
 
 
 def prefix_length(n: int, percent: int = 90) -> int:
@@ -64,14 +124,22 @@ def prefix_length(n: int, percent: int = 90) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
-def in_order(tokens: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> np.ndarray:
+class Order:
     """Rare tokens by hash, then frequent ones by how frequent they are; any fixed order gives the same links."""
-    if not len(frequent):
-        return tokens
-    at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
-    often = frequent[at] == tokens
-    last = tokens[often]
-    return np.concatenate([tokens[~often], last[np.argsort(rank[at[often]], kind="stable")]])
+
+    def __init__(self, frequent: np.ndarray, rank: np.ndarray):
+        self.frequent, self.rank, self.seen = frequent, rank, np.zeros(1 << 22, bool)
+        self.seen[frequent >> np.uint64(42)] = True
+
+    def ranks(self, tokens: np.ndarray) -> np.ndarray:
+        """0 for a rare token."""
+        out = np.zeros(len(tokens), np.int64)
+        maybe = np.flatnonzero(self.seen[tokens >> np.uint64(42)])
+        if len(maybe):
+            at = np.minimum(np.searchsorted(self.frequent, tokens[maybe]), len(self.frequent) - 1)
+            found = self.frequent[at] == tokens[maybe]
+            out[maybe[found]] = self.rank[at[found]]
+        return out
 
 
 def _picked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -79,13 +147,12 @@ def _picked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def frequent_tokens(docs: DataFrame, size: int = 3) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent tokens, sorted, and the rank of each by its count; counted where a token repeats within a batch."""
+    """The most frequent tokens, sorted, and how often each was counted: where a token repeats within a batch."""
 
     def run(batches):
-        known = Hashes()
-        for b in pieces(batches):
-            own = [token_set(x, known, size) for x in texts(b)]
-            token, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *own]), return_counts=True)
+        lean_memory()
+        for b in pieces(batches, 4 << 20):
+            token, n = np.unique(token_sets(b.column("text"), size)[0], return_counts=True)
             keep = n > 1
             yield pa.RecordBatch.from_arrays([pa.array(token[keep].view(np.int64)), pa.array(n[keep].astype(np.int64))], ["token", "n"])
 
@@ -97,21 +164,31 @@ def frequent_tokens(docs: DataFrame, size: int = 3) -> tuple[np.ndarray, np.ndar
 
 
 def set_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """``doc_id, s, n, prefix``: name and size of each document's set, and the first tokens that it must share with a partner."""
+    """``doc_id, s, n, prefix, bits``: name and size of each document's set, the first tokens, of which it must share one with a
+    partner, and its parity bits."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent_tokens(docs, size))
 
     def run(batches):
-        known = Hashes()
-        frequent, rank = sent.value
-        for b in pieces(batches):
-            own = [token_set(x, known, size) for x in texts(b)]
-            prefix = [in_order(x, frequent, rank)[: prefix_length(len(x), percent) if len(x) else 0].view(np.int64) for x in own]
-            stops = np.cumsum([0, *map(len, prefix)], dtype=np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(stops), pa.array(np.concatenate([np.zeros(0, np.int64), *prefix])))
-            name = np.array([set_name(x) for x in own], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(name), pa.array([len(x) for x in own], pa.int64()), lists], ["doc_id", "s", "n", "prefix"])
-
-    return docs.mapInArrow(run, "doc_id long, s long, n long, prefix array<long>")
+        lean_memory()
+        order = Order(*sent.value)
+        for b in pieces(batches, 2 << 20):
+            flat, at = token_sets(b.column("text"), size)
+            rank = order.ranks(flat)
+            names, prefix, bits = [], [np.zeros(0, np.uint64)], []
+            for i, j in zip(at[:-1].tolist(), at[1:].tolist()):
+                own, often = flat[i:j], np.flatnonzero(rank[i:j])
+                names.append(set_name(own)), bits.append(parity(own))
+                most = prefix_length(j - i, percent) if j > i else 0
+                if len(often):
+                    rare = own[rank[i:j] == 0]
+                    own = rare if len(rare) >= most else np.concatenate([rare, own[often[np.argsort(rank[i:j][often], kind="stable")]]])
+                prefix.append(own[:most])
+            stops = pa.array(np.cumsum([len(x) for x in prefix], dtype=np.int32))
+            lists = pa.ListArray.from_arrays(stops, pa.array(np.concatenate(prefix).view(np.int64)))
+            name = np.array(names, np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(name), pa.array(np.diff(at).astype(np.int64)), lists, pa.array(bits, pa.binary())], ["doc_id", "s", "n", "prefix", "bits"])
+
+    return docs.mapInArrow(run, "doc_id long, s long, n long, prefix array<long>, bits binary")
 
 
 def may_link(n, pos, other_n, other_pos, percent: int):
@@ -179,37 +256,53 @@ def open_pairs(posts: DataFrame, labels: DataFrame, percent: int, block: int = 2
     return lists.mapInArrow(run, "a long, b long").distinct()
 
 
-def linked(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs of sets whose similarity is high enough, by all their tokens.
+def near_enough(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose parity bits allow a link; ``sets`` has ``s, n, bits``, once for each set."""
 
-    The sets are made again from the texts; a bitmap of fixed size says which may be needed, so that few others are shuffled.
+    def run(batches):
+        for b in batches:
+            keep = []
+            for n, x, y in zip(b.column("n").to_pylist(), b.column("x").to_pylist(), b.column("y").to_pylist()):
+                keep.append(parity_distance(x, y) <= n + 2 * (-percent * n // (100 + percent)))  # what both have, less twice the least overlap
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    x = sets.select(F.col("s").alias("a"), F.col("n").alias("na"), F.col("bits").alias("x"))
+    y = sets.select(F.col("s").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("y"))
+    both = pairs.join(x, "a").join(y, "b").select("a", "b", (F.col("na") + F.col("nb")).alias("n"), "x", "y")
+    return both.mapInArrow(run, "a long, b long")
+
+
+def linked(docs: DataFrame, own: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs of sets whose similarity is high enough: by parity bits first, then by all their tokens.
+
+    Sets of the pairs that are left are made again from the text of one document each. A bitmap of fixed size says which
+    documents these may be, so that the others are passed over unread; rows without an id are all read.
     """
-    spark = docs.sparkSession
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("s")).distinct()
-    word = F.pmod("s", F.lit(NEED_BITS))
-    cells = ends.select(F.floor(word / 4096).alias("at"), (word % 4096).cast("int").alias("bit")).groupBy("at").agg(F.collect_set("bit").alias("bits"))
+    sets = own.filter("n > 0").groupBy("s").agg(F.min("doc_id").alias("doc_id"), F.any_value("n").alias("n"), F.any_value("bits").alias("bits"))
+    close = materialise(near_enough(pairs, sets, percent))
+    ends = close.select(F.explode(F.array("a", "b")).alias("s")).distinct()
+    holders = own.join(ends, "s", "left_semi").groupBy("s").agg(F.min("doc_id").alias("doc_id"))
+    cell = F.pmod(F.xxhash64("doc_id"), F.lit(NEED_BITS))
+    cells = holders.filter("doc_id is not null").select(F.floor(cell / 4096).alias("at"), (cell % 4096).cast("int").alias("bit")).groupBy("at").agg(F.collect_set("bit").alias("bits"))
     need = np.zeros(NEED_BITS, bool)
     for r in cells.toArrow().to_batches():
         lists = r.column("bits")
         need[np.repeat(r.column("at").to_numpy() * 4096, lists.value_lengths().to_numpy()) + lists.flatten().to_numpy()] = True
-    sent = spark.sparkContext.broadcast(np.packbits(need, bitorder="little").tobytes())
+    sent = docs.sparkSession.sparkContext.broadcast(np.packbits(need, bitorder="little").tobytes())
 
     def run(batches):
-        known, seen, bits = Hashes(), set(), np.frombuffer(sent.value, np.uint8)
+        lean_memory()
+        bits = np.frombuffer(sent.value, np.uint8)
         for b in pieces(batches):
-            out = []
-            for x in texts(b):
-                own = token_set(x, known, size)
-                name = np.uint64(set_name(own)).view(np.int64)
-                at = int(name) % NEED_BITS
-                if len(own) and bits[at >> 3] >> (at & 7) & 1 and int(name) not in seen:
-                    if len(seen) < 1_000_000:
-                        seen.add(int(name))
-                    out.append((int(name), own.tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], ["s", "tokens"])
-
-    sets = docs.select("text").mapInArrow(run, "s long, tokens binary").join(ends, "s", "left_semi")
-    sets = materialise(sets.groupBy("s").agg(F.any_value("tokens").alias("tokens")))
+            at = b.column("cell").fill_null(0).to_numpy()
+            wanted = (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool) | b.column("cell").is_null().to_numpy(zero_copy_only=False)
+            flat, stops = token_sets(b.column("text").filter(pa.array(wanted)), size)
+            out = {set_name(flat[i:j]): flat[i:j].tobytes() for i, j in zip(stops[:-1].tolist(), stops[1:].tolist()) if j > i}
+            name = np.array(list(out), np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(list(out.values()), pa.binary())], ["s", "tokens"])
+
+    rows = docs.select("text", F.when(F.col("doc_id").isNotNull(), cell).alias("cell"))
+    tokens = rows.mapInArrow(run, "s long, tokens binary").join(ends, "s", "left_semi").groupBy("s").agg(F.any_value("tokens").alias("tokens"))
 
     def compare(batches):
         for b in batches:
@@ -221,7 +314,8 @@ def linked(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFr
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    full = pairs.join(sets.select(F.col("s").alias("a"), F.col("tokens").alias("x")), "a").join(sets.select(F.col("s").alias("b"), F.col("tokens").alias("y")), "b")
+    tokens = materialise(tokens)
+    full = close.join(tokens.select(F.col("s").alias("a"), F.col("tokens").alias("x")), "a").join(tokens.select(F.col("s").alias("b"), F.col("tokens").alias("y")), "b")
     return full.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
 
 
@@ -240,10 +334,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     every = every.select("token", "s", F.col("n"), F.col("pos").cast("long").alias("pos"))
     common = every.groupBy("token").count().filter("count > 1").select("token")
     posts = materialise(every.join(common, "token", "left_semi"))
-    first = materialise(linked(docs, materialise(guides(posts, percent)), size, percent))
+    first = materialise(linked(docs, own, guides(posts, percent), size, percent))
     labels = materialise(components(first))
     rest = materialise(open_pairs(posts, labels, percent, block))
-    labels = components(first.unionByName(linked(docs, rest, size, percent)))
+    labels = components(first.unionByName(linked(docs, own, rest, size, percent)))
     named = own.join(labels.withColumnRenamed("node", "s"), "s", "left").select("doc_id", "n", F.coalesce("component", "s").alias("c"))
     least = named.filter("n > 0").groupBy("c").agg(F.min("doc_id").alias("component_id"))
     out = named.filter("n > 0").join(least, "c").select("doc_id", F.col("n").alias("n_shingles"), "component_id")

@@ -86,11 +86,11 @@ def test_a_dense_group_is_answered_by_its_guides(spark):
     base = [f"b{i}" for i in range(300)]
     rows = [(i, " ".join(base[: (k := rng.randrange(300))] + [f"own{i}"] + base[k + 1 :]), "t", 1, 1, "p", 5) for i in range(1500)]
     docs = spark.createDataFrame(rows, SCHEMA).repartition(8)
-    own = J.set_rows(J._picked(docs, "doc_id", "text"), 3, 90)
+    own = J.materialise(J.set_rows(J._picked(docs, "doc_id", "text"), 3, 90))
     posts = J.materialise(own.select("s", "n", J.F.posexplode("prefix").alias("pos", "token")).select("token", "s", "n", J.F.col("pos").cast("long").alias("pos")))
     pairs = J.guides(posts, 90)
     assert pairs.count() <= 1500
-    labels = J.components(J.linked(docs, pairs, 3, 90))
+    labels = J.components(J.linked(J._picked(docs, "doc_id", "text"), own, pairs, 3, 90))
     assert labels.select("component").distinct().count() <= 3 and labels.count() >= 1490
     assert J.open_pairs(posts, labels, 90).count() < 20_000
     assert J.jaccard_components(docs).select("component_id").distinct().count() == 1
@@ -109,6 +109,30 @@ def test_skipped_blocks_hold_no_pair_that_may_link():
             assert {(max(p), min(p)) for p in J.list_pairs(s, n, pos, label, part, 90).T.tolist()} == want
 
 
+def test_token_sets_equal_the_loop():
+    rng = random.Random(2)
+    texts = [t for _, t in table()] + ["\x0b a\x1cb  É é A", "x" * 3000 + " y", "y " + "X" * 3000, "w " * 40_000 + "z" * 1023 + " " + "z" * 1024 + " end"]
+    texts += ["".join(rng.choice("aAbé \n\t") for _ in range(rng.randrange(60))) for _ in range(300)]
+    column = J.pa.array(["left out", *texts])[1:]
+    flat, at = J.token_sets(column)
+    own, seen = [flat[i:j].tolist() for i, j in zip(at[:-1], at[1:])], {}
+    for x, text in zip(own, texts):
+        want = set_of(text)
+        assert len(x) == len(want) == len(set(x)) and x == sorted(x)
+        assert seen.setdefault(want, x) == x
+    assert len({tuple(x) for x in seen.values()}) == len(seen)
+    for k in range(1, len(texts)):
+        assert len(set(own[k]) & set(own[k - 1])) == len(set_of(texts[k]) & set_of(texts[k - 1]))
+
+
+def test_parity_bits_never_overstate_the_difference():
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        both = rng.integers(0, 1 << 63, rng.integers(0, 900)).astype(np.uint64)
+        x, y = (np.unique(np.concatenate([both, rng.integers(0, 1 << 63, rng.integers(1, 400)).astype(np.uint64)])) for _ in range(2))
+        assert J.parity_distance(J.parity(x), J.parity(y)) <= len(np.setxor1d(x, y))
+
+
 def test_no_documents_give_no_rows(spark):
     assert J.jaccard_components(spark.createDataFrame([], SCHEMA)).count() == 0
 
