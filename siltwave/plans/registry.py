@@ -10,7 +10,7 @@ from .. import schemas
 from ..functions import bits
 from ..operators import catalog, cluster, combine, loss, pedestals, pulses, qa, waveform
 from ..params import Params
-from ..sources import files, inputs
+from ..sources import files, frames, inputs
 from . import adapters as A
 from . import jobs
 from .pulse_sql import INJECTED, hits_sql, seeds_sql
@@ -678,16 +678,44 @@ user_id % 32 as sample_id, cast(event_id % 8 as int) as ftst, event_id % 7 = 0 a
 """
 
 
-@query(DECODED + """select file as file_num, feu, frame_idx, event_id, timestamp, sample_id, ftst, zs, eoe, cast(case when n_data = 63 then 1 else 0 end as int) as bad_blocks, n_data,
+FRAME_ROWS = DECODED + """select file as file_num, feu, frame_idx, event_id, timestamp, sample_id, ftst, zs, eoe, cast(case when n_data = 63 then 1 else 0 end as int) as bad_blocks, n_data,
 cast(coalesce(case when zs then list_sum([(k * 7 + j) % 512 for j in range(1, few + 1)]) else n_data * (k % 8 * 64) + n_data * (n_data - 1) // 2 end, 0) as bigint) as channels,
-cast(coalesce(case when zs then list_sum([(k * 13 + j * 101) % 4096 for j in range(1, few + 1)]) else list_sum([(k * 3 + j * 17) % 4096 for j in range(1, n_data + 1)]) end, 0) as bigint) as amplitudes from frames""")
+cast(coalesce(case when zs then list_sum([(k * 13 + j * 101) % 4096 for j in range(1, few + 1)]) else list_sum([(k * 3 + j * 17) % 4096 for j in range(1, n_data + 1)]) end, 0) as bigint) as amplitudes from frames"""
+
+
+@query(FRAME_ROWS)
 def d1_d6_d7_decoded_frames(spark, sf_dir):
     """Frames out of the binary words that are built from the events."""
-    out = files.decode(A.encoded_frames(spark, sf_dir))
+    return frame_rows(files.decode(A.encoded_frames(spark, sf_dir)))
+
+
+def frame_rows(out):
     total = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda t, x: t + x)
     return out.select("file_num", "feu", "frame_idx", "event_id", "timestamp", "sample_id", "ftst", "zs", "eoe", "bad_blocks", "n_data", total("channel").alias("channels"), total("amplitude").alias("amplitudes"))
 
 
+def frame_folder(spark, sf_dir):
+    """The frame files as files: ``path`` of the folder that they are written to."""
+    base = f"{files.scratch_dir(spark)}/frames-{uuid.uuid4().hex}"
+    named = A.encoded_frames(spark, sf_dir).withColumn("path", F.format_string("run/x_%03d_%02d.fdf", "file_num", "feu"))
+    frames.write_frame_files(named, base).write.format("noop").mode("overwrite").save()
+    return base
+
+
+@query(FRAME_ROWS)
+def d7_frames_by_ranges(spark, sf_dir):
+    """The same frames from files that are cut into ranges of 4,096 bytes, each decoded by itself."""
+    return frame_rows(frames.decode_files(spark, frame_folder(spark, sf_dir), 4096))
+
+
+@query("""with w as (select cast(event_id // 500 as int) as file_num, cast(event_id // 500 % 4 as int) as feu, cast(2 * sum(10 + case when event_id % 33 = 0 then 68 when event_id % 11 = 0 then 69 else 2 * (user_id % 5) end) as bigint) as size from events group by 1, 2)
+select file_num, feu, size, cast(ceil(size / 4096.0) as bigint) as ranges, size as bytes from w where feu in (1, 3)""")
+def s1_frame_source(spark, sf_dir):
+    """Ranges of the frame files of two units; files of other units aren't opened."""
+    chunks = frames.read_chunks(spark, frame_folder(spark, sf_dir), 4096, content=True).filter("feu in (1, 3)")
+    return chunks.groupBy("file_num", "feu", "size").agg(F.count("*").alias("ranges"), F.sum(F.octet_length("content")).cast("long").alias("bytes"))
+
+
 @query("select cast(event_id // 500 as int) as file_num, cast(sum(10 + case when event_id % 33 = 0 then 68 when event_id % 11 = 0 then 69 else 2 * (user_id % 5) end) as bigint) as words from events group by 1")
 def d1_words(spark, sf_dir):
     out = A.encoded_frames(spark, sf_dir).select("file_num", bits.words(F.col("content")).alias("w"))

@@ -7,6 +7,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -37,6 +38,11 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def file_system(path: str):
+    """The Arrow file system of a path (local, HDFS, S3, GCS, ABFS), for tasks that read a part of a file, and the path in it."""
+    return arrow_fs.FileSystem.from_uri(path if "://" in path else "/" + path.removeprefix("file:").lstrip("/"))
+
+
 def list_files(spark: SparkSession, base: str, glob: str = "*") -> DataFrame:
     """``path, length, modificationTime`` of all files below a folder; contents are not read."""
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(base).select("path", "length", "modificationTime")
@@ -134,7 +140,7 @@ def decode_words(content: bytes):
 
     A frame begins with a run of header words and ends with its final trailer, after which one word is skipped. Blocks
     are found by the ends of runs of one word class: in sparse frames pairs of words, in dense ones the words between
-    data headers and trailers.
+    data headers and trailers. ``cut`` says that the words ended before the frame did.
     """
     words = Words(content)
     w, kind, n = words.w, words.kind, len(words.w)
@@ -148,10 +154,10 @@ def decode_words(content: bytes):
             "event_id": int(part[1] + (part[4] << 12)), "timestamp": int(part[2] + (part[5] << 12) + (part[6] << 24) + ((h[7] & 0xFF) << 36)),
             "sample_id": int(((h[0] & 0x800) >> 3) + field_of(h[3], "sample_id")), "ftst": int(h[3] & 7), "zs": bool(field_of(h[0], "zs")),
         }
-        channels, values, bad, ended = [], [], 0, False
+        channels, values, bad, ended, cut = [], [], 0, False, True
         while i < n and kind[i] != words.HEAD:
             if kind[i] == words.TRAILER:
-                ended = bool(field_of(int(w[i]), "end_of_event"))
+                ended, cut = bool(field_of(int(w[i]), "end_of_event")), False
                 i += 2
                 break
             if frame["zs"] and kind[i] == words.DATA and i + 1 < n:
@@ -173,8 +179,8 @@ def decode_words(content: bytes):
             else:
                 i += 1
         empty = np.zeros(0, np.int32)
-        yield frame | {"eoe": ended, "bad_blocks": bad, "channel": np.concatenate([empty, *channels]), "amplitude": np.concatenate([empty, *values])}
-        at = words.next_head(i)
+        yield frame | {"eoe": ended, "cut": cut and i >= n, "bad_blocks": bad, "channel": np.concatenate([empty, *channels]), "amplitude": np.concatenate([empty, *values])}
+        at = words.next_head(min(i, n))  # a file may end with a trailer
 
 
 def closed_entries(frames):

@@ -7,6 +7,8 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .files import file_system
+
 #: What a column may have been written as, so that Spark's reader can take it as the type on the left.
 READABLE_AS = {
     "int": ("int8", "int16", "int32", "uint8", "uint16"), "bigint": ("int8", "int16", "int32", "int64", "uint8", "uint16", "uint32"),
@@ -28,8 +30,7 @@ def fields_of(schema: str) -> dict[str, str]:
 
 def footer(path: str) -> pq.FileMetaData:
     """The footer of a Parquet file on any file system that Arrow knows; nothing else of it is read."""
-    uri = path if "://" in path else "/" + path.removeprefix("file:").lstrip("/")
-    fs, inner = pa.fs.FileSystem.from_uri(uri)
+    fs, inner = file_system(path)
     with fs.open_input_file(inner) as f:
         return pq.ParquetFile(f).metadata
 
