@@ -25,6 +25,7 @@ from .simhash import components
 
 FREQUENT, MOST_FREQUENT = 16, 1 << 19  # tokens in so many sets go last; so many of them are told to the tasks
 NEED_BITS = 1 << 24  # of the bitmap that says whose sets the pairs need
+COUNTED, BRIEF = 1 << 22, 512  # tokens that are counted together; parity bits that go into index lists
 WINDOW, LONG_WORD = 1 << 20, 1 << 10  # bytes that are hashed together; longer words are hashed one by one
 SPACES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 LETTERS = np.random.default_rng(42).integers(0, 1 << 64, 256, np.uint64) | np.uint64(1)
@@ -103,12 +104,12 @@ def set_name(tokens: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(tokens.tobytes(), 42)
 
 
-def parity(tokens: np.ndarray) -> bytes:
-    """For each bit place whether an odd number of tokens falls there; as many bits as tokens, from 64 to 4096.
+def parity(tokens: np.ndarray, bits: int = 0) -> bytes:
+    """For each bit place whether an odd number of tokens falls there; as many bits as tokens, from 64 to 4096, if not told.
 
     Two of them differ in no more bits than their sets differ in tokens; halves laid over each other give the shorter form.
     """
-    bits = min(4096, max(64, 1 << max(0, len(tokens) - 1).bit_length()))
+    bits = bits or min(4096, max(64, 1 << max(0, len(tokens) - 1).bit_length()))
     odd = np.bincount((tokens >> np.uint64(20) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -147,14 +148,23 @@ def _picked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def frequent_tokens(docs: DataFrame, size: int = 3) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent tokens, sorted, and how often each was counted: where a token repeats within a batch."""
+    """The most frequent tokens, sorted, and how often each was counted: where a token repeats among ``COUNTED``."""
+
+    def counts(tokens: list):
+        token, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *tokens]), return_counts=True)
+        keep = n > 1
+        return pa.RecordBatch.from_arrays([pa.array(token[keep].view(np.int64)), pa.array(n[keep].astype(np.int64))], ["token", "n"])
 
     def run(batches):
         lean_memory()
-        for b in pieces(batches, 4 << 20):
-            token, n = np.unique(token_sets(b.column("text"), size)[0], return_counts=True)
-            keep = n > 1
-            yield pa.RecordBatch.from_arrays([pa.array(token[keep].view(np.int64)), pa.array(n[keep].astype(np.int64))], ["token", "n"])
+        held, size_held = [], 0
+        for b in pieces(batches, 2 << 20):
+            held.append(token_sets(b.column("text"), size)[0])
+            size_held += len(held[-1])
+            if size_held > COUNTED:
+                yield counts(held)
+                held, size_held = [], 0
+        yield counts(held)
 
     counted = docs.select("text").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     rows = counted.filter(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "token").limit(MOST_FREQUENT).toArrow()
@@ -164,8 +174,8 @@ def frequent_tokens(docs: DataFrame, size: int = 3) -> tuple[np.ndarray, np.ndar
 
 
 def set_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """``doc_id, s, n, prefix, bits``: name and size of each document's set, the first tokens, of which it must share one with a
-    partner, and its parity bits."""
+    """``doc_id, s, n, prefix, bits, brief``: name and size of each document's set, the first tokens, of which it must share one
+    with a partner, and its parity bits, at length and as ``BRIEF`` bits."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent_tokens(docs, size))
 
     def run(batches):
@@ -174,10 +184,10 @@ def set_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
         for b in pieces(batches, 2 << 20):
             flat, at = token_sets(b.column("text"), size)
             rank = order.ranks(flat)
-            names, prefix, bits = [], [np.zeros(0, np.uint64)], []
+            names, prefix, bits, brief = [], [np.zeros(0, np.uint64)], [], []
             for i, j in zip(at[:-1].tolist(), at[1:].tolist()):
                 own, often = flat[i:j], np.flatnonzero(rank[i:j])
-                names.append(set_name(own)), bits.append(parity(own))
+                names.append(set_name(own)), bits.append(parity(own)), brief.append(parity(own, BRIEF))
                 most = prefix_length(j - i, percent) if j > i else 0
                 if len(often):
                     rare = own[rank[i:j] == 0]
@@ -186,9 +196,9 @@ def set_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
             stops = pa.array(np.cumsum([len(x) for x in prefix], dtype=np.int32))
             lists = pa.ListArray.from_arrays(stops, pa.array(np.concatenate(prefix).view(np.int64)))
             name = np.array(names, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(name), pa.array(np.diff(at).astype(np.int64)), lists, pa.array(bits, pa.binary())], ["doc_id", "s", "n", "prefix", "bits"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(name), pa.array(np.diff(at).astype(np.int64)), lists, pa.array(bits, pa.binary()), pa.array(brief, pa.binary())], ["doc_id", "s", "n", "prefix", "bits", "brief"])
 
-    return docs.mapInArrow(run, "doc_id long, s long, n long, prefix array<long>, bits binary")
+    return docs.mapInArrow(run, "doc_id long, s long, n long, prefix array<long>, bits binary, brief binary")
 
 
 def may_link(n, pos, other_n, other_pos, percent: int):
@@ -205,11 +215,13 @@ def guides(posts: DataFrame, percent: int) -> DataFrame:
     return votes.groupBy("s").agg(F.max_by("guide", F.struct("count", "guide")).alias("b")).withColumnRenamed("s", "a")
 
 
-def list_pairs(s: np.ndarray, n: np.ndarray, pos: np.ndarray, label: np.ndarray, other: np.ndarray, percent: int):
-    """Pairs of one index list that differ in label and may link; ``other`` marks the second of two parts of a list that are held
-    against each other (all False: one part against itself)."""
+def list_pairs(s: np.ndarray, n: np.ndarray, pos: np.ndarray, label: np.ndarray, other: np.ndarray, brief: np.ndarray, percent: int):
+    """Pairs of one index list that differ in label and may link, by bounds from lengths, positions and brief parity bits.
+
+    ``other`` marks the second of two parts of a list that are held against each other (all False: one part against itself).
+    """
     order = np.lexsort((pos, n))
-    s, n, pos, label, other = s[order], n[order], pos[order], label[order], other[order]
+    s, n, pos, label, other, brief = s[order], n[order], pos[order], label[order], other[order], brief[order]
     starts = np.flatnonzero(np.concatenate([[True], (n[1:] != n[:-1]) | (pos[1:] != pos[:-1])]))
     stops = np.append(starts[1:], len(n))
     bn, cap = n[starts], ((100 + percent) * (n[starts] - pos[starts])) // percent - n[starts]  # the longest partner that the bound allows
@@ -225,31 +237,34 @@ def list_pairs(s: np.ndarray, n: np.ndarray, pos: np.ndarray, label: np.ndarray,
             near = theirs[(theirs > i) & (label[theirs] != label[i])]
             if split:
                 near = near[other[near] != other[i]]
+            both = n[i] + n[near]
+            near = near[np.bitwise_count(brief[near] ^ brief[i]).sum(axis=1) <= both + 2 * (-percent * both // (100 + percent))]
             if len(near):
                 out.append(np.stack([np.full(len(near), s[i]), s[near]]))
     return np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
 
 
-def open_pairs(posts: DataFrame, labels: DataFrame, percent: int, block: int = 2048) -> DataFrame:
+def open_pairs(posts: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, block: int = 2048) -> DataFrame:
     """``a, b``: pairs of sets of different labels that share a token early enough. Lists over ``block`` entries are dealt out as
     pairs of parts; a list whose sets all have one label isn't read."""
     rows = posts.join(labels.withColumnRenamed("node", "s"), "s", "left").withColumn("label", F.coalesce("component", "s")).drop("component")
     mixed_ = rows.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).filter("lo <> hi")
     parts = F.ceil(F.col("size") / block).cast("int")
-    rows = rows.join(mixed_.select("token", parts.alias("parts")), "token")
+    rows = rows.join(mixed_.select("token", parts.alias("parts")), "token").join(sets.select("s", "brief"), "s")
     own = F.pmod(F.xxhash64("s"), F.col("parts")).cast("int")
-    rows = rows.select("token", "s", "n", "pos", "label", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("with"))
-    rows = rows.select("token", F.least("own", "with").alias("p"), F.greatest("own", "with").alias("q"), "s", "n", "pos", "label", "own")
-    lists = rows.groupBy("token", "p", "q").agg(*[F.collect_list(c).alias(c) for c in ("s", "n", "pos", "label", "own")]).drop("token")
+    rows = rows.select("token", "s", "n", "pos", "label", "brief", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("with"))
+    rows = rows.select("token", F.least("own", "with").alias("p"), F.greatest("own", "with").alias("q"), "s", "n", "pos", "label", "own", "brief")
+    lists = rows.groupBy("token", "p", "q").agg(*[F.collect_list(c).alias(c) for c in ("s", "n", "pos", "label", "own", "brief")]).drop("token")
 
     def run(batches):
         for b in batches:
             stops = b.column("s").offsets.to_numpy()
             s, n, pos, label, own = (b.column(c).values.to_numpy(zero_copy_only=False) for c in ("s", "n", "pos", "label", "own"))
+            brief = np.frombuffer(b"".join(b.column("brief").values.to_pylist()), np.uint64).reshape(-1, BRIEF // 64)
             p, q = b.column("p").to_numpy(), b.column("q").to_numpy()
             found = [np.zeros((2, 0), np.int64)]
             for k, (i, j) in enumerate(zip(stops[:-1], stops[1:])):
-                found.append(list_pairs(s[i:j], n[i:j], pos[i:j], label[i:j], (own[i:j] == q[k]) & (p[k] != q[k]), percent))
+                found.append(list_pairs(s[i:j], n[i:j], pos[i:j], label[i:j], (own[i:j] == q[k]) & (p[k] != q[k]), brief[i:j], percent))
             a, c = np.concatenate(found, axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, c)), pa.array(np.maximum(a, c))], ["a", "b"])
 
@@ -329,14 +344,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     docs = _picked(docs, id_col, text_col)
     own = materialise(set_rows(docs, size, percent))
-    sets = own.filter("n > 0").select("s", "n", "prefix").dropDuplicates(["s"])
-    every = sets.select("s", "n", F.posexplode("prefix").alias("pos", "token"))
+    prefixes = own.filter("n > 0").select("s", "n", "prefix").dropDuplicates(["s"])
+    sets = own.filter("n > 0").groupBy("s").agg(F.any_value("brief").alias("brief"))
+    every = prefixes.select("s", "n", F.posexplode("prefix").alias("pos", "token"))
     every = every.select("token", "s", F.col("n"), F.col("pos").cast("long").alias("pos"))
     common = every.groupBy("token").count().filter("count > 1").select("token")
     posts = materialise(every.join(common, "token", "left_semi"))
     first = materialise(linked(docs, own, guides(posts, percent), size, percent))
     labels = materialise(components(first))
-    rest = materialise(open_pairs(posts, labels, percent, block))
+    rest = materialise(open_pairs(posts, labels, sets, percent, block))
     labels = components(first.unionByName(linked(docs, own, rest, size, percent)))
     named = own.join(labels.withColumnRenamed("node", "s"), "s", "left").select("doc_id", "n", F.coalesce("component", "s").alias("c"))
     least = named.filter("n > 0").groupBy("c").agg(F.min("doc_id").alias("component_id"))
