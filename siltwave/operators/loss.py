@@ -9,28 +9,74 @@ from pyspark.sql import functions as F
 SAMPLE_IDS = 1024  # greater ids are counted nowhere
 
 
-def assemble(frames: DataFrame, file: list[str]) -> DataFrame:
+def assemble(frames: DataFrame, file: list[str], chunk: int = 1 << 16) -> DataFrame:
     """``frames`` with ``entry`` and ``reason``: how the entry that a frame belongs to was closed.
 
     An entry ends with a frame that has the end marker (0), before a frame of another event id (1), or with the file
     (2); the latter two only where it has data. So frames without data run on into the next entry, and those at the end
     of a file belong to none: their entry and reason are null. ``frames`` has ``frame_idx, event_id, eoe, n_data``. The
     decode job does the same as it reads a file; this form is for frames that come as a table.
+
+    A file is cut into chunks of ``chunk`` frame numbers, so one long file spreads over all tasks, and frames are shuffled
+    once, by file and chunk. Each chunk gives one row to a small table, in which what crosses the cuts (the last event id, data
+    of an entry that is still open, the number of entries so far, the next entry's reason) is carried along the file.
     """
-    order = W.partitionBy(*file).orderBy("frame_idx")
-    new = F.lag("eoe", 1, True).over(order) | (F.lag("event_id").over(order) != F.col("event_id"))
-    marked = frames.withColumn("group", F.sum(F.coalesce(new, F.lit(True)).cast("int")).over(order))
-    groups = marked.groupBy(*file, "group").agg(F.bool_or("eoe").alias("ended"), (F.sum("n_data") > 0).alias("data"))
-    by_group = W.partitionBy(*file).orderBy("group")
-    closes = F.when(F.col("ended"), 0).when(F.col("data") & F.lead("group").over(by_group).isNotNull(), 1).when(F.col("data"), 2)
-    before = by_group.rowsBetween(W.unboundedPreceding, -1)
-    own = groups.withColumn("closes", closes.cast("long"))
-    own = own.withColumns({
-        "reason": F.first("closes", ignorenulls=True).over(by_group.rowsBetween(W.currentRow, W.unboundedFollowing)),
-        "entry": F.coalesce(F.count("closes").over(before), F.lit(0)),
-    })
-    own = own.select(*file, "group", F.when(F.col("reason").isNotNull(), F.col("entry")).alias("entry"), "reason")
-    return marked.join(own, [*file, "group"]).drop("group")
+    part = [*file, "chunk"]
+    order = W.partitionBy(*part).orderBy("frame_idx")
+    cut = F.lag("eoe").over(order) | (F.lag("event_id").over(order) != F.col("event_id"))  # null for a chunk's first frame
+    rows = frames.withColumn("chunk", F.floor(F.col("frame_idx") / chunk)).withColumn("cut", cut)
+    rows = rows.withColumn("run", F.sum(F.coalesce(F.col("cut").cast("int"), F.lit(0))).over(order))  # 0: may go on from the chunk before
+    rows = rows.withColumn("total", F.sum("n_data").over(order))
+    begun = F.last(F.when(F.col("cut"), F.col("total") - F.col("n_data")), ignorenulls=True).over(order)
+    rows = rows.withColumn("data", F.col("total") - F.coalesce(begun, F.lit(0)))  # of the run so far
+    carried = _carry(_chunk_rows(rows, part), file)
+    rows = rows.join(carried, part)
+    follows = F.lead("cut").over(order)
+    ends = F.coalesce(follows, F.col("cut_after"))
+    data = F.col("data") + F.when(F.col("run") == 0, F.col("open_data")).otherwise(0) > 0
+    closes = F.when(ends, F.when(F.col("eoe"), 0).when(data & follows.isNull() & F.col("last"), 2).when(data, 1)).cast("long")
+    rows = rows.withColumn("closes", closes)
+    back = W.partitionBy(*part).orderBy(F.desc("frame_idx")).rowsBetween(W.unboundedPreceding, W.currentRow)  # a frame to the end would be run through for each row
+    reason = F.coalesce(F.last("closes", ignorenulls=True).over(back), F.col("next_reason"))
+    before = F.count("closes").over(order.rowsBetween(W.unboundedPreceding, -1))
+    rows = rows.withColumns({"reason": reason, "number": F.col("entries") + before})
+    return rows.select(*frames.columns, F.when(F.col("reason").isNotNull(), F.col("number")).alias("entry"), "reason")
+
+
+def _chunk_rows(rows: DataFrame, part: list[str]) -> DataFrame:
+    """One row for each chunk: its ends, the data of its first and its last run of frames, and the closes of the runs between."""
+    runs = rows.groupBy(*part, "run").agg(
+        F.min("frame_idx").alias("at"), F.min_by("event_id", "frame_idx").alias("first_id"), F.max_by("event_id", "frame_idx").alias("last_id"),
+        F.max_by("eoe", "frame_idx").alias("ended"), F.sum("n_data").alias("n"),
+    )
+    last = F.max("run").over(W.partitionBy(*part))
+    runs = runs.withColumn("last_run", last)
+    inner = (F.col("run") > 0) & (F.col("run") < F.col("last_run"))
+    closes = F.when(inner, F.when(F.col("ended"), 0).when(F.col("n") > 0, 1))
+    own = lambda c, cond: F.max(F.when(cond, F.col(c)))
+    head, tail = F.col("run") == 0, F.col("run") == F.col("last_run")
+    return runs.withColumn("closes", closes).groupBy(*part).agg(
+        own("first_id", head).alias("first_id"), own("last_id", tail).alias("last_id"), own("n", head).alias("head_n"), own("n", tail).alias("tail_n"), own("ended", head).alias("head_ended"),
+        own("ended", tail).alias("tail_ended"), (F.max("last_run") > 0).alias("parted"), F.count("closes").alias("inner"), F.min_by("closes", F.when(F.col("closes").isNotNull(), F.col("at"))).alias("inner_reason"),
+    )
+
+
+def _carry(chunks: DataFrame, file: list[str]) -> DataFrame:
+    """What each chunk needs from its neighbours; the table has a row for each chunk of a file."""
+    order = W.partitionBy(*file).orderBy("chunk")
+    lag, lead = (lambda c: F.lag(c).over(order)), (lambda c: F.lead(c).over(order))
+    c = chunks.withColumn("cut_before", F.coalesce(lag("tail_ended") | (lag("last_id") != F.col("first_id")), F.lit(True)))
+    c = c.withColumns({"cut_after": F.coalesce(lead("cut_before"), F.lit(True)), "last": lead("chunk").isNull(), "reset": (F.col("parted") | F.col("cut_before")).cast("int")})
+    c = c.withColumn("stretch", F.sum("reset").over(order))
+    c = c.withColumn("left_data", F.sum(F.when(F.col("parted"), F.col("tail_n")).otherwise(F.col("head_n"))).over(W.partitionBy(*file, "stretch").orderBy("chunk")))
+    c = c.withColumn("open_data", F.when(F.col("cut_before"), 0).otherwise(F.coalesce(lag("left_data"), F.lit(0))))
+    head = F.when(F.col("parted"), F.when(F.col("head_ended"), 0).when(F.col("open_data") + F.col("head_n") > 0, 1))
+    tail = F.when(F.col("cut_after"), F.when(F.col("tail_ended"), 0).when(F.col("left_data") > 0, F.when(F.col("last"), 2).otherwise(1)))
+    c = c.withColumns({"head": head, "tail": tail})
+    c = c.withColumns({"first": F.coalesce("head", "inner_reason", "tail"), "closed": F.col("inner") + F.col("head").isNotNull().cast("int") + F.col("tail").isNotNull().cast("int")})
+    after = W.partitionBy(*file).orderBy(F.desc("chunk")).rowsBetween(W.unboundedPreceding, -1)
+    entries_ = F.coalesce(F.sum("closed").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).cast("long")
+    return c.select(*file, "chunk", "cut_after", "last", "open_data", F.last("first", ignorenulls=True).over(after).cast("long").alias("next_reason"), entries_.alias("entries"))
 
 
 def entries(assembled: DataFrame, file: list[str]) -> DataFrame:
