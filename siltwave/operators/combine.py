@@ -44,15 +44,26 @@ def coverage(strips: DataFrame, channels: int = 256) -> DataFrame:
 def compatible_pairs(hits: DataFrame, keys: list[str], mm: float = 2.0, ns: float = 10.0) -> DataFrame:
     """Pairs of hits of one event and axis that are near in space and time.
 
-    Hits are put into cells of ``mm`` in x; a hit meets only those of its own and the next cell, so a noisy event
-    doesn't pair everything with everything. ``ord`` orders the hits of an event.
+    Hits are put into cells of ``mm`` by ``mm`` by ``ns``; a hit meets only those of its own cell and of half the cells around it, so
+    each pair of cells meets once and a noisy event doesn't pair everything with everything, on strips of either axis.
+    ``ord`` orders the hits of an event.
     """
+    pairs = pair_candidates(hits, keys, mm, ns)
+    near = (F.pow(F.col("x") - F.col("x2"), 2) + F.pow(F.col("y") - F.col("y2"), 2) <= mm * mm) & (F.abs(F.col("time") - F.col("time2")) <= ns)
+    return pairs.filter(near).select(*keys, "axis", F.least("ord", "ord2").alias("ord"), F.greatest("ord", "ord2").alias("ord2"))
+
+
+def pair_candidates(hits: DataFrame, keys: list[str], mm: float, ns: float) -> DataFrame:
+    """The pairs of hits whose cells touch, each once, before their distance is looked at."""
     base = hits.select(*keys, "axis", "ord", "x", "y", "time")
-    a = base.withColumns({"cell": F.floor(F.col("x") / mm)})
+    cell = {"cx": ("x", mm), "cy": ("y", mm), "ct": ("time", ns)}
+    a = base.withColumns({c: F.floor(F.col(v) / size) for c, (v, size) in cell.items()})
     b = base.select(*keys, "axis", *[F.col(c).alias(f"{c}2") for c in ("ord", "x", "y", "time")])
-    b = b.withColumn("cell", F.explode(F.array(*[F.floor(F.col("x2") / mm) + k for k in (-1, 0, 1)])))
-    near = (F.pow(F.col("x") - F.col("x2"), 2) + F.pow(F.col("y") - F.col("y2"), 2) <= mm * mm) & (F.abs(F.col("time") - F.col("time2")) <= ns)
-    return a.join(b, [*keys, "axis", "cell"]).filter((F.col("ord") < F.col("ord2")) & near).select(*keys, "axis", "ord", "ord2")
+    half = [(i, j, k) for i in (0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1) if (i, j, k) >= (0, 0, 0)]
+    b = b.withColumn("o", F.explode(F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in zip(cell, o)]) for o in half])))
+    b = b.withColumns({c: F.floor(F.col(f"{v}2") / size) + F.col("o").getField(c) for c, (v, size) in cell.items()})
+    own = (F.col("o.cx") == 0) & (F.col("o.cy") == 0) & (F.col("o.ct") == 0)
+    return a.join(b, [*keys, "axis", *cell]).filter(~own | (F.col("ord") < F.col("ord2")))
 
 
 def event_groups(hits: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -256,8 +256,8 @@ def with_settings(events: DataFrame, settings: DataFrame | None, keys: list[str]
     return rows.withColumns({c: (F.col(c) if c in own else F.lit(None)).cast(t) for c, t in SETTINGS.items()})
 
 
-def find_hits(events: DataFrame, peds: DataFrame, p: Params, keys: list[str], ped_keys: list[str], zs: DataFrame | None = None, settings: DataFrame | None = None, file_keys: list[str] | None = None) -> DataFrame:
-    """One row for each pulse. ``peds`` has ``ped_keys, channel, mean, rms, rms_gate``.
+def find_hits(events: DataFrame, peds: DataFrame, p: Params, keys: list[str], ped_keys: list[str], zs: DataFrame | None = None, settings: DataFrame | None = None, file_keys: list[str] | None = None, nested: bool = False) -> DataFrame:
+    """One row for each pulse, or with ``nested`` one for each event with its pulses as the array ``hits``. ``peds`` has ``ped_keys, channel, mean, rms, rms_gate``.
 
     ``zs`` has ``file_keys`` (``ped_keys`` unless given) and ``is_zs``; ``settings`` has ``file_keys`` and what differs
     from file to file: sample_ns, gate_width, zs_baseline. A unit's pedestals become three arrays, at most ``channels``
@@ -273,7 +273,9 @@ def find_hits(events: DataFrame, peds: DataFrame, p: Params, keys: list[str], pe
     arrays_ = ("channel", "sample", "amplitude")
     rows = rows.select(*kept, *[F.col(c).cast("array<int>").alias(c) for c in arrays_], F.map_keys("ped").cast("array<int>").alias("pc"), F.map_values("ped").alias("pv"), F.coalesce("is_zs", F.lit(False)).alias("is_zs"), *SETTINGS)
     rows = rows.withColumns({f"p_{c}": F.col("pv").getField(c) for c in ("mean", "rms", "rms_gate")}).drop("pv")
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(kept)]] + ["channel int", "pulse_idx int"] + [f"{n} double" for n in NUMBERS] + [f"{n} boolean" for n in FLAGS])
+    own = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(kept)]]
+    measured = ["channel int", "pulse_idx int"] + [f"{n} double" for n in NUMBERS] + [f"{n} boolean" for n in FLAGS]
+    schema = ", ".join(own + [f"hits array<struct<{', '.join(x.replace(' ', ':') for x in measured)}>>"] if nested else own + measured)
 
     def run(batches):
         for b in batches:
@@ -309,9 +311,15 @@ def find_hits(events: DataFrame, peds: DataFrame, p: Params, keys: list[str], pe
             for n in ("sample", "max_sample", "left_sample", "right_sample"):
                 values[n] = values[n] + late
             values |= {"time": values["sample"] * ns, "time_of_max": values["max_sample"] * ns, "time_over_threshold": values["time_over_threshold"] * ns}
-            columns = [b.column(c).take(at) for c in kept] + [pa.array(table[0], pa.int32()), pa.array(table[1], pa.int32())]
+            columns = [pa.array(table[0], pa.int32()), pa.array(table[1], pa.int32())]
             columns += [pa.array(values[n], pa.float64()) for n in NUMBERS] + [pa.array(v, pa.bool_()) for v in table[2 + len(NUMBERS) :]]
-            yield pa.RecordBatch.from_arrays(columns, kept + ["channel", "pulse_idx"] + NUMBERS + FLAGS)
+            names = ["channel", "pulse_idx"] + NUMBERS + FLAGS
+            if nested:
+                stops = np.concatenate([[0], np.cumsum(np.bincount(np.asarray(source, np.int64), minlength=b.num_rows))]).astype(np.int32)
+                hits = pa.ListArray.from_arrays(pa.array(stops), pa.StructArray.from_arrays(columns, names))
+                yield pa.RecordBatch.from_arrays([b.column(c) for c in kept] + [hits], kept + ["hits"])
+            else:
+                yield pa.RecordBatch.from_arrays([b.column(c).take(at) for c in kept] + columns, kept + names)
 
     out = rows.mapInArrow(run, schema)
     return out.withColumn("trigger_timestamp_ns", F.col("timestamp") * p.tick_ns).drop("timestamp") if "timestamp" in kept else out

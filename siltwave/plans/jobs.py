@@ -47,3 +47,10 @@ def files_to_clusters(listed: DataFrame, strips: DataFrame, keys: list[str], mm:
     found = files.written(inputs.health(listed, schemas.HITS))
     mapped = combine.with_strips(inputs.read_inputs(listed.sparkSession, found, schemas.HITS), combine.last_by_channel(strips))
     return cluster.cluster_hits(combine.event_groups(mapped, keys, ["channel", "pulse_idx"]), keys, mm, ns), found
+
+
+def events_to_clusters(events: DataFrame, pedestal_events: DataFrame, strips: DataFrame, p: Params, keys: list[str], unit: list[str], mm: float = 2.0, ns: float = 10.0, settings: DataFrame | None = None) -> DataFrame:
+    """From event rows to clusters with hits as an array in the event's row: the events are never shuffled."""
+    peds = pedestals.from_events(pedestal_events, unit, p, settings)
+    hits = pulses.find_hits(events, peds, p, keys, unit, settings=settings, nested=True)
+    return cluster.cluster_nested(hits, combine.last_by_channel(strips), keys, mm, ns)

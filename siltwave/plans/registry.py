@@ -394,6 +394,21 @@ def j7_j9_clusters(spark, sf_dir):
     return cluster.cluster_hits(mapped(spark, sf_dir), ["event"]).withColumn("channels", F.array_join("channels", ","))
 
 
+STRIP_SQL = HITS[HITS.index("lines as"):HITS.index("mapped as")]
+
+
+@query(hits_sql(False, 0) + ", " + STRIP_SQL + """mapped as (select h.feu, h.entry, h.channel, axis, x, y, time, row_number() over (partition by h.feu, h.entry order by h.channel, pulse_idx) - 1 as ord from hits h join strips s on h.channel = s.channel),
+evs as (select feu, entry, list({'c': channel, 'a': axis, 'x': x, 'y': y, 't': time} order by ord) as h from mapped group by 1, 2),
+steps as (select feu, entry, h, 0 as k, cast([] as bigint[]) as lab, cast(0 as bigint) as made from evs
+union all select feu, entry, h, k + 1, list_append(lab, coalesce(joins, made)), made + case when joins is null then 1 else 0 end from (select *, list_min([lab[j] for j in range(1, k + 1)
+if h[j].a = h[k + 1].a and (h[j].x - h[k + 1].x) * (h[j].x - h[k + 1].x) + (h[j].y - h[k + 1].y) * (h[j].y - h[k + 1].y) <= 4 and abs(h[j].t - h[k + 1].t) <= 150]) as joins from steps where k < len(h)))
+select feu, entry, cluster_id, any_value(s.a) as axis, count(*) as n_hits, array_to_string(list(s.c order by i), ',') as channels from (select feu, entry, unnest(lab) as cluster_id, unnest(h) as s, unnest(range(0, k)) as i from steps where k = len(h)) group by 1, 2, 3""")
+def w24_j7_events_to_clusters(spark, sf_dir):
+    """From event rows to clusters with the hits as an array in the event's row, without a shuffle of events or hits."""
+    out = jobs.events_to_clusters(A.shaped_events(spark, sf_dir), A.shaped_events(spark, sf_dir, quiet=True), A.strips(spark, sf_dir), RAW_GATE, ["feu", "entry"], ["feu"], ns=150.0)
+    return out.withColumn("channels", F.array_join("channels", ","))
+
+
 @query(HITS + """, ends as (select min(cast(amplitude as double)) as lo, max(cast(amplitude as double)) as hi from hits)
 select cast(least(floor((amplitude - lo) * 100 / (hi - lo)), 99) as bigint) as bin, count(*) as n from hits, ends group by 1""")
 def q1_amplitude_histogram(spark, sf_dir):
