@@ -38,15 +38,27 @@ def resolve_pedestals(data: DataFrame, pedestals: DataFrame, keys: list[str], ma
     return out if many == "first" else out.withColumn("pedestal_path", F.when(F.col("found") == 1, F.col("pedestal_path")))
 
 
-def pedestal_folder(choice: Column, same: Column, named: Column) -> Column:
-    """Where pedestals lie: beside the data, in an absolute folder, or in the run that a file beside the data names."""
-    return F.when(choice == "same", same).when(choice.startswith("/"), choice).otherwise(F.coalesce(F.nullif(F.regexp_replace(named, r"^\s+|\s+$", ""), F.lit("")), same))
+def pedestal_folder(choice: Column, same: Column, base: Column, named: Column) -> Column:
+    """Where a run's pedestals lie, null where that isn't known and the run is skipped.
+
+    By ``choice``: "same" is beside the data, "abs" the pedestal folder ``base`` itself, "find" the pedestals of the run below it that a
+    file beside the data names (``named``: its content, null without the file).
+    """
+    run = F.regexp_replace(named, r"^\s+|\s+$", "")
+    found = F.concat(F.regexp_replace(base, "/$", ""), F.when(run == "", "").otherwise(F.concat(F.lit("/"), run)), F.lit("/pedestals"))
+    return F.when(choice == "same", same).when(choice == "abs", base).when(choice == "find", found)
 
 
-def combined_groups(files: DataFrame) -> DataFrame:
-    """Hit files of one number and the name of their union."""
-    name = F.regexp_replace(F.min("path"), r"_(\d{3})_(\d{2})(?!.*_\d{3}_\d{2})", "_$1_feu-combined")
-    return files.groupBy("file_num").agg(F.sort_array(F.collect_list("path")).alias("paths"), name.alias("combined"))
+def combined_groups(files: DataFrame, excluded: tuple[int, ...] = (1,)) -> DataFrame:
+    """Hit files of one number in one folder (so of one sub-run), a file for each unit, and the name of their union.
+
+    Files without a number and those of ``excluded`` units are left out; of two files of one unit the last by name counts.
+    """
+    own = files.filter(F.col("file_num").isNotNull() & F.col("feu").isNotNull() & ~F.col("feu").isin(*excluded))
+    one = own.groupBy(F.regexp_replace("path", "/?[^/]*$", "").alias("folder"), "file_num", "feu").agg(F.max("path").alias("path"))
+    first = F.element_at(F.split(F.min("path"), "/"), -1)
+    name = F.regexp_replace(first, r"_(\d{3})_(\d{2})(?!.*_\d{3}_\d{2})", "_$1_feu-combined")
+    return one.groupBy("folder", "file_num").agg(F.sort_array(F.collect_list("path")).alias("paths"), name.alias("combined"))
 
 
 def peaking_times(lines: DataFrame) -> DataFrame:

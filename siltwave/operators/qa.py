@@ -40,14 +40,24 @@ def top_channels(hits: DataFrame, keys: list[str], least: float = 50.0, k: int =
     return best.withColumn("rank", rank).filter(F.col("rank") <= k).drop("rank")
 
 
-def with_waveforms(hits: DataFrame, wf: DataFrame, peds: DataFrame, keys: list[str]) -> DataFrame:
-    """Hits with their event's samples (first entry of an event id) and pedestal, by default mean 0 and rms 1."""
-    first = wf.groupBy(*keys, "channel").agg(F.min_by("wf", "entry").alias("wf"))
-    out = hits.join(first, [*keys, "channel"]).join(peds.select("channel", "mean", "rms"), "channel", "left")
-    return out.withColumns({"mean": F.coalesce("mean", F.lit(0.0)), "rms": F.coalesce("rms", F.lit(1.0))})
+def with_waveforms(hits: DataFrame, events: DataFrame, peds: DataFrame, event: list[str], unit: list[str]) -> DataFrame:
+    """Hits with ``wf``, the samples of their channel in their event, and the pedestal of their unit, by default mean 0 and rms 1.
+
+    ``events`` has ``event, entry, ftst`` and the arrays ``channel, sample, amplitude``. Of entries that share an event id the first
+    counts, also for channels that only a later one has. Hits of an event that isn't there are left out; a channel without
+    samples has an empty ``wf``. ``peds`` has ``unit, channel, mean, rms``. Hits and events meet on ``event`` alone, so tables that are
+    bucketed by it (``files.write_bucketed``) join without a shuffle.
+    """
+    lists = ("channel", "sample", "amplitude")
+    first = events.groupBy(*event).agg(F.min_by(F.struct("entry", "ftst", *lists), "entry").alias("e"))
+    rows = hits.join(first, event).join(peds.select(*unit, "channel", "mean", "rms"), [*unit, "channel"], "left")
+    own = F.filter(F.arrays_zip(*[F.col("e").getField(c).alias(c) for c in lists]), lambda s: s.channel == F.col("channel"))
+    wf = F.transform(own, lambda s: F.struct(s.sample.alias("sample"), s.amplitude.alias("amplitude")))
+    return rows.select(*hits.columns, F.col("e.entry").alias("entry"), F.col("e.ftst").alias("ftst"), wf.alias("wf"), F.coalesce("mean", F.lit(0.0)).alias("mean"), F.coalesce("rms", F.lit(1.0)).alias("rms"))
 
 
 def display_sample(sample: Column, ftst: Column, most: Column) -> Column:
+    """A sample's place with the fine timestamp of its event; ``most`` is the greatest one of its file."""
     return sample + F.when(most > 0, ftst / (most + 1)).otherwise(0.0)
 
 
@@ -59,8 +69,10 @@ def overlay_levels(hits: DataFrame) -> DataFrame:
     })
 
 
-def sample_period(events: DataFrame) -> DataFrame:
-    return events.agg((10 * (F.max("ftst") + 1)).cast("long").alias("sample_ns"))
+def sample_period(events: DataFrame, file: list[str]) -> DataFrame:
+    """``file, most_ftst, sample_ns``: the greatest fine timestamp of each file and the period that it implies; 10 ns without any."""
+    most = F.coalesce(F.max("ftst"), F.lit(0))
+    return events.groupBy(*file).agg(most.alias("most_ftst"), (10 * (most + 1)).cast("long").alias("sample_ns"))
 
 
 def chosen_channels(spec: str):

@@ -457,24 +457,49 @@ def q7_top_channels(spark, sf_dir):
     return qa.top_channels(A.hits(spark, sf_dir), ["event"], 500, 3)
 
 
-@query(BASE + """, firsts as (select channel, arg_min(wf, entry) as wf from (select entry, channel, list(amplitude order by sample) as wf from samples group by all) group by 1),
-h as (select event_id // 8 as event, event_id * 37 % 128 as channel from events) select h.event, h.channel, list_max(wf) as highest, coalesce(m.mean, 0) as mean, case when m.mean is null then 1.0 else 2.0 end as rms
-from h join firsts f on f.channel = h.channel left join (select l_linenumber * 13 as channel, sum(cast(l_quantity as bigint)) / count(*) as mean from lineitem group by 1) m on m.channel = h.channel""")
+Q8 = """with s as (select l_suppkey % 8 as feu, l_orderkey // 8 as event, l_orderkey as entry, l_partkey % 8 as channel, cast(l_quantity as bigint) as amplitude from lineitem),
+firsts as (select feu, event, min(entry) as entry from s group by 1, 2), own as (select feu, entry, channel, count(*) as n, sum(amplitude) as total from s group by 1, 2, 3),
+peds as (select c_custkey % 6 as feu, c_custkey % 5 as channel, floor(avg(c_custkey)) as mean from customer group by 1, 2), h as (select event_id as hit, event_id % 8 as feu, event_id // 8 as event, event_id * 37 % 8 as channel from events)
+select hit, h.feu, h.event, h.channel, f.entry, coalesce(n, 0) as n, cast(coalesce(total, 0) as bigint) as total, coalesce(mean, 0) as mean, case when mean is null then 1.0 else 2.0 end as rms
+from h join firsts f on f.feu = h.feu and f.event = h.event left join own o on o.feu = h.feu and o.entry = f.entry and o.channel = h.channel left join peds p on p.feu = h.feu and p.channel = h.channel"""
+
+
+def q8_tables(spark, sf_dir):
+    """Hits, event rows of which several share an event id, and pedestals of some units and channels."""
+    rows = A.large_samples(spark, sf_dir).withColumn("channel", F.col("channel") % 8)
+    lists = F.sort_array(F.collect_list(F.struct("sample", "channel", "amplitude")))
+    events = rows.groupBy("feu", "entry").agg(lists.alias("s")).select("feu", F.floor(F.col("entry") / 8).alias("event"), "entry", F.lit(0).alias("ftst"), *[F.col("s").getField(c).alias(c) for c in ("channel", "sample", "amplitude")])
+    k, e = F.col("c_custkey"), F.col("event_id")
+    peds = A.read(spark, sf_dir, "customer").groupBy((k % 6).alias("feu"), (k % 5).alias("channel")).agg(F.floor(F.avg(k)).cast("double").alias("mean"), F.lit(2.0).alias("rms"))
+    hits = A.read(spark, sf_dir, "events").select(e.alias("hit"), (e % 8).alias("feu"), F.floor(e / 8).alias("event"), (e * 37 % 8).alias("channel"))
+    return hits, events, peds
+
+
+def q8_rows(out):
+    total = F.aggregate("wf", F.lit(0).cast("long"), lambda t, x: t + x.amplitude)
+    return out.select("hit", "feu", "event", "channel", "entry", F.size("wf").cast("long").alias("n"), total.alias("total"), "mean", "rms")
+
+
+@query(Q8)
 def q8_hits_with_waveforms(spark, sf_dir):
-    wf = waveform.waveforms(A.samples(spark, sf_dir).withColumnRenamed("amplitude", "v"), EVENT)
-    few = A.large_samples(spark, sf_dir).withColumn("channel", F.col("sample") * 13)  # channels that most hits don't have
-    peds = pedestals.means(few, []).withColumn("rms", F.lit(2.0))
-    out = qa.with_waveforms(A.hits(spark, sf_dir), wf, peds, [])
-    return out.select("event", "channel", F.array_max("wf").alias("highest"), "mean", "rms")
+    return q8_rows(qa.with_waveforms(*q8_tables(spark, sf_dir), ["feu", "event"], ["feu"]))
+
+
+@query(Q8)
+def s2_s3_q8_bucketed_tables(spark, sf_dir):
+    """The same from tables that are bucketed by unit and event: hits and events meet without a shuffle."""
+    hits, events, peds = q8_tables(spark, sf_dir)
+    hits, events = files.write_bucketed(hits, ["feu", "event"], 16), files.write_bucketed(events, ["feu", "event"], 16, ("entry",))
+    return q8_rows(qa.with_waveforms(hits, events, peds, ["feu", "event"], ["feu"]))
 
 
-@query("select event_id, round(event_id % 64 + (event_id % 6) / 6.0, 9) as shown, cast(10 * 6 as bigint) as sample_ns from events")
+@query("""with e as (select event_id, event_type as file, event_id % (3 + length(event_type)) as ftst from events), m as (select file, max(ftst) as most from e group by 1)
+select event_id, e.file, round(event_id % 64 + case when most > 0 then ftst / (most + 1.0) else 0 end, 9) as shown, cast(10 * (most + 1) as bigint) as sample_ns from e join m using (file)""")
 def q9_q12_display(spark, sf_dir):
-    e = A.read(spark, sf_dir, "events").select("event_id", (F.col("event_id") % 6).alias("ftst"))
-    period = qa.sample_period(e)
-    most = e.agg(F.max("ftst").alias("most"))
-    rows = e.crossJoin(F.broadcast(most)).crossJoin(F.broadcast(period))  # one row each
-    return rows.select("event_id", F.round(qa.display_sample(F.col("event_id") % 64, F.col("ftst"), F.col("most")), 9).alias("shown"), "sample_ns")
+    """Files whose periods differ; the greatest fine timestamp is that of each file."""
+    e = A.read(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("file"), (F.col("event_id") % (3 + F.length("event_type"))).alias("ftst"))
+    rows = e.join(qa.sample_period(e, ["file"]), "file")
+    return rows.select("event_id", "file", F.round(qa.display_sample(F.col("event_id") % 64, F.col("ftst"), F.col("most_ftst")), 9).alias("shown"), "sample_ns")
 
 
 @query(BASE + """, tall as (select entry, channel, max(amplitude) as top from injected group by all) select entry, count(*) as channels, coalesce(max(top), 0) as top from tall
@@ -551,13 +576,14 @@ def c8_c9_unit_settings(spark, sf_dir):
     return jobs.unit_settings(units, catalog.peaking_times(A.chip_lines(spark, sf_dir)), runs)
 
 
-@query("select o_orderkey as k, case o_orderkey % 4 when 0 then '/d/' || o_custkey when 1 then '/peds/' || o_custkey when 2 then '/d/' || o_custkey else '/p/' || o_orderpriority end as folder from orders")
+@query("""select * from (select o_orderkey as k, case o_orderkey % 4 when 0 then '/d/' || o_custkey when 1 then '/peds' else case when o_orderkey % 4 = 3 then '/peds' || case when o_custkey % 9 = 0 then '' else '/' || o_orderpriority end || '/pedestals' end end as folder from orders) where folder is not null""")
 def c5_pedestal_folders(spark, sf_dir):
+    """Beside the data, one folder for all, or that of a named run; runs that should name one and don't are skipped."""
     o, k = A.read(spark, sf_dir, "orders"), F.col("o_orderkey")
     same = F.concat(F.lit("/d/"), F.col("o_custkey").cast("string"))
-    choice = F.when(k % 4 == 0, "same").when(k % 4 == 1, F.concat(F.lit("/peds/"), F.col("o_custkey").cast("string"))).otherwise("named")
-    named = F.when(k % 4 == 3, F.concat(F.lit(" /p/"), "o_orderpriority", F.lit("\n")))
-    return o.select(k.alias("k"), catalog.pedestal_folder(choice, same, named).alias("folder"))
+    choice = F.when(k % 4 == 0, "same").when(k % 4 == 1, "abs").otherwise("find")
+    named = F.when(k % 4 == 3, F.when(F.col("o_custkey") % 9 == 0, " \n").otherwise(F.concat(F.lit(" "), "o_orderpriority", F.lit("\n"))))
+    return o.select(k.alias("k"), catalog.pedestal_folder(choice, same, F.lit("/peds"), named).alias("folder")).filter("folder is not null")
 
 
 NAMES = """with names as (select 'run_' || (o_orderkey % 50) as run, o_orderkey as length, '/data/run_' || (o_orderkey % 50) || '/det_123_45_' || case when o_orderkey % 10 = 0 then 'pedthr' else 'datrun' end || '_x_' || lpad(cast(o_orderkey // 50 % 1000 as varchar), 3, '0') || '_' || lpad(cast(o_custkey % 12 as varchar), 2, '0') || '.fdf' as path from orders),
@@ -583,10 +609,12 @@ def c4_pedestal_resolution(spark, sf_dir):
     return catalog.resolve_pedestals(files.filter("kind = 'data'"), files.filter("kind = 'pedestal'"), ["run", "feu"]).select("path", "found", "pedestal_path")
 
 
-@query(NAMES + "select file_num, count(*) as n, regexp_replace(min(path), '_(\\d{3})_(\\d{2})\\.', '_\\1_feu-combined.') as combined from cat where kind = 'data' group by 1")
+@query(NAMES + """, one as (select '/data/' || run as folder, file_num, feu, max(path) as path from cat where kind = 'data' and feu <> 1 group by 1, 2, 3)
+select folder, file_num, count(*) as n, regexp_replace(string_split(min(path), '/')[-1], '_(\\d{3})_(\\d{2})\\.', '_\\1_feu-combined.') as combined from one group by 1, 2""")
 def c6_combined_names(spark, sf_dir):
+    """Files of one number in one folder; unit 1 is left out."""
     files = catalog.catalogue(A.file_names(spark, sf_dir)).filter("kind = 'data'")
-    return catalog.combined_groups(files).select("file_num", F.size("paths").cast("long").alias("n"), "combined")
+    return catalog.combined_groups(files).select("folder", "file_num", F.size("paths").cast("long").alias("n"), "combined")
 
 
 @query(NAMES + "select run, path from (select run, path, row_number() over (partition by run order by case when contains(path, 'datrun') then 0 else 1 end, path) as r from cat) where r = 1")

@@ -59,6 +59,17 @@ def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def write_bucketed(df: DataFrame, keys: list[str], buckets: int, order: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` as a table in ``buckets`` by ``keys``, sorted by them and ``order``, read back.
+
+    Tables with equal buckets join and group by ``keys`` without a shuffle. The table lies in the scratch folder under a name of its own.
+    """
+    name = f"siltwave_{uuid.uuid4().hex}"
+    out = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys, *order)
+    out.option("path", f"{scratch_dir(df.sparkSession)}/{name}").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def write_table(df: DataFrame, path: str, by: tuple[str, ...] = ("run", "sub_run", "file_num")) -> None:
     """Parquet, in folders by file and never by event; rows of one file go together so that files stay few."""
     own = [c for c in by if c in df.columns]

@@ -187,8 +187,6 @@ def test_sources(spark, tmp_path):
 
 def test_small_rules(spark):
     assert Params().gate_width() == 5 and Params(sample_ns=200).gate_width() == 3 and Params(boxcar_width=0).gate_width() == 0 and Params().gate_width(False) == 0
-    df = spark.createDataFrame([("same", "/d", None), ("/abs", "/d", None), ("named", "/d", " /p \n"), ("named", "/d", "")], "c string, s string, n string")
-    assert [r[0] for r in df.select(catalog.pedestal_folder(F.col("c"), F.col("s"), F.col("n"))).collect()] == ["/d", "/abs", "/p", "/d"]
     flags = spark.createDataFrame([(True, True), (True, None), (False, True)], "z boolean, p boolean")
     assert [r[0] for r in flags.select(catalog.zs_baseline(F.col("z"), F.col("p"))).collect()] == [True, False, False]
     frames = spark.createDataFrame([(0, 1, 0, False, 0, True), (1, 2, 0, False, 3, True), (2, 3, 0, True, 0, True)], "frame_idx long, event_id long, sample_id long, eoe boolean, n_data long, zs boolean").withColumn("file", F.lit("f"))
