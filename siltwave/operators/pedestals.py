@@ -9,6 +9,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..params import Params
@@ -16,10 +17,8 @@ from . import pulses, waveform
 
 
 def rms() -> Column:
-    """sqrt(E[v^2] - E[v]^2), never below the root of zero."""
-    v = F.col("v")
-    n = F.count(v)
-    return F.sqrt(F.greatest(F.lit(0.0), F.sum(v * v) / n - (F.sum(v) / n) * (F.sum(v) / n)))
+    """Population spread; Spark merges count, mean and squared deviations pairwise, so a large offset costs no digits."""
+    return F.coalesce(F.stddev_pop("v"), F.lit(0.0))
 
 
 def means(samples: DataFrame, keys: list[str]) -> DataFrame:
@@ -51,11 +50,12 @@ def pedestals(samples: DataFrame, keys: list[str], event: list[str], width: int
 def from_events(events: DataFrame, keys: list[str], p: Params, settings: DataFrame | None = None, flat_sigma: float = 0.0, file_keys: list[str] | None = None) -> DataFrame:
     """``pedestals`` from event rows, both noises in one pass over an event's matrix; ``settings`` as in ``find_hits``.
 
-    Common noise is always taken off, whatever the job does with its data. Sums are of doubles, exact for whole numbers.
+    Common noise is always taken off, whatever the job does with its data. A task keeps count, mean and squared deviations of
+    each channel; those of all tasks are merged about one of their own means, so neither many samples nor a large offset cost digits.
     """
     arrays = ("channel", "sample", "amplitude")
     rows = pulses.with_settings(events, settings, file_keys or keys).select(*keys, *[F.col(c).cast("array<int>").alias(c) for c in arrays], *pulses.SETTINGS)
-    sums = ("n", "total", "n_wf", "v", "vv", "g", "gg")
+    sums = ("n", "total", "n_wf", "v", "vv", "g", "gg")  # v and g: means, vv and gg: squared deviations from them
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(keys)]] + ["channel int"] + [f"{c} double" for c in sums])
 
     def run(batches):
@@ -84,24 +84,38 @@ def from_events(events: DataFrame, keys: list[str], p: Params, settings: DataFra
                 pulses.common_noise(wf, length)
                 width = plain["gate_width"][i]
                 gate = pulses.smoothed(wf, length, p.gate_width(sample_ns=plain["sample_ns"][i]) if width is None else width)
-                if not (length == wf.shape[1]).all():
-                    inside = np.arange(wf.shape[1]) < length[:, None]
-                    wf, gate = np.where(inside, wf, 0.0), np.where(inside, gate, 0.0)
-                own[2:, : p.channels] += [length, wf.sum(1), (wf * wf).sum(1), gate.sum(1), (gate * gate).sum(1)]
+                inside = np.arange(wf.shape[1]) < length[:, None]
+                for k, v in ((3, wf), (5, gate)):
+                    merge_moments(own[2, : p.channels], own[k : k + 2, : p.channels], length, v, inside)
+                own[2, : p.channels] += length
         for unit, own in held.items():
             at = np.flatnonzero(own[0])
             columns = [pa.array([x] * len(at), t) for x, t in zip(unit, names)] + [pa.array(at, pa.int32())] + [pa.array(own[k, at]) for k in range(len(sums))]
             yield pa.RecordBatch.from_arrays(columns, [*keys, "channel", *sums])
 
-    n = F.sum("n_wf")
+    n, of = F.sum("n_wf"), W.partitionBy(*keys, "channel")
+    parts = rows.mapInArrow(run, schema)
+    parts = parts.withColumns({f"{c}0": F.min(F.when(F.col("n_wf") > 0, F.col(c))).over(of) for c in ("v", "g")})  # one row of a task and channel each
 
-    def spread(one: str, two: str) -> Column:
-        return F.coalesce(F.when(n > 0, F.sqrt(F.greatest(F.lit(0.0), F.sum(two) / n - (F.sum(one) / n) * (F.sum(one) / n)))), F.lit(0.0))
+    def spread(mean: str, squares: str) -> Column:
+        away = F.col(mean) - F.col(f"{mean}0")
+        total = F.sum(squares) + F.sum(F.col("n_wf") * away * away) - F.pow(F.sum(F.col("n_wf") * away), 2) / n
+        return F.coalesce(F.when(n > 0, F.sqrt(F.greatest(F.lit(0.0), total / n))), F.lit(0.0))
 
-    out = rows.mapInArrow(run, schema).groupBy(*keys, "channel").agg((F.sum("total") / F.sum("n")).alias("mean"), spread("v", "vv").alias("rms"), spread("g", "gg").alias("rms_gate"))
+    out = parts.groupBy(*keys, "channel").agg((F.sum("total") / F.sum("n")).alias("mean"), spread("v", "vv").alias("rms"), spread("g", "gg").alias("rms_gate"))
     return out.withColumns({"rms": F.lit(flat_sigma), "rms_gate": F.lit(flat_sigma)}) if flat_sigma > 0 else out
 
 
+def merge_moments(n: np.ndarray, held: np.ndarray, length: np.ndarray, v: np.ndarray, inside: np.ndarray) -> None:
+    """Merge one event's waveforms into ``held`` (means, squared deviations) of ``n`` samples a channel, in place."""
+    k = np.maximum(length, 1)
+    mean = np.where(inside, v, 0.0).sum(1) / k
+    away = np.where(inside, v - mean[:, None], 0.0)
+    both, step = np.maximum(n + length, 1), mean - held[0]
+    held[1] += (away * away).sum(1) + step * step * n * length / both
+    held[0] += np.where(length > 0, step * length / both, 0.0)
+
+
 def fallback(spark: SparkSession, channels: int = 512, mean: float = 256.0) -> DataFrame:
     """What is used without a pedestal file."""
     return spark.range(channels).select(F.col("id").cast("int").alias("channel"), F.lit(mean).alias("mean"), F.lit(1.0).alias("rms"), F.lit(1.0).alias("rms_gate"))

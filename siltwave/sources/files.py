@@ -70,11 +70,17 @@ def write_bucketed(df: DataFrame, keys: list[str], buckets: int, order: tuple[st
     return df.sparkSession.table(name)
 
 
-def write_table(df: DataFrame, path: str, by: tuple[str, ...] = ("run", "sub_run", "file_num")) -> None:
-    """Parquet, in folders by file and never by event; rows of one file go together so that files stay few."""
+def write_table(df: DataFrame, path: str, by: tuple[str, ...] = ("run", "sub_run", "file_num"), page_rows: int = 200) -> None:
+    """Parquet, in folders by file and never by event; rows of one file go together so that files stay few.
+
+    Tables of entries are sorted by unit and entry, with pages of ``page_rows`` rows, so that a condition on ``entry`` (such as the
+    first 200 of a file, which tell whether it is sparse) reads a few pages by the page index, however long the file is.
+    """
     own = [c for c in by if c in df.columns]
     out = df.repartition(*own) if own else df
-    out.write.mode("overwrite").partitionBy(*own).parquet(path)
+    if "entry" in df.columns:
+        out = out.sortWithinPartitions(*own, *[c for c in ("feu", "entry") if c in df.columns])
+    out.write.mode("overwrite").option("parquet.page.row.count.limit", page_rows).partitionBy(*own).parquet(path)
 
 
 def read_strip_map(spark: SparkSession, path: str) -> DataFrame:
