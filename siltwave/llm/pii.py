@@ -67,30 +67,34 @@ _STRANGE = re.compile("[\u00ad\u0180-\u200f\u202a-\u20ab\u20ad-\U0010ffff]")
 _EVERY_DIGIT = "|".join([*DIGITS, *OTHER_DIGITS]).replace(" ", "|")
 _NUMBER = "|".join([*DIGITS, *TEENS, *TENS, "hundred", "and"])
 _DIGIT = "(?:" + "|".join(DIGITS) + ")"
-_SPELLED = re.compile(rf"(?i)\b{_DIGIT}(?:[ \t,-]{{1,3}}{_DIGIT}\b)*+(?![A-Za-z0-9_])")
+_SPELLED = re.compile(rf"(?i)\b{_DIGIT}(?:[ \t,-]++{_DIGIT}\b)*+(?![A-Za-z0-9_])")
 _ONE = re.compile(rf"(?i){_DIGIT}")
-_GAP = r"(?:[ \t-]{1,3}|[.]|[ \t]?[()][ \t]?)"
-_DIGIT_BEFORE, _DIGIT_AFTER = re.compile(rf"[0-9]{_GAP}\Z"), re.compile(rf"{_GAP}[0-9]")
-_BRACKETED = re.compile(rf"(?i)[ \t]{{0,9}}[\[({{<][ \t]{{0,9}}(?:(?P<at>at|@|{OTHER_AT})|dot|[.]|{OTHER_DOT})[ \t]{{0,9}}[\])}}>][ \t]{{0,9}}")
-_OTHERS = [(re.compile(rf"(?i)\b(?:{w})(?:[ \t,-]{{1,3}}(?:{w})\b){{2,}}(?![\w])"), re.compile(rf"(?i){w}"), {x: str(i) for i, x in enumerate(w.split("|"))}) for w in (x.replace(" ", "|") for x in OTHER_DIGITS)]
+_BLANKS = r"(?<![ \t])[ \t]++"  # of any length, tried from its first blank only, so that long runs take linear time
+_GAP = r"(?:[ \t-]++|[.]|[ \t]?[()][ \t]?)"
+_DIGIT_AFTER = re.compile(rf"{_GAP}[0-9]")
+_BRACKETED = re.compile(rf"(?i)(?:{_BLANKS})?[\[({{<][ \t]*+(?:(?P<at>at|@|{OTHER_AT})|dot|[.]|{OTHER_DOT})[ \t]*+[\])}}>][ \t]*+")
+_OTHERS = [(re.compile(rf"(?i)\b(?:{w})(?:[ \t,-]++(?:{w})\b){{2,}}(?![\w])"), re.compile(rf"(?i){w}"), {x: str(i) for i, x in enumerate(w.split("|"))}) for w in (x.replace(" ", "|") for x in OTHER_DIGITS)]
 _PLUS = re.compile(rf"(?i)\bplus[ \t]+(?=[0-9]|(?:{_EVERY_DIGIT})\b)")
-_PART = rf"(?:[0-9]{{1,3}}|(?:{_NUMBER})\b(?:[ \t-](?:{_NUMBER})\b){{0,5}}+)"
-_WORDED_IP = re.compile(rf"(?i)(?<![\w.]){_PART}(?:[ \t]{{1,9}}(?:dot|{OTHER_DOT})[ \t]{{1,9}}{_PART}){{3}}(?![\w])")
-_ANY_DOT = re.compile(rf"(?i)[ \t]{{1,9}}(?:dot|{OTHER_DOT})[ \t]{{1,9}}")
-_OTHER_AT = re.compile(rf"(?i)(?<=[A-Za-z0-9_%+-])[ \t]{{1,9}}(?:at|{OTHER_AT})[ \t]{{1,9}}(?=[A-Za-z0-9])")
-_OTHER_LEFT = re.compile(rf"(?i)(?<![A-Za-z0-9._%+-])(?:[A-Za-z0-9._%+-]++[ \t]{{1,9}}(?:dot|{OTHER_DOT})[ \t]{{1,9}})*[A-Za-z0-9._%+-]++\Z")
-_OTHER_RIGHT = re.compile(rf"(?i)[A-Za-z0-9-]++(?:(?:\.|[ \t]{{1,9}}(?:dot|{OTHER_DOT})[ \t]{{1,9}})[A-Za-z0-9-]++)+")
-_AT = re.compile(r"(?i)(?<=[A-Za-z0-9_%+-])[ \t]{1,9}at[ \t]{1,9}(?=[A-Za-z0-9])|@")
-_LEFT = re.compile(r"(?i)(?<![A-Za-z0-9._%+-])(?:[A-Za-z0-9._%+-]++[ \t]{1,9}dot[ \t]{1,9})*[A-Za-z0-9._%+-]++\Z")
-_RIGHT = re.compile(r"(?i)[A-Za-z0-9-]++(?:(?:\.|[ \t]{1,9}dot[ \t]{1,9})[A-Za-z0-9-]++)+")
-_DOT = re.compile(r"(?i)[ \t]+dot[ \t]+")
+_OTHER_PARTS = "|".join(rf"(?:{w})\b(?:[ \t-]++(?:{w})\b)*+" for w in (x.replace(" ", "|") for x in OTHER_DIGITS))
+_PART = rf"(?:[0-9]++|(?:{_NUMBER})\b(?:[ \t-]++(?:{_NUMBER})\b)*+|{_OTHER_PARTS})"
+_IP_PART = re.compile(rf"(?i)(?<![\w.]){_PART}(?![\w])")
+_ANY_DOT = re.compile(rf"(?i){_BLANKS}(?:dot|{OTHER_DOT})[ \t]++")
+_OTHER_AT = re.compile(rf"(?i)(?<=[A-Za-z0-9_%+-])[ \t]++(?:at|{OTHER_AT})[ \t]++(?=[A-Za-z0-9])")
+_OTHER_RIGHT = re.compile(rf"(?i)[A-Za-z0-9-]++(?:(?:\.|[ \t]++(?:dot|{OTHER_DOT})[ \t]++)[A-Za-z0-9-]++)+")
+_AT = re.compile(r"(?i)(?<=[A-Za-z0-9_%+-])[ \t]++at[ \t]++(?=[A-Za-z0-9])|@")
+_RIGHT = re.compile(r"(?i)[A-Za-z0-9-]++(?:(?:\.|[ \t]++dot[ \t]++)[A-Za-z0-9-]++)+")
+_DOT = re.compile(rf"(?i){_BLANKS}dot[ \t]+")
+_SPACED = re.compile(rf"(?<=[A-Za-z0-9_%+-])[ \t]++@[ \t]*+(?=[A-Za-z0-9])|(?<=[A-Za-z0-9_%+-])@[ \t]++(?=[A-Za-z0-9])")
+_SPACED_DOT = re.compile(r"(?<![ \t])[ \t]*+\.[ \t]*+")
+_SPACED_RIGHT = re.compile(r"[A-Za-z0-9-]++(?:[ \t]*+\.[ \t]*+[A-Za-z0-9-]++)*?[ \t]*+\.[ \t]*+(?:com|org|net|edu|gov|info|biz|io)(?![A-Za-z0-9-])")
 _LABEL = re.compile(r"(?i)(?:(?P<word>[ \t]+dot[ \t]+)|\.)?(?P<label>[A-Za-z0-9-]+)")
 _ENDING = re.compile(r"[A-Za-z]{2,}")
 _SIGNED = re.compile(r"[A-Za-z][A-Za-z0-9]*(?:[._+%][A-Za-z0-9]+){1,2}|[A-Za-z]{3,}[0-9]+")
+_HINT_GAP = _GAP.replace("++", "+")  # the engine that looks through batches knows no possessive repeats
 #: What a text with a disguise holds; plain enough to be looked for in a whole batch of texts at once.
 _HINT = (
-    rf"\b(?:dot|at|{OTHER_DOT})[ \t]*[\])}}>]|[\[({{<][ \t]*[.@][ \t]*[\])}}>]|\b(?:{OTHER_AT})\b|[ \t](?:dot|{OTHER_DOT})[ \t]|\bplus[ \t]|[ \t]at[ \t]+[a-z0-9-]+[.][a-z0-9]"
-    rf"|\b(?:{_EVERY_DIGIT})[ \t,-]{{1,3}}(?:{_EVERY_DIGIT})[ \t,-]|\b{_DIGIT}{_GAP}[0-9]|[0-9]{_GAP}{_DIGIT}\b"
+    rf"[ \t]@|@[ \t]|\b(?:dot|at|{OTHER_DOT})[ \t]*[\])}}>]|[\[({{<][ \t]*[.@][ \t]*[\])}}>]|\b(?:{OTHER_AT})\b|[ \t](?:dot|{OTHER_DOT})[ \t]|\bplus[ \t]|[ \t]at[ \t]+[a-z0-9-]+[.][a-z0-9]"
+    rf"|\b(?:{_EVERY_DIGIT})[ \t,-]+(?:{_EVERY_DIGIT})[ \t,-]|\b{_DIGIT}{_HINT_GAP}[0-9]|[0-9]{_HINT_GAP}{_DIGIT}\b"
 )
 
 
@@ -158,6 +162,44 @@ def fold(c: str) -> str:
     return plain if len(plain) == 1 and plain.isascii() else c
 
 
+def left_of(text: str, end: int, low: int, dots: str) -> int:
+    """Where the name before ``end`` begins, over any of the words ``dots`` between its parts; ``end`` if there is none.
+
+    It walks back over the name alone, however long that is, and not before ``low``.
+    """
+    start = at = end
+    while True:
+        while start > low and text[start - 1] in _LOCAL:
+            start -= 1
+        if start == at:
+            return end if at == end else before
+        before = start
+        blank = start
+        while blank > low and text[blank - 1] in " \t":
+            blank -= 1
+        word = next((w for w in dots.split("|") if blank < start and text[max(low, blank - len(w)) : blank].lower() == w), None)
+        at = blank - len(word) if word else start
+        while word and at > low and text[at - 1] in " \t":
+            at -= 1
+        if not word or at == blank - len(word):
+            return start
+        start = at
+
+
+def gap_before(text: str, i: int) -> int:
+    """Where the gap before ``i`` begins that may stand between two digits of a number: blanks and hyphens, a dot or a bracket."""
+    at = i
+    while at and text[at - 1] in " \t-":
+        at -= 1
+    if at < i and not (at and i - at == 1 and text[at - 1] in "()"):
+        return at
+    if at and text[at - 1] == "." and at == i:
+        return at - 1
+    if at and text[at - 1] in "()":
+        return at - 2 if at > 1 and text[at - 2] in " \t" else at - 1
+    return at
+
+
 def spelled(run: str) -> str:
     return "".join(DIGITS[m.group().lower()] for m in _ONE.finditer(run))
 
@@ -167,9 +209,9 @@ def spelled_runs(text: str) -> list[tuple[int, int, str]]:
     out, end = [], -1
     for m in _SPELLED.finditer(text):
         i, j = m.span()
-        near = _DIGIT_AFTER.match(text, j) or _DIGIT_BEFORE.search(text, max(0, i - 4), i)
-        follows = end >= 0 and i - end <= 3 and re.fullmatch(_GAP, text[end:i])
-        if near or follows or len(_ONE.findall(m.group())) > 2:
+        gap = gap_before(text, i)
+        near = _DIGIT_AFTER.match(text, j) or gap < i and gap and text[gap - 1] in "0123456789"
+        if near or end >= 0 and gap == end < i or len(_ONE.findall(m.group())) > 2:
             out.append((i, j, spelled(m.group())))
             end = j
     return out
@@ -187,6 +229,9 @@ def part_of_ip(words: str) -> str:
     own = [w for w in re.split("[ \t-]+", words.lower()) if w != "and"]
     if words.isdigit():
         return words
+    for _, _, values in _OTHERS:
+        if all(w in values for w in own):
+            return "".join(values[w] for w in own)
     if len(own) > 1 and all(w in DIGITS for w in own):
         return "".join(DIGITS[w] for w in own)
     total = 0
@@ -196,18 +241,26 @@ def part_of_ip(words: str) -> str:
 
 
 def worded_ips(text: str) -> list[tuple[int, int, str]]:
-    return [(m.start(), m.end(), ".".join(map(part_of_ip, _ANY_DOT.split(m.group())))) for m in _WORDED_IP.finditer(text)]
+    """Changes that give four numbers with the word "dot" between them as an address; numbers in words are found run by run."""
+    out, chain = [], []
+    for m in _IP_PART.finditer(text):
+        dot = _ANY_DOT.match(text, chain[-1].end()) if chain else None
+        chain = [*chain, m] if dot and dot.end() == m.start() else [m]
+        if len(chain) == 4:
+            out.append((chain[0].start(), m.end(), ".".join(part_of_ip(x.group()) for x in chain)))
+            chain = []
+    return out
 
 
 def foreign(text: str) -> list[tuple[int, int, str]]:
     """Changes in addresses whose "at" or "dot" is said in another language; a plain "at" needs a known ending."""
     out, free = [], 0
     for at in _OTHER_AT.finditer(text):
-        left, right = _OTHER_LEFT.search(text, max(free, at.start() - 200), at.start()), _OTHER_RIGHT.match(text, at.end(), at.end() + 200)
-        if not left or not right:
+        left, right = left_of(text, at.start(), free, f"dot|{OTHER_DOT}"), _OTHER_RIGHT.match(text, at.end())
+        if left == at.start() or not right:
             continue
         last = re.split("[. \t]", right.group())[-1].lower()
-        dots = [d for d in (*_ANY_DOT.finditer(text, left.start(), at.start()), *_ANY_DOT.finditer(text, at.end(), right.end()))]
+        dots = [d for d in (*_ANY_DOT.finditer(text, left, at.start()), *_ANY_DOT.finditer(text, at.end(), right.end()))]
         known = last in ENDINGS and any(d.group().strip().lower() != "dot" for d in dots)
         if known or at.group().strip().lower() != "at" and _ENDING.fullmatch(last):
             out += sorted([(d.start(), d.end(), ".") for d in dots] + [(at.start(), at.end(), "@")])
@@ -221,9 +274,8 @@ def worded(text: str) -> list[tuple[int, int, str]]:
     for at in _AT.finditer(text):
         if at.start() < free:
             continue
-        low = max(free, at.start() - 200)
-        left, right = _LEFT.search(text, low, at.start()), _RIGHT.match(text, at.end())
-        if not left or not right:
+        left, right = left_of(text, at.start(), free, "dot"), _RIGHT.match(text, at.end())
+        if left == at.start() or not right:
             continue
         labels = list(_LABEL.finditer(text, at.end(), right.end()))
         while len(labels) > 1:
@@ -232,8 +284,8 @@ def worded(text: str) -> list[tuple[int, int, str]]:
                 break
             labels.pop()
         words = [m for m in labels if m["word"]]
-        dots = list(_DOT.finditer(text, left.start(), at.start()))
-        names = _DOT.split(left.group())
+        dots = list(_DOT.finditer(text, left, at.start()))
+        names = _DOT.split(text[left : at.start()])
         while len(names) > 1 and any(n.lower() in ARTICLES for n in names[:-1]):
             names, dots = names[1:], dots[1:]
         sure = at.group() == "@" or any(m["label"].lower() in ENDINGS for m in labels[1:])
@@ -245,8 +297,7 @@ def worded(text: str) -> list[tuple[int, int, str]]:
                 fits = sure or bool(dots) or name not in NOT_NAMES
             else:
                 host = labels[-2]["label"].lower() in HOSTS and name not in NOT_NAMES
-                before = text[max(0, left.start() - 40) : left.start()].rsplit("\n", 1)[-1].split()
-                cued = name not in NOT_NAMES and name.isalpha() and last_known(labels) and (bool(before) and before[-1].lower().rstrip(":") in CUES or text.strip() == text[left.start() : labels[-1].end()])
+                cued = name not in NOT_NAMES and name.isalpha() and last_known(labels) and (cue_before(text, left) or text.strip() == text[left : labels[-1].end()])
                 fits = (host or cued or bool(_SIGNED.fullmatch(name))) and text[labels[-1].end() : labels[-1].end() + 1] not in ("/", "(", "_", "@")
             if not fits:
                 continue
@@ -258,6 +309,26 @@ def worded(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def cue_before(text: str, i: int) -> bool:
+    """Whether the word before ``i``, after any blanks of its line, is a cue."""
+    while i and text[i - 1] in " \t":
+        i -= 1
+    words = text[max(0, i - 16) : i].rsplit("\n", 1)[-1].split()
+    return bool(words) and words[-1].lower().rstrip(":") in CUES and text[i - 1] not in "\n\r"
+
+
+def spaced(text: str) -> list[tuple[int, int, str]]:
+    """Changes that close up an address with blanks around its sign or its dots, where it ends as none but addresses do."""
+    out, free = [], 0
+    for at in _SPACED.finditer(text):
+        left, right = left_of(text, at.start(), free, "dot"), _SPACED_RIGHT.match(text, at.end())
+        if left < at.start() and right:
+            out.append((at.start(), at.end(), "@"))
+            out += [(m.start(), m.end(), ".") for m in _SPACED_DOT.finditer(text, at.end(), right.end())]
+            free = right.end()
+    return out
+
+
 def last_known(labels: list) -> bool:
     return labels[-1]["label"].lower() in ENDINGS
 
@@ -280,6 +351,7 @@ def normalised(text: str, hint: bool) -> Tape | None:
     tape.rewrite([(m.start(), m.end(), "+") for m in _PLUS.finditer(tape.text)])
     tape.rewrite(other_runs(tape.text))
     tape.rewrite(spelled_runs(tape.text))
+    tape.rewrite(spaced(tape.text))
     tape.rewrite(foreign(tape.text))
     tape.rewrite(worded(tape.text))
     return tape if tape.text != text else None
