@@ -17,13 +17,10 @@ case when n_words > 0 then n_repeat_words * 1000000 // n_words else 0 end as v_r
 case when n_words > 0 then word_chars * 1000 // n_words else 0 end as v_long_words"""
 
 _MEASURES = ("symbols", "dup_lines", "repeats", "long_words")
-_EVENTS = {"symbols": "floor(16000000.0 / s_chars)", "dup_lines": "floor(2000000.0 / (s_words::double * 1000 / s_line_words + 4))", "repeats": "floor(64000000.0 / s_words)", "long_words": "0"}
-_READ = ", ".join([f"max({c}) filter (measure = '{m}') as {c}_{m}" for m in _MEASURES for c in ("hi", "mid")] + [f"max(mid) filter (measure = '{m}') as s_{m}" for m in ("chars", "words", "line_words")])
-_WIDE = ", ".join(f"(hi_{m} + greatest((hi_{m} - mid_{m}) * 8, {_EVENTS[m]}))::bigint as {m}" for m in _MEASURES)
-_LIMITS = ",\n".join(
-    f"case when o.texts >= 100 then o.{m} when o.texts is not null and l.texts >= 100 then l.{m} when o.texts is not null then e.{m} end as limit_{m}"
-    for m in _MEASURES
-)
+_UNITS = {"symbols": (1, "s_chars"), "dup_lines": (1, "(s_words * 1000 / s_line_words + 4)"), "repeats": (16, "s_words")}
+_READ = ", ".join([f"max({c}) filter (measure = '{m}')::double as {c}_{m}" for m in _MEASURES for c in ("q50", "q90", "s10", "s25", "s75")] + [f"greatest(max(q50) filter (measure = '{m}')::double, 1.0) as s_{m}" for m in ("chars", "words", "line_words")])
+_ONE = {m: f"({n}000000.0::double / {size})" for m, (n, size) in _UNITS.items()}
+_LIMITS = ", ".join([f"coalesce(floor({_ONE[m]} * (s75_{m} + (s75_{m} - s25_{m}) * 3) / greatest(s10_{m}, {_ONE[m]})), 0)::bigint as limit_{m}" for m in _UNITS] + ["(q90_long_words + (q90_long_words - q50_long_words) * 8)::bigint as limit_long_words"])
 
 OP2 = rf"""with split as (select doc_id, lang, source, text, {_WORDS} as words,
 list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines from documents),
@@ -40,16 +37,20 @@ from split s left join repeated r on r.doc_id = s.doc_id),
 rated as (select *, n_words < 20 or n_repeat_words * 100 > n_words * 30 as base_failed, {_RATES} from counted),
 measured as (select lang, source, unnest(['symbols', 'dup_lines', 'repeats', 'long_words', 'chars', 'words', 'line_words']) as measure, unnest([v_symbols, v_dup_lines, v_repeats, v_long_words, word_chars, n_words, n_words * 1000 // greatest(n_lines, 1)]) as v from rated where not base_failed),
 sketch as (select lang, source, measure, {_BUCKET} as bucket, count(*) as n from measured group by all),
-levels as (select 'own' as level, lang, source, measure, bucket, n from sketch union all select 'lang', lang, null, measure, bucket, n from sketch union all select 'all', null, null, measure, bucket, n from sketch),
-merged as (select level, lang, source, measure, bucket, sum(n) as n from levels group by all),
-ranked as (select *, sum(n) over (partition by level, lang, source, measure order by bucket) as upto, sum(n) over (partition by level, lang, source, measure) as total from merged),
-quantiles as (select level, lang, source, measure, max(total) as texts, min(bucket) filter (upto * 100 >= total * 50) as q50, min(bucket) filter (upto * 100 >= total * 90) as q90 from ranked group by all),
-tops as (select *, {_top("q90")} as hi, {_top("q50")} as mid from quantiles),
-read as (select level, lang, source, max(texts) as texts, {_READ} from tops group by all),
-wide as (select level, lang, source, texts, {_WIDE} from read),
-joined as (select r.*, {_LIMITS} from rated r
-left join wide o on o.level = 'own' and o.lang is not distinct from r.lang and o.source is not distinct from r.source
-left join wide l on l.level = 'lang' and l.lang is not distinct from r.lang left join wide e on e.level = 'all')
+by_lang as (select lang, measure, bucket, sum(n) as l_n from sketch group by all), everything as (select measure, bucket, sum(n) as e_n from sketch group by all),
+sizes as (select lang, measure, sum(l_n) as l_all from by_lang group by all), total as (select measure, sum(e_n) as e_all from everything group by all),
+blended as (select g.lang, g.source, g.measure, e.bucket, (coalesce(n, 0) * 1048576 + floor((coalesce(l_n, 0)::double + e_n::double * 100 / e_all::double) * 100 / (l_all + 100)::double * 1048576))::bigint as w
+from (select distinct lang, source, measure from sketch) g join everything e using (measure) join total t using (measure) join sizes z on z.lang is not distinct from g.lang and z.measure = g.measure
+left join by_lang l on l.lang is not distinct from g.lang and l.measure = g.measure and l.bucket = e.bucket
+left join sketch o on o.lang is not distinct from g.lang and o.source is not distinct from g.source and o.measure = g.measure and o.bucket = e.bucket),
+ranked as (select *, sum(w) over (partition by lang, source, measure order by bucket) as upto, sum(w) over (partition by lang, source, measure) as total,
+sum(case when bucket > 0 then w else 0 end) over (partition by lang, source, measure order by bucket) as s_upto, sum(case when bucket > 0 then w else 0 end) over (partition by lang, source, measure) as s_total from blended),
+quantiles as (select lang, source, measure, min(bucket) filter (upto * 100 >= total * 50) as b50, min(bucket) filter (upto * 100 >= total * 90) as b90, min(bucket) filter (bucket > 0 and s_total > 0 and s_upto * 100 >= s_total * 10) as b10,
+min(bucket) filter (bucket > 0 and s_total > 0 and s_upto * 100 >= s_total * 25) as b25, min(bucket) filter (bucket > 0 and s_total > 0 and s_upto * 100 >= s_total * 75) as b75 from ranked group by all),
+tops as (select *, {_top("b50")} as q50, {_top("b90")} as q90, {_top("b10")} as s10, {_top("b25")} as s25, {_top("b75")} as s75 from quantiles),
+read as (select lang, source, {_READ} from tops group by all),
+limits as (select lang, source, {_LIMITS} from read),
+joined as (select r.*, limit_symbols, limit_dup_lines, limit_repeats, limit_long_words from rated r left join limits m on m.lang is not distinct from r.lang and m.source is not distinct from r.source)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
 not base_failed and coalesce(v_symbols <= limit_symbols and v_dup_lines <= limit_dup_lines and v_repeats <= limit_repeats and v_long_words <= limit_long_words, true) as kept,
 limit_symbols, limit_dup_lines, limit_repeats, limit_long_words from joined"""

@@ -4,9 +4,15 @@ Each measure of a text goes into a quantile sketch for its language and source:
 octave, so a quantile is exact to about 3 %. Sketches merge by adding counts, in any order with the same result. The
 thresholds read from them replace fixed cutoffs and are joined back to the documents.
 
-A limit lies above the 90 % quantile by a multiple of its distance from the median. Where nearly all texts of a group
-measure 0 the spread is 0 as well; there it is what a few events make in a text of the group's median size, which is
-read from a sketch too. So no limit is a constant.
+A group's sketch is blended with those of its language and of all texts, which count as ``PRIOR`` texts of it, so small groups
+lean on them and large ones don't, without a switch in between.
+
+Word length is held to its 90 % quantile and a multiple of its distance from the median. The other measures are 0 in nearly
+all texts, so their limits come from the sketch of the texts that have any: its upper fence (third quartile and three times
+the distance between the quartiles) over its 10 % quantile says by what factor such texts differ. Where they begin at a
+single event (one sign, one repeated line, one stretch twice) that is the tail of ordinary texts and the limit is the fence;
+where they begin far above it they are another kind of text, and the limit is that factor above a single event. What one
+event makes is read from the sketch of the group's text sizes.
 """
 
 from __future__ import annotations
@@ -19,10 +25,9 @@ from ._common import materialise
 
 SPACE = "[\\x20\\x09-\\x0D]+"
 MEASURES = ("symbols", "dup_lines", "repeats", "long_words")
-#: The size that each measure is a share of, and how many events in a text of median size are allowed above the quantile:
-#: signs, repeated lines, words in repeated stretches (four pairs of eight). Lines are the median words over the median
-#: words of a line, since a median of small whole numbers would hardly differ between groups.
-SLACK = {"symbols": ("chars", 16), "dup_lines": ("lines", 2), "repeats": ("words", 64)}
+#: The size that each measure is a share of, and what one event is: a sign, a line, a stretch of eight words and its twin.
+UNITS = {"symbols": ("chars", 1), "dup_lines": ("lines", 1), "repeats": ("words", 16)}
+PRIOR, FINE = 100, 1 << 20  # texts that the sketches of language and of everything count as; weights are whole numbers of this part of a text
 
 
 def let(value: Column, use) -> Column:
@@ -58,7 +63,7 @@ def repeated_words(words: Column, window: int = 8) -> Column:
 
 
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """``doc_id, lang, source`` and the counts of each whole text; null texts count nothing."""
+    """``doc_id, lang, source`` and the counts of each whole text; null texts count nothing, repeated rows repeat."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     words, lines = words_of(text), F.filter(F.split(text, "\n"), lambda x: F.translate(x, " \t\n\x0b\x0c\r", "") != "")
     return docs.select(
@@ -95,57 +100,71 @@ def bucket_top(b: Column) -> Column:
 
 
 def sketches(measured: DataFrame) -> DataFrame:
-    """``lang, source, measure, bucket, n``: the mergeable sketches of measures and sizes, from texts that pass the base rules."""
+    """``lang, source, measure, bucket, n``: the mergeable sketches of measures and sizes, from texts that pass the base rules.
+
+    Tasks count their own texts first, so a hot source is a few rows from each; no text gives no rows.
+    """
     sizes = {"chars": F.col("word_chars"), "words": F.col("n_words"), "line_words": F.expr("(n_words * 1000) div greatest(n_lines, 1)")}
     pairs = [F.struct(F.lit(k).alias("measure"), bucket_of(v).alias("bucket")) for k, v in (rates() | sizes).items()]
     rows = measured.filter("not base_failed").select("lang", "source", F.explode(F.array(*pairs)).alias("m"))
     return rows.groupBy("lang", "source", "m.measure", "m.bucket").agg(F.count("*").alias("n"))
 
 
-def thresholds(sketch: DataFrame, keys: list[str], spread: int = 8, slack: dict[str, tuple[str, int]] | None = None) -> DataFrame:
-    """One row for each ``keys``: the number of texts and an upper limit for each measure.
+def blended(sketch: DataFrame, prior: int = PRIOR) -> DataFrame:
+    """``lang, source, measure, bucket, w``: every group's sketch with those of its language and of all texts as a prior.
 
-    The limit is the 90 % quantile and, above it, the larger of ``spread`` times its distance from the median and what
-    the measure's ``slack`` of events makes in a text of median size.
+    Weights are whole numbers, so sums are exact in any order. The sketch of all texts has at most 2,016 buckets a measure and is
+    broadcast; null is a language and a source of its own.
     """
-    merged = sketch.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
-    by = W.partitionBy(*keys, "measure")
-    ranked = merged.select("*", F.sum("n").over(by.orderBy("bucket")).alias("upto"), F.sum("n").over(by).alias("total"))
-    least = {q: F.min(F.when(F.col("upto") * 100 >= F.col("total") * q, F.col("bucket"))).alias(f"q{q}") for q in (50, 90)}
-    read = ranked.groupBy(*keys, "measure").agg(F.max("total").alias("texts"), *least.values())
-    read = read.select(*keys, "measure", "texts", bucket_top(F.col("q90")).alias("hi"), bucket_top(F.col("q50")).alias("mid"))
-    slack = SLACK | (slack or {})
+    keyed = sketch.withColumns({"lang": F.struct(F.col("lang").isNull().alias("none"), F.coalesce("lang", F.lit("")).alias("name")), "source": F.struct(F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("name"))})
+    by_lang = keyed.groupBy("lang", "measure", "bucket").agg(F.sum("n").alias("l_n"))
+    every = keyed.groupBy("measure", "bucket").agg(F.sum("n").alias("e_n"))
+    sizes = by_lang.groupBy("lang", "measure").agg(F.sum("l_n").alias("l_all"))
+    total = every.groupBy("measure").agg(F.sum("e_n").alias("e_all"))
+    rows = keyed.select("lang", "source", "measure").distinct().join(F.broadcast(every.join(total, "measure")), "measure").join(sizes, ["lang", "measure"])
+    rows = rows.join(by_lang, ["lang", "measure", "bucket"], "left").join(keyed, ["lang", "source", "measure", "bucket"], "left")
+    lean = F.col("e_n").cast("double") * prior / F.col("e_all").cast("double")
+    lean = (F.coalesce("l_n", F.lit(0)).cast("double") + lean) * prior / (F.col("l_all") + prior).cast("double")
+    w = F.coalesce("n", F.lit(0)) * FINE + F.floor(lean * FINE)
+    named = [F.when(~F.col(f"{k}.none"), F.col(f"{k}.name")).alias(k) for k in ("lang", "source")]
+    return rows.select(*named, "measure", "bucket", w.cast("long").alias("w"))
+
+
+def thresholds(weights: DataFrame, spread: int = 8) -> DataFrame:
+    """``lang, source`` and an upper limit for each measure, as told above; 0 where no text has any of it."""
+    by = W.partitionBy("lang", "source", "measure")
+    some = F.when(F.col("bucket") > 0, F.col("w")).otherwise(0)
+    ranked = weights.select("*", F.sum("w").over(by.orderBy("bucket")).alias("upto"), F.sum("w").over(by).alias("total"), F.sum(some).over(by.orderBy("bucket")).alias("s_upto"), F.sum(some).over(by).alias("s_total"))
+    least = [F.min(F.when(F.col("upto") * 100 >= F.col("total") * q, F.col("bucket"))).alias(f"q{q}") for q in (50, 90)]
+    least += [F.min(F.when((F.col("bucket") > 0) & (F.col("s_total") > 0) & (F.col("s_upto") * 100 >= F.col("s_total") * q), F.col("bucket"))).alias(f"s{q}") for q in (10, 25, 75)]
+    read = ranked.groupBy("lang", "source", "measure").agg(*least)
+    read = read.select("lang", "source", "measure", *[bucket_top(F.col(q)).alias(q) for q in ("q50", "q90", "s10", "s25", "s75")])
 
     def of(measure: str, what: str) -> Column:
-        return F.max(F.when(F.col("measure") == measure, F.col(what)))
+        return F.max(F.when(F.col("measure") == measure, F.col(what))).cast("double")
 
     def limit(m: str) -> Column:
-        size = lambda k: F.greatest(of(k, "mid"), F.lit(1)).cast("double")
+        if m not in UNITS:
+            return (of(m, "q90") + (of(m, "q90") - of(m, "q50")) * spread).cast("long")
+        size = lambda k: F.greatest(of(k, "q50"), F.lit(1.0))
         sizes = {"chars": size("chars"), "words": size("words"), "lines": size("words") * 1000 / size("line_words") + 4}
-        events = F.floor(F.lit(slack[m][1] * 1_000_000).cast("double") / sizes[slack[m][0]]) if m in slack else F.lit(0)
-        return (of(m, "hi") + F.greatest((of(m, "hi") - of(m, "mid")) * spread, events)).cast("long")
+        one = F.lit(UNITS[m][1] * 1_000_000.0) / sizes[UNITS[m][0]]
+        fence = of(m, "s75") + (of(m, "s75") - of(m, "s25")) * 3
+        return F.coalesce(F.floor(one * fence / F.greatest(of(m, "s10"), one)), F.lit(0)).cast("long")
 
-    return read.groupBy(*keys).agg(F.max("texts").alias("texts"), *[limit(m).alias(f"max_{m}") for m in MEASURES])
+    return read.groupBy("lang", "source").agg(*[limit(m).alias(f"limit_{m}") for m in MEASURES])
 
 
-def quality_rules(docs: DataFrame, least_texts: int = 100, spread: int = 8, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+def quality_rules(docs: DataFrame, prior: int = PRIOR, spread: int = 8, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """The counts, ``base_failed`` and ``kept`` of every document, with the limits that were applied.
 
-    Groups with fewer than ``least_texts`` texts use the merged sketch of their language, and that of everything
-    where the language is as small. Null is a language and a source of its own; a null text fails the base rules.
+    Null is a language and a source of its own; a null text fails the base rules; a group of which all texts fail them has no limits.
+    Repeated rows repeat and count as often in the sketches; ties at a quantile go to the lower bucket. No documents give no rows.
     """
     counted = measures(docs, id_col, text_col, lang_col, source_col)
     counted = materialise(counted.withColumn("base_failed", (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30)))
-    sketch = materialise(sketches(counted))
-    every = thresholds(sketch.withColumn("all", F.lit(1)), ["all"], spread).select(*[F.col(f"max_{m}").alias(f"e_{m}") for m in MEASURES])
-    langs = thresholds(sketch, ["lang"], spread).select(F.col("lang").alias("l_lang"), F.col("texts").alias("l_texts"), *[F.col(f"max_{m}").alias(f"l_{m}") for m in MEASURES])
-    own = thresholds(sketch, ["lang", "source"], spread)
-    full = own.join(langs, own.lang.eqNullSafe(langs.l_lang)).join(F.broadcast(every))  # one row
-
-    def pick(m: str) -> Column:
-        return F.when(F.col("texts") >= least_texts, F.col(f"max_{m}")).when(F.col("l_texts") >= least_texts, F.col(f"l_{m}")).otherwise(F.col(f"e_{m}"))
-
-    limits = materialise(full.select(F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), *[pick(m).alias(f"limit_{m}") for m in MEASURES]))
+    limits = thresholds(blended(materialise(sketches(counted)), prior), spread)
+    limits = materialise(limits.withColumnRenamed("lang", "t_lang").withColumnRenamed("source", "t_source"))
     joined = counted.join(limits, counted.lang.eqNullSafe(limits.t_lang) & counted.source.eqNullSafe(limits.t_source), "left")
     fine = F.lit(True)
     for m, v in rates().items():

@@ -176,7 +176,7 @@ def brute_quality(text):
 
 
 def test_quality(docs, empty):
-    got = quality.quality_rules(docs, least_texts=20).collect()
+    got = quality.quality_rules(docs, prior=20).collect()
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     assert ordered((r.doc_id, *[r[n] for n in names]) for r in got) == ordered((r[0], *[brute_quality(r[1])[0][n] for n in names]) for r in ROWS)
 
@@ -193,24 +193,36 @@ def test_quality(docs, empty):
         return q["base_failed"], shares, (q["word_chars"], q["n_words"] * 1000 // max(1, lines - 4), q["n_words"])
 
     measured = [(r[2], r[3], *rates(r[1])) for r in ROWS]
+    good = [m for m in measured if not m[2]]
 
-    def limits(some):
+    def limits(own, by_lang):
+        fine = 1 << 20
+        lean = lambda k, e: math.floor((k + e * 20 / len(good)) * 20 / (len(by_lang) + 20) * fine)
+
+        def quantile(value, percent, some=False):
+            counts = [Counter(top(value(m)) for m in rows if not some or value(m) > 0) for rows in (own, by_lang, good)]
+            w = {v: counts[0][v] * fine + lean(counts[1][v], counts[2][v]) for v in counts[2]}
+            upto = 0
+            for v in sorted(w):
+                upto += w[v]
+                if upto * 100 >= sum(w.values()) * percent:
+                    return v
+            return None
+
+        chars, line_words, n_words = (max(1.0, quantile(lambda m, j=j: m[4][j], 50)) for j in range(3))
         out = []
-        for k, events in enumerate((16, 2, 64, 0)):
-            q = lambda v, p: top(sorted(v)[-(-len(v) * p // 100) - 1])
-            v = [m[3][k] for m in some]
-            chars, line_words, n_words = (q([m[4][j] for m in some], 50) for j in range(3))
-            wide = math.floor(events * 1e6 / (chars, n_words * 1000 / line_words + 4, n_words, 1)[k])
-            out.append(q(v, 90) + max(8 * (q(v, 90) - q(v, 50)), wide))
-        return out
+        for k, (event, size) in enumerate(((1, chars), (1, n_words * 1000 / line_words + 4), (16, n_words))):
+            one = event * 1e6 / size
+            a, b, c = (quantile(lambda m, k=k: m[3][k], p, True) for p in (10, 25, 75))
+            out.append(0 if a is None else math.floor(one * (c + (c - b) * 3) / max(a, one)))
+        high, mid = (quantile(lambda m: m[3][3], p) for p in (90, 50))
+        return [*out, high + (high - mid) * 8]
 
-    good = [m for m in measured if not m[2]]
     kept = []
     for (lang, source, failed, rate, _), row in zip(measured, ROWS):
         own = [m for m in good if m[0] == lang and m[1] == source]
         by_lang = [m for m in good if m[0] == lang]
-        use = own if len(own) >= 20 else by_lang if len(by_lang) >= 20 else good
-        kept.append((row[0], not failed and all(a <= b for a, b in zip(rate, limits(use)))))
+        kept.append((row[0], not failed and all(a <= b for a, b in zip(rate, limits(own, by_lang)))))
     assert ordered((r.doc_id, r.kept) for r in got) == ordered(kept)
     assert quality.quality_rules(empty).count() == 0
 
@@ -228,6 +240,8 @@ def test_quality_limits_adapt(spark):
     rows = got.join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id").filter("not base_failed").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()
     kept = {r.quality: r.kept for r in rows}
     assert kept[1] > 0.995 and kept[0] < 0.05
+    signs = quality.thresholds(quality.blended(quality.sketches(quality.measures(docs).withColumn("base_failed", F.lit(False))), 10)).select("limit_symbols").distinct().count()
+    assert signs > 20  # a smaller prior lets groups differ more
 
 
 def test_token_counts(docs, empty):
