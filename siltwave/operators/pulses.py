@@ -325,6 +325,54 @@ def find_hits(events: DataFrame, peds: DataFrame, p: Params, keys: list[str], pe
     return out.withColumn("trigger_timestamp_ns", F.col("timestamp") * p.tick_ns).drop("timestamp") if "timestamp" in kept else out
 
 
+def in_noise_units(wf: DataFrame, peds: DataFrame, keys: list[str]) -> DataFrame:
+    """Exploded samples (``v``) in units of their channel's noise; 0 where that is 0."""
+    rows = wf.join(peds.select(*keys, "channel", "rms"), [*keys, "channel"])
+    return rows.withColumn("v", F.when(F.col("rms") > 0, F.col("v") / F.col("rms")).otherwise(0.0)).drop("rms")
+
+
+def seed_regions(wf: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, channel, start, stop``: the seed regions of each waveform (``wf``, in units of noise); null and short ones have none."""
+    schema = ", ".join([f"`{c}` {wf.schema[c].dataType.simpleString()}" for c in [*keys, "channel"]] + ["start bigint, stop bigint"])
+
+    def run(batches):
+        for b in batches:
+            lists = Lists(b, ["wf"])
+            found = [(i, *region) for i in range(b.num_rows) for region in derivative_seeds(lists("wf", i).astype(np.float64))]
+            at, start, stop = (pa.array(x, pa.int64()) for x in (list(zip(*found)) or [()] * 3))
+            yield pa.RecordBatch.from_arrays([b.column(c).take(at) for c in [*keys, "channel"]] + [start, stop], [*keys, "channel", "start", "stop"])
+
+    return wf.select(*keys, "channel", F.col("wf").cast("array<double>").alias("wf")).mapInArrow(run, schema)
+
+
+def find_seeds(events: DataFrame, peds: DataFrame, p: Params, keys: list[str], ped_keys: list[str]) -> DataFrame:
+    """``seed_regions`` of event rows, whose waveforms are built, cleaned of common noise and scaled in the task: nothing is shuffled.
+
+    ``peds`` as in ``find_hits``; channels without a pedestal have none of these regions, as their noise isn't known.
+    """
+    filled = F.map_from_entries(F.collect_list(F.struct("channel", F.struct("mean", "rms"))))
+    arrays = peds.filter((F.col("channel") >= 0) & (F.col("channel") < p.channels)).groupBy(*ped_keys).agg(filled.alias("ped"))
+    lists_ = ("channel", "sample", "amplitude")
+    rows = events.join(arrays, ped_keys).select(*keys, *[F.col(c).cast("array<int>").alias(c) for c in lists_], F.map_keys("ped").cast("array<int>").alias("pc"), F.map_values("ped").getField("mean").alias("p_mean"), F.map_values("ped").getField("rms").alias("p_rms"))
+    schema = ", ".join([f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keys] + ["channel int, start bigint, stop bigint"])
+
+    def run(batches):
+        for b in batches:
+            lists, found = Lists(b, [*lists_, "pc", "p_mean", "p_rms"]), []
+            for i in range(b.num_rows):
+                mean, rms = np.zeros(p.channels), np.zeros(p.channels)
+                mean[lists("pc", i)], rms[lists("pc", i)] = lists("p_mean", i), lists("p_rms", i)
+                wf, length = dense(lists("channel", i), lists("sample", i), lists("amplitude", i), mean, p)
+                if wf.size:
+                    common_noise(wf, length)
+                    high = np.flatnonzero((length > 0) & (rms > 0))
+                    found += [(i, c, *region) for c in high.tolist() for region in derivative_seeds(wf[c, : length[c]] / rms[c])]
+            at, channel, start, stop = list(zip(*found)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([b.column(c).take(pa.array(at, pa.int64())) for c in keys] + [pa.array(channel, pa.int32()), pa.array(start, pa.int64()), pa.array(stop, pa.int64())], [*keys, "channel", "start", "stop"])
+
+    return rows.mapInArrow(run, schema)
+
+
 def tightened(hits: DataFrame, significance: float) -> DataFrame:
     """Hits found with a low threshold, cut to a higher one afterwards."""
     return hits.filter(F.col("significance") >= significance)

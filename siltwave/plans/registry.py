@@ -280,25 +280,20 @@ def w24_fused_hits(spark, sf_dir):
 @query(seeds_sql())
 def w26_derivative_seeds(spark, sf_dir):
     """Diagnostic seed regions of each injected waveform, in units of its noise."""
-    import numpy as np
-    import pyarrow as pa
-
-    quiet, keys = A.shaped_samples(spark, sf_dir, quiet=True), ["feu"]
-    peds = pedestals.pedestals(quiet, keys, ["entry"])
-    rows = A.shaped_samples(spark, sf_dir).join(peds, [*keys, "channel"])
+    peds = pedestals.pedestals(A.shaped_samples(spark, sf_dir, quiet=True), ["feu"], ["entry"])
+    rows = A.shaped_samples(spark, sf_dir).join(peds, ["feu", "channel"])
     wf = waveform.subtract_common_noise(rows.select(*EVENT, "channel", "sample", (F.col("amplitude") - F.col("mean")).alias("v")), EVENT)
-    scaled = wf.join(peds.select("feu", "channel", "rms"), ["feu", "channel"]).withColumn("v", F.when(F.col("rms") > 0, F.col("v") / F.col("rms")).otherwise(0.0))
-
-    def run(batches):
-        for b in batches:
-            at, starts, stops = [], [], []
-            for i in range(b.num_rows):
-                for a, z in pulses.derivative_seeds(b.column("wf")[i].values.to_numpy(zero_copy_only=False).astype(np.float64)):
-                    at.append(i), starts.append(a), stops.append(z)
-            k = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(c).take(k) for c in (*EVENT, "channel")] + [pa.array(starts, pa.int64()), pa.array(stops, pa.int64())], [*EVENT, "channel", "start", "stop"])
-
-    return waveform.waveforms(scaled, EVENT).select(*EVENT, "channel", "wf").mapInArrow(run, "feu bigint, entry bigint, channel bigint, start bigint, stop bigint")
+    scaled = pulses.in_noise_units(wf, peds, ["feu"])
+    return pulses.seed_regions(waveform.waveforms(scaled, EVENT), EVENT)
+
+
+@query(seeds_sql())
+def w26_seeds_from_events(spark, sf_dir):
+    """The same regions from event rows, without exploded samples."""
+    p = Params(boxcar_width=0)
+    peds = pedestals.from_events(A.shaped_events(spark, sf_dir, quiet=True), ["feu"], p)
+    out = pulses.find_seeds(A.shaped_events(spark, sf_dir), peds, p, EVENT, ["feu"])
+    return out.select(*EVENT, *[F.col(c).cast("long").alias(c) for c in ("channel", "start", "stop")])
 
 
 HITS = """with hits as (select event_id // 8 as event, event_id * 37 % 128 as channel, event_id as pulse_idx, cast(floor(value * 100) as bigint) as amplitude, cast(event_id * 7 % 25 as double) as time from events),
