@@ -167,7 +167,12 @@ def frequent_tokens(docs: DataFrame, size: int = 3) -> tuple[np.ndarray, np.ndar
         yield counts(held)
 
     counted = docs.select("text").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    rows = counted.filter(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "token").limit(MOST_FREQUENT).toArrow()
+    counted = materialise(counted.filter(F.col("n") >= FREQUENT).withColumn("size", F.floor(F.log2("n") * 8)))
+    least, told = 1 << 10, 0  # all tokens of a size are told or none, so no task sorts those of all others
+    for r in sorted(counted.groupBy("size").count().collect(), reverse=True):
+        told += r["count"]
+        least = r["size"] if told <= MOST_FREQUENT else least
+    rows = counted.filter(F.col("size") >= least).select("token", "n").toArrow()
     token, n = (rows.column(c).to_numpy() for c in ("token", "n"))
     order = np.argsort(token.view(np.uint64))
     return token.view(np.uint64)[order], n[order]

@@ -99,3 +99,31 @@ select part, filter_order, step, coalesce(kept, 0) as kept, coalesce(removed, 0)
 coalesce(sum(removed) over (partition by part, own), 0)::bigint as shapley from rows"""
 
 ORACLES["op13_filter_interactions"] = OP13
+
+#: CRC-32 of the decimal id, bit by bit: shift, and add the (reversed) polynomial 0xEDB88320 where a one falls out.
+_CRC = "xor(list_reduce([ord(c) for c in string_split(conv_id::varchar, '')], lambda crc, byte: list_reduce(range(0, 8), lambda r, k: xor(r >> 1, (r & 1) * 3988292384), xor(crc, byte)), 4294967295), 4294967295)"
+
+OP11 = f"""with turns as (select conv_id, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} as t, row_number() over (partition by conv_id order by turn nulls first) as k from conversations where conv_id is not null),
+own as (select conv_id, list(t order by k) as ts from turns group by 1), cuts as (select conv_id, ts, {_CRC} % 6 as h from own),
+rebuilt as (select c.conv_id, list_concat(coalesce(b.ts[1:c.h], []), c.ts[c.h + 1:]) as ts from cuts c left join own b on b.conv_id = c.conv_id - c.conv_id % 100),
+prefixes as (select conv_id, d, ts[1:d] as p, len(ts) = d as ends from (select conv_id, ts, unnest(range(0, len(ts) + 1)) as d from rebuilt)),
+nodes as (select p, d, min(conv_id) as conv_id, count(*) as n, sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ends), '')) as ends_sha256, case when d > 0 then p[1:d - 1] end as above,
+case when d > 0 then length(p[-1].text) else 0 end as chars from prefixes group by p, d),
+kids as (select above as p, count(*) as n_children from nodes where d > 0 group by 1),
+whole as (select n.*, coalesce(n_children, 0) as n_children from nodes n left join kids using (p)),
+up as (select p[1:e] as p, (n - 1) * chars as saved, (n_children = 0)::int as leaf from (select *, unnest(range(0, d + 1)) as e from whole)),
+below as (select p, sum(saved)::bigint as saved_tokens, sum(leaf)::bigint as n_leaves from up group by 1)
+select w.conv_id, w.d::bigint as depth, a.conv_id as parent_conv_id, w.n as n_convs, w.n_children, n_leaves, saved_tokens, w.ends_sha256 from whole w join below using (p) left join whole a on a.p = w.above"""
+
+ORACLES["op11_conversation_prefix_trie"] = OP11
+
+OP12 = rf"""with recursive worded as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w from documents),
+sets as (select doc_id, case when len(w) > 2 then list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)]) when len(w) > 0 then [array_to_string(w, ' ')] else [] end as s from worded),
+tokens as (select doc_id, unnest(s) as t from sets), sizes as (select doc_id, len(s)::bigint as n from sets),
+common as (select a.doc_id as x, b.doc_id as y, count(*) as k from tokens a join tokens b on a.t = b.t and a.doc_id < b.doc_id group by 1, 2),
+links as (select x, y from common join sizes a on a.doc_id = x join sizes b on b.doc_id = y where 100 * k >= 90 * (a.n + b.n - k)),
+both_ways as (select x, y from links union all select y, x from links),
+reach as (select doc_id as x, doc_id as y from sizes union select r.x, b.y from reach r join both_ways b on b.x = r.y)
+select doc_id, n as n_shingles, (select min(y) from reach where x = doc_id) as component_id from sizes"""
+
+ORACLES["op12_ngram_jaccard_join"] = OP12
