@@ -54,7 +54,7 @@ def from_events(events: DataFrame, keys: list[str], p: Params, settings: DataFra
     each channel; those of all tasks are merged about one of their own means, so neither many samples nor a large offset cost digits.
     """
     arrays = ("channel", "sample", "amplitude")
-    rows = pulses.with_settings(events, settings, file_keys or keys).select(*keys, *[F.col(c).cast("array<int>").alias(c) for c in arrays], *pulses.SETTINGS)
+    rows = pulses.with_settings(events, settings, file_keys or keys).select(*keys, *pulses.lists_of(events, arrays), *pulses.SETTINGS)
     sums = ("n", "total", "n_wf", "v", "vv", "g", "gg")  # v and g: means, vv and gg: squared deviations from them
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(keys)]] + ["channel int"] + [f"{c} double" for c in sums])
 

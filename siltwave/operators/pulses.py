@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..params import Params
@@ -24,7 +24,7 @@ def dense(channel, sample, amplitude, mean, p: Params):
         channel, sample, amplitude = channel[ok], sample[ok], amplitude[ok]
     n = int(sample.max(initial=-1)) + 1
     place = channel * np.int64(n) + sample
-    if len(place) == p.channels * n and place[0] == 0 and (np.diff(place) == 1).all():  # a whole frame in order
+    if n and len(place) == p.channels * n and place[0] == 0 and (np.diff(place) == 1).all():  # a whole frame in order
         return amplitude.reshape(p.channels, n) - mean[:, None], np.full(p.channels, n)
     wf, there = np.zeros((p.channels, n)), np.zeros((p.channels, n), bool)
     wf.ravel()[place] = amplitude - mean[channel]
@@ -231,18 +231,55 @@ def event_pulses(wf: np.ndarray, gate: np.ndarray, length: np.ndarray, rms: np.n
 
 
 class Lists:
-    """The list columns of an Arrow batch as views of its buffers; null as empty."""
+    """The list columns of an Arrow batch, or packed ones (see ``pack``), as views of its buffers; null as empty."""
 
     def __init__(self, batch: pa.RecordBatch, names: list[str]):
         self.columns = {}
         for n in names:
             c = batch.column(n)
+            if pa.types.is_binary(c.type):
+                at = np.frombuffer(c.buffers()[1], np.int32)[c.offset : c.offset + len(c) + 1] if len(c) else np.zeros(1, np.int32)
+                data = c.buffers()[2] if len(c) else None
+                self.columns[n] = (np.frombuffer(data, "<u2") if data is not None and data.size > 1 else np.zeros(0, np.uint16), at // 2)
+                continue
             c = c.fill_null([]) if c.null_count else c
             self.columns[n] = (c.values.to_numpy(zero_copy_only=False), c.offsets.to_numpy())
 
     def __call__(self, name: str, i: int) -> np.ndarray:
         values, at = self.columns[name]
-        return values[at[i] : at[i + 1]]
+        own = values[at[i] : at[i + 1]]
+        return own.astype(np.int32) if own.dtype == np.uint16 else own
+
+
+def lists_of(events: DataFrame, names: tuple[str, ...]) -> list[Column]:
+    """The sample columns of an event table as the tasks take them: packed ones as they are, others as lists of whole numbers."""
+    return [F.col(c) if events.schema[c].dataType.typeName() == "binary" else F.col(c).cast("array<int>").alias(c) for c in names]
+
+
+def pack(events: DataFrame, channels: int = 512) -> DataFrame:
+    """Event rows with ``sample, channel, amplitude`` as little-endian 16-bit numbers in one binary value each, and ``n_channels``.
+
+    Spark moves a list number by number from Parquet to rows to Arrow, a binary value as it is; the packed table is also half as
+    large. ``n_channels`` counts the distinct channels below ``channels``, which tells sparse files. Numbers of samples and amplitudes
+    fit by the word format; a channel beyond 65,535 (of a broken block) counts as 65,535. Null lists stay null.
+    """
+    names = ("sample", "channel", "amplitude")
+    rest = [c for c in events.columns if c not in names]
+    rows = events.select(*rest, *lists_of(events, names))
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(rest)]] + ["sample binary, channel binary, amplitude binary, n_channels int"])
+
+    def run(batches):
+        for b in batches:
+            packed, seen, lists = [], [], Lists(b, list(names))
+            for name in names:
+                empty = b.column(name).is_null().to_pylist()
+                packed.append(pa.array([None if empty[i] else np.clip(lists(name, i), 0, 65_535).astype("<u2").tobytes() for i in range(b.num_rows)], pa.binary()))
+            for i in range(b.num_rows):
+                c = lists("channel", i)
+                seen.append(len(np.unique(c[(c >= 0) & (c < channels)])))
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in rest], *packed, pa.array(seen, pa.int32())], [*rest, *names, "n_channels"])
+
+    return rows.mapInArrow(run, schema)
 
 
 #: What may differ from file to file, each null or absent where the job's parameters hold.
@@ -271,7 +308,7 @@ def find_hits(events: DataFrame, peds: DataFrame, p: Params, keys: list[str], pe
     rows = rows.join(zs, file_keys, "left") if zs is not None and p.cns else rows.withColumn("is_zs", F.lit(False))
     kept = [c for c in [*keys, "eventId", "timestamp", "ftst"] if c in events.columns]
     arrays_ = ("channel", "sample", "amplitude")
-    rows = rows.select(*kept, *[F.col(c).cast("array<int>").alias(c) for c in arrays_], F.map_keys("ped").cast("array<int>").alias("pc"), F.map_values("ped").alias("pv"), F.coalesce("is_zs", F.lit(False)).alias("is_zs"), *SETTINGS)
+    rows = rows.select(*kept, *lists_of(events, arrays_), F.map_keys("ped").cast("array<int>").alias("pc"), F.map_values("ped").alias("pv"), F.coalesce("is_zs", F.lit(False)).alias("is_zs"), *SETTINGS)
     rows = rows.withColumns({f"p_{c}": F.col("pv").getField(c) for c in ("mean", "rms", "rms_gate")}).drop("pv")
     own = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(kept)]]
     measured = ["channel int", "pulse_idx int"] + [f"{n} double" for n in NUMBERS] + [f"{n} boolean" for n in FLAGS]
@@ -353,7 +390,7 @@ def find_seeds(events: DataFrame, peds: DataFrame, p: Params, keys: list[str], p
     filled = F.map_from_entries(F.collect_list(F.struct("channel", F.struct("mean", "rms"))))
     arrays = peds.filter((F.col("channel") >= 0) & (F.col("channel") < p.channels)).groupBy(*ped_keys).agg(filled.alias("ped"))
     lists_ = ("channel", "sample", "amplitude")
-    rows = events.join(arrays, ped_keys).select(*keys, *[F.col(c).cast("array<int>").alias(c) for c in lists_], F.map_keys("ped").cast("array<int>").alias("pc"), F.map_values("ped").getField("mean").alias("p_mean"), F.map_values("ped").getField("rms").alias("p_rms"))
+    rows = events.join(arrays, ped_keys).select(*keys, *lists_of(events, lists_), F.map_keys("ped").cast("array<int>").alias("pc"), F.map_values("ped").getField("mean").alias("p_mean"), F.map_values("ped").getField("rms").alias("p_rms"))
     schema = ", ".join([f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keys] + ["channel int, start bigint, stop bigint"])
 
     def run(batches):

@@ -138,8 +138,12 @@ def measures(pulses: DataFrame) -> DataFrame:
 def zs_files(events: DataFrame, file: list[str], first: int = 200, channels: int = 512, dense: int = 256) -> DataFrame:
     """``file, is_zs``: sparse where the upper-middle number of channels in the first entries is below ``dense``.
 
-    Works on event rows (``entry``, ``channel`` as an array), so that entries without samples count as 0.
+    Works on event rows (``entry``, ``channel`` as an array), so that entries without samples count as 0. Packed events
+    (``pulses.pack``) bring the number of their channels, taken below 512.
     """
+    if "n_channels" in events.columns:
+        per = events.filter(F.col("entry") < first).select(*file, F.col("n_channels").alias("k"))
+        return per.groupBy(*file).agg((upper_middle(F.collect_list("k")) < dense).alias("is_zs"))
     own = F.array_distinct(F.filter(F.coalesce("channel", F.array().cast("array<int>")), lambda c: (c >= 0) & (c < channels)))
     per = events.filter(F.col("entry") < first).select(*file, F.size(own).alias("k"))
     return per.groupBy(*file).agg((upper_middle(F.collect_list("k")) < dense).alias("is_zs"))  # ``first`` values at most

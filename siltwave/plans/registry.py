@@ -277,6 +277,16 @@ def w24_fused_hits(spark, sf_dir):
     return rounded(fused_hits(spark, sf_dir))
 
 
+@query(hits_sql(True, 5) + f" select {ROUNDED} from hits")
+def w24_hits_of_packed_events(spark, sf_dir):
+    """The same hits as ``w9_w24_hits_smoothed`` from events and pedestal events whose samples are packed, written and read back."""
+    base = f"{files.scratch_dir(spark)}/packed-{uuid.uuid4().hex}"
+    for name, quiet in (("events", False), ("quiet", True)):
+        pulses.pack(A.shaped_events(spark, sf_dir, quiet=quiet)).write.parquet(f"{base}/{name}")
+    events, quiet = (spark.read.parquet(f"{base}/{name}") for name in ("events", "quiet"))
+    return rounded(pulses.find_hits(events, pedestals.from_events(quiet, ["feu"], SMOOTHED), SMOOTHED, ["feu", "entry"], ["feu"]))
+
+
 @query(seeds_sql())
 def w26_derivative_seeds(spark, sf_dir):
     """Diagnostic seed regions of each injected waveform, in units of its noise."""
