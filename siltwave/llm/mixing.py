@@ -29,7 +29,8 @@ def solve_exponent(sources: DataFrame, budget: float, entropy: float | None = No
     """The exponent for ``sources`` (``source, tokens``); only single numbers come to the driver.
 
     ``entropy`` is a fraction of the greatest possible one. Each step tries 31 exponents at once, which halves the
-    interval five times.
+    interval five times. Without tokens, with fewer than two sources or
+    without a target it is 1; sources without tokens are passed over, null is a source of its own.
     """
     whole = sources.agg(F.sum("tokens"), F.count("*")).first()
     total, n = float(whole[0] or 0), whole[1]

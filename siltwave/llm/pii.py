@@ -385,7 +385,7 @@ def find_pii(docs: DataFrame, mask: bool = False, id_col: str = "doc_id", text_c
     """``doc_id, base, spans`` (arrays of kind, start, end in code points, end exclusive) for every whole text.
 
     ``mask`` adds ``masked``, the text with its spans replaced. Null and empty texts have no spans; a null text stays
-    null when masked. Repeated rows repeat.
+    null when masked. Repeated rows repeat, null ids stay null; other columns aren't read, whatever their names. No documents give no rows.
     """
     span = "array<struct<kind:string,start:bigint,end:bigint>>"
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))

@@ -114,7 +114,8 @@ def write_token_files(
 def read_token_files(spark, out: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids``; ``start`` counts the ids of all documents before it.
 
-    The offset of a file is a running sum over one total per file; reading metadata alone leaves the ids unread.
+    The offset of a file is a running sum over one total per file; reading metadata alone leaves the ids unread. Null ids come first,
+    rows of one id in the order in which they were written; an empty table gives no rows.
     """
     files = spark.read.schema(FILE_SCHEMA).parquet(out)
     totals = files.groupBy("part").agg(F.sum("n_tokens").alias("n"))
@@ -124,7 +125,7 @@ def read_token_files(spark, out: str) -> DataFrame:
 
 
 def id_checksums(tokens: DataFrame) -> DataFrame:
-    """``ids_crc32`` of each row's ids as little-endian 32-bit numbers, beside doc_id, start and n_tokens."""
+    """``ids_crc32`` of each row's ids as little-endian 32-bit numbers, beside doc_id, start and n_tokens; one row for each row, 0 for no ids."""
 
     def run(batches):
         for b in batches:
