@@ -22,7 +22,10 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the nearest centroid accepts; null texts and texts without a letter have none and go."""
+    """Documents whose language the nearest centroid accepts; null texts and texts without a letter have none and go.
+
+    Repeated rows and rows without an id are each judged by their text. Without documents nothing is learned and none come out.
+    """
     model = langid.fit(docs)
     return langid.keep_accepted(docs, model).select(*COLUMNS)
 
@@ -49,7 +52,10 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows repeated as often as the mix takes them: as many words as came in, no source more than twice."""
+    """Rows repeated as often as the mix takes them: as many words as came in, no source more than twice.
+
+    Rows of one id are taken as often as the most wanted of them; rows without an id stay once. Ties in a source's order go by the digest of the id.
+    """
     taken = mixing.mix(docs.filter("doc_id is not null"), budget_share=1.0, repetition=2.0).select("doc_id", "copies").filter("copies > 0")
     taken = taken.groupBy("doc_id").agg(F.max("copies").alias("copies"))
     rows = docs.join(taken, "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
@@ -57,7 +63,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, n_tokens, ids`` with the ids as packed little-endian 32-bit numbers; null and empty texts have none."""
+    """``doc_id, n_tokens, ids`` with the ids as packed little-endian 32-bit numbers; null and empty texts have none.
+
+    Each row is encoded by itself, so repeated rows and rows without an id repeat.
+    """
     out = bpe.encode_documents(docs, WORD_BPE)
     return out.select("doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids")
 
