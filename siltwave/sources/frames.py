@@ -69,13 +69,17 @@ class FrameFilesReader(DataSourceReader):
                 yield f
 
     def partitions(self):
-        out = []
+        """Small files share a partition until it has the size of a range."""
+        out, held = [], []
         for path, size in list_frame_files(self.path, self.pattern):
             m = NUMBERED.match(path)
             own = (path, *(map(int, m.groups()) if m else (None, None)))
             if all(own[k] in values for k, values in self.wanted):
-                out += [Range([(*own, k, at, min(at + self.chunk, size // 2 * 2), size)]) for k, at in enumerate(range(0, size // 2 * 2, self.chunk))]
-        return out
+                for k, at in enumerate(range(0, size // 2 * 2, self.chunk)):
+                    held.append((*own, k, at, min(at + self.chunk, size // 2 * 2), size))
+                    if sum(stop - start for *_, start, stop, _ in held) >= self.chunk:
+                        out, held = [*out, Range(held)], []
+        return out + [Range(held)] * bool(held)
 
     def read(self, partition):
         for row in partition.rows if partition else []:  # without any file Spark asks for one partition all the same
