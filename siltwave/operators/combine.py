@@ -54,16 +54,20 @@ def compatible_pairs(hits: DataFrame, keys: list[str], mm: float = 2.0, ns: floa
 
 
 def pair_candidates(hits: DataFrame, keys: list[str], mm: float, ns: float) -> DataFrame:
-    """The pairs of hits whose cells touch, each once, before their distance is looked at."""
+    """The pairs of hits whose cells touch, each once, before their distance is looked at.
+
+    Both sides grow with the hits and one of them has every hit 14 times, which Spark's estimate leaves out; so they are merged
+    as sorted partitions and neither is ever sent whole to the driver and all tasks.
+    """
     base = hits.select(*keys, "axis", "ord", "x", "y", "time")
     cell = {"cx": ("x", mm), "cy": ("y", mm), "ct": ("time", ns)}
     a = base.withColumns({c: F.floor(F.col(v) / size) for c, (v, size) in cell.items()})
     b = base.select(*keys, "axis", *[F.col(c).alias(f"{c}2") for c in ("ord", "x", "y", "time")])
     half = [(i, j, k) for i in (0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1) if (i, j, k) >= (0, 0, 0)]
     b = b.withColumn("o", F.explode(F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in zip(cell, o)]) for o in half])))
-    b = b.withColumns({c: F.floor(F.col(f"{v}2") / size) + F.col("o").getField(c) for c, (v, size) in cell.items()})
-    own = (F.col("o.cx") == 0) & (F.col("o.cy") == 0) & (F.col("o.ct") == 0)
-    return a.join(b, [*keys, "axis", *cell]).filter(~own | (F.col("ord") < F.col("ord2")))
+    b = b.withColumns({c: F.floor(F.col(f"{v}2") / size) + F.col("o").getField(c) for c, (v, size) in cell.items()}).drop("o")
+    own = reduce(lambda x, y: x & y, [F.floor(F.col(f"{v}2") / size) == F.col(c) for c, (v, size) in cell.items()])
+    return a.join(b.hint("merge"), [*keys, "axis", *cell]).filter(~own | (F.col("ord") < F.col("ord2")))
 
 
 def event_groups(hits: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
