@@ -118,13 +118,21 @@ def split(gate: np.ndarray, first: int, last: int, depth: float, least: int) ->
     return out
 
 
+def total(values) -> float:
+    """The sum in order, rounded at each step as in the reference and in SQL; ``sum`` carries what rounding loses since Python 3.12."""
+    out = 0.0
+    for x in values:
+        out += x
+    return out
+
+
 def line(wf: list[float], a: int, b: int):
     """Slope and intercept of the least-squares line over samples a to b; None for fewer than two."""
     n = b - a + 1
     if n < 2:
         return None
-    middle, mean = (a + b) / 2, sum(wf[a : b + 1]) / n
-    slope = sum((i - middle) * (wf[i] - mean) for i in range(a, b + 1)) / sum((i - middle) ** 2 for i in range(a, b + 1))
+    middle, mean = (a + b) / 2, total(wf[a : b + 1]) / n
+    slope = total((i - middle) * (wf[i] - mean) for i in range(a, b + 1)) / total((i - middle) ** 2 for i in range(a, b + 1))
     return slope, mean - slope * middle
 
 
@@ -175,8 +183,8 @@ def measured(wf: list[float], gate: list[float], a: int, b: int, lo: int, hi: in
         y1, y2, y3 = wf[top - 1] - base, wf[top] - base, wf[top + 1] - base
         bend = y1 - 2 * y2 + y3
         if abs(bend) > 1e-9:
-            shift = 0.5 * (y1 - y3) / bend
-            place, height = top + shift, y2 - 0.25 * (y1 - y3) * shift
+            place = top + 0.5 * (y1 - y3) / bend
+            height = y2 - 0.25 * (y1 - y3) * (place - top)  # by the place as it is given, so that both agree to the last digit
     if not filtered and height < p.threshold * rms:
         return None
     target = p.timing_fraction * min(height, adc_max) + base
@@ -198,7 +206,7 @@ def measured(wf: list[float], gate: list[float], a: int, b: int, lo: int, hi: in
         i -= 1
     while j < hi and wf[j + 1] - base > 0:
         j += 1
-    integral = sum(x - base for x in wf[i : j + 1])
+    integral = total(x - base for x in wf[i : j + 1])
     strength = max(gate[a : b + 1]) / rms_gate if rms_gate > 0 else 0.0
     return height, timing, place, timing, place, base, best - base, left_at, right_at, right_at - left_at, integral, strength, bool(full), a == 0, b == n - 1
 
