@@ -743,17 +743,24 @@ def frame_rows(out):
 
 
 def frame_folder(spark, sf_dir):
-    """The frame files as files: ``path`` of the folder that they are written to."""
+    """The frame files as files: ``path`` of the folder that they are written to. Numbers have three digits, so a run has 1,000 files."""
     base = f"{files.scratch_dir(spark)}/frames-{uuid.uuid4().hex}"
-    named = A.encoded_frames(spark, sf_dir).withColumn("path", F.format_string("run/x_%03d_%02d.fdf", "file_num", "feu"))
+    run, own = F.floor(F.col("file_num") / 1000), F.col("file_num") % 1000
+    named = A.encoded_frames(spark, sf_dir).withColumn("path", F.format_string("run_%d/x_%03d_%02d.fdf", run, own, F.col("feu")))
     frames.write_frame_files(named, base).write.format("noop").mode("overwrite").save()
     return base
 
 
+def over_runs(rows):
+    """``rows`` of those files with their number over all runs."""
+    run = F.regexp_extract("path", "run_([0-9]+)/[^/]*$", 1).cast("int")
+    return rows.withColumn("file_num", (1000 * run + F.col("file_num")).cast("int"))
+
+
 @query(FRAME_ROWS)
 def d7_frames_by_ranges(spark, sf_dir):
     """The same frames from files that are cut into ranges of 4,096 bytes, each decoded by itself."""
-    return frame_rows(frames.decode_files(spark, frame_folder(spark, sf_dir), 4096))
+    return frame_rows(over_runs(frames.decode_files(spark, frame_folder(spark, sf_dir), 4096)))
 
 
 @query("""with w as (select cast(event_id // 500 as int) as file_num, cast(event_id // 500 % 4 as int) as feu, cast(2 * sum(10 + case when event_id % 33 = 0 then 68 when event_id % 11 = 0 then 69 else 2 * (user_id % 5) end) as bigint) as size from events group by 1, 2)
@@ -761,7 +768,7 @@ select file_num, feu, size, cast(ceil(size / 4096.0) as bigint) as ranges, size
 def s1_frame_source(spark, sf_dir):
     """Ranges of the frame files of two units; files of other units aren't opened."""
     chunks = frames.read_chunks(spark, frame_folder(spark, sf_dir), 4096, content=True).filter("feu in (1, 3)")
-    return chunks.groupBy("file_num", "feu", "size").agg(F.count("*").alias("ranges"), F.sum(F.octet_length("content")).cast("long").alias("bytes"))
+    return over_runs(chunks).groupBy("file_num", "feu", "size").agg(F.count("*").alias("ranges"), F.sum(F.octet_length("content")).cast("long").alias("bytes"))
 
 
 @query("select cast(event_id // 500 as int) as file_num, cast(sum(10 + case when event_id % 33 = 0 then 68 when event_id % 11 = 0 then 69 else 2 * (user_id % 5) end) as bigint) as words from events group by 1")

@@ -78,7 +78,8 @@ class FrameFilesReader(DataSourceReader):
                 for k, at in enumerate(range(0, size // 2 * 2, self.chunk)):
                     held.append((*own, k, at, min(at + self.chunk, size // 2 * 2), size))
                     if sum(stop - start for *_, start, stop, _ in held) >= self.chunk:
-                        out, held = [*out, Range(held)], []
+                        out.append(Range(held))
+                        held = []
         return out + [Range(held)] * bool(held)
 
     def read(self, partition):

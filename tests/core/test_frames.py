@@ -3,11 +3,12 @@
 import os
 import random
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from siltwave.plans import adapters
+from siltwave.plans import adapters, registry
 from siltwave.sources import files, frames
 
 KINDS = [0x0000, 0x1000, 0x2000, 0x3000, 0x4000, 0x5000, 0x6000, 0x6400, 0x7000, 0x7800]
@@ -104,3 +105,14 @@ def test_filters_decide_which_files_are_opened(spark, folder, tmp_path):
     os.chmod(f"{base}/x_000_00.fdf", 0)  # only root could open it; the plan doesn't try
     assert chunks.filter("feu = 2").count() == 2
     assert frames.read_chunks(spark, base, content=True, pattern="none").count() == 0
+
+
+@pytest.mark.parametrize("name", ["d7_frames_by_ranges", "s1_frame_source"])
+def test_more_files_than_three_digits_count(spark, tmp_path, name):
+    con = duckdb.connect()
+    con.execute(f"copy (select * replace (event_id % 250 + 500 * [998, 1000, 1003, 72000][1 + event_id // 250] as event_id) from '/root/testdata/sf0.001/events.parquet' where event_id < 1000) to '{tmp_path}/events.parquet'")
+    con.execute(f"create view events as from '{tmp_path}/events.parquet'")
+    found = con.execute(registry.ORACLES[name])
+    names = [d[0] for d in found.description]
+    want = found.fetchall()
+    assert sorted(map(tuple, registry.QUERIES[name](spark, str(tmp_path)).select(*names).collect())) == sorted(want) and max(r[0] for r in want) > 999
