@@ -547,8 +547,9 @@ def s7_run_config(spark, sf_dir):
     period = F.when(k % 3 == 0, "").otherwise(F.format_string('"sample_period": %d, ', 20 + k % 9))
     text = F.concat(F.lit('{"dream_daq_info": {'), period, F.format_string('"zero_suppress": %s, "pedestal_subtraction": %s, "daq_config_template_path": "/x/%s"}}', k % 2 == 0, k % 5 == 0, "s_name"))
     path = f"{files.scratch_dir(spark)}/configs-{uuid.uuid4().hex}"
-    s.filter("s_nationkey >= 5").select(k.alias("run"), F.when(k % 4 == 3, "{").otherwise(text).alias("value")).repartition(1).write.partitionBy("run").text(path)
-    return files.read_run_config(spark, s.select(F.concat(F.lit("run="), k.cast("string")).alias("run")), path, "*.txt")
+    configs = s.filter("s_nationkey >= 5").select(F.format_string("run=%d/run_config.json", k).alias("path"), F.when(k % 4 == 3, "{").otherwise(text).cast("binary").alias("content"))
+    frames.write_frame_files(files.spread(configs, "path"), path).write.format("noop").mode("overwrite").save()
+    return files.read_run_config(spark, s.select(F.concat(F.lit("run="), k.cast("string")).alias("run")), path)
 
 
 @query("select '/hits/' || n_name || '.parquet' as path, cast(n_nationkey as int) as feu from nation")

@@ -161,6 +161,19 @@ def test_greedy_clusters(spark):
     assert rows(registry.j7_j9_clusters(spark, SF)) == sorted(want, key=repr)
 
 
+def test_many_run_configs_are_read_by_many_tasks(spark, tmp_path):
+    for k in range(0, 2500, 2):
+        (tmp_path / f"r{k}").mkdir()
+        (tmp_path / f"r{k}" / "run_config.json").write_text(json.dumps({"dream_daq_info": {"sample_period": k}}))
+    runs = spark.range(2500).coalesce(1).select(F.concat(F.lit("r"), F.col("id").cast("string")).alias("run"))
+    got = files.read_run_config(spark, runs.union(spark.createDataFrame([("r2",), (None,)], "run string")).coalesce(1), str(tmp_path))
+    assert got.rdd.getNumPartitions() >= 3
+    want = {f"r{k}": 60.0 if k % 2 else float(k) for k in range(2500)}
+    assert sorted((r.run or "", r.sample_period) for r in got.collect()) == sorted([*want.items(), ("r2", 2.0), ("", 60.0)])
+    with pytest.raises(FileNotFoundError):
+        files.read_run_config(spark, runs, str(tmp_path / "none"))
+
+
 def test_sources(spark, tmp_path):
     (tmp_path / "map.csv").write_text("\n c,cc,s,a,p,i,n,x,y\n\n0,5,1,x,1,1,2::3,0.5,1\nshort,line\n1,6,2,y,1,1,,1,2,extra\n0,5,9,y,1,1,4,7,8\n")
     strips = combine.last_by_channel(files.read_strip_map(spark, str(tmp_path / "map.csv")))
