@@ -55,27 +55,21 @@ def common_noise(wf: np.ndarray, length: np.ndarray, block: int = 64) -> None:
 
 
 def smoothed(wf: np.ndarray, length: np.ndarray, width: int) -> np.ndarray:
-    """Boxcar of each channel over its own length."""
+    """Boxcar of each channel over its own length, added in the order of samples and rounded at each step as in SQL.
+
+    The order decides which of two equally deep valleys of the smoothed waveform comes out deeper in the last bit.
+    """
     if width <= 0 or not wf.size:
         return wf
-    h, n = width // 2, wf.shape[1]
-    if 0 < 2 * h < min(n, 16) and (length == n).all():
-        wf = np.ascontiguousarray(wf)
-        out, flat = np.empty_like(wf), wf.ravel()
-        inner = out.ravel()[h : flat.size - h]  # across the rows' ends, which are set below
-        np.add(flat[: flat.size - 2 * h], flat[2 * h :], out=inner)
-        for k in range(1, 2 * h):
-            inner += flat[k : flat.size - 2 * h + k]
-        inner /= 2 * h + 1
-        for k in range(h):  # the ends, where fewer samples are in reach
-            out[:, k] = sum(wf[:, i] for i in range(k + h + 1)) / (k + h + 1)
-            out[:, n - 1 - k] = sum(wf[:, n - 1 - i] for i in range(k + h + 1)) / (k + h + 1)
-        return out
-    sums = np.concatenate([np.zeros((len(wf), 1)), np.cumsum(wf, axis=1)], axis=1)
-    i = np.arange(n)
-    hi = np.minimum(i[None] + h + 1, length[:, None])
-    lo = np.minimum(np.maximum(i - h, 0)[None], hi)
-    return (np.take_along_axis(sums, hi, 1) - np.take_along_axis(sums, lo, 1)) / np.maximum(1, hi - lo)
+    n = wf.shape[1]
+    h, i = min(width // 2, n), np.arange(n)
+    around = np.zeros((len(wf), n + 2 * h))  # zeros beyond the ends change no sum
+    np.copyto(around[:, h : h + n], wf, where=i < length[:, None])
+    out = around[:, :n].copy()
+    for k in range(1, 2 * h + 1):
+        out += around[:, k : k + n]
+    hi = np.minimum(i + h + 1, length[:, None])
+    return out / np.maximum(1, hi - np.maximum(i - h, 0))
 
 
 def above(mask: np.ndarray, gap: int) -> tuple[list, list, list]:
