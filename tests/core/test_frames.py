@@ -116,3 +116,31 @@ def test_more_files_than_three_digits_count(spark, tmp_path, name):
     names = [d[0] for d in found.description]
     want = found.fetchall()
     assert sorted(map(tuple, registry.QUERIES[name](spark, str(tmp_path)).select(*names).collect())) == sorted(want) and max(r[0] for r in want) > 999
+
+
+def test_short_ranges_share_tasks(spark, folder, tmp_path):
+    with open(f"{tmp_path}/x_001_02.fdf", "wb") as f:
+        f.write(random_words(random.Random(2), 500_000))
+    with open(f"{tmp_path}/x_002_02.fdf", "wb") as f:
+        f.write(random_words(random.Random(3), 77) + b"\x60")
+    reader = frames.FrameFilesReader({"path": str(tmp_path), "chunkbytes": "64", "content": "false"})
+    parts = reader.partitions()
+    assert 90 < len(parts) <= 101  # of 15,628 ranges
+    ranges = [r for p in parts for r in reader.read(p)]
+    assert [r[3:6] for r in ranges if r[1] == 1] == [(k, 64 * k, min(64 * k + 64, 1_000_000)) for k in range(15_625)]
+    assert [r[3:] for r in ranges if r[1] == 2] == [(0, 0, 64, 155), (1, 64, 128, 155), (2, 128, 154, 155)]
+    decoded = frames.decode_files(spark, f"{folder}/run", 4096)
+    assert decoded.rdd.getNumPartitions() == frames.read_chunks(spark, f"{folder}/run", 4096).rdd.getNumPartitions() > 20
+
+
+@pytest.mark.parametrize("most", [1, 300, 1 << 18])
+def test_frames_of_a_range_in_groups(most):
+    content = random_words(random.Random(11), 5000)
+    whole = [tidy(f) for f in files.decode_words(content)]
+    groups = list(frames.columns_of_range(lambda i, j: content[i:j], 0, 10_000, len(content), frames.OUTSIDE, most=most))
+    assert (len(groups) > 5) == (most < 1 << 18)
+    for c in ("event_id", "timestamp", "sample_id", "ftst", "zs", "eoe", "bad_blocks"):
+        assert np.concatenate([g[c] for g in groups]).tolist() == [f[c] for f in whole]
+    for c in ("channel", "amplitude"):
+        assert np.concatenate([g[c] for g in groups]).tolist() == sum((f[c] for f in whole), [])
+    assert np.concatenate([g["n_data"] for g in groups]).tolist() == [len(f["channel"]) for f in whole]
